@@ -167,6 +167,21 @@ class CellTable:
         return [got.get(i, (0.0, 0.0)) for i in range(len(tests))]
 
 
+def value_candidates(cells: CellTable, gate: Gate, metric: str) -> DataFrame:
+    """String values that may enter a bin: above the base rate, big enough, several accounts."""
+    tests, rows = [], []
+    for p, plan in enumerate(cells.plans):
+        for i, value in enumerate(plan.values if plan.kind == "string" else ()):
+            if value[1] and value[0] not in MISSING_WORDS:
+                rows.append((len(tests), plan.feature.checkpoint, plan.feature.variable, value[0]))
+                tests.append((p, frozenset({i})))
+    names = cells.table.sparkSession.createDataFrame(
+        rows, "test_id int, checkpoint string, variable string, value string")
+    return (names.join(kpi_by_test(cells.hits(tests), metric), "test_id")
+            .where((F.col("target_rate") > gate.base_rate * gate.lift ** 2)
+                   & (F.col("target_catch") > gate.min_block)))
+
+
 def run_searches(cells: CellTable, gate: Gate, metric: str) -> list[Found]:
     """Advance every search together until all are done; results in plan order."""
     found: list[Found] = [[] for _ in cells.plans]

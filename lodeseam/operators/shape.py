@@ -140,7 +140,7 @@ def not_excluded(values: DataFrame, exclusions: DataFrame | None) -> DataFrame:
         return values
     joined = exclusions.select("checkpoint", "variable",
                                F.array_join("patterns", "|").alias("_pattern"))
-    hit = F.coalesce(F.col("value").rlike(F.col("_pattern")), F.lit(False))
+    hit = F.coalesce(F.rlike("value", F.col("_pattern")), F.lit(False))
     return (values.join(F.broadcast(joined), ["checkpoint", "variable"], "left")
             .where(~hit).drop("_pattern"))
 

@@ -74,6 +74,17 @@ def activity(spark: SparkSession, sf_dir: str) -> DataFrame:
                     F.lit(None).cast("string").alias("empty_var")))
 
 
+_CACHE: dict[tuple[str, str], tuple[DataFrame, DataFrame]] = {}
+
+
+def cached(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """(population, activity), persisted once per session for jobs that scan them repeatedly."""
+    at = (spark.sparkContext.applicationId, sf_dir)
+    if at not in _CACHE:
+        _CACHE[at] = (population(spark, sf_dir).persist(), activity(spark, sf_dir).persist())
+    return _CACHE[at]
+
+
 def features(checkpoints=("A", "N", "R"), skip=("empty_var",)) -> list[Feature]:
     return [Feature(cp, v, t, p, CP_PRIORITY[cp])
             for cp in checkpoints for v, t, p in VARIABLES if v not in skip]
@@ -111,6 +122,12 @@ def user_days(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     return people, rows
 
 
+def event_features() -> list[Feature]:
+    kinds = ("click", "error", "purchase", "signup", "view")
+    return [Feature(cp, v, "numeric", p, 1) for cp in kinds
+            for v, p in (("value_amount", 1), ("k", 1), ("hour", 3))]
+
+
 def assets(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Asset rows derived from the event stream, with a point in time that is sometimes missing."""
     events = table(spark, sf_dir, "events")
