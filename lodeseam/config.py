@@ -60,6 +60,9 @@ class SearchParams:
     coverage_cap: float | None = None   # share of a variable's catch one value bin may hold
     best_first: bool = False     # merge string values by rate instead of by size
     discrete_max: int = 0        # numeric variables with at most this many values use equality
+    strip_quotes: bool = False   # also drop quote characters from string values
+    itemset_cap: int | None = None      # keep only the best supported sets, if wanted
+    include_nodes_edges: bool = False   # the wider walk search: every node and edge as well
     search_scope: str = "single"
 
     def __post_init__(self):
@@ -73,7 +76,7 @@ class SearchParams:
     def with_lift_rules(self) -> "SearchParams":
         """The stricter variant: lift gates, capped bins, best-first order, discrete numbers."""
         return replace(self, lift=1.3, coverage_cap=0.8, best_first=True, discrete_max=5,
-                       per_checkpoint=10)
+                       per_checkpoint=10, strip_quotes=True)
 
 
 @dataclass(frozen=True)

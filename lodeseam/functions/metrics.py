@@ -9,7 +9,7 @@ from __future__ import annotations
 import json
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
 from ..config import AMOUNT, COUNT
@@ -109,7 +109,8 @@ def fscore(rate: Column, share: Column, beta: float = 1.0) -> Column:
                   (1 + b2) * rate * share / (b2 * rate + share)).otherwise(0.0)
 
 
-def with_totals(df: DataFrame, registry: Registry, totals: DataFrame) -> DataFrame:
-    """Attach the one-row ``totals`` as ``total_*`` literals (a driver-held row of sums)."""
-    row = totals.first()
-    return df.withColumns({f"total_{n}": F.lit(float(row[n] or 0.0)) for n in registry.row_sums})
+def f_beta(rate: float, share: float, beta: float = 1.0) -> float:
+    """The same for figures the driver already holds."""
+    if rate <= 0 or share <= 0:
+        return 0.0
+    return (1 + beta * beta) * rate * share / (beta * beta * rate + share)

@@ -20,7 +20,8 @@ from pyspark.sql import functions as F
 from ..conditions import INF, Atom, Equals, Flag, InSet, Range
 from ..config import MISSING_WORDS, Feature, SearchParams, VariableRules
 from ..functions.bits import WORD, word_count
-from ..session import small_table
+from ..functions.metrics import kpi_columns
+from ..session import local_table, small_table
 from .measure import kpi_by_test, roles_of
 from .profile import direction, is_special
 
@@ -47,6 +48,15 @@ class Gate:
                     params.coverage_cap, params.best_first)
 
 
+def _count_below(x: Column, cuts: list[float], start: int) -> Column:
+    """How many sorted cuts are below x, by halving; null for a null x."""
+    if not cuts:
+        return F.when(x.isNotNull(), F.lit(start))
+    half = len(cuts) // 2
+    return F.when(x > F.lit(cuts[half]), _count_below(x, cuts[half + 1:], start + half + 1)
+                  ).otherwise(_count_below(x, cuts[:half], start))
+
+
 @dataclass(frozen=True)
 class Plan:
     """One feature with its cells, and where its bits live."""
@@ -74,8 +84,7 @@ class Plan:
             for i, v in enumerate(named[1:], 1):
                 out = out.when(x == F.lit(v), F.lit(i))
             return out
-        above = sum((F.when(x > F.lit(float(c)), 1).otherwise(0) for c in self.cuts), F.lit(0))
-        return F.when(x.isNotNull(), above)
+        return _count_below(x, [float(c) for c in self.cuts], 0)
 
     def interval(self, first: int, last: int) -> Range:
         """The range covered by cells first..last."""
@@ -107,41 +116,53 @@ def make_plans(features: list[Feature], top: dict[tuple[str, str], list[tuple[st
     return plans
 
 
+def _bit(cell: Column) -> Column:
+    """The word with bit ``cell`` set; empty for a cell outside the word or none."""
+    bit = F.call_function("shiftleft", F.lit(1).cast("bigint"), cell)
+    return F.when(cell.between(0, WORD - 1), bit).otherwise(F.lit(0).cast("bigint"))
+
+
 class CellTable:
-    """The folded activity and the word layout of each checkpoint's features."""
+    """The folded activity and the word layout of each checkpoint's features.
 
-    def __init__(self, activity: DataFrame, plans: list[Plan]):
-        self.plans = plans
-        self.first_word: list[int] = []
-        used: dict[str, int] = {}
-        by_word: dict[int, list[tuple[str, Column]]] = {}
+    Feature number s of a checkpoint uses slot s. The cell numbers of a row are worked out in one
+    projection and turned into bits in the next, so that each is computed once.
+    """
+
+    def __init__(self, activity: DataFrame, plans: list[Plan], metric: str):
+        self.plans, self.metric = plans, metric
+        self._one_row: bool | None = None
+        slots: list[list[Plan]] = []
+        seen: dict[str, int] = {}
+        placed = []
         for p in plans:
-            start = used.get(p.feature.checkpoint, 0)
-            self.first_word.append(start)
-            used[p.feature.checkpoint] = start + word_count(p.size)
-            cell = p.cell()
-            for w in range(word_count(p.size)):
-                bit = F.call_function("shiftleft", F.lit(1).cast("bigint"), cell - w * WORD)
-                inside = cell.between(w * WORD, (w + 1) * WORD - 1)
-                by_word.setdefault(start + w, []).append(
-                    (p.feature.checkpoint, F.when(inside, bit).otherwise(F.lit(0))))
-        self.words = [f"w{i}" for i in sorted(by_word)]
-        roles = roles_of(activity)
-        columns = []
-        for i in sorted(by_word):
-            column = None
-            for checkpoint, bits in by_word[i]:
-                here = F.col("checkpoint") == F.lit(checkpoint)
-                column = F.when(here, bits) if column is None else column.when(here, bits)
-            columns.append(column.otherwise(F.lit(0)).cast("bigint").alias(f"w{i}"))
-        folded = (activity.where(F.col("checkpoint").isin(*used))
-                  .select("checkpoint", "key", *roles, *columns)
+            slot = seen.get(p.feature.checkpoint, 0)
+            seen[p.feature.checkpoint] = slot + 1
+            if slot == len(slots):
+                slots.append([])
+            slots[slot].append(p)
+            placed.append(slot)
+        first, cells, bits = [], [], []
+        for s, members in enumerate(slots):
+            first.append(len(bits))
+            cell = None
+            for p in members:
+                here = F.col("checkpoint") == F.lit(p.feature.checkpoint)
+                cell = F.when(here, p.cell()) if cell is None else cell.when(here, p.cell())
+            cells.append(cell.alias(f"c{s}"))
+            for w in range(max(word_count(p.size) for p in members)):
+                bits.append(_bit(F.col(f"c{s}") - w * WORD).alias(f"w{len(bits)}"))
+        self.first_word = [first[s] for s in placed]
+        words = [f"w{i}" for i in range(len(bits))]
+        roles = roles_of(activity, metric)
+        folded = (activity.where(F.col("checkpoint").isin(*seen))
+                  .select("checkpoint", "key", *roles, *cells)
+                  .select("checkpoint", "key", *roles, *bits)
                   .groupBy("checkpoint", "key", *roles)
-                  .agg(*[F.bit_or(w).alias(w) for w in self.words]))
+                  .agg(*[F.bit_or(w).alias(w) for w in words]))
         # by key from here on: every later per-key step stays inside its partition
         self.table = (folded.repartition("key")
-                      .select("checkpoint", "key", *roles,
-                              F.array(*self.words).alias("words")))
+                      .select("checkpoint", "key", *roles, F.array(*words).alias("words")))
 
     def hits(self, tests: list[tuple[int, Cells]]) -> DataFrame:
         """(test_id, key, tag[, amt]) of the keys that reach any cell of a test.
@@ -161,13 +182,29 @@ class CellTable:
         return (self.table.join(wanted, "checkpoint").where(reached)
                 .select("test_id", "key", *roles_of(self.table)))
 
-    def measure(self, tests: list[tuple[int, Cells]], metric: str) -> list[tuple[float, float]]:
-        got = {r.test_id: (r.target_catch, r.target_rate)
-               for r in kpi_by_test(self.hits(tests), metric).collect()}
+    def one_row_per_key(self) -> bool:
+        """Whether every (checkpoint, key) has a single row, as it has when the roles are the key's.
+
+        Then a test meets a key at most once and needs no step per key.
+        """
+        if self._one_row is None:
+            many = self.table.groupBy("checkpoint", "key").agg(F.count(F.lit(1)).alias("n"))
+            self._one_row = many.where("n > 1").isEmpty()
+        return self._one_row
+
+    def kpis(self, tests: list[tuple[int, Cells]]) -> DataFrame:
+        """(test_id, catch, rate) of the tests that meet any key."""
+        one_word = all(len({c // WORD for c in cells}) == 1 for _, cells in tests)
+        if one_word and self.one_row_per_key():
+            return self.hits(tests).groupBy("test_id").agg(*kpi_columns(self.metric))
+        return kpi_by_test(self.hits(tests), self.metric)
+
+    def measure(self, tests: list[tuple[int, Cells]]) -> list[tuple[float, float]]:
+        got = {r.test_id: (r.target_catch, r.target_rate) for r in self.kpis(tests).collect()}
         return [got.get(i, (0.0, 0.0)) for i in range(len(tests))]
 
 
-def value_candidates(cells: CellTable, gate: Gate, metric: str) -> DataFrame:
+def value_candidates(cells: CellTable, gate: Gate) -> DataFrame:
     """String values that may enter a bin: above the base rate, big enough, several accounts."""
     tests, rows = [], []
     for p, plan in enumerate(cells.plans):
@@ -175,14 +212,14 @@ def value_candidates(cells: CellTable, gate: Gate, metric: str) -> DataFrame:
             if value[1] and value[0] not in MISSING_WORDS:
                 rows.append((len(tests), plan.feature.checkpoint, plan.feature.variable, value[0]))
                 tests.append((p, frozenset({i})))
-    names = cells.table.sparkSession.createDataFrame(
-        rows, "test_id int, checkpoint string, variable string, value string")
-    return (names.join(kpi_by_test(cells.hits(tests), metric), "test_id")
+    names = local_table(cells.table.sparkSession, rows,
+                        "test_id int, checkpoint string, variable string, value string")
+    return (names.join(cells.kpis(tests), "test_id")
             .where((F.col("target_rate") > gate.base_rate * gate.lift ** 2)
                    & (F.col("target_catch") > gate.min_block)))
 
 
-def run_searches(cells: CellTable, gate: Gate, metric: str) -> list[Found]:
+def run_searches(cells: CellTable, gate: Gate) -> list[Found]:
     """Advance every search together until all are done; results in plan order."""
     found: list[Found] = [[] for _ in cells.plans]
     live: dict[int, tuple[Search, list[Cells]]] = {}
@@ -191,7 +228,7 @@ def run_searches(cells: CellTable, gate: Gate, metric: str) -> list[Found]:
         live[i] = (search, next(search))
     while live:
         tests = [(i, c) for i, (_, asked) in live.items() for c in asked]
-        results = cells.measure(tests, metric)
+        results = cells.measure(tests)
         answers: dict[int, dict[Cells, tuple[float, float]]] = {}
         for (i, c), r in zip(tests, results):
             answers.setdefault(i, {})[c] = r

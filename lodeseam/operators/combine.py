@@ -21,6 +21,7 @@ from ..config import ALIAS_CHECKPOINTS, AMOUNT, SearchParams
 from ..session import cut
 
 Itemset = tuple[int, ...]
+MAX_SUMS = 8_000_000     # entries of the matrix one task adds up; more prefixes take another job
 
 
 def item_lists(hits: DataFrame, metric: str, floor: float) -> DataFrame:
@@ -115,15 +116,18 @@ def frequent_sets(sets: DataFrame, checkpoints: list[str], sup_n: float,
     level: list[Itemset] = [()]
     for _ in range(max_size):
         grown: dict[Itemset, float] = {}
-        rows = (extension_support(sets, level, n).where(F.col("support") >= sup_n)
-                .orderBy("prefix_id", "item").collect())
-        for r in rows:
-            prefix = level[r.prefix_id]
-            if prefix and r["item"] <= prefix[-1]:
-                continue
-            if checkpoints[r["item"]] in {checkpoints[i] for i in prefix}:
-                continue
-            grown[(*prefix, r["item"])] = r.support
+        at_once = max(1, MAX_SUMS // n)
+        for start in range(0, len(level), at_once):
+            block = level[start:start + at_once]
+            rows = (extension_support(sets, block, n).where(F.col("support") >= sup_n)
+                    .orderBy("prefix_id", "item").collect())
+            for r in rows:
+                prefix = block[r.prefix_id]
+                if prefix and r["item"] <= prefix[-1]:
+                    continue
+                if checkpoints[r["item"]] in {checkpoints[i] for i in prefix}:
+                    continue
+                grown[(*prefix, r["item"])] = r.support
         found.update(grown)
         level = list(grown)
         if not level:
@@ -141,14 +145,18 @@ def cap_sets(sets: dict[Itemset, float], limit: int | None) -> tuple[dict[Itemse
 
 # ---- co-occurrence graph -----------------------------------------------------------------------
 
-def cooccurrence(sets: DataFrame, n: int, sup_n: float) -> tuple[DataFrame, DataFrame]:
-    """Nodes (item, size) and edges (a, b, shared, weight) of key-level sets."""
-    both = extension_support(sets, [(i,) for i in range(n)], n).select(
+def pair_support(sets: DataFrame, n: int) -> DataFrame:
+    """(a, b, support) of every two candidates, (a, a) being a's own weight."""
+    return extension_support(sets, [(i,) for i in range(n)], n).select(
         F.col("prefix_id").alias("a"), F.col("item").alias("b"), "support")
-    nodes = both.where("a = b").select(F.col("a").alias("item"), F.col("support").alias("size"))
+
+
+def cooccurrence(pairs: DataFrame, sup_n: float) -> tuple[DataFrame, DataFrame]:
+    """Nodes (item, size) and edges (a, b, shared, weight) from pair supports."""
+    nodes = pairs.where("a = b").select(F.col("a").alias("item"), F.col("support").alias("size"))
     a = nodes.select(F.col("item").alias("a"), F.col("size").alias("size_a"))
     b = nodes.select(F.col("item").alias("b"), F.col("size").alias("size_b"))
-    edges = (both.where((F.col("a") < F.col("b")) & (F.col("support") >= sup_n))
+    edges = (pairs.where((F.col("a") < F.col("b")) & (F.col("support") >= sup_n))
              .join(a, "a").join(b, "b")
              .select("a", "b", F.col("support").alias("shared"),
                      F.round(F.col("support") / (F.col("size_a") + F.col("size_b")
@@ -276,27 +284,29 @@ def combine(lists: DataFrame, checkpoints: list[str], tree_count: int, sup_n: fl
     """Pick the search the size of the graph calls for and return the candidate sets."""
     n = len(checkpoints)
     by_key = key_sets(lists).persist()
-    try:
-        nodes, edges = cooccurrence(by_key, n, sup_n)
-        nodes, edges = nodes.persist(), edges.persist()
-        edge_rows = edges.select("a", "b").collect()
-        mode = choose_mode(len(edge_rows), tree_count, params)
-        if mode == "itemsets":
-            order = frequency_order(item_frequency(lists, checkpoints), n)
-            kept = lists.withColumn("items", shorten(
-                F.col("items"), checkpoints, order, params.long_list, params.per_checkpoint))
-            short = weighted_sets(kept).persist()
-            sets = frequent_sets(short, checkpoints, sup_n, params.lvl_limit)
-            short.unpersist()
-        else:
-            labels = components(nodes, edges).persist()
-            sets = {tuple(r["items"]): r.support
-                    for r in small_component_sets(labels, nodes, edges).collect()}
-            seeds = [r["item"] for r in walk_seeds(labels, edges, params.max_combination)
-                     .orderBy("item").collect()]
-            sizes = {r["item"]: r["size"] for r in nodes.collect()}
-            sets.update(greedy_walks(by_key, seeds, sizes, {(r.a, r.b) for r in edge_rows},
-                                     checkpoints, sup_n, params.lvl_limit))
-        return Combination(mode, distinct_checkpoint_sets(sets, checkpoints))
-    finally:
-        by_key.unpersist()
+    pairs = pair_support(by_key, n).persist()
+    edge_rows = pairs.where((F.col("a") < F.col("b")) & (F.col("support") >= sup_n)).collect()
+    mode = choose_mode(len(edge_rows), tree_count, params)
+    if mode == "itemsets":
+        order = frequency_order(item_frequency(lists, checkpoints), n)
+        short = weighted_sets(lists.withColumn("items", shorten(
+            F.col("items"), checkpoints, order, params.long_list, params.per_checkpoint))).persist()
+        sets = frequent_sets(short, checkpoints, sup_n, params.lvl_limit)
+        short.unpersist()
+    else:
+        nodes, edges = cooccurrence(pairs, sup_n)
+        labels = components(nodes, edges)
+        sets = {tuple(r["items"]): r.support
+                for r in small_component_sets(labels, nodes, edges).collect()}
+        seeds = [r["item"] for r in walk_seeds(labels, edges, params.max_combination)
+                 .orderBy("item").collect()]
+        if params.include_nodes_edges:
+            sets.update({tuple(r["items"]): r.support
+                         for r in node_edge_sets(nodes, edges).collect()})
+        sizes = {r["item"]: r["size"] for r in nodes.collect()}
+        sets.update(greedy_walks(by_key, seeds, sizes, {(r.a, r.b) for r in edge_rows},
+                                 checkpoints, sup_n, params.lvl_limit))
+    pairs.unpersist()
+    by_key.unpersist()
+    sets, was_cut = cap_sets(distinct_checkpoint_sets(sets, checkpoints), params.itemset_cap)
+    return Combination(mode, sets, was_cut)

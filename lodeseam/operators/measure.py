@@ -15,11 +15,13 @@ from ..conditions import Condition
 from ..config import AMOUNT, SearchParams
 from ..functions.bits import holds_all, literal, pack, positions, word_count
 from ..functions.metrics import Registry, fscore, kpi_columns
-from ..session import small_table
+from ..session import local_table, small_table
 
 
-def roles_of(df: DataFrame) -> list[str]:
-    return [c for c in ("tag", "amt") if c in df.columns]
+def roles_of(df: DataFrame, metric: str = AMOUNT) -> list[str]:
+    """The key-level columns a metric needs, as far as the table has them."""
+    wanted = ("tag", "amt") if metric == AMOUNT else ("tag",)
+    return [c for c in wanted if c in df.columns]
 
 
 def _max_roles(df: DataFrame) -> list[Column]:
@@ -40,7 +42,8 @@ def thresholds(population: DataFrame, params: SearchParams) -> DataFrame:
 
 
 def measure_condition(activity: DataFrame, condition: Condition, metric: str) -> DataFrame:
-    return (activity.where(condition.column()).groupBy("key").agg(*_max_roles(activity))
+    roles = [F.max(c).alias(c) for c in roles_of(activity, metric)]
+    return (activity.where(condition.column()).groupBy("key").agg(*roles)
             .agg(*kpi_columns(metric)))
 
 
@@ -58,10 +61,10 @@ def kpi_by_test(hits: DataFrame, metric: str) -> DataFrame:
 
 def measure_conditions(activity: DataFrame, conditions: list[Condition], metric: str) -> DataFrame:
     """(test_id, content, catch, rate) of every condition; one without rows gets zeros."""
-    hits = activity.select("key", *roles_of(activity),
+    hits = activity.select("key", *roles_of(activity, metric),
                            F.explode(matching_ids(conditions)).alias("test_id"))
-    names = activity.sparkSession.createDataFrame(
-        [(i, c.text) for i, c in enumerate(conditions)], "test_id int, content string")
+    names = local_table(activity.sparkSession, [(i, c.text) for i, c in enumerate(conditions)],
+                        "test_id int, content string")
     measured = kpi_by_test(hits, metric)
     return names.join(measured, "test_id", "left").fillna(0.0, ["target_catch", "target_rate"])
 
@@ -77,9 +80,9 @@ def measure_pattern(population: DataFrame, activity: DataFrame, pattern: list[Co
     keys = (activity.groupBy("key").agg(*met)
             .where(" AND ".join(f"_c{i} = 1" for i in range(len(pattern))))
             .select("key", F.lit(1).alias("_hit")))
-    sums = (population.join(keys, "key", "left")
+    sums = (population.groupBy("key").agg(*registry.sum_columns()).join(keys, "key", "left")
             .groupBy(F.coalesce("_hit", F.lit(0)).alias("pattern_flag"))
-            .agg(*registry.sum_columns()))
+            .agg(*registry.resum_columns()))
     return _finish(sums, registry, metric, W.partitionBy())
 
 
@@ -116,15 +119,17 @@ def measure_patterns(population: DataFrame, words: DataFrame, patterns: list[tup
                      metric: str, registry: Registry | None = None) -> DataFrame:
     """All metrics of many patterns over one key table (see :func:`key_words`).
 
-    The population is joined once and collapses to one row of sums per distinct set of met
-    conditions; only those rows meet the pattern table, through the pattern's first condition.
+    The population collapses to one row of sums per key, so a busy key is small before it moves;
+    it is joined once and collapses again, to one row per distinct set of met conditions. Only
+    those rows meet the pattern table, through the pattern's first condition.
     """
     registry = (registry or Registry.default()).for_roles(population.columns)
     names = [c for c in words.columns if c != "key"]
     n = 1 + max(max(p) for p in patterns)
-    sets = (population.join(words, "key", "left")
+    per_key = population.groupBy("key").agg(*registry.sum_columns())
+    sets = (per_key.join(words, "key", "left")
             .groupBy(*[F.coalesce(w, F.lit(0)).alias(w) for w in names])
-            .agg(*registry.sum_columns()))
+            .agg(*registry.resum_columns()))
     rows = [(ALL, ALL, *[0] * len(names))]
     rows += [(i, p[0], *literal(p, len(names))) for i, p in enumerate(patterns)]
     needs = small_table(population.sparkSession, rows, "pattern_id int, anchor int, "
@@ -141,8 +146,8 @@ def measure_patterns(population: DataFrame, words: DataFrame, patterns: list[tup
            .select("pattern_id", *registry.metric_columns(),
                    F.col(f"total_{metric}").alias("_total")))
     share = F.when(F.col("_total") > 0, F.col(metric) / F.col("_total")).otherwise(0.0)
-    ids = population.sparkSession.createDataFrame([(i,) for i in range(len(patterns))],
-                                                  "pattern_id int")
+    ids = local_table(population.sparkSession, [(i,) for i in range(len(patterns))],
+                      "pattern_id int")
     measured = out.withColumn("pattr_fscore", fscore(F.col(f"{metric}_rate"), share))
     return ids.join(measured.drop("_total"), "pattern_id", "left").fillna(0.0)
 

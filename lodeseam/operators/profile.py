@@ -11,10 +11,12 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..config import AMOUNT, Feature, VariableRules
+from ..session import small_table
 from .shape import keep_value, name_matches
 
 PAIR = ["checkpoint", "variable"]
 SPLITS = 64          # ranges a group is divided into when rows are counted in order
+ONE_TASK = 1_000_000  # distinct values of a pair that one task may sort
 
 
 def long_values(activity: DataFrame, features: list[Feature], value_type: str = "string") -> DataFrame:
@@ -56,35 +58,41 @@ def running_count(rows: DataFrame, groups: list[str], order: str, n: str) -> Dat
     parts = (rows.join(F.broadcast(bounds), groups)
              .withColumn("_split", F.size(F.filter("_bounds", lambda b: b < F.col(order))))
              .drop("_bounds"))
-    offsets = (parts.groupBy(*groups, "_split").agg(F.sum(n).alias("_n"))
-               .withColumn("_offset", F.coalesce(F.sum("_n").over(
-                   W.partitionBy(*groups).orderBy("_split").rowsBetween(
-                       W.unboundedPreceding, -1)), F.lit(0))).drop("_n"))
-    within = F.coalesce(F.sum(n).over(W.partitionBy(*groups, "_split").orderBy(order)
-                                      .rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
-    return (parts.withColumn("_within", within)
+    offsets = earlier(parts.groupBy(*groups, "_split").agg(F.sum(n).alias("_n")),
+                      groups, "_split", "_n", "_offset").drop("_n")
+    return (earlier(parts, [*groups, "_split"], order, n, "_within")
             .join(F.broadcast(offsets), [*groups, "_split"])
             .withColumn("before", F.col("_offset") + F.col("_within"))
             .drop("_split", "_offset", "_within"))
 
 
-def concentration(sizes: DataFrame) -> DataFrame:
+def earlier(rows: DataFrame, groups: list[str], order: str, n: str, name: str) -> DataFrame:
+    """Plain running sum, for groups that one task can sort."""
+    window = W.partitionBy(*groups).orderBy(order).rowsBetween(W.unboundedPreceding, -1)
+    return rows.withColumn(name, F.coalesce(F.sum(n).over(window), F.lit(0)))
+
+
+def concentration(sizes: DataFrame, whole_counts: bool = True) -> DataFrame:
     """Index per pair: how far the sorted cumulative size curve is from an even one.
 
     Equal sizes share one row, and a run of m equal sizes after r larger ones adds
-    size * (m * (n - r) - m * (m - 1) / 2) to the sum of the cumulative curve.
+    size * (m * (n - r) - m * (m - 1) / 2) to the sum of the cumulative curve. Sizes that count
+    keys repeat: T (value, key) pairs give at most sqrt(2 T) distinct sizes, which one task can
+    sort. Amounts need not repeat and are counted in splits.
     """
     runs = sizes.groupBy(*PAIR, (-F.col("size")).alias("_neg")).agg(
         F.count(F.lit(1)).cast("double").alias("m"))
-    ranked = running_count(runs, PAIR, "_neg", "m")
-    totals = runs.groupBy(*PAIR).agg(F.sum("m").alias("n"),
-                                     F.sum(-F.col("_neg") * F.col("m")).alias("total"))
-    m, r, n = F.col("m"), F.col("before"), F.col("n")
-    area = F.sum(-F.col("_neg") * (m * (n - r) - m * (m - 1) / 2))
-    return (ranked.join(F.broadcast(totals), PAIR).groupBy(*PAIR, "n", "total")
-            .agg(area.alias("_area"))
-            .select(*PAIR, F.abs(F.col("_area") / (F.col("n") * F.col("total") / 2) - 1)
-                    .alias("concentration")))
+    ranked = (earlier(runs, PAIR, "_neg", "m", "before") if whole_counts
+              else running_count(runs, PAIR, "_neg", "m"))
+    m, r, size = F.col("m"), F.col("before"), -F.col("_neg")
+    # sum of size * (m * (n - r) - m * (m - 1) / 2), with n known only after the sum
+    parts = ranked.groupBy(*PAIR).agg(
+        F.sum("m").alias("n"), F.sum(size * m).alias("total"),
+        F.sum(size * (m * r + m * (m - 1) / 2)).alias("_less"))
+    area = F.col("n") * F.col("total") - F.col("_less")
+    even = F.col("n") * F.col("total") / 2
+    return (parts.select(*PAIR, F.abs(F.try_divide(area, even) - 1).alias("concentration"))
+            .where("concentration is not null"))
 
 
 def top_values(sizes: DataFrame, features: list[Feature], rules: VariableRules,
@@ -122,37 +130,39 @@ def quantile_steps(min_support: float) -> list[float]:
     return sorted({*(i * min_support for i in range(1, count + 1)), 0.5})
 
 
-def quantiles(counts: DataFrame, steps: list[float]) -> DataFrame:
+def quantiles(counts: DataFrame, steps: list[float], one_task: int = ONE_TASK) -> DataFrame:
     """Exact, linearly interpolated quantiles of each pair, from its value counts.
 
-    (checkpoint, variable, max_value, n_values, quantiles array in the order of ``steps``)
+    (checkpoint, variable, max_value, n_values, quantiles array in the order of ``steps``).
+    The number of distinct values decides whether a pair is sorted by one task or in splits.
     """
-    at = F.array(*[F.lit(float(p)) for p in steps])
+    spark = counts.sparkSession
     totals = counts.groupBy(*PAIR).agg(F.sum("n").alias("total"), F.max("value").alias("max_value"),
-                                       F.count(F.lit(1)).alias("n_values"))
-    last = F.col("total") - 1
-
-    def rank(p: Column) -> Column:
-        return F.floor(p * last)
-
-    ranks = F.array_distinct(F.concat(
-        F.transform(at, rank), F.transform(at, lambda p: F.least(rank(p) + 1, last))))
-    wanted = totals.withColumn("_ranks", ranks)
-    here = F.filter("_ranks", lambda r: (r >= F.col("before")) & (r < F.col("before") + F.col("n")))
-    picks = (running_count(counts, PAIR, "value", "n")
-             .join(F.broadcast(wanted), PAIR)
-             .select(*PAIR, "value", F.explode(here).alias("_r"))
-             .groupBy(*PAIR)
-             .agg(F.map_from_entries(F.collect_list(F.struct("_r", "value"))).alias("_at")))
-
-    def interpolate(p: Column) -> Column:
-        lo = F.element_at("_at", rank(p))
-        hi = F.element_at("_at", F.least(rank(p) + 1, last))
-        return lo + (hi - lo) * (p * last - rank(p))
-
-    return (picks.join(F.broadcast(totals), PAIR)
-            .select(*PAIR, "max_value", "n_values",
-                    F.transform(at, interpolate).alias("quantiles")))
+                                       F.count(F.lit(1)).alias("n_values")).collect()
+    wide = any(t.n_values > one_task for t in totals)
+    before = (running_count(counts, PAIR, "value", "n") if wide
+              else earlier(counts, PAIR, "value", "n", "before"))
+    rows = []
+    for t in totals:
+        wanted, last = [], t.total - 1
+        for place, p in enumerate(steps):
+            low = int(p * last)
+            share = p * last - low
+            wanted += [{"place": place, "at": low, "share": 1 - share},
+                       {"place": place, "at": min(low + 1, last), "share": share}]
+        rows.append((t.checkpoint, t.variable, t.max_value, t.n_values, wanted))
+    pairs = small_table(spark, rows, "checkpoint string, variable string, max_value double, "
+                        "n_values bigint, wanted array<struct<place:int,at:bigint,share:double>>")
+    here = F.filter("wanted", lambda w: (w["at"] >= F.col("before"))
+                    & (w["at"] < F.col("before") + F.col("n")))
+    # a handful of rows per pair reach this point: the neighbours of each wanted rank
+    return (before.join(pairs, PAIR)
+            .select(*PAIR, "max_value", "n_values", "value", F.explode(here).alias("_w"))
+            .groupBy(*PAIR, "max_value", "n_values", F.col("_w.place").alias("place"))
+            .agg(F.sum(F.col("value") * F.col("_w.share")).alias("q"))
+            .groupBy(*PAIR, "max_value", "n_values")
+            .agg(F.transform(F.array_sort(F.collect_list(F.struct("place", "q"))),
+                             lambda x: x["q"]).alias("quantiles")))
 
 
 def rounded_cuts(values: Column) -> Column:

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from ..conditions import ATOM_SEP, CONDITION_SEP, Condition
 from ..config import AMOUNT, PRIORITY_SCORE, RANKINGS, Feature
 from ..functions.bits import holds_all, literal
+from ..session import local_table
 
 
 @dataclass
@@ -140,13 +141,21 @@ def flag_vectors(tagged: DataFrame, names: list[str], metric: str) -> DataFrame:
         F.coalesce(F.sum(outcome_value(metric)), F.lit(0.0)).alias("target_catch"))
 
 
+def flag_vectors_by_key(population: DataFrame, words: DataFrame,
+                        patterns: dict[str, tuple[int, ...]], metric: str) -> DataFrame:
+    """The same without the tagged table: the population shrinks to its keys before the join."""
+    per_key = population.groupBy("key").agg(F.sum(outcome_value(metric)).alias("_caught"))
+    return tag_population(per_key, words, patterns).groupBy(*patterns).agg(
+        F.coalesce(F.sum("_caught"), F.lit(0.0)).alias("target_catch"))
+
+
 def incremental_catch(vectors: DataFrame, ranked: list[str], total: float) -> DataFrame:
     """(pattr_name, place, inc_catch, inc_catch_share): each vector counts for its first hit."""
     spark = vectors.sparkSession
     first = F.coalesce(*[F.when(F.col(n) == 1, F.lit(i)) for i, n in enumerate(ranked)])
     sums = (vectors.withColumn("place", first).where("place is not null")
             .groupBy("place").agg(F.sum("target_catch").alias("inc_catch")))
-    names = spark.createDataFrame(list(enumerate(ranked)), "place int, pattr_name string")
+    names = local_table(spark, list(enumerate(ranked)), "place int, pattr_name string")
     return (names.join(sums, "place", "left").fillna(0.0, ["inc_catch"])
             .withColumn("inc_catch_share", F.col("inc_catch") / F.lit(float(total))))
 

@@ -52,14 +52,20 @@ def drop_null_columns(df: DataFrame) -> DataFrame:
     return df.drop(*null_columns(df))
 
 
-def typed(activity: DataFrame, types: dict[str, str]) -> DataFrame:
-    """Cast the configured features in one projection; text that does not parse becomes null."""
-    def cast(c: str) -> Column:
+def typed(activity: DataFrame, types: dict[str, str], quotes: bool = False) -> DataFrame:
+    """Cast the configured features and clean string values, in one projection.
+
+    Text that does not parse as its type becomes null.
+    """
+    def shaped(c: str) -> Column:
         column = F.col(f"`{c}`")
         if c == "key":
             return column.cast("string").alias(c)
-        return column.try_cast(SPARK_TYPE[types[c]]).alias(c) if c in types else column
-    return activity.select(*[cast(c) for c in activity.columns])
+        if c not in types:
+            return column
+        column = column.try_cast(SPARK_TYPE[types[c]])
+        return (clean_value(column, quotes) if types[c] == "string" else column).alias(c)
+    return activity.select(*[shaped(c) for c in activity.columns])
 
 
 # ---- feature configuration ---------------------------------------------------------------
@@ -141,7 +147,7 @@ def not_excluded(values: DataFrame, exclusions: DataFrame | None) -> DataFrame:
     joined = exclusions.select("checkpoint", "variable",
                                F.array_join("patterns", "|").alias("_pattern"))
     hit = F.coalesce(F.rlike("value", F.col("_pattern")), F.lit(False))
-    return (values.join(F.broadcast(joined), ["checkpoint", "variable"], "left")
+    return (values.join(joined, ["checkpoint", "variable"], "left")
             .where(~hit).drop("_pattern"))
 
 

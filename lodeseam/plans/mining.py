@@ -20,6 +20,7 @@ from ..operators.binning import CellTable, Gate, make_plans, run_searches
 from ..operators.combine import combine, item_lists
 from ..operators.measure import kpi_by_test, measure_patterns, roles_of, thresholds
 from ..operators.trees import MaskTable, Node, Scored, grow_trees, leaf_nodes, to_condition
+from ..session import local_table, tune
 
 
 @dataclass
@@ -31,6 +32,7 @@ class MiningResult:
     conditions: dict[str, list[Scored]] = field(default_factory=dict)
     candidates: list[Condition] = field(default_factory=list)
     mode: str = ""
+    was_cut: bool = False
     tagged: DataFrame | None = None
     condition_catalog: DataFrame | None = None
     cached: list[DataFrame] = field(default_factory=list)
@@ -47,19 +49,20 @@ class MiningResult:
 
 def checkpoint_kpis(activity: DataFrame, metric: str) -> DataFrame:
     """(checkpoint, outcome_rows, catch, rate) over the keys active at each checkpoint."""
-    roles = [F.max(c).alias(c) for c in roles_of(activity)]
+    roles = [F.max(c).alias(c) for c in roles_of(activity, metric)]
     return (activity.groupBy("checkpoint", "key")
             .agg(F.count_if(F.col("tag") == 1).alias("_rows"), *roles)
             .groupBy("checkpoint").agg(F.sum("_rows").alias("outcome_rows"), *kpi_columns(metric)))
 
 
 def eligible_features(sizes: DataFrame, features: list[Feature], supported: set[str],
-                      cutoff: float) -> list[Feature]:
+                      params: SearchParams) -> list[Feature]:
     """Features of well supported checkpoints whose values are concentrated enough."""
     index = {(r.checkpoint, r.variable): r.concentration
-             for r in profile.concentration(sizes).collect()}
+             for r in profile.concentration(
+                 sizes, params.eval_metric == COUNT).collect()}
     return [f for f in features if f.checkpoint in supported
-            and index.get((f.checkpoint, f.variable), -1.0) >= cutoff]
+            and index.get((f.checkpoint, f.variable), -1.0) >= params.concentration_cutoff]
 
 
 def profile_strings(sizes: DataFrame, features: list[Feature], rules: VariableRules,
@@ -104,7 +107,7 @@ def qualified_conditions(activity: DataFrame, outcome: DataFrame, features: list
     if not features:
         return {}
     sizes = profile.value_sizes(outcome, features, params.eval_metric).persist()
-    features = eligible_features(sizes, features, supported, params.concentration_cutoff)
+    features = eligible_features(sizes, features, supported, params)
     top = profile_strings(sizes, features, rules, exclusions)
     sizes.unpersist()
     cuts, discrete = profile_numbers(outcome, features, params, rules)
@@ -113,9 +116,9 @@ def qualified_conditions(activity: DataFrame, outcome: DataFrame, features: list
     plans = make_plans(features, top, cuts, discrete, excluded, rules)
     if not plans:
         return {}
-    cells = CellTable(activity, plans)
+    cells = CellTable(activity, plans, params.eval_metric)
     cells.table.persist()
-    found = run_searches(cells, gate, params.eval_metric)
+    found = run_searches(cells, gate)
     cells.table.unpersist()
     out: dict[str, list[Scored]] = {}
     for plan, atoms in zip(plans, found):
@@ -155,8 +158,9 @@ def mine(population: DataFrame, activity: DataFrame, features: list[Feature],
     metric = params.eval_metric
     if metric != COUNT and "amt" not in population.columns:
         raise ValueError("an amount role is needed to search by amount")
+    tune(population.sparkSession)
     features = [f for f in features if f.variable in activity.columns]
-    activity = shape.typed(activity, {f.variable: f.type for f in features})
+    activity = shape.typed(activity, {f.variable: f.type for f in features}, params.strip_quotes)
     result = MiningResult(False)
     kpis = {r.checkpoint: r for r in checkpoint_kpis(activity, metric).collect()}
     size = sum(r.outcome_rows for r in kpis.values())
@@ -171,20 +175,20 @@ def mine(population: DataFrame, activity: DataFrame, features: list[Feature],
                                              rules, gate, exclusions)
     if not result.conditions:
         return _done(result)
-    masks = MaskTable(activity, result.conditions)
+    masks = MaskTable(activity, result.conditions, metric)
     result.cached.append(masks.table.persist())
     roots = {cp: (kpis[cp].target_catch, kpis[cp].target_rate) for cp in result.conditions}
-    leaves = leaf_nodes(grow_trees(masks, roots, metric, gate.sup_n, limits.total_catch))
+    leaves = leaf_nodes(grow_trees(masks, roots, gate.sup_n, limits.total_catch))
     result.candidates = [to_condition(masks, n) for n in leaves]
     if not leaves:
         return _done(result)
     tests = [(n.checkpoint, n.atoms) for n in leaves]
     cut_short = size > params.trunc_cutoff
-    source = MaskTable(outcome, result.conditions) if cut_short else masks
+    source = MaskTable(outcome, result.conditions, metric) if cut_short else masks
     lists = item_lists(source.hits(tests), metric, params.weight_floor).persist()
     combined = combine(lists, [n.checkpoint for n in leaves], len(roots), gate.sup_n, params)
     lists.unpersist()
-    result.mode = combined.mode
+    result.mode, result.was_cut = combined.mode, combined.was_cut
     sets = sorted(s for s in combined.sets if len(s) <= params.lvl_limit)
     if not sets:
         return _done(result)
@@ -203,8 +207,9 @@ def _rank_and_tag(result: MiningResult, population: DataFrame, masks: MaskTable,
                   params: SearchParams) -> MiningResult:
     patterns, metric = result.patterns, params.eval_metric
     order = select.rank_names(patterns, params.rank_priority)
-    result.tagged = select.tag_population(population, words, {p.name: p.items for p in patterns})
-    vectors = select.flag_vectors(result.tagged, order, metric).persist()
+    flags = {p.name: p.items for p in patterns}
+    result.tagged = select.tag_population(population, words, flags)
+    vectors = select.flag_vectors_by_key(population, words, flags, metric).persist()
     gains, survivors = select.dedup_names(vectors, order, total, params.dedup_cutoff)
     vectors.unpersist()
     for p in patterns:
@@ -212,9 +217,9 @@ def _rank_and_tag(result: MiningResult, population: DataFrame, masks: MaskTable,
         p.after_dedup = p.name in survivors
     patterns.sort(key=lambda p: order.index(p.name))
     used = sorted({i for p in patterns for i in p.items}, key=lambda i: result.candidates[i].text)
-    names = masks.table.sparkSession.createDataFrame(
-        [(n, result.candidates[i].text) for n, i in enumerate(used)],
-        "test_id int, content string")
+    names = local_table(masks.table.sparkSession,
+                        [(n, result.candidates[i].text) for n, i in enumerate(used)],
+                        "test_id int, content string")
     hits = masks.hits([(leaves[i].checkpoint, leaves[i].atoms) for i in used])
     result.condition_catalog = names.join(kpi_by_test(hits, metric), "test_id")
     result.found = True

@@ -4,8 +4,11 @@ from __future__ import annotations
 
 import tempfile
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 MAX_BROADCAST_ROWS = 200_000
 
@@ -29,11 +32,30 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def tune(spark: SparkSession) -> None:
+    """Session settings the search relies on for speed; results do not depend on them.
+
+    The JVM never compiles methods over 8000 bytes. The wide projections that turn rows into
+    bits exceed that when fused into one method, so Spark is told to split them instead.
+    """
+    spark.conf.set("spark.sql.codegen.hugeMethodLimit", "8000")
+    spark.conf.set("spark.sql.adaptive.enabled", "true")
+
+
+def local_table(spark: SparkSession, rows: list[tuple], schema: str) -> DataFrame:
+    """A driver-held table; through Arrow it becomes a local relation of known size."""
+    fields = T.StructType.fromDDL(schema)
+    columns = list(zip(*rows)) if rows else [[] for _ in fields]
+    arrow = to_arrow_schema(fields)
+    return spark.createDataFrame(pa.table(
+        [pa.array(c, type=f.type) for c, f in zip(columns, arrow)], schema=arrow))
+
+
 def small_table(spark: SparkSession, rows: list[tuple], schema: str) -> DataFrame:
     """A rule-sized table for a join.
 
     Its length is known here, so it is broadcast only under the bound; a longer one is left to
     the optimizer, which then shuffles.
     """
-    df = spark.createDataFrame(rows, schema)
+    df = local_table(spark, rows, schema)
     return F.broadcast(df) if len(rows) <= MAX_BROADCAST_ROWS else df

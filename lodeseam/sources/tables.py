@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..config import Roles, VariableRules
+from ..session import small_table
 
 FEATURE_SCHEMA = T.StructType([
     T.StructField("variable name", T.StringType()),
@@ -96,7 +97,7 @@ def exclusion_map(mapping: DataFrame, segments_json: str | None) -> DataFrame:
     """(checkpoint, variable, patterns) for the requested (segment, value) pairs."""
     spark = mapping.sparkSession
     pairs = [(p["name"], p["value"]) for p in json.loads(segments_json or "[]")]
-    wanted = spark.createDataFrame(pairs, "alert_segment string, alert_segment_value string")
-    return (mapping.join(F.broadcast(wanted), ["alert_segment", "alert_segment_value"], "left_semi")
+    wanted = small_table(spark, pairs, "alert_segment string, alert_segment_value string")
+    return (mapping.join(wanted, ["alert_segment", "alert_segment_value"], "left_semi")
             .groupBy("checkpoint", F.col("config_segment").alias("variable"))
             .agg(F.sort_array(F.collect_list("config_segment_value")).alias("patterns")))

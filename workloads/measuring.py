@@ -190,7 +190,8 @@ from curve group by all""")
 
 def _concentration(spark, sf, metric):
     outcome = shape.outcome_activity(fx.activity(spark, sf))
-    return profile.concentration(profile.value_sizes(outcome, fx.features(), metric)).select(
+    sizes = profile.value_sizes(outcome, fx.features(), metric)
+    return profile.concentration(sizes, metric == CNT).select(
         "checkpoint", "variable", r6("concentration"))
 
 
@@ -303,14 +304,14 @@ def setup(spark, sf, kinds=None, params=fx.F1, features=None):
     cuts, discrete = mining.profile_numbers(outcome, features, params, RULES)
     plans = make_plans(features, top, cuts, discrete, set(), RULES)
     plans = [p for p in plans if kinds is None or p.kind in kinds]
-    return CellTable(activity, plans), gate
+    return CellTable(activity, plans, params.eval_metric), gate
 
 
 def search(spark, sf, kinds, params=fx.F1):
     """Conditions found by the searches of the wanted kinds."""
     cells, gate = setup(spark, sf, kinds, params)
     cells.table.persist()
-    found = run_searches(cells, gate, params.eval_metric)
+    found = run_searches(cells, gate)
     cells.table.unpersist()
     rows = [(p.feature.checkpoint, atom.text, catch, rate)
             for p, atoms in zip(cells.plans, found) for atom, catch, rate in atoms]
@@ -336,7 +337,7 @@ where n_acct > 1 and m.value not in ('NULL','UNKNOWN','None')
 
 def _candidates(spark, sf, params):
     cells, gate = setup(spark, sf, ("string",), params)
-    return value_candidates(cells, gate, CNT).select("checkpoint", "variable", "value", *KPI)
+    return value_candidates(cells, gate).select("checkpoint", "variable", "value", *KPI)
 
 
 @query("string_value_candidates", candidates_sql(1.0))

@@ -10,8 +10,8 @@ from pyspark.sql import functions as F
 from lodeseam.conditions import Condition, Flag, InSet, Range
 from lodeseam.config import RANKINGS
 from lodeseam.operators import combine, measure, select
-from lodeseam.operators.trees import (MaskTable, Scored, grow_trees, leaf_table,
-                                      refine_round as best_parents, to_condition)
+from lodeseam.operators.trees import (MaskTable, Node, Scored, best_parent, grow_trees, leaf_table,
+                                      to_condition)
 from lodeseam.plans.mining import mine
 from lodeseam.sources import results
 
@@ -40,7 +40,7 @@ def listed_masks(activity) -> MaskTable:
     for i, (cp, atom, p) in enumerate(flat):
         conditions.setdefault(cp, []).append(
             Scored(atom, got[i].target_catch, got[i].target_rate, p))
-    return MaskTable(activity, conditions)
+    return MaskTable(activity, conditions, CNT)
 
 
 # one fixed round: nodes of checkpoint R are the root and disc_score>7; each candidate is tried
@@ -69,15 +69,19 @@ def refine_round(spark, sf):
     population, activity = fx.cached(spark, sf)
     limits = measure.thresholds(population, fx.F1).first()
     masks = listed_masks(activity)
-    node_tests = [Condition("R"), fx.C1]
-    nodes = {r.test_id: r for r in measure.measure_conditions(activity, node_tests, CNT).collect()}
-    pairs = spark.createDataFrame(
-        [(i, g, n, p, nodes[n].target_catch, nodes[n].target_rate)
-         for i, (g, n, _, _, _, p) in enumerate(ROUND)],
-        "test_id int, group_id int, node_id int, priority int, node_catch double, node_rate double")
-    measured = pairs.join(measure.kpi_by_test(
-        masks.hits([("R", atoms) for _, _, atoms, _, _, _ in ROUND]), CNT), "test_id")
-    return best_parents(measured, limits.sup_n, limits.total_catch).select(
+    figures = {r.test_id: (r.target_catch, r.target_rate) for r in measure.measure_conditions(
+        activity, [Condition("R"), fx.C1], CNT).collect()}
+    nodes = [Node("R", (), *figures[0], 0.0), Node("R", (0,), *figures[1], 0.0, 0)]
+    results = masks.measure([("R", atoms) for _, _, atoms, _, _, _ in ROUND])
+    rows = []
+    for group in sorted({g for g, *_ in ROUND}):
+        tried = [(nodes[n], *r) for (g, n, *_), r in zip(ROUND, results) if g == group]
+        priority = next(p for g, *_, p in ROUND if g == group)
+        found = best_parent(tried, priority, limits.sup_n, limits.total_catch)
+        if found:
+            rows.append((group, nodes.index(found[0]), *found[1:]))
+    return spark.createDataFrame(rows, "group_id int, node_id int, target_catch double, "
+                                 "target_rate double, fscore double").select(
         "group_id", "node_id", *KPI, r6("fscore"))
 
 
@@ -90,7 +94,7 @@ def grown(spark, sf):
     got = {r.test_id: r for r in measure.measure_conditions(
         activity, [Condition(cp) for cp in cps], CNT).collect()}
     roots = {cp: (got[i].target_catch, got[i].target_rate) for i, cp in enumerate(cps)}
-    nodes = grow_trees(masks, roots, CNT, limits.sup_n, limits.total_catch)
+    nodes = grow_trees(masks, roots, limits.sup_n, limits.total_catch)
     masks.table.unpersist()
     return masks, nodes
 
@@ -256,7 +260,8 @@ def graph(spark, sf):
     """(sets, nodes, edges) of the co-occurrence graph over the fixed candidates."""
     sets = combine.key_sets(lists_of(spark, sf)).persist()
     total = measure.baseline(fx.population(spark, sf), CNT).first().total_catch
-    nodes, edges = combine.cooccurrence(sets, N_ITEMS, EDGE_SHARE * total)
+    nodes, edges = combine.cooccurrence(combine.pair_support(sets, N_ITEMS).persist(),
+                                        EDGE_SHARE * total)
     return sets, nodes, edges, EDGE_SHARE * total
 
 
@@ -329,7 +334,7 @@ def greedy_step(spark, sf):
 def greedy_walks(spark, sf):
     sets, nodes, edges, _ = graph(spark, sf)
     sup_n = measure.thresholds(fx.population(spark, sf), fx.F1).first().sup_n
-    nodes, edges = combine.cooccurrence(sets, N_ITEMS, sup_n)
+    nodes, edges = combine.cooccurrence(combine.pair_support(sets, N_ITEMS), sup_n)
     pairs = {(r.a, r.b) for r in edges.collect()}
     sizes = {r["item"]: r["size"] for r in nodes.collect()}
     found = combine.greedy_walks(sets, sorted(sizes), sizes, pairs, CPS, sup_n, 3)
