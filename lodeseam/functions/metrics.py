@@ -94,12 +94,16 @@ def _names(expression: str) -> set[str]:
 
 
 def kpi_columns(metric: str, catch: str = "target_catch", rate: str = "target_rate") -> list[Column]:
-    """Catch and rate over rows that carry one ``tag`` (and ``amt``) per key."""
+    """Catch and rate over rows that carry one ``tag`` (and ``amt``) per key.
+
+    The last digits of a sum of amounts depend on the order of the rows, and the search compares
+    figures; rounding well below any meaningful digit keeps its decisions the same on every run.
+    """
     value = {COUNT: F.lit(1.0), AMOUNT: F.col("amt").cast("double")}[metric]
     caught = F.coalesce(F.sum(F.when(F.col("tag") == 1, value).otherwise(0.0)), F.lit(0.0))
     labelled = F.sum(F.when(F.col("tag").isin(0, 1), value).otherwise(0.0))
-    return [caught.alias(catch),
-            F.coalesce(caught / (labelled + F.lit(EPS)), F.lit(0.0)).alias(rate)]
+    share = F.coalesce(caught / (labelled + F.lit(EPS)), F.lit(0.0))
+    return [F.round(caught, 6).alias(catch), F.round(share, 10).alias(rate)]
 
 
 def fscore(rate: Column, share: Column, beta: float = 1.0) -> Column:

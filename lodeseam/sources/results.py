@@ -37,25 +37,27 @@ def ensure_table(spark: SparkSession, table: str, kind: str) -> None:
                   f"PARTITIONED BY ({', '.join(ids)})")
 
 
-def clear_run(spark: SparkSession, table: str, kind: str, ids: dict[str, str]) -> None:
-    """Remove what an earlier attempt of this run wrote."""
+def _partition(kind: str, ids: dict[str, str]) -> str:
     if set(ids) != set(KINDS[kind][0]):
         raise ValueError(f"{kind} is identified by {KINDS[kind][0]}")
-    spec = ", ".join(f"{k}={_quoted(v)}" for k, v in ids.items())
-    spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION ({spec})")
+
+    def quoted(value: str) -> str:
+        return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+    return ", ".join(f"{k}={quoted(v)}" for k, v in ids.items())
 
 
-def _quoted(value: str) -> str:
-    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+def clear_run(spark: SparkSession, table: str, kind: str, ids: dict[str, str]) -> None:
+    """Remove what an earlier attempt of this run wrote."""
+    spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION ({_partition(kind, ids)})")
 
 
 def write_run(rows: DataFrame, table: str, kind: str, ids: dict[str, str]) -> None:
     """Replace this run's partition; other runs stay as they are."""
     spark = rows.sparkSession
     ensure_table(spark, table, kind)
-    full = rows.withColumns({k: F.lit(v) for k, v in ids.items()})
-    (full.select(*spark.table(table).columns).write
-     .option("partitionOverwriteMode", "dynamic").insertInto(table, overwrite=True))
+    columns = ", ".join(c for c in spark.table(table).columns if c not in ids)
+    spark.sql(f"INSERT OVERWRITE TABLE {table} PARTITION ({_partition(kind, ids)}) "
+              f"SELECT {columns} FROM {{rows}}", rows=rows)
 
 
 def pattern_rows(spark: SparkSession, patterns: list[Pattern]) -> DataFrame:

@@ -90,12 +90,13 @@ def support_thresholds(spark, sf):
         r4("total_catch"), r6("base_rate"), r6("sup_n"), r6("min_block"))
 
 
-KPI = (r4("target_catch"), r6("target_rate"))
+def kpis():
+    return r4("target_catch"), r6("target_rate")
 
 
 @query("measure_condition", f1(measure_sql("checkpoint='R' and disc_score>7 and qty>30")))
 def measure_condition(spark, sf):
-    return measure.measure_condition(fx.activity(spark, sf), fx.R1, CNT).select(*KPI)
+    return measure.measure_condition(fx.activity(spark, sf), fx.R1, CNT).select(*kpis())
 
 
 BATCH = [(fx.C1, "checkpoint='R' and disc_score>7"), (fx.C2, "checkpoint='R' and qty>40"),
@@ -111,7 +112,7 @@ def batch_sql(metric):
 
 def _batch(spark, sf, metric):
     return measure.measure_conditions(fx.activity(spark, sf), [c for c, _ in BATCH], metric).select(
-        "test_id", *KPI)
+        "test_id", *kpis())
 
 
 @query("measure_conditions_batch", batch_sql(CNT))
@@ -159,10 +160,10 @@ CHECKPOINT_SQL = ("cps as (select checkpoint, cast(sum(case when tag=1 then 1 el
 select checkpoint, round({fscore_sql('rate', '(catch/n)')},6) as f1,
   round(case when rate>0 and catch/n>0 then 5*rate*(catch/n)/(4*rate+catch/n) else 0 end,6) as f2 from cps, base"""))
 def fscore(spark, sf):
-    kpis = mining.checkpoint_kpis(fx.activity(spark, sf), CNT)
+    active = mining.checkpoint_kpis(fx.activity(spark, sf), CNT)
     total = measure.baseline(fx.population(spark, sf), CNT).first().total_catch
     share = F.col("target_catch") / F.lit(total)
-    return kpis.select("checkpoint",
+    return active.select("checkpoint",
                        F.round(fscore_column(F.col("target_rate"), share), 6).alias("f1"),
                        F.round(fscore_column(F.col("target_rate"), share, 2.0), 6).alias("f2"))
 
@@ -316,7 +317,7 @@ def search(spark, sf, kinds, params=fx.F1):
     rows = [(p.feature.checkpoint, atom.text, catch, rate)
             for p, atoms in zip(cells.plans, found) for atom, catch, rate in atoms]
     return spark.createDataFrame(rows, "checkpoint string, content string, target_catch double, "
-                                 "target_rate double").select("checkpoint", "content", *KPI)
+                                 "target_rate double").select("checkpoint", "content", *kpis())
 
 
 def candidates_sql(lift2: float) -> str:
@@ -337,7 +338,7 @@ where n_acct > 1 and m.value not in ('NULL','UNKNOWN','None')
 
 def _candidates(spark, sf, params):
     cells, gate = setup(spark, sf, ("string",), params)
-    return value_candidates(cells, gate).select("checkpoint", "variable", "value", *KPI)
+    return value_candidates(cells, gate).select("checkpoint", "variable", "value", *kpis())
 
 
 @query("string_value_candidates", candidates_sql(1.0))
@@ -428,7 +429,7 @@ def numeric_interval_rates(spark, sf):
          for i, (p, c) in enumerate(tests)],
         "test_id int, checkpoint string, variable string, cell int")
     return (names.join(measure.kpi_by_test(cells.hits(tests), CNT), "test_id")
-            .select("checkpoint", "variable", "cell", *KPI))
+            .select("checkpoint", "variable", "cell", *kpis()))
 
 
 @query("numeric_discrete", f1(", " + BASE_SQL + f"""

@@ -17,7 +17,7 @@ from lodeseam.sources import results
 
 from . import fixtures as fx
 from .catalog import BASE_SQL, f1, fscore_sql, measure_sql, query, r4, r6
-from .measuring import CNT, KPI, PEOPLE, WHOLE, metrics_sql
+from .measuring import CNT, PEOPLE, WHOLE, kpis, metrics_sql
 
 # ---- refinement ---------------------------------------------------------------------------------
 
@@ -82,7 +82,7 @@ def refine_round(spark, sf):
             rows.append((group, nodes.index(found[0]), *found[1:]))
     return spark.createDataFrame(rows, "group_id int, node_id int, target_catch double, "
                                  "target_rate double, fscore double").select(
-        "group_id", "node_id", *KPI, r6("fscore"))
+        "group_id", "node_id", *kpis(), r6("fscore"))
 
 
 def grown(spark, sf):
@@ -107,7 +107,7 @@ def condition_trees(spark, sf):
     return spark.createDataFrame(
         rows, "node_id int, parent_id int, checkpoint string, content string, "
         "target_catch double, target_rate double, fscore double").select(
-        "node_id", "parent_id", "checkpoint", "content", *KPI, r6("fscore"))
+        "node_id", "parent_id", "checkpoint", "content", *kpis(), r6("fscore"))
 
 
 # a fixed tree over measured nodes: each (node, parent) and its condition
@@ -127,7 +127,7 @@ def leaf_candidates(spark, sf):
     tree = spark.createDataFrame([(i, p, cp) for i, p, cp, _ in TREE],
                                  "node_id int, parent_id int, checkpoint string")
     nodes = tree.join(measured.withColumnRenamed("test_id", "node_id"), "node_id")
-    return leaf_table(nodes).select("node_id", "checkpoint", *KPI)
+    return leaf_table(nodes).select("node_id", "checkpoint", *kpis())
 
 
 # ---- combination ---------------------------------------------------------------------------------
@@ -576,7 +576,7 @@ def catalog_of(spark, sf):
 
 @query("condition_catalog", f1(" " + CATALOG_SQL))
 def condition_catalog(spark, sf):
-    return catalog_of(spark, sf).select("content", *KPI)
+    return catalog_of(spark, sf).select("content", *kpis())
 
 
 @query("condition_result_rows", f1(", c as (" + CATALOG_SQL + """)
