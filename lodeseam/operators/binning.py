@@ -48,13 +48,13 @@ class Gate:
                     params.coverage_cap, params.best_first)
 
 
-def _count_below(x: Column, cuts: list[float], start: int) -> Column:
-    """How many sorted cuts are below x, by halving; null for a null x."""
+def _count_below(x: str, cuts: list[float], start: int = 0) -> str:
+    """SQL text: how many sorted cuts are below x, by halving. Text, as it can be long."""
     if not cuts:
-        return F.when(x.isNotNull(), F.lit(start))
+        return str(start)
     half = len(cuts) // 2
-    return F.when(x > F.lit(cuts[half]), _count_below(x, cuts[half + 1:], start + half + 1)
-                  ).otherwise(_count_below(x, cuts[:half], start))
+    return (f"CASE WHEN {x} > {cuts[half]!r}D THEN {_count_below(x, cuts[half + 1:], start + half + 1)} "
+            f"ELSE {_count_below(x, cuts[:half], start)} END")
 
 
 @dataclass(frozen=True)
@@ -84,7 +84,8 @@ class Plan:
             for i, v in enumerate(named[1:], 1):
                 out = out.when(x == F.lit(v), F.lit(i))
             return out
-        return _count_below(x, [float(c) for c in self.cuts], 0)
+        below = F.expr(_count_below(f"`{self.feature.variable}`", [float(c) for c in self.cuts]))
+        return F.when(x.isNotNull(), below)
 
     def interval(self, first: int, last: int) -> Range:
         """The range covered by cells first..last."""

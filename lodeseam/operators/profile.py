@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from ..config import AMOUNT, Feature, VariableRules
+from ..config import AMOUNT, COUNT, Feature, VariableRules
 from ..session import small_table
 from .shape import keep_value, name_matches
 
@@ -21,6 +21,9 @@ ONE_TASK = 1_000_000  # distinct values of a pair that one task may sort
 
 def long_values(activity: DataFrame, features: list[Feature], value_type: str = "string") -> DataFrame:
     """(checkpoint, variable, value, key, acct[, amt]) for the features of each row's checkpoint."""
+    if not features:
+        return (activity.where(F.lit(False)).withColumn("variable", F.lit(""))
+                .withColumn("value", F.lit(None).cast(value_type)))
     by_variable: dict[str, list[str]] = {}
     for f in features:
         by_variable.setdefault(f.variable, []).append(f.checkpoint)
@@ -29,21 +32,31 @@ def long_values(activity: DataFrame, features: list[Feature], value_type: str =
                                F.col(f"`{v}`").cast(value_type).alias("value")))
                for v, cps in by_variable.items()]
     keep = ["checkpoint", "key", "acct"] + (["amt"] if "amt" in activity.columns else [])
-    present = F.filter(F.array(*entries), lambda e: e.value.isNotNull())
-    return activity.select(*keep, F.explode(present).alias("_e")).select(
-        *keep, "_e.variable", "_e.value")
+    return (activity.select(*keep, F.explode(F.array(*entries)).alias("_e"))
+            .select(*keep, "_e.variable", "_e.value").where("value is not null"))
 
 
-def value_sizes(outcome: DataFrame, features: list[Feature], metric: str) -> DataFrame:
-    """Per (checkpoint, variable, value): distinct keys or summed per-key amount as ``size``."""
-    rows = long_values(outcome, features)
+def _per_value(rows: DataFrame, metric: str) -> DataFrame:
+    """Per value: distinct keys or summed per-key amount as ``size``, and the rows ``n``.
+
+    Both steps hash-aggregate: the first leaves one row per (pair, value, key).
+    """
     amount = [F.max("amt").alias("amt")] if metric == AMOUNT else []
-    per_key = rows.groupBy(*PAIR, "value", "key").agg(
-        F.min("acct").alias("_a0"), F.max("acct").alias("_a1"), *amount)
+    per_key = rows.groupBy(*PAIR, "value", "key").agg(F.count(F.lit(1)).alias("n"), *amount)
     size = F.sum("amt") if metric == AMOUNT else F.count(F.lit(1)).cast("double")
     return per_key.groupBy(*PAIR, "value").agg(
-        F.coalesce(size, F.lit(0.0)).alias("size"),
-        (F.min("_a0") != F.max("_a1")).alias("many_accts"))
+        F.coalesce(size, F.lit(0.0)).alias("size"), F.sum("n").alias("n"))
+
+
+def string_values(outcome: DataFrame, features: list[Feature], metric: str) -> DataFrame:
+    """(checkpoint, variable, value string, size, n) of the string features."""
+    return _per_value(long_values(outcome, [f for f in features if f.type == "string"]), metric)
+
+
+def number_values(outcome: DataFrame, features: list[Feature], metric: str) -> DataFrame:
+    """(checkpoint, variable, value double, size, n) of the others; a boolean counts as 0 or 1."""
+    others = [f for f in features if f.type != "string"]
+    return _per_value(long_values(outcome, others, "double"), metric)
 
 
 def running_count(rows: DataFrame, groups: list[str], order: str, n: str) -> DataFrame:
@@ -72,7 +85,7 @@ def earlier(rows: DataFrame, groups: list[str], order: str, n: str, name: str) -
     return rows.withColumn(name, F.coalesce(F.sum(n).over(window), F.lit(0)))
 
 
-def concentration(sizes: DataFrame, whole_counts: bool = True) -> DataFrame:
+def concentration(sizes: DataFrame, metric: str) -> DataFrame:
     """Index per pair: how far the sorted cumulative size curve is from an even one.
 
     Equal sizes share one row, and a run of m equal sizes after r larger ones adds
@@ -82,7 +95,7 @@ def concentration(sizes: DataFrame, whole_counts: bool = True) -> DataFrame:
     """
     runs = sizes.groupBy(*PAIR, (-F.col("size")).alias("_neg")).agg(
         F.count(F.lit(1)).cast("double").alias("m"))
-    ranked = (earlier(runs, PAIR, "_neg", "m", "before") if whole_counts
+    ranked = (earlier(runs, PAIR, "_neg", "m", "before") if metric == COUNT
               else running_count(runs, PAIR, "_neg", "m"))
     m, r, size = F.col("m"), F.col("before"), -F.col("_neg")
     # sum of size * (m * (n - r) - m * (m - 1) / 2), with n known only after the sum
@@ -95,13 +108,10 @@ def concentration(sizes: DataFrame, whole_counts: bool = True) -> DataFrame:
             .where("concentration is not null"))
 
 
-def top_values(sizes: DataFrame, features: list[Feature], rules: VariableRules,
-               k: int = 10) -> DataFrame:
+def top_values(sizes: DataFrame, rules: VariableRules, k: int = 10) -> DataFrame:
     """The k largest string values per pair, ignored values left out, value text as tiebreak."""
-    strings = sorted({f.variable for f in features if f.type == "string"})
     rank = F.row_number().over(W.partitionBy(*PAIR).orderBy(F.col("size").desc(), "value"))
-    return (sizes.where(F.col("variable").isin(*strings))
-            .where(keep_value(F.col("value"), rules.ignore_values))
+    return (sizes.where(keep_value(F.col("value"), rules.ignore_values))
             .withColumn("rank", rank).where(F.col("rank") <= k))
 
 
@@ -110,19 +120,13 @@ def account_counts(top: DataFrame, outcome: DataFrame, features: list[Feature])
     wanted = F.broadcast(top.select(*PAIR, "value"))
     strings = [f for f in features if f.type == "string"]
     counts = (long_values(outcome, strings).join(wanted, [*PAIR, "value"])
-              .groupBy(*PAIR, "value").agg(F.count_distinct("acct").alias("n_acct")))
+              .select(*PAIR, "value", "acct").distinct()
+              .groupBy(*PAIR, "value").agg(F.count("acct").alias("n_acct")))
     return top.join(counts, [*PAIR, "value"])
 
 
 # ---- numeric ---------------------------------------------------------------------------------
 
-def value_counts(outcome: DataFrame, features: list[Feature]) -> DataFrame:
-    """(checkpoint, variable, value double, n rows) of the numeric features."""
-    numbers = [f for f in features if f.type == "numeric"]
-    return (long_values(outcome, numbers, "double").groupBy(*PAIR, "value")
-            .agg(F.count(F.lit(1)).alias("n")))
-
-
 def quantile_steps(min_support: float) -> list[float]:
     count = 1
     while (count + 1) * min_support < 1 - 1e-12:

@@ -55,35 +55,36 @@ def checkpoint_kpis(activity: DataFrame, metric: str) -> DataFrame:
             .groupBy("checkpoint").agg(F.sum("_rows").alias("outcome_rows"), *kpi_columns(metric)))
 
 
-def eligible_features(sizes: DataFrame, features: list[Feature], supported: set[str],
+def eligible_features(sizes: DataFrame, features: list[Feature],
                       params: SearchParams) -> list[Feature]:
-    """Features of well supported checkpoints whose values are concentrated enough."""
+    """Features whose values are concentrated enough."""
     index = {(r.checkpoint, r.variable): r.concentration
-             for r in profile.concentration(
-                 sizes, params.eval_metric == COUNT).collect()}
-    return [f for f in features if f.checkpoint in supported
-            and index.get((f.checkpoint, f.variable), -1.0) >= params.concentration_cutoff]
+             for r in profile.concentration(sizes, params.eval_metric).collect()}
+    return [f for f in features
+            if index.get((f.checkpoint, f.variable), -1.0) >= params.concentration_cutoff]
 
 
-def profile_strings(sizes: DataFrame, features: list[Feature], rules: VariableRules,
-                    exclusions: DataFrame | None) -> dict[tuple[str, str], list]:
+def profile_strings(strings: DataFrame, outcome: DataFrame, features: list[Feature],
+                    rules: VariableRules, exclusions: DataFrame | None
+                    ) -> dict[tuple[str, str], list]:
     """Top values of each string feature as (value, used by several accounts)."""
-    if not any(f.type == "string" for f in features):
+    wanted = [f for f in features if f.type == "string"]
+    if not wanted:
         return {}
-    best = shape.not_excluded(profile.top_values(sizes, features, rules), exclusions)
+    best = shape.not_excluded(profile.top_values(strings, rules), exclusions)
     top: dict[tuple[str, str], list] = {}
-    for r in best.orderBy("checkpoint", "variable", "rank").collect():
-        top.setdefault((r.checkpoint, r.variable), []).append((r.value, r.many_accts))
+    for r in profile.account_counts(best, outcome, wanted).orderBy(
+            "checkpoint", "variable", "rank").collect():
+        top.setdefault((r.checkpoint, r.variable), []).append((r.value, r.n_acct > 1))
     return top
 
 
-def profile_numbers(outcome: DataFrame, features: list[Feature], params: SearchParams,
+def profile_numbers(numbers: DataFrame, features: list[Feature], params: SearchParams,
                     rules: VariableRules) -> tuple[dict, dict]:
     """Cuts of each numeric feature, and the values of those with very few."""
     if not any(f.type == "numeric" for f in features):
         return {}, {}
-    counts = profile.value_counts(outcome, features).persist()
-    summary = profile.quantiles(counts, profile.quantile_steps(params.min_support))
+    summary = profile.quantiles(numbers, profile.quantile_steps(params.min_support))
     rows = profile.cuts_by_pair(summary, rules).collect()
     cuts = {(r.checkpoint, r.variable): tuple(r.cuts) for r in rows}
     few = [(r.checkpoint, r.variable) for r in rows if r.n_values <= params.discrete_max]
@@ -91,10 +92,9 @@ def profile_numbers(outcome: DataFrame, features: list[Feature], params: SearchP
     if few:
         pair = F.struct("checkpoint", "variable")
         wanted = [F.struct(F.lit(c), F.lit(v)) for c, v in few]
-        for r in counts.where(pair.isin(*wanted)).orderBy("value").collect():
+        for r in numbers.where(pair.isin(*wanted)).orderBy("value").collect():
             at = (r.checkpoint, r.variable)
             discrete[at] = (*discrete.get(at, ()), r.value)
-    counts.unpersist()
     return cuts, discrete
 
 
@@ -103,14 +103,18 @@ def qualified_conditions(activity: DataFrame, outcome: DataFrame, features: list
                          gate: Gate, exclusions: DataFrame | None = None
                          ) -> dict[str, list[Scored]]:
     """Univariate search over all features of the supported checkpoints."""
+    metric = params.eval_metric
     features = [f for f in features if f.checkpoint in supported]
     if not features:
         return {}
-    sizes = profile.value_sizes(outcome, features, params.eval_metric).persist()
-    features = eligible_features(sizes, features, supported, params)
-    top = profile_strings(sizes, features, rules, exclusions)
-    sizes.unpersist()
-    cuts, discrete = profile_numbers(outcome, features, params, rules)
+    strings = profile.string_values(outcome, features, metric).persist()
+    numbers = profile.number_values(outcome, features, metric).persist()
+    sizes = [df.select("checkpoint", "variable", "size") for df in (strings, numbers)]
+    features = eligible_features(sizes[0].unionByName(sizes[1]), features, params)
+    top = profile_strings(strings, outcome, features, rules, exclusions)
+    cuts, discrete = profile_numbers(numbers, features, params, rules)
+    strings.unpersist()
+    numbers.unpersist()
     excluded = set() if exclusions is None else {
         (r.checkpoint, r.variable) for r in exclusions.select("checkpoint", "variable").collect()}
     plans = make_plans(features, top, cuts, discrete, excluded, rules)

@@ -43,8 +43,9 @@ def test_recency_cut_ranks_before_the_shuffle(spark, sf):
 
 def test_top_values_rank_before_the_shuffle(spark, sf):
     outcome = shape.outcome_activity(fx.activity(spark, sf))
-    sizes = profile.value_sizes(outcome, fx.features(), "target_cnt")
-    assert "WindowGroupLimit" in plan_of(profile.top_values(sizes, fx.features(), VariableRules()))
+    sizes = profile.string_values(outcome, fx.features(), "target_cnt")
+    plan = plan_of(profile.top_values(sizes, VariableRules()))
+    assert "WindowGroupLimit" in plan and "SortAggregate" not in plan
 
 
 def test_rounds_do_not_shuffle_keys(spark, sf):

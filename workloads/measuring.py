@@ -189,10 +189,19 @@ select checkpoint, variable, round(abs(sum(cum)/(count(*)*sum(size)/2)-1),6) as
 from curve group by all""")
 
 
+def sizes_of(outcome, metric):
+    return profile.string_values(outcome, fx.features(), metric).select(
+        "checkpoint", "variable", "size").unionByName(profile.number_values(
+            outcome, fx.features(), metric).select("checkpoint", "variable", "size"))
+
+
+def numeric_values(outcome):
+    return profile.number_values(outcome, [f for f in fx.features() if f.type == "numeric"], CNT)
+
+
 def _concentration(spark, sf, metric):
     outcome = shape.outcome_activity(fx.activity(spark, sf))
-    sizes = profile.value_sizes(outcome, fx.features(), metric)
-    return profile.concentration(sizes, metric == CNT).select(
+    return profile.concentration(sizes_of(outcome, metric), metric).select(
         "checkpoint", "variable", r6("concentration"))
 
 
@@ -221,7 +230,7 @@ select checkpoint, variable, max_value, cast(n_values as bigint) as n_values,
   unnest(range(1, len(qs)+1)) as place, round(unnest(qs), 6) as quantile from q"""))
 def quantile_cuts(spark, sf):
     outcome = shape.outcome_activity(fx.activity(spark, sf))
-    summary = profile.quantiles(profile.value_counts(outcome, fx.features()), STEPS)
+    summary = profile.quantiles(numeric_values(outcome), STEPS)
     return summary.select("checkpoint", "variable", "max_value", "n_values",
                           F.posexplode("quantiles").alias("p", "q")).select(
         "checkpoint", "variable", "max_value", "n_values",
@@ -240,8 +249,7 @@ from top t join ({long_sql(STRINGS)}) l on t.checkpoint=l.checkpoint and t.varia
 
 def _top(spark, sf, metric):
     outcome, features = shape.outcome_activity(fx.activity(spark, sf)), fx.features()
-    strings = [f for f in features if f.type == "string"]
-    top = profile.top_values(profile.value_sizes(outcome, strings, metric), features, RULES)
+    top = profile.top_values(profile.string_values(outcome, features, metric), RULES)
     return profile.account_counts(top, outcome, features).select(
         "checkpoint", "variable", "value", r4("size"), "n_acct")
 
@@ -269,7 +277,7 @@ CUTS_SQL = quantile_sql() + """
 
 def _cuts(spark, sf):
     outcome = shape.outcome_activity(fx.activity(spark, sf))
-    summary = profile.quantiles(profile.value_counts(outcome, fx.features()), STEPS)
+    summary = profile.quantiles(numeric_values(outcome), STEPS)
     return profile.cuts_by_pair(summary, RULES).select(
         "checkpoint", "variable", F.posexplode("cuts").alias("p", "cut")).select(
         "checkpoint", "variable", (F.col("p") + 1).cast("bigint").alias("place"), "cut")
@@ -294,20 +302,28 @@ def fixed_cuts(spark, sf):
 def setup(spark, sf, kinds=None, params=fx.F1, features=None):
     """(cells, gate) with the plans of the wanted kinds, as the mining job builds them."""
     population, activity = fx.cached(spark, sf)
-    features = features or fx.features()
+    features = [f for f in features or fx.features() if kinds is None or _may_be(f, kinds)]
     outcome = shape.outcome_activity(activity)
     gate = Gate.of(measure.thresholds(population, params).first(), params)
-    strings = [f for f in features if f.type == "string"]
-    top = {}
-    if strings:
-        sizes = profile.value_sizes(outcome, strings, params.eval_metric)
-        top = mining.profile_strings(sizes, features, RULES, None)
-    cuts, discrete = mining.profile_numbers(outcome, features, params, RULES)
+    top, cuts, discrete = {}, {}, {}
+    if any(f.type == "string" for f in features):
+        strings = profile.string_values(outcome, features, params.eval_metric)
+        top = mining.profile_strings(strings, outcome, features, RULES, None)
+    if any(f.type == "numeric" for f in features):
+        numbers = profile.number_values(outcome, features, params.eval_metric).persist()
+        cuts, discrete = mining.profile_numbers(numbers, features, params, RULES)
+        numbers.unpersist()
     plans = make_plans(features, top, cuts, discrete, set(), RULES)
     plans = [p for p in plans if kinds is None or p.kind in kinds]
     return CellTable(activity, plans, params.eval_metric), gate
 
 
+def _may_be(feature, kinds):
+    if feature.type != "numeric":
+        return feature.type in kinds
+    return profile.direction(feature.variable, RULES) in kinds or "discrete" in kinds
+
+
 def search(spark, sf, kinds, params=fx.F1):
     """Conditions found by the searches of the wanted kinds."""
     cells, gate = setup(spark, sf, kinds, params)
@@ -468,7 +484,7 @@ def eligible_features(spark, sf):
     population, activity = fx.cached(spark, sf)
     sup_n = measure.thresholds(population, fx.F1).first().sup_n
     supported = mining.checkpoint_kpis(activity, CNT).where(F.col("target_catch") >= sup_n)
-    sizes = profile.value_sizes(shape.outcome_activity(activity), fx.features(), CNT)
-    return (profile.concentration(sizes).where("concentration >= 0.2")
+    sizes = sizes_of(shape.outcome_activity(activity), CNT)
+    return (profile.concentration(sizes, CNT).where("concentration >= 0.2")
             .join(supported, "checkpoint", "left_semi")
             .select("checkpoint", "variable", r6("concentration")))

@@ -198,8 +198,7 @@ select checkpoint, variable, value, cast(size as double) as size from top
 where not (checkpoint='R' and variable='p_brand' and regexp_matches(value, 'Brand#1.*'))"""))
 def excluded_segments(spark, sf):
     outcome = shape.outcome_activity(fx.activity(spark, sf))
-    strings = [f for f in fx.features() if f.type == "string"]
-    top = profile.top_values(profile.value_sizes(outcome, strings, "target_cnt"), strings,
+    top = profile.top_values(profile.string_values(outcome, fx.features(), "target_cnt"),
                              VariableRules())
     cells = spark.createDataFrame([("R", "p_brand", ["Brand#1.*"])],
                                   "checkpoint string, variable string, patterns array<string>")
