@@ -367,12 +367,63 @@ def string_value_candidates_lift(spark, sf):
     return _candidates(spark, sf, LIFTED)
 
 
-@query("string_bins")
+def string_bins_sql(lift: float = 1.0, best_first: bool = False, cap: float | None = None) -> str:
+    """Every union of the top values is measured from a histogram of per-key value masks; the
+    greedy merge is then a walk over the values that carries the list of bins."""
+    order = "rate desc, catch desc, size desc, value" if best_first else "size desc, value"
+    capped = "true" if cap is None else f"(bins[near]).c <= {cap} * whole"
+    close = ("(abs((bins[near]).r - rate) / nullif((bins[near]).r, 0) < 0.5 or rate > 0.6 "
+             "or ((bins[near]).r < 0.01 and rate < (bins[near]).r))")
+    return f1(", " + BASE_SQL + ", " + sizes_sql(CNT, STRINGS) + f"""
+, rows as materialized ({long_sql(STRINGS, where="true")})
+, top as (select * from sizes qualify row_number() over (partition by checkpoint, variable
+  order by size desc, value) <= 10)
+, accts as (select checkpoint, variable, value, count(distinct case when tag=1 then acct end) as n_acct
+  from rows group by all)
+, single as (select checkpoint, variable, value, sum(case when tag=1 then 1.0 else 0 end) as catch,
+    sum(case when tag=1 then 1 else 0 end)/(sum(case when tag in (0,1) then 1 else 0 end)+0.0001) as rate
+  from (select checkpoint, variable, value, key, max(tag) as tag from rows group by all) group by all)
+, placed as (select t.*, catch, rate, n_acct > 1 and t.value not in ('NULL','UNKNOWN','None')
+    and rate > base_rate*{lift * lift} and catch > greatest(0.01*n, 1) as fits,
+    row_number() over (partition by t.checkpoint, t.variable order by {order}) as place
+  from top t join single s using (checkpoint, variable, value)
+  join accts a using (checkpoint, variable, value), base)
+, masks as (select checkpoint, variable, key, max(tag) as tag, bit_or(cast(1 << (place-1) as bigint)) as mask
+  from rows join placed using (checkpoint, variable, value) group by all)
+, hist as (select checkpoint, variable, mask, tag, count(*) as k from masks group by all)
+, joined as (select checkpoint, variable, s, sum(case when tag=1 and mask & s <> 0 then k else 0 end) as c,
+    sum(case when tag=1 and mask & s <> 0 then k else 0 end)
+      / (sum(case when tag in (0,1) and mask & s <> 0 then k else 0 end)+0.0001) as r
+  from hist, (select unnest(range(1, 1024)) as s) group by all)
+, unions as (select checkpoint, variable,
+    list(struct_pack(m := cast(s as bigint), c := cast(c as double), r := cast(r as double)) order by s) as u
+  from joined group by all)
+, steps as (select p.checkpoint, p.variable, place, fits, rate, catch, cast(1 << (place-1) as bigint) as bit, u,
+    u[1023].c as whole from placed p join unions using (checkpoint, variable))
+, walk as (
+  select checkpoint, variable, 0 as place, u[1:0] as bins from unions
+  union all
+  select checkpoint, variable, place, case when not fits then bins
+    when len(bins) = 0 or not ({close} and {capped}) then list_append(bins, u[bit])
+    else [case when i = near then u[(bins[i]).m | bit] else bins[i] end for i in range(1, len(bins)+1)] end
+  from (select s.*, bins, list_position([abs(b.r - rate) for b in bins],
+          list_min([abs(b.r - rate) for b in bins])) as near
+        from walk w join steps s on s.checkpoint=w.checkpoint and s.variable=w.variable and s.place=w.place+1))
+, final as (select checkpoint, variable, unnest(bins) as b from walk
+  qualify row_number() over (partition by checkpoint, variable order by place desc) = 1)
+select f.checkpoint, f.variable || ' in (' || string_agg('"' || value || '"', ',' order by place) || ')' as content,
+  round(any_value(b.c),4) as target_catch, round(any_value(b.r),6) as target_rate
+from (select *, b.m as m from final) f join placed p on p.checkpoint=f.checkpoint and p.variable=f.variable
+  and m & (1 << (place-1)) <> 0, base
+group by f.checkpoint, f.variable, m, n having any_value(b.c) >= 0.03*n""", recursive=True)
+
+
+@query("string_bins", string_bins_sql())
 def string_bins(spark, sf):
     return search(spark, sf, ("string",))
 
 
-@query("string_bins_lift")
+@query("string_bins_lift", string_bins_sql(1.1, True, 0.8))
 def string_bins_lift(spark, sf):
     return search(spark, sf, ("string",), LIFTED)
 
@@ -423,7 +474,49 @@ def numeric_down(spark, sf):
     return search(spark, sf, ("down",))
 
 
-@query("numeric_intervals")
+def intervals_sql() -> str:
+    """Every run of cells is measured; the merge is a walk over the cells."""
+    variables = ("qty", "tax_pct", "lot")
+    close = "(abs(w.r - s.r) / nullif(w.r, 0) < 0.5 or s.r > 0.6 or (w.r < 0.01 and s.r < w.r))"
+    joins = f"s.r >= base_rate and s.cell < s.last and w.hi = s.cell-1 and {close}"
+
+    def pick(merged, fresh, same):
+        return f"case when {joins} then {merged} when s.r >= base_rate then {fresh} else {same} end"
+    return f1(", " + BASE_SQL + ", " + CUTS_SQL + f"""
+, v as ({long_sql(variables, where="true", cast="double")})
+, keycells as (select v.checkpoint, v.variable, key, len([c for c in cuts if c < value]) as cell,
+    len(cuts) as last, max(tag) as tag from v join cuts using (checkpoint, variable) group by all)
+, runs as (select checkpoint, variable, unnest(range(0, last+1)) as lo, last from
+    (select distinct checkpoint, variable, last from keycells))
+, spans as (select checkpoint, variable, lo, unnest(range(lo, last+1)) as hi from runs)
+, met as (select distinct s.checkpoint, s.variable, lo, hi, key, tag, last from spans s
+  join keycells k on k.checkpoint=s.checkpoint and k.variable=s.variable and k.cell between lo and hi)
+, m as (select checkpoint, variable, lo, hi, last, cast(sum(case when tag=1 then 1 else 0 end) as double) as c,
+    sum(case when tag=1 then 1 else 0 end)/(sum(case when tag in (0,1) then 1 else 0 end)+0.0001) as r
+  from met group by all)
+, single as (select checkpoint, variable, lo as cell, last, c, r from m where lo = hi
+  union all select s.checkpoint, s.variable, s.lo, u.last, 0.0, 0.0 from spans s join runs u using (checkpoint, variable, lo)
+  where s.lo = s.hi and not exists (select 1 from m where m.checkpoint=s.checkpoint
+    and m.variable=s.variable and m.lo=s.lo and m.hi=s.lo))
+, walk as (
+  select checkpoint, variable, cell, case when r > base_rate then 0 end as lo,
+    case when r > base_rate then 0 end as hi, case when r > base_rate then c end as c,
+    case when r > base_rate then r end as r from single, base where cell = 0
+  union all
+  select s.checkpoint, s.variable, s.cell, {pick("w.lo", "s.cell", "w.lo")}, {pick("s.cell", "s.cell", "w.hi")},
+    {pick("x.c", "s.c", "w.c")}, {pick("x.r", "s.r", "w.r")}
+  from walk w join single s on s.checkpoint=w.checkpoint and s.variable=w.variable and s.cell=w.cell+1
+  left join m x on x.checkpoint=w.checkpoint and x.variable=w.variable and x.lo=w.lo and x.hi=s.cell, base)
+, ends as (select * from walk where lo is not null
+  qualify row_number() over (partition by checkpoint, variable, lo order by cell desc) = 1)
+select e.checkpoint, case when lo = 0 then e.variable || '<=' || {NUM.format(x="cuts[hi+1]")}
+    when hi = len(cuts) then e.variable || '>' || {NUM.format(x="cuts[lo]")}
+    else e.variable || '>' || {NUM.format(x="cuts[lo]")} || ' and ' || e.variable || '<=' || {NUM.format(x="cuts[hi+1]")} end as content,
+  round(c,4) as target_catch, round(r,6) as target_rate
+from ends e join cuts using (checkpoint, variable), base where c >= 0.03*n and r >= base_rate""", recursive=True)
+
+
+@query("numeric_intervals", intervals_sql())
 def numeric_intervals(spark, sf):
     return search(spark, sf, ("both",))
 

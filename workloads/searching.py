@@ -237,7 +237,7 @@ def itemsets_l3(spark, sf):
 
 # the graph is drawn at a higher support, so that it falls into several components
 EDGE_SHARE = 0.135
-GRAPH_SQL = f""", esup as (select {EDGE_SHARE}*n as sup_n from base)
+GRAPH_SQL = """, esup as (select {share}*n as sup_n from base)
 , bykey as (select key, item, max(weight) as weight from (select key, item,
     max(weight) over (partition by key) as weight from lists) group by all)
 , nodes as (select item, cast(sum(weight) as double) as size from bykey group by item)
@@ -252,8 +252,8 @@ GRAPH_SQL = f""", esup as (select {EDGE_SHARE}*n as sup_n from base)
 , comps as (select item, min(other) as component from reach group by item)"""
 
 
-def graph_sql(body: str) -> str:
-    return f1(", " + BASE_SQL + hits_sql() + GRAPH_SQL + body, recursive=True)
+def graph_sql(body: str, share: float = EDGE_SHARE) -> str:
+    return f1(", " + BASE_SQL + hits_sql() + GRAPH_SQL.format(share=share) + body, recursive=True)
 
 
 def graph(spark, sf):
@@ -330,7 +330,22 @@ def greedy_step(spark, sf):
         "seed", "next", r4("support"))
 
 
-@query("greedy_walks")
+@query("greedy_walks", graph_sql("""
+, first as (select l.a as i0, l.b as i1, sum(x.weight) as support from links l
+  join cps ca on ca.item=l.a join cps cb on cb.item=l.b
+  join bykey x on x.item=l.a join bykey y on y.item=l.b and y.key=x.key, esup
+  where ca.checkpoint<>cb.checkpoint group by l.a, l.b, sup_n having sum(x.weight) > sup_n
+  qualify row_number() over (partition by l.a order by sum(x.weight) desc, l.b) = 1)
+, second as (select f.i0, f.i1, l.b as i2, sum(x.weight) as support from first f
+  join links l on l.a=f.i1 join cps c0 on c0.item=f.i0 join cps c1 on c1.item=f.i1 join cps c2 on c2.item=l.b
+  join bykey x on x.item=f.i0 join bykey y on y.item=f.i1 and y.key=x.key
+  join bykey z on z.item=l.b and z.key=x.key, esup
+  where c2.checkpoint<>c0.checkpoint and c2.checkpoint<>c1.checkpoint
+  group by f.i0, f.i1, l.b, sup_n having sum(x.weight) > sup_n
+  qualify row_number() over (partition by f.i0 order by sum(x.weight) desc, l.b) = 1)
+select distinct array_to_string(list_sort([i for i in [nd.item, f.i1, s.i2] if i is not null]), ',') as items,
+  round(cast(coalesce(s.support, f.support, nd.size) as double),4) as support
+from nodes nd left join first f on f.i0=nd.item left join second s on s.i0=nd.item""", 0.03))
 def greedy_walks(spark, sf):
     sets, nodes, edges, _ = graph(spark, sf)
     sup_n = measure.thresholds(fx.population(spark, sf), fx.F1).first().sup_n
@@ -426,7 +441,31 @@ def measured_patterns(spark, sf):
     return out
 
 
-@query("dissimilar_patterns")
+def dissimilar_sql() -> str:
+    """Patterns of a checkpoint string in order of merit, carrying the list of kept ones."""
+    texts = [sorted((ITEMS[j][0] for j in s), key=lambda c: c.text) for s in SETS]
+    merit = sorted(range(len(SETS)), key=lambda i: [c.text for c in texts[i]])
+    rows = ", ".join("({}, {}, '{}', {}, [{}])".format(
+        i, merit.index(i), "-".join(c.checkpoint for c in texts[i]),
+        select.score_of(texts[i], fx.features()),
+        ", ".join("'" + part + "'" for c in texts[i] for part in c.text.split(chr(6)))) for i in range(len(SETS)))
+    rates = " union all ".join(
+        f"select {i} as pattern_id, sum(t)/(sum(lab)+0.0001) as rate from people join has on people.key=has.key where "
+        + " and ".join(f"c{j}=1" for j in p) for i, p in enumerate(SETS))
+    return f1(PEOPLE + ", " + HAS + f""", rates as ({rates})
+, known(pattern_id, merit, cp_str, score, parts) as (values {rows})
+, ordered as (select k.*, rate, row_number() over (partition by cp_str order by rate desc, score desc, merit) as place
+  from known k join rates using (pattern_id))
+, walk as (select cp_str, place, [parts] as kept, true as taken, pattern_id from ordered where place = 1
+  union all select cp_str, place, case when ok then list_append(kept, parts) else kept end, ok, pattern_id from (
+    select o.*, w.kept, coalesce(list_max([len(list_intersect(k, o.parts))
+        / len(list_distinct(list_concat(k, o.parts))) for k in w.kept]), 0) <= 0.25 as ok
+    from walk w join ordered o on o.cp_str=w.cp_str and o.place=w.place+1))
+select 'p' || w.pattern_id as pattr_name, w.cp_str, round(rate,6) as target_rate
+from walk w join rates using (pattern_id) where taken""", recursive=True)
+
+
+@query("dissimilar_patterns", dissimilar_sql())
 def dissimilar_patterns(spark, sf):
     kept = select.drop_similar(measured_patterns(spark, sf), 0.25)
     return spark.createDataFrame([(p.name, p.cp_str, p.target_rate) for p in kept],
