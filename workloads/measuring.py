@@ -14,7 +14,7 @@ from lodeseam.operators.binning import (CellTable, Gate, make_plans, run_searche
 from lodeseam.plans import mining
 
 from . import fixtures as fx
-from .catalog import (BASE_SQL, NUMERIC, STRINGS, f1, fscore_sql, kpi, long_sql,
+from .catalog import (BASE_SQL, NUMERIC, ORACLES, STRINGS, f1, fscore_sql, kpi, long_sql,
                       measure_sql, query, r4, r6)
 
 CNT, AMT = "target_cnt", "target_amt"
@@ -561,7 +561,12 @@ def boolean_conditions(spark, sf):
     return search(spark, sf, ("bool",))
 
 
-@query("qualified_conditions")
+SEARCHES = ("string_bins", "numeric_up", "numeric_down", "numeric_intervals", "boolean_conditions")
+
+
+@query("qualified_conditions", " union all ".join(
+    f"select checkpoint, content, target_catch, target_rate from ({ORACLES[name]})"
+    for name in SEARCHES))
 def qualified_conditions(spark, sf):
     return search(spark, sf, None)
 

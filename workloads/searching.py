@@ -99,7 +99,63 @@ def grown(spark, sf):
     return masks, nodes
 
 
-@query("condition_trees")
+def trees_sql() -> str:
+    """All conjunctions of a checkpoint's atoms are measured; the growth is a walk over the atoms
+    in insertion order that carries the list of nodes (m = atoms as bits, p = parent's bits)."""
+    atoms = ", ".join(f"('{cp}', {k}, '{cp}{i}', '{atom.text.replace(chr(39), chr(39) * 2)}', {p})"
+                      for k, (cp, rows) in enumerate(LISTED.items()) for i, (atom, _, p) in enumerate(rows))
+    flags = " union all ".join(
+        f"select checkpoint, key, tag, line_no, part_no, \"timestamp\", '{cp}{i}' as atom, "
+        f"coalesce({cond}, false) as met from activity where checkpoint='{cp}'"
+        for cp, rows in LISTED.items() for i, (_, cond, _) in enumerate(rows))
+    return f1(", " + BASE_SQL + f"""
+, atoms(checkpoint, cp_place, atom, text, priority) as (values {atoms})
+, flags as materialized ({flags})
+, alone as (select atom, sum(case when tag=1 then 1 else 0 end) as catch from
+    (select atom, key, max(tag) as tag from flags where met group by all) group by atom)
+, placed as (select a.*, row_number() over (partition by a.checkpoint order by priority, catch desc, text) as place
+  from atoms a join alone using (atom))
+, rowmask as (select f.checkpoint, key, tag, sum(case when met then 1 << (place-1) else 0 end)::bigint as mask
+  from flags f join placed using (atom) group by f.checkpoint, key, tag, line_no, part_no, "timestamp")
+, conj as (select checkpoint, s, cast(sum(case when tag=1 then 1 else 0 end) as double) as c,
+    round(sum(case when tag=1 then 1 else 0 end)/(sum(case when tag in (0,1) then 1 else 0 end)+0.0001),10) as r
+  from (select checkpoint, s, key, max(tag) as tag from rowmask, (select unnest(range(0, 16)) as s)
+    where mask & s = s group by all) group by all)
+, every as (select checkpoint, s, coalesce(c, 0) as c, coalesce(r, 0) as r, {fscore_sql("coalesce(r,0)", "(coalesce(c,0)/n)")} as f
+  from (select checkpoint, unnest(range(0, 16)) as s from (select distinct checkpoint from atoms))
+  left join conj using (checkpoint, s), base)
+, table_of as (select checkpoint, list(struct_pack(m := cast(s as bigint), c := c, r := r, f := f,
+    p := cast(-1 as bigint)) order by s) as u from every group by checkpoint)
+, walk as (
+  select checkpoint, 0 as place, [u[1]] as nodes from table_of
+  union all
+  select checkpoint, place, case when gain > needed then list_append(nodes, struct_pack(
+      m := u[slot].m, c := u[slot].c, r := u[slot].r, f := u[slot].f, p := from_m)) else nodes end from (
+    select *, (nodes[best]).m as from_m, ((nodes[best]).m | bit) + 1 as slot, u[((nodes[best]).m | bit) + 1].r - (nodes[best]).r as gain,
+      case priority when 1 then 0 when 2 then case when len(k) > 0 then 0.1 else 0.05 end
+        else case when len(k) > 0 then 0.15 else 0.1 end end as needed from (
+      select *, rivals[list_position([u[((nodes[i]).m | bit) + 1].f for i in rivals],
+          list_max([u[((nodes[i]).m | bit) + 1].f for i in rivals]))] as best from (
+        select *, case when len(k) > 0 then k else [i for i in range(1, len(nodes)+1)
+            if u[((nodes[i]).m | bit) + 1].r > (nodes[i]).r and u[((nodes[i]).m | bit) + 1].c >= sup_n] end as rivals from (
+          select *, [i for i in range(1, len(nodes)+1) if u[((nodes[i]).m | bit) + 1].r > (nodes[i]).r
+              and u[((nodes[i]).m | bit) + 1].c > 0.8 * (nodes[i]).c] as k from (
+            select a.checkpoint, a.place, a.priority, cast(1 << (a.place-1) as bigint) as bit, nodes, u, 0.03*n as sup_n
+            from walk w join placed a on a.checkpoint=w.checkpoint and a.place=w.place+1
+            join table_of t on t.checkpoint=w.checkpoint, base))))))
+, grown as (select checkpoint, unnest(nodes) as node from walk
+  qualify row_number() over (partition by checkpoint order by place desc) = 1)
+, numbered as (select g.checkpoint, node.m as m, node.p as p, node.c as c, node.r as r, node.f as f,
+    cast(row_number() over (order by len(bin(node.m)) * (case when node.m = 0 then 0 else 1 end), cp_place) - 1 as integer) as id
+  from grown g join (select distinct checkpoint, cp_place from atoms) using (checkpoint))
+select x.id as node_id, y.id as parent_id, x.checkpoint, 'checkpoint="' || x.checkpoint || '"' || coalesce((
+    select string_agg(chr(6) || text, '' order by place) from placed a
+    where a.checkpoint=x.checkpoint and x.m & (1 << (a.place-1)) <> 0), '') as content,
+  round(x.c,4) as target_catch, round(x.r,6) as target_rate, round(x.f,6) as fscore
+from numbered x left join numbered y on y.checkpoint=x.checkpoint and y.m=x.p""", recursive=True)
+
+
+@query("condition_trees", trees_sql())
 def condition_trees(spark, sf):
     masks, nodes = grown(spark, sf)
     rows = [(i, n.parent, n.checkpoint, to_condition(masks, n).text, n.catch, n.rate, n.fscore)
