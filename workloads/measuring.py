@@ -200,7 +200,7 @@ def numeric_values(outcome):
 
 
 def _concentration(spark, sf, metric):
-    outcome = shape.outcome_activity(fx.activity(spark, sf))
+    outcome = shape.outcome_activity(fx.cached(spark, sf)[1])
     return profile.concentration(sizes_of(outcome, metric), metric).select(
         "checkpoint", "variable", r6("concentration"))
 
@@ -229,7 +229,7 @@ def quantile_sql(variables=NUMERIC):
 select checkpoint, variable, max_value, cast(n_values as bigint) as n_values,
   unnest(range(1, len(qs)+1)) as place, round(unnest(qs), 6) as quantile from q"""))
 def quantile_cuts(spark, sf):
-    outcome = shape.outcome_activity(fx.activity(spark, sf))
+    outcome = shape.outcome_activity(fx.cached(spark, sf)[1])
     summary = profile.quantiles(numeric_values(outcome), STEPS)
     return summary.select("checkpoint", "variable", "max_value", "n_values",
                           F.posexplode("quantiles").alias("p", "q")).select(
@@ -248,7 +248,7 @@ from top t join ({long_sql(STRINGS)}) l on t.checkpoint=l.checkpoint and t.varia
 
 
 def _top(spark, sf, metric):
-    outcome, features = shape.outcome_activity(fx.activity(spark, sf)), fx.features()
+    outcome, features = shape.outcome_activity(fx.cached(spark, sf)[1]), fx.features()
     top = profile.top_values(profile.string_values(outcome, features, metric), RULES)
     return profile.account_counts(top, outcome, features).select(
         "checkpoint", "variable", "value", r4("size"), "n_acct")
@@ -276,7 +276,7 @@ CUTS_SQL = quantile_sql() + """
 
 
 def _cuts(spark, sf):
-    outcome = shape.outcome_activity(fx.activity(spark, sf))
+    outcome = shape.outcome_activity(fx.cached(spark, sf)[1])
     summary = profile.quantiles(numeric_values(outcome), STEPS)
     return profile.cuts_by_pair(summary, RULES).select(
         "checkpoint", "variable", F.posexplode("cuts").alias("p", "cut")).select(
