@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lodeseam.llm import quality, toxicity
+from lodeseam.llm import lexicon, quality, toxicity
 from lodeseam.llm.common import held_out, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -36,3 +37,8 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     model = toxicity.fit(docs, table(spark, sf_dir, "labels"))
     return _scored(docs, toxicity.score(model, F.col("text")), 0.5)
+
+
+@query
+def op7_lexicon(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexicon.digests(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
