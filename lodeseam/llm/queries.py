@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lodeseam.llm import lexicon, quality, token_file, toxicity
+from lodeseam.llm import lexicon, quality, token_file, toxicity, unigram
 from lodeseam.llm.common import held_out, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -49,3 +49,8 @@ def op3_token_file(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = token_file.new_folder(spark)
     token_file.write(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), folder)
     return token_file.digests(spark, folder)
+
+
+@query
+def op5_unigram(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return unigram.token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
