@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import uuid
 
+import numpy as np
+import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -25,6 +27,21 @@ def stored(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+class WordCodes(dict):
+    """64-bit hashes of words, the same in every process; at most ``KEPT`` words are kept at hand."""
+
+    KEPT = 1_000_000
+
+    def __missing__(self, word: str | bytes) -> int:
+        if len(self) > self.KEPT:
+            self.clear()
+        code = self[word] = xxhash.xxh3_64_intdigest(word) - (1 << 63)
+        return code
+
+    def of(self, words: list) -> np.ndarray:
+        return np.fromiter(map(self.__getitem__, words), np.int64, len(words))
+
+
 def held_out(doc_id: Column) -> Column:
     """crc32 of the id as text, modulo 5, is 0. A null id counts as empty text, so it is held out."""
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % 5 == 0

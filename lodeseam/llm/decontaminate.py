@@ -31,8 +31,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.functions import pandas_udf
 
+from lodeseam.llm.common import WordCodes
+
 SHARE = 0.2
-TARGET_RECALL = 0.995
+TARGET_RECALL = 0.998
 MAX_ITEMS = 100_000
 #: Embeddings, places sampled by a table, and texts whose words are looked through at once.
 EMBEDDINGS, SAMPLED, BLOCK = 8, 3, 500
@@ -43,11 +45,6 @@ def words_of(text: str | None) -> list[str]:
     return (text or "").lower().split()
 
 
-def _codes(words: list[str]) -> np.ndarray:
-    """Word hashes, comparable within one process."""
-    return np.fromiter(map(hash, words), np.int64, len(words))
-
-
 def _mixed(parts: list[np.ndarray]) -> np.ndarray:
     """One hash of several columns of hashes; order matters."""
     total = np.zeros(len(parts[0]), np.int64)
@@ -103,7 +100,7 @@ class Finder:
     items: list[list[str]]
     share: float = SHARE
     tables: int = 0
-    ready: bool = False
+    words: WordCodes | None = None
 
     def allowed(self, n: int) -> int:
         return math.floor(self.share * n + 1e-9)
@@ -117,7 +114,7 @@ class Finder:
         while chosen and self.tables < 4096:
             met = 0
             for words in chosen:
-                codes, n = _codes(words), len(words)
+                codes, n = WordCodes().of(words), len(words)
                 copy = codes.tolist()
                 for _ in range(self.allowed(n)):
                     at, kind = int(rng.integers(len(copy))), rng.integers(3)
@@ -131,7 +128,7 @@ class Finder:
         return self
 
     def _prepare(self) -> None:
-        self.codes = [_codes(w) for w in self.items]
+        self.codes = [WordCodes().of(w) for w in self.items]
         grams: dict[int, list] = {}
         groups: dict[int, list[int]] = {}
         for i, codes in enumerate(self.codes):
@@ -150,7 +147,7 @@ class Finder:
             table = keys(np.stack([self.codes[i] for i in members]), self.tables, n)
             order = np.argsort(table, axis=None, kind="stable")
             self.groups[n] = (table.ravel()[order], np.repeat(members, self.tables)[order])
-        self.ready = True
+        self.words = WordCodes()
 
     def _windows(self, codes: np.ndarray, doc: np.ndarray) -> np.ndarray:
         """Distinct (first word, words, text) of the windows to look at."""
@@ -170,14 +167,14 @@ class Finder:
 
     def find(self, texts: list[str | None]) -> list[dict[int, tuple[int, int, int]]]:
         """Per whole text: item -> (edit distance, first word, word behind the last)."""
-        if not self.ready:
+        if self.words is None:
             self._prepare()
         results: list[dict] = [{} for _ in texts]
         whole, spans = [], []  # words of the texts with windows, and windows (text, first, words)
         for start in range(0, len(texts), BLOCK):
             split = [words_of(t) for t in texts[start:start + BLOCK]]
             length = np.array([len(w) for w in split])
-            codes = _codes([w for words in split for w in words])
+            codes = self.words.of([w for words in split for w in words])
             doc, begin = np.repeat(np.arange(len(split)), length), np.cumsum(length) - length
             for first, n, text in self._windows(codes, doc).tolist():
                 spans.append((start + text, first - int(begin[text]), n))
@@ -210,10 +207,6 @@ class Finder:
             if distance <= k and best < results[text].get(item, (k + 1, 0, 0)):
                 results[text][item] = best
 
-    def __getstate__(self) -> dict:  # hashes of words do not travel between processes
-        return {"items": self.items, "share": self.share, "tables": self.tables, "ready": False}
-
-
 def _ramp(length: np.ndarray) -> np.ndarray:
     return np.arange(length.sum()) - np.repeat(np.cumsum(length) - length, length)
 
