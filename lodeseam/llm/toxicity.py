@@ -16,7 +16,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.functions import pandas_udf
 
@@ -64,11 +64,11 @@ class Linear:
 
 
 def examples(documents: DataFrame, labels: DataFrame, max_examples: int = MAX_EXAMPLES) -> DataFrame:
-    """(text, label, row): up to ``max_examples`` texts of each class, those of smallest id hash."""
-    order = Window.partitionBy("label").orderBy(F.xxhash64("doc_id"), "doc_id")
-    chosen = (doc_labels(labels, "toxic").withColumn("row", F.row_number().over(order))
-              .where(F.col("row") <= max_examples))
-    # at most 2 * max_examples ids by construction
+    """(text, label): up to ``max_examples`` texts of each class, those of smallest id hash."""
+    usable = doc_labels(labels, "toxic")
+    of_class = [usable.where(F.col("label") == k).orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_examples)
+                for k in (0, 1)]
+    chosen = of_class[0].union(of_class[1])  # at most 2 * max_examples ids by construction
     return documents.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select("text", "label")
 
 
