@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lodeseam.llm import decontaminate, lexicon, quality, token_file, toxicity, unigram
+from lodeseam.llm import decontaminate, jaccard, lexicon, quality, token_file, toxicity, unigram
 from lodeseam.llm.common import held_out, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -59,3 +59,8 @@ def op5_unigram(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op8_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.matches(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query
+def op4_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.groups(table(spark, sf_dir, "documents"))
