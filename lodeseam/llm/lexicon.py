@@ -360,7 +360,7 @@ def frequent_words(documents: DataFrame, special: dict[str, int], words: int = L
             if n >= MIN_IN_TASK and len(word) <= WIDEST:
                 for part in pre_tokens(word):
                     parts[part] += n
-        return pd.DataFrame({"word": list(parts.keys()), "n": list(parts.values())})
+        return pd.DataFrame({"word": pd.Series(list(parts.keys()), dtype=object), "n": list(parts.values())})
     counts = documents.select("text").mapInPandas(counted, "word string, n long")
     top = counts.groupBy("word").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "word").limit(words)
     return [r.word for r in top.collect()]
@@ -406,7 +406,7 @@ def _encoded(documents: DataFrame, path: str, lexicon_words: int, schema: str, s
         for batch in batches:
             start = 0
             for block in blocks(batch["text"]):
-                out = pd.DataFrame([shape(r) for r in encoder.encode(block)], columns=columns)
+                out = pd.DataFrame([shape(r) for r in encoder.encode(block)], columns=columns, dtype=object)
                 out.insert(0, "doc_id", batch["doc_id"].iloc[start:start + len(block)].to_numpy())
                 start += len(block)
                 yield out
