@@ -7,9 +7,11 @@ own band and of the next. An instance with up to k differences deals the shingle
 parts, so many that some part has at most ``spare`` differences; each part is dealt into
 ``pieces``, and every choice of pieces - spare of them is a signature. Similar sets share one.
 
-A part that is empty in both sets agrees too. Such signatures are left out where a set has fewer
-weak parts than it must share, since then a part with content is shared as well; else both sets
-emit them. So no pair is lost.
+Two unlike sets can agree on a signature that is empty or holds only shingles of some widespread
+passage. Parts with such a signature are weak. A set with fewer weak parts than it must share with a similar set
+leaves weak signatures out, since a part that is not weak is then shared as well; any other set
+leaves out no more than half of what it must share. So no pair is lost, whatever shingles are held
+to be common.
 
 Equal sets are one class from the start. Classes that share a signature are compared exactly, first
 each with the smallest class that it shares one with, then with the smallest of each signature, then those of
@@ -39,6 +41,8 @@ BLOCK = 400
 #: Up to this set size parts are cut in three pieces with one difference to spare; beyond it they
 #: are whole, which makes fewer signatures.
 FINE_SIZE = 250
+#: Shingles of more than one in so many documents are common; so many of them are kept at most.
+COMMON, MAX_COMMON = 1000, 500_000
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -86,7 +90,7 @@ def bands(largest: int) -> np.ndarray:
     return np.array(upper, np.int64)
 
 
-def signatures(sets: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+def signatures(sets: list[np.ndarray], common: np.ndarray = np.zeros(0, np.uint64)) -> tuple[np.ndarray, np.ndarray]:
     """(signature, set) of non-empty sets; the second is the set's place in the list."""
     size = np.array([len(s) for s in sets], np.int64)
     used = np.flatnonzero(size)
@@ -101,14 +105,14 @@ def signatures(sets: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
         for pieces, spare, part in ((3, 1, used[fine[used]]), (1, 0, used[~fine[used]])):
             if len(part):
                 out.append(_instance([sets[i] for i in part], part, size[part], instance[part],
-                                     upper[instance[part]], upper[band[part]], pieces, spare, bool(up)))
+                                     upper[instance[part]], upper[band[part]], pieces, spare, bool(up), common))
     return tuple(np.concatenate(c) for c in zip(*out))
 
 
-def _instance(sets, owner, size, instance, largest, own_largest, pieces, spare, up):
+def _instance(sets, owner, size, instance, largest, own_largest, pieces, spare, up, common):
     """Signatures of sets in one kind of instance, all sets at once."""
     most = 2 * largest // 7  # differences of any pair of the instance
-    parts = most // (spare + 1) + 1 + (most // (spare + 1) + 19) // 20
+    parts = most // (spare + 1) + 1 + (most // (spare + 1) + 9) * (1 + spare) // 10
     # differences of a pair with this set: its partner is no larger than 4/3 of it, nor than its band here
     partner = size * 4 // 3 if up else np.minimum(own_largest, size * 4 // 3)
     shared = parts - (size + partner) // 7 // (spare + 1)  # parts with at most ``spare`` differences
@@ -123,7 +127,8 @@ def _instance(sets, owner, size, instance, largest, own_largest, pieces, spare,
     sums = np.zeros(total * pieces, np.uint64)
     np.add.at(sums, slot, _mix(element + np.uint64(991)))
     sums = sums.reshape(total, pieces)
-    held = np.bincount(slot, minlength=total * pieces).reshape(total, pieces)
+    rare = ~np.isin(element, common)
+    held = np.bincount(slot[rare], minlength=total * pieces).reshape(total, pieces)
     if spare:  # all pieces but one
         sums = sums.sum(axis=1, keepdims=True, dtype=np.uint64) - sums
         held = held.sum(axis=1, keepdims=True) - held
@@ -131,14 +136,17 @@ def _instance(sets, owner, size, instance, largest, own_largest, pieces, spare,
     number = np.arange(total) - base[part_of]
     weak = (held == 0).any(axis=1)
     n_weak = np.bincount(part_of, weak, len(sets)).astype(np.int64)
-    emit_empty = n_weak >= shared
-    emit = (held > 0) | emit_empty[part_of][:, None]
-    if up:  # the larger set emits all, so this one may leave out what it shares to spare
-        solid = np.cumsum(~weak) - np.repeat(np.concatenate(([0], np.cumsum(~weak)))[base], parts)
-        solid_total = parts - n_weak
-        needed = np.where(emit_empty, solid_total, solid_total - (shared - n_weak - 1))
-        emit &= (weak | (solid <= needed[part_of]))[:, None]
-        emit &= ~weak[:, None] | emit_empty[part_of][:, None]
+
+    def nth(flags: np.ndarray) -> np.ndarray:
+        """How many flags are set among a set's parts up to each part."""
+        return np.cumsum(flags) - np.repeat(np.concatenate(([0], np.cumsum(flags)))[base], parts)
+    all_weak = n_weak >= shared
+    kept = all_weak[part_of] & (nth(weak) > ((shared - 1) // 2)[part_of])
+    emit = (held > 0) | kept[:, None]
+    if up:  # the larger set emits all that are not weak, so this one may leave out more of them
+        needed = np.where(all_weak, parts, parts - shared + 1)
+        emit &= (weak | (nth(~weak) <= needed[part_of]))[:, None]
+        emit &= (~weak | kept)[:, None]
     row, choice = np.nonzero(emit)
     salt = _mix((instance[part_of[row]].astype(np.uint64) << np.uint64(40)) + (number[row].astype(np.uint64) << np.uint64(8))
                 + choice.astype(np.uint64) + np.uint64(5))
@@ -157,7 +165,11 @@ def _map(df: DataFrame, per_block, schema: str, columns: list[str]) -> DataFrame
 
 
 def fingerprints(documents: DataFrame, words: int = WORDS) -> DataFrame:
-    """(doc_id, n_shingles, set_id); set_id is null for empty sets and equal for equal ones."""
+    """(doc_id, n_shingles, set_id, shingle, held): a row per document, then rows of common shingles.
+
+    set_id is null for empty sets and equal for equal ones. The rows with a shingle say in how many
+    sets of one block it occurs, if in three or more.
+    """
     id_type = documents.schema["doc_id"].dataType.simpleString()
 
     def per_block():
@@ -165,20 +177,40 @@ def fingerprints(documents: DataFrame, words: int = WORDS) -> DataFrame:
 
         def work(ids, texts):
             sets = shingle_sets(texts.to_pylist(), codes, words)
-            yield pa.RecordBatch.from_arrays(
-                [ids, pa.array([len(s) for s in sets], pa.int64()),
-                 pa.array([fingerprint(s) if len(s) else None for s in sets], pa.int64())],
-                ["doc_id", "n_shingles", "set_id"])
+            set_ids = [fingerprint(s) if len(s) else None for s in sets]
+            distinct = dict(zip(set_ids, sets))
+            shingle, held = np.unique(np.concatenate(list(distinct.values())), return_counts=True)
+            shingle, held = shingle[held > 2], held[held > 2]
+            n, m = len(sets), len(shingle)
+            for columns in ([ids, pa.array([len(s) for s in sets], pa.int64()), pa.array(set_ids, pa.int64()),
+                             pa.nulls(n, pa.int64()), pa.nulls(n, pa.int64())],
+                            [pa.nulls(m, ids.type), pa.nulls(m, pa.int64()), pa.nulls(m, pa.int64()),
+                             pa.array(shingle.view(np.int64)), pa.array(held)]):
+                yield pa.RecordBatch.from_arrays(columns, ["doc_id", "n_shingles", "set_id", "shingle", "held"])
         return work
-    return _map(documents, per_block, f"doc_id {id_type}, n_shingles long, set_id long", ["doc_id", "text"])
+    return _map(documents, per_block, f"doc_id {id_type}, n_shingles long, set_id long, shingle long, held long",
+                ["doc_id", "text"])
+
 
+def common_shingles(rows: DataFrame) -> np.ndarray:
+    """The shingles of more than one in COMMON sets, as far as the blocks have seen it, sorted.
 
-def members(documents: DataFrame, words: int = WORDS) -> DataFrame:
+    They only decide which signatures are weak, so results do not depend on them.
+    """
+    n = rows.where("n_shingles > 0").count()
+    held = rows.where("shingle is not null").groupBy("shingle").agg(F.sum("held").alias("held"))
+    top = held.where(F.col("held") * COMMON >= n).orderBy(F.desc("held"), "shingle").limit(MAX_COMMON)
+    return np.sort(top.select("shingle").toPandas()["shingle"].to_numpy(np.int64).view(np.uint64))
+
+
+def members(documents: DataFrame, common: np.ndarray, words: int = WORDS) -> DataFrame:
     """(signature, set_id, first): the sets of each signature that different sets share.
 
     ``first`` is the smallest set_id of the signature. The sorted partitions stream by; nothing is
     gathered but the last signature of a batch that may go on in the next.
     """
+    shared_common = documents.sparkSession.sparkContext.broadcast(common)
+
     def per_block():
         codes, seen = WordCodes(), set()
 
@@ -189,7 +221,7 @@ def members(documents: DataFrame, words: int = WORDS) -> DataFrame:
                     seen.add(i)
                     sets[i] = s
             if sets:
-                signature, of = signatures(list(sets.values()))
+                signature, of = signatures(list(sets.values()), shared_common.value)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(signature.view(np.int64)), pa.array(np.fromiter(sets, np.int64, len(sets))[of])],
                     ["signature", "set_id"])
@@ -265,10 +297,11 @@ def linked(pairs: DataFrame, sets: DataFrame) -> DataFrame:
 def groups(documents: DataFrame, words: int = WORDS) -> DataFrame:
     """(doc_id, n_shingles, component_id) of every row; component_id is the smallest linked doc_id."""
     documents = documents.select("doc_id", "text")
-    base = stored(fingerprints(documents, words))
+    rows = stored(fingerprints(documents, words))
+    base = rows.where("shingle is null").select("doc_id", "n_shingles", "set_id")
     classes = base.where("set_id is not null").groupBy("set_id").agg(
         F.min("doc_id").alias("doc_id"), F.count("*").alias("copies"))
-    shared = stored(members(documents, words))
+    shared = stored(members(documents, common_shingles(rows), words))
     candidates = shared.select("set_id").distinct().join(classes, "set_id").where("doc_id is not null")
     sets = stored(sets_of(documents, stored(candidates.select("doc_id", "set_id")), words))
 
