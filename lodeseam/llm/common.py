@@ -6,10 +6,10 @@ import uuid
 
 import numpy as np
 import xxhash
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from lodeseam.session import cut, shared_dir
+from lodeseam.session import cut, local_table, shared_dir
 
 #: A side of a join is broadcast up to this many (narrow) rows, and shuffled beyond it.
 SMALL_ROWS = 1_000_000
@@ -88,3 +88,22 @@ def components(edges: DataFrame) -> DataFrame:
         if after.exceptAll(edges).isEmpty() and edges.exceptAll(after).isEmpty():
             return after.select(F.col("a").alias("node"), F.col("b").alias("component"))
         edges = after
+
+
+def running_total(df: DataFrame, keys: list[str], value: str, name: str) -> DataFrame:
+    """``df`` with ``name``: the sum of ``value`` over all rows before, in the order of distinct keys.
+
+    The rows are dealt into ranges; the sums of the ranges, one per partition, go over the driver.
+    """
+    spark = df.sparkSession
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    dealt = cut(df.repartitionByRange(parts, *keys).withColumn("__part", F.spark_partition_id()))
+    total, base = 0, []
+    for r in sorted(dealt.groupBy("__part").agg(F.sum(value).alias("n")).collect(), key=lambda r: r["__part"]):
+        base.append((r["__part"], total))
+        total += r.n
+    before = Window.partitionBy("__part").orderBy(*keys).rowsBetween(Window.unboundedPreceding, -1)
+    offsets = F.broadcast(local_table(spark, base, "__part int, __base long"))  # a row per partition
+    return (dealt.join(offsets, "__part")
+            .withColumn(name, F.col("__base") + F.coalesce(F.sum(value).over(before), F.lit(0)))
+            .drop("__part", "__base"))

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lodeseam.llm import decontaminate, jaccard, lexicon, quality, token_file, toxicity, unigram
+from lodeseam.llm import decontaminate, jaccard, lexicon, line_dedup, quality, token_file, toxicity, unigram
 from lodeseam.llm.common import held_out, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -64,3 +64,9 @@ def op8_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op4_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.groups(table(spark, sf_dir, "documents"))
+
+
+@query
+def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.without_later_copies(table(spark, sf_dir, "documents").select("doc_id", "text")).select(
+        "doc_id", F.col("__n_lines").alias("n_lines"), F.col("__n_deleted").alias("n_deleted"), "text")
