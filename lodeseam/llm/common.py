@@ -23,7 +23,16 @@ def stored(df: DataFrame) -> DataFrame:
     """``df`` written as Parquet in the shared folder and read back: a cut that survives executors."""
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/table-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    option = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"  # once written, its shuffles can go
+    before = spark.conf.get(option, None)
+    spark.conf.set(option, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        if before is None:
+            spark.conf.unset(option)
+        else:
+            spark.conf.set(option, before)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -13,6 +13,10 @@ leaves weak signatures out, since a part that is not weak is then shared as well
 leaves out no more than half of what it must share. So no pair is lost, whatever shingles are held
 to be common.
 
+A signature shared by more than MANY sets is not followed up. Instead all sets that have such a
+one get signatures of a stricter scheme (half the pieces of larger parts); two similar sets that
+share no rarer signature are both among them.
+
 Equal sets are one class from the start. Classes that share a signature are compared exactly, first
 each with the smallest class that it shares one with, then with the smallest of each signature, then those of
 different groups; so a group of near copies is joined by a star and not by all its pairs.
@@ -27,12 +31,14 @@ null id is never a component's name unless all its ids are null; extra columns p
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
 from lodeseam.llm.common import WordCodes, components, sized, stored
 
@@ -41,6 +47,10 @@ BLOCK = 400
 #: Up to this set size parts are cut in three pieces with one difference to spare; beyond it they
 #: are whole, which makes fewer signatures.
 FINE_SIZE = 250
+#: (pieces, differences to spare) of the stricter scheme, and sets of a signature that call for it.
+STRICT, MANY = (6, 3), 16
+#: Shingles are counted in runs of about so many.
+COUNTED = 4_000_000
 #: Shingles of more than one in so many documents are common; so many of them are kept at most.
 COMMON, MAX_COMMON = 1000, 500_000
 _ODD = np.uint64(0x9E3779B97F4A7C15)
@@ -90,7 +100,8 @@ def bands(largest: int) -> np.ndarray:
     return np.array(upper, np.int64)
 
 
-def signatures(sets: list[np.ndarray], common: np.ndarray = np.zeros(0, np.uint64)) -> tuple[np.ndarray, np.ndarray]:
+def signatures(sets: list[np.ndarray], common: np.ndarray = np.zeros(0, np.uint64),
+               strict: bool = False) -> tuple[np.ndarray, np.ndarray]:
     """(signature, set) of non-empty sets; the second is the set's place in the list."""
     size = np.array([len(s) for s in sets], np.int64)
     used = np.flatnonzero(size)
@@ -102,7 +113,8 @@ def signatures(sets: list[np.ndarray], common: np.ndarray = np.zeros(0, np.uint6
     for up in (0, 1):
         instance = band + up
         fine = upper[np.minimum(instance, len(upper) - 1)] <= FINE_SIZE
-        for pieces, spare, part in ((3, 1, used[fine[used]]), (1, 0, used[~fine[used]])):
+        for pieces, spare, part in (((*STRICT, used),) if strict else
+                                    ((3, 1, used[fine[used]]), (1, 0, used[~fine[used]]))):
             if len(part):
                 out.append(_instance([sets[i] for i in part], part, size[part], instance[part],
                                      upper[instance[part]], upper[band[part]], pieces, spare, bool(up), common))
@@ -112,7 +124,7 @@ def signatures(sets: list[np.ndarray], common: np.ndarray = np.zeros(0, np.uint6
 def _instance(sets, owner, size, instance, largest, own_largest, pieces, spare, up, common):
     """Signatures of sets in one kind of instance, all sets at once."""
     most = 2 * largest // 7  # differences of any pair of the instance
-    parts = most // (spare + 1) + 1 + (most // (spare + 1) + 9) * (1 + spare) // 10
+    parts = most // (spare + 1) + 1 + (most // (spare + 1) + 9) * (2 if spare else 1) // 10
     # differences of a pair with this set: its partner is no larger than 4/3 of it, nor than its band here
     partner = size * 4 // 3 if up else np.minimum(own_largest, size * 4 // 3)
     shared = parts - (size + partner) // 7 // (spare + 1)  # parts with at most ``spare`` differences
@@ -129,9 +141,9 @@ def _instance(sets, owner, size, instance, largest, own_largest, pieces, spare,
     sums = sums.reshape(total, pieces)
     rare = ~np.isin(element, common)
     held = np.bincount(slot[rare], minlength=total * pieces).reshape(total, pieces)
-    if spare:  # all pieces but one
-        sums = sums.sum(axis=1, keepdims=True, dtype=np.uint64) - sums
-        held = held.sum(axis=1, keepdims=True) - held
+    if spare:  # every choice of pieces
+        chosen = np.array([np.isin(range(pieces), c) for c in combinations(range(pieces), pieces - spare)]).T
+        sums, held = sums @ chosen.astype(np.uint64), held @ chosen.astype(np.int64)
     part_of = np.repeat(np.arange(len(sets)), parts)
     number = np.arange(total) - base[part_of]
     weak = (held == 0).any(axis=1)
@@ -153,14 +165,15 @@ def _instance(sets, owner, size, instance, largest, own_largest, pieces, spare,
     return _mix(sums[row, choice] ^ salt), owner[part_of[row]]
 
 
-def _map(df: DataFrame, per_block, schema: str, columns: list[str]) -> DataFrame:
-    """``per_block`` over blocks of the columns' values, a new one for each task."""
+def _map(df: DataFrame, per_task, schema: str, columns: list[str]) -> DataFrame:
+    """Blocks of the columns' values through the generator function that ``per_task`` makes; last, None."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        work = per_block()
+        work = per_task()
         for batch in batches:
             for at in range(0, batch.num_rows, BLOCK):
                 part = batch.slice(at, BLOCK)
                 yield from work(*(part.column(part.schema.get_field_index(c)) for c in columns))
+        yield from work(*[None] * len(columns))
     return df.select(*columns).mapInArrow(run, schema)
 
 
@@ -168,32 +181,41 @@ def fingerprints(documents: DataFrame, words: int = WORDS) -> DataFrame:
     """(doc_id, n_shingles, set_id, shingle, held): a row per document, then rows of common shingles.
 
     set_id is null for empty sets and equal for equal ones. The rows with a shingle say in how many
-    sets of one block it occurs, if in three or more.
+    sets of one run it occurs, if in several.
     """
     id_type = documents.schema["doc_id"].dataType.simpleString()
 
-    def per_block():
-        codes = WordCodes()
+    def per_task():
+        codes, run = WordCodes(), {}
+
+        def counted():
+            shingle, held = np.unique(np.concatenate(list(run.values())), return_counts=True)
+            often = held >= max(3, len(run) // (2 * COMMON))
+            n = int(often.sum())
+            run.clear()
+            return [pa.nulls(n, pa.int64()), pa.nulls(n, pa.int64()), pa.array(shingle[often].view(np.int64)),
+                    pa.array(held[often])]
 
         def work(ids, texts):
-            sets = shingle_sets(texts.to_pylist(), codes, words)
-            set_ids = [fingerprint(s) if len(s) else None for s in sets]
-            distinct = dict(zip(set_ids, sets))
-            shingle, held = np.unique(np.concatenate(list(distinct.values())), return_counts=True)
-            shingle, held = shingle[held > 2], held[held > 2]
-            n, m = len(sets), len(shingle)
-            for columns in ([ids, pa.array([len(s) for s in sets], pa.int64()), pa.array(set_ids, pa.int64()),
-                             pa.nulls(n, pa.int64()), pa.nulls(n, pa.int64())],
-                            [pa.nulls(m, ids.type), pa.nulls(m, pa.int64()), pa.nulls(m, pa.int64()),
-                             pa.array(shingle.view(np.int64)), pa.array(held)]):
-                yield pa.RecordBatch.from_arrays(columns, ["doc_id", "n_shingles", "set_id", "shingle", "held"])
+            names = ["doc_id", "n_shingles", "set_id", "shingle", "held"]
+            if ids is not None:
+                sets = shingle_sets(texts.to_pylist(), codes, words)
+                set_ids = [fingerprint(s) if len(s) else None for s in sets]
+                run.update((i, s) for i, s in zip(set_ids, sets) if i is not None)
+                none = pa.nulls(len(sets), pa.int64())
+                yield pa.RecordBatch.from_arrays([ids, pa.array([len(s) for s in sets], pa.int64()),
+                                                  pa.array(set_ids, pa.int64()), none, none], names)
+            if run and (ids is None or sum(map(len, run.values())) >= COUNTED):
+                columns = counted()
+                yield pa.RecordBatch.from_arrays([pa.nulls(len(columns[0]), id_arrow), *columns], names)
         return work
-    return _map(documents, per_block, f"doc_id {id_type}, n_shingles long, set_id long, shingle long, held long",
+    id_arrow = to_arrow_type(documents.schema["doc_id"].dataType)
+    return _map(documents, per_task, f"doc_id {id_type}, n_shingles long, set_id long, shingle long, held long",
                 ["doc_id", "text"])
 
 
 def common_shingles(rows: DataFrame) -> np.ndarray:
-    """The shingles of more than one in COMMON sets, as far as the blocks have seen it, sorted.
+    """The shingles of more than one in COMMON sets, as far as the runs have seen it, sorted.
 
     They only decide which signatures are weak, so results do not depend on them.
     """
@@ -203,95 +225,132 @@ def common_shingles(rows: DataFrame) -> np.ndarray:
     return np.sort(top.select("shingle").toPandas()["shingle"].to_numpy(np.int64).view(np.uint64))
 
 
-def members(documents: DataFrame, common: np.ndarray, words: int = WORDS) -> DataFrame:
-    """(signature, set_id, first): the sets of each signature that different sets share.
+def members(documents: DataFrame, common: np.ndarray, words: int = WORDS, strict: bool = False) -> DataFrame:
+    """(signature, set_id, first, many): the sets of each signature that different sets share.
 
-    ``first`` is the smallest set_id of the signature. The sorted partitions stream by; nothing is
-    gathered but the last signature of a batch that may go on in the next.
+    ``first`` is the smallest set_id of the signature, ``many`` whether over MANY sets have it. The
+    sorted partitions stream by; no more than MANY rows of a signature are held back.
     """
     shared_common = documents.sparkSession.sparkContext.broadcast(common)
 
-    def per_block():
+    def per_task():
         codes, seen = WordCodes(), set()
 
         def work(texts):
             sets = {}
-            for s in shingle_sets(texts.to_pylist(), codes, words):
+            for s in shingle_sets([] if texts is None else texts.to_pylist(), codes, words):
                 if len(s) and (i := fingerprint(s)) not in seen:
                     seen.add(i)
                     sets[i] = s
             if sets:
-                signature, of = signatures(list(sets.values()), shared_common.value)
+                signature, of = signatures(list(sets.values()), shared_common.value, strict)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(signature.view(np.int64)), pa.array(np.fromiter(sets, np.int64, len(sets))[of])],
                     ["signature", "set_id"])
         return work
 
     def shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        # the last (signature, first, set) so far, and whether its signature is known to be shared
-        last, first, previous, open_row = None, None, None, False
+        none = np.zeros(0, np.int64)
+        held = (none, none)  # rows of the last signature so far, while they may be few
+        last, first, previous = None, None, None  # its value, its first set if it has many, its last set
+
+        def rows(sig, ids, low, many):
+            return pa.RecordBatch.from_arrays([pa.array(c) for c in (sig, ids, low, many)],
+                                              ["signature", "set_id", "first", "many"])
         for batch in batches:
             if not batch.num_rows:
                 continue
             sig, ids = (batch.column(c).to_numpy() for c in (0, 1))
-            keep = np.concatenate(([sig[0] != last or ids[0] != previous],
-                                   (sig[1:] != sig[:-1]) | (ids[1:] != ids[:-1])))
-            sig, ids = sig[keep], ids[keep]
+            new = np.concatenate(([sig[0] != last or ids[0] != previous],
+                                  (sig[1:] != sig[:-1]) | (ids[1:] != ids[:-1])))
+            last, previous, before = sig[-1], ids[-1], last
+            sig, ids = sig[new], ids[new]
+            if first is not None:  # the signature with many sets goes on
+                more = int(np.searchsorted(sig != before, True))
+                yield rows(sig[:more], ids[:more], np.full(more, first), np.ones(more, bool))
+                sig, ids = sig[more:], ids[more:]
+                if not len(sig):
+                    continue
+            sig, ids, first = np.concatenate((held[0], sig)), np.concatenate((held[1], ids)), None
             if not len(sig):
                 continue
-            if open_row:  # put the unsettled first row of the last signature back in front
-                sig, ids = np.concatenate(([last], sig)), np.concatenate(([previous], ids))
-            start = np.concatenate(([True], sig[1:] != sig[:-1]))
-            run = np.cumsum(start) - 1
-            low = ids[start]
-            goes_on = not open_row and sig[0] == last
-            if goes_on:
-                low[0] = first
-            count = np.bincount(run)
-            many = count > 1
-            many[0] |= goes_on
-            open_row = not many[-1]
-            last, first, previous = sig[-1], low[-1], ids[-1]
-            out = many[run]
-            yield pa.RecordBatch.from_arrays([pa.array(sig[out]), pa.array(ids[out]), pa.array(low[run[out]])],
-                                             ["signature", "set_id", "first"])
-    rows = _map(documents, per_block, "signature long, set_id long", ["text"])
-    return (rows.repartition("signature").sortWithinPartitions("signature", "set_id")
-            .mapInArrow(shared, "signature long, set_id long, first long"))
-
-
-def sets_of(documents: DataFrame, wanted: DataFrame, words: int = WORDS) -> DataFrame:
-    """(set_id, shingles): the sets of wanted (doc_id, set_id)."""
-    texts = documents.select("doc_id", "text").join(sized(wanted.select("doc_id").distinct()), "doc_id")
-
-    def per_block():
-        codes = WordCodes()
-
-        def work(texts):
-            sets = shingle_sets(texts.to_pylist(), codes, words)
-            yield pa.RecordBatch.from_arrays([pa.array([fingerprint(s) for s in sets], pa.int64()),
-                                              pa.array([s.tobytes() for s in sets], pa.binary())],
-                                             ["set_id", "shingles"])
-        return work
-    found = _map(texts, per_block, "set_id long, shingles binary", ["text"])
-    return found.join(wanted.select("set_id"), "set_id", "left_semi").dropDuplicates(["set_id"])
-
-
-def linked(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """The (a, b) of pairs of set ids whose sets have a Jaccard similarity of at least 3/4."""
-    def per_block():
-        def work(a, b, left, right):
-            keep = []
-            for x, y in zip(left, right):
-                x, y = (np.frombuffer(v.as_buffer(), np.uint64) for v in (x, y))
-                both = len(np.intersect1d(x, y, assume_unique=True)) if 3 * len(x) <= 4 * len(y) <= 16 / 3 * len(x) + 4 else 0
-                keep.append(100 * both >= 75 * (len(x) + len(y) - both))
-            keep = pa.array(keep, pa.bool_())
-            yield pa.RecordBatch.from_arrays([a.filter(keep), b.filter(keep)], ["a", "b"])
-        return work
-    both = (pairs.join(sets.withColumnsRenamed({"set_id": "a", "shingles": "left"}), "a")
-            .join(sets.withColumnsRenamed({"set_id": "b", "shingles": "right"}), "b"))
-    return _map(both, per_block, "a long, b long", ["a", "b", "left", "right"])
+            start = np.flatnonzero(np.concatenate(([True], sig[1:] != sig[:-1])))
+            count = np.diff(np.append(start, len(sig)))
+            emit = count > 1
+            held = (none, none)
+            if count[-1] > MANY:
+                first = ids[start[-1]]
+            else:
+                held, emit[-1] = (sig[start[-1]:], ids[start[-1]:]), False
+            out = np.repeat(emit, count)
+            yield rows(sig[out], ids[out], np.repeat(ids[start], count)[out], np.repeat(count > MANY, count)[out])
+        if len(held[0]) > 1:
+            yield rows(*held, np.full(len(held[0]), held[1][0]), np.zeros(len(held[0]), bool))
+    found = _map(documents, per_task, "signature long, set_id long", ["text"])
+    return (found.repartition("signature").sortWithinPartitions("signature", "set_id")
+            .mapInArrow(shared, "signature long, set_id long, first long, many boolean"))
+
+
+class Sets:
+    """The shingle sets of set ids, made again from the text of the smallest doc_id that has the set."""
+
+    def __init__(self, documents: DataFrame, base: DataFrame, words: int):
+        self.documents, self.words = documents, words
+        filled = base.where("set_id is not null")
+        self.classes = stored(filled.groupBy("set_id").agg(
+            F.min("doc_id").alias("doc_id"), F.count("*").alias("copies"), F.first("n_shingles").alias("n")))
+        # rows repeated with their id, and sets that only rows without id have, take a longer way
+        self.repeated = not filled.groupBy("doc_id", "set_id").count().where("count > 1").isEmpty()
+        self.nameless = not self.classes.where("doc_id is null").isEmpty()
+
+    def texts(self, set_ids: DataFrame) -> DataFrame:
+        """(set_id, text) of a document with each set; other texts of the same id may come along."""
+        named = sized(set_ids.join(self.classes.select("set_id", "doc_id"), "set_id"))
+        texts = self.documents.join(named, "doc_id").select("set_id", "text")
+        if self.nameless:
+            texts = texts.union(self.documents.where("doc_id is null").select(F.lit(None).cast("long"), "text"))
+        return texts
+
+    def of(self, set_ids: DataFrame) -> DataFrame:
+        """(set_id, shingles), one row per set."""
+        words, set_ids = self.words, stored(set_ids.distinct())
+
+        def per_task():
+            codes = WordCodes()
+
+            def work(ids, texts):
+                if ids is not None:
+                    sets = shingle_sets(texts.to_pylist(), codes, words)
+                    own = [fingerprint(s) if len(s) else None for s in sets]
+                    right = pa.array([o is not None and i in (None, o) for o, i in zip(own, ids.to_pylist())], pa.bool_())
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(own, pa.int64()).filter(right),
+                         pa.array([s.tobytes() for s in sets], pa.binary()).filter(right)], ["set_id", "shingles"])
+            return work
+        sets = _map(self.texts(set_ids), per_task, "set_id long, shingles binary", ["set_id", "text"])
+        if self.nameless:
+            sets = sets.join(set_ids, "set_id", "left_semi")
+        return stored(sets.dropDuplicates(["set_id"]) if self.repeated or self.nameless else sets)
+
+    def linked(self, pairs: DataFrame) -> DataFrame:
+        """The (a, b) of pairs of set ids whose sets have a Jaccard similarity of at least 3/4."""
+        sets = self.of(pairs.select(F.explode(F.array("a", "b")).alias("set_id")))
+
+        def per_task():
+            def work(a, b, left, right):
+                if a is None:
+                    return
+                keep = []
+                for x, y in zip(left, right):
+                    x, y = (np.frombuffer(v.as_buffer(), np.uint64) for v in (x, y))
+                    both = len(np.intersect1d(x, y, assume_unique=True))
+                    keep.append(100 * both >= 75 * (len(x) + len(y) - both))
+                keep = pa.array(keep, pa.bool_())
+                yield pa.RecordBatch.from_arrays([a.filter(keep), b.filter(keep)], ["a", "b"])
+            return work
+        both = (pairs.join(sets.withColumnsRenamed({"set_id": "a", "shingles": "left"}), "a")
+                .join(sets.withColumnsRenamed({"set_id": "b", "shingles": "right"}), "b"))
+        return _map(both, per_task, "a long, b long", ["a", "b", "left", "right"])
 
 
 def groups(documents: DataFrame, words: int = WORDS) -> DataFrame:
@@ -299,23 +358,28 @@ def groups(documents: DataFrame, words: int = WORDS) -> DataFrame:
     documents = documents.select("doc_id", "text")
     rows = stored(fingerprints(documents, words))
     base = rows.where("shingle is null").select("doc_id", "n_shingles", "set_id")
-    classes = base.where("set_id is not null").groupBy("set_id").agg(
-        F.min("doc_id").alias("doc_id"), F.count("*").alias("copies"))
-    shared = stored(members(documents, common_shingles(rows), words))
-    candidates = shared.select("set_id").distinct().join(classes, "set_id").where("doc_id is not null")
-    sets = stored(sets_of(documents, stored(candidates.select("doc_id", "set_id")), words))
-
-    stars = shared.where("set_id <> first").groupBy("set_id").agg(F.min("first").alias("b")).select(
-        F.col("set_id").alias("a"), "b")
-    done, links = stored(stars), None
-    links = stored(linked(done, sets))
-    for step in (_first_pairs, _other_pairs):
+    sets = Sets(documents, base, words)
+    common = common_shingles(rows)
+    found = stored(members(documents, common, words))
+    shared = found.where("not many").drop("many")
+    crowded = stored(found.where("many").select("set_id").distinct())
+    if not crowded.isEmpty():
+        shared = shared.union(stored(members(sets.texts(crowded), common, words, strict=True)).drop("many"))
+    close = shared.where("set_id <> first").select(F.col("set_id").alias("a"), F.col("first").alias("b")).distinct()
+    sizes = sets.classes.select("set_id", "n")
+    close = stored(_close(close, sizes))
+
+    done = stored(close.groupBy("a").agg(F.min("b").alias("b")))
+    links = stored(sets.linked(done))
+    for late in (False, True):
         names = components(links)
-        pairs = stored(step(shared, names).join(done, ["a", "b"], "left_anti"))
-        links = stored(links.union(linked(pairs, sets)))
+        pairs = _close(_other_pairs(shared, names), sizes) if late else _apart(close, names)
+        pairs = stored(pairs.join(done, ["a", "b"], "left_anti"))
+        links = stored(links.union(sets.linked(pairs)))
         done = done.union(pairs)
 
     names = components(links)
+    classes = sets.classes
     named = classes.join(names, classes["set_id"] == names["node"], "left").select(
         "set_id", "doc_id", "copies", F.coalesce("component", "set_id").alias("component"))
     lowest = named.groupBy("component").agg(F.min("doc_id").alias("component_id"), F.sum("copies").alias("size"))
@@ -330,12 +394,19 @@ def _named(rows: DataFrame, names: DataFrame, column: str, name: str) -> DataFra
     return rows.join(names, column, "left").withColumn(name, F.coalesce(name, column))
 
 
-def _first_pairs(shared: DataFrame, names: DataFrame) -> DataFrame:
-    """Sets and the first of their signatures, where those are in different groups."""
-    pairs = shared.where("set_id <> first").select(F.col("set_id").alias("a"), F.col("first").alias("b")).distinct()
+def _apart(pairs: DataFrame, names: DataFrame) -> DataFrame:
+    """The pairs of sets that are in different groups."""
     return _named(_named(pairs, names, "a", "x"), names, "b", "y").where("x <> y").select("a", "b")
 
 
+def _close(pairs: DataFrame, sizes: DataFrame) -> DataFrame:
+    """The pairs of sets whose sizes allow a similarity of 3/4."""
+    def of(column, name):
+        return sizes.select(F.col("set_id").alias(column), F.col("n").alias(name))
+    return (pairs.join(of("a", "n"), "a").join(of("b", "m"), "b")
+            .where("3 * n <= 4 * m and 3 * m <= 4 * n").select("a", "b"))
+
+
 def _other_pairs(shared: DataFrame, names: DataFrame) -> DataFrame:
     """Sets of one signature that are in different groups; signatures within a group drop out."""
     rows = _named(shared.select("signature", "set_id"), names, "set_id", "name")
