@@ -1,23 +1,63 @@
-"""The corpus pipeline: quality classifier, and the stages to come."""
+"""The corpus pipeline: quality, line dedup, near duplicates, decontamination, then BPE.
+
+Every stage but the last takes and returns all columns of ``documents`` and works on whatever the stage before
+kept. Null texts count as empty; rows with a null doc_id are kept or dropped by their text alone.
+"""
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lodeseam.llm import quality
-from lodeseam.llm.common import stored, table
+from lodeseam.llm import decontaminate, jaccard, lexicon, line_dedup, quality
+from lodeseam.llm.common import sized, stored, table
 
 
-def good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents that the quality classifier scores 0.3 or more."""
     model = quality.fit(docs, table(spark, sf_dir, "labels"))
-    return (docs.withColumn("__score", quality.score(model, F.col("text")))
-            .where("__score >= 0.3").drop("__score"))
+    scored = docs.withColumn("__score", quality.score(model, F.col("text")))
+    return scored.where(F.col("__score") >= 0.3).drop("__score")
+
+
+def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The documents without later copies of repeated line runs; one that loses all its lines goes.
+
+    ``n_chars`` follows the text where it changes.
+    """
+    cleaned = line_dedup.without_later_copies(docs).where("__n_deleted = 0 or __n_deleted < __n_lines")
+    if "n_chars" in docs.columns:
+        kept = docs.schema["n_chars"].dataType
+        cleaned = cleaned.withColumn("n_chars", F.when(F.col("__n_deleted") > 0, F.length("text").cast(kept))
+                                     .otherwise(F.col("n_chars")))
+    return cleaned.select(*docs.columns)
+
+
+def keep_one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of documents linked by word shingles, directly or not, the one of smallest id.
+
+    Rows that share their id are judged together: all go if their id is not the component's.
+    """
+    found = jaccard.groups(docs)
+    others = stored(found.where("doc_id <> component_id").select(F.col("doc_id").alias("__id")).distinct())
+    return docs.join(sized(others), docs["doc_id"] == F.col("__id"), "left_anti")
+
+
+def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The documents that hold no benchmark item."""
+    found = decontaminate.contaminated(table(spark, sf_dir, "benchmark"), F.col("text"))
+    return docs.withColumn("__found", found).where(~F.col("__found")).drop("__found")
+
+
+def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """doc_id, n_tokens, ids_sha256 and decoded_sha256 of each text that is left."""
+    return lexicon.digests(docs, public_tokenizers.path("word_bpe_49k.json"))
 
 
-STAGES = [("quality", good)]
-#: The stages score, hash and embed text in ways that SQL does not express.
+STAGES = [("quality", keep_good), ("line dedup", drop_repeated_lines), ("near duplicates", keep_one_of_each_group),
+          ("decontamination", drop_contaminated), ("bpe", encode)]
+#: SQL expresses neither the trained score nor the tokenizer; the tests compare with brute force.
 ORACLE_SQL = None
 
 

@@ -248,10 +248,12 @@ def contaminated(benchmark: DataFrame, text: Column, share: float = SHARE) -> Co
     """Whether a text column holds any item."""
     result = F.lit(False)
     for _, finder in finders(benchmark, share):
-        shared = benchmark.sparkSession.sparkContext.broadcast(finder)
-
-        @pandas_udf("boolean")
-        def holds(texts: pd.Series, shared=shared) -> pd.Series:
-            return pd.Series([bool(found) for found in shared.value.find(list(texts))], dtype=bool)
-        result = result | holds(text)
+        result = result | _holds(benchmark.sparkSession.sparkContext.broadcast(finder))(text)
     return result
+
+
+def _holds(shared):
+    @pandas_udf("boolean")
+    def holds(texts: pd.Series) -> pd.Series:
+        return pd.Series([bool(found) for found in shared.value.find(list(texts))], dtype=bool)
+    return holds

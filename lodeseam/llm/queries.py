@@ -8,8 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lodeseam.llm import decontaminate, jaccard, lexicon, line_dedup, quality, token_file, toxicity, unigram
-from lodeseam.llm.common import held_out, table
+from lodeseam.llm import decontaminate, jaccard, lexicon, line_dedup, permutation, preference, quality, token_file, toxicity, unigram
+from lodeseam.llm.common import held_out, stored, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -70,3 +70,19 @@ def op4_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.without_later_copies(table(spark, sf_dir, "documents").select("doc_id", "text")).select(
         "doc_id", F.col("__n_lines").alias("n_lines"), F.col("__n_deleted").alias("n_deleted"), "text")
+
+
+@query
+def op6_permutation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return permutation.search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
+
+
+@query
+def op9_preference(spark: SparkSession, sf_dir: str) -> DataFrame:
+    conversations = stored(preference.conversations_of(table(spark, sf_dir, "conversations")))
+    # the table holds no verdicts: conversations with the same opening, and neighbours, make the pairs
+    pairs = preference.same_opening(conversations).union(preference.neighbours(conversations)).distinct()
+    return preference.completions(conversations, pairs)
+
+
+ORACLES["op9_preference"] = preference.SQL
