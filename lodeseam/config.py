@@ -10,6 +10,7 @@ from dataclasses import dataclass, replace
 
 COUNT, AMOUNT = "target_cnt", "target_amt"
 
+# The names of the rankings.
 RANKINGS = {
     "target_catch": ("target_catch",),
     "target_rate": ("target_rate",),
@@ -50,24 +51,27 @@ class SearchParams:
     lvl_limit: int = 4
     min_block_size: float = 0.01
     overlap: float = 0.5
-    trunc_cutoff: int = 1_000_000
-    trunc_cp_size: int = 25
-    max_combination: int = 300
-    long_list: int = 10          # a key holding more patterns than this is shortened ...
-    per_checkpoint: int = 3      # ... to this many of each checkpoint
+    mode: str = "itemsets"       # how conditions combine: exact item sets, or greedy walks
+    # The next four leave things out, so they are off unless asked for.
+    recent_rows: int | None = None      # profile only so many rows of a (key, checkpoint)
+    top_values: int | None = None       # look at so many values of a string variable
+    walk_seeds: int | None = None       # start walks at so many nodes of a component
+    long_list: int | None = None        # a key holding more patterns than this is shortened ...
+    per_checkpoint: int = 3             # ... to this many of each checkpoint
     weight_floor: float = 0.01
     lift: float = 1.0            # > 1 raises the univariate rate gates
     coverage_cap: float | None = None   # share of a variable's catch one value bin may hold
     best_first: bool = False     # merge string values by rate instead of by size
     discrete_max: int = 0        # numeric variables with at most this many values use equality
     strip_quotes: bool = False   # also drop quote characters from string values
-    itemset_cap: int | None = None      # keep only the best supported sets, if wanted
     include_nodes_edges: bool = False   # the wider walk search: every node and edge as well
     search_scope: str = "single"
 
     def __post_init__(self):
         if self.eval_metric not in (COUNT, AMOUNT):
             raise ValueError(f"eval_metric must be {COUNT!r} or {AMOUNT!r}")
+        if self.mode not in ("itemsets", "walk"):
+            raise ValueError("mode must be 'itemsets' or 'walk'")
         if self.search_scope not in ("single", "dual"):
             raise ValueError("search_scope must be 'single' or 'dual'")
         if self.rank_priority not in RANKINGS:

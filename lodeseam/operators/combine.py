@@ -75,10 +75,13 @@ def weighted_sets(lists: DataFrame) -> DataFrame:
 
 def key_sets(lists: DataFrame) -> DataFrame:
     """Item lists per key alone: accounts of a key pooled, the largest weight kept."""
-    pooled = (lists.groupBy("key")
-              .agg(F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"),
-                   F.max("weight").alias("weight")))
-    return weighted_sets(pooled)
+    # a key's items are pooled as distinct rows: a key with very many accounts shrinks within map tasks
+    held = lists.select("key", F.explode("items").alias("item")).distinct()
+    items = held.groupBy("key").agg(F.array_sort(F.collect_list("item")).alias("items"))
+    weight = lists.groupBy("key").agg(F.max("weight").alias("weight"))
+    empty = F.array().cast(lists.schema["items"].dataType)
+    return weighted_sets(weight.join(items, "key", "left").select(
+        "key", F.coalesce("items", empty).alias("items"), "weight"))
 
 
 def extension_support(sets: DataFrame, prefixes: list[Itemset], n: int,
@@ -180,10 +183,11 @@ def components(nodes: DataFrame, edges: DataFrame) -> DataFrame:
             return labels
 
 
-def walk_seeds(labels: DataFrame, edges: DataFrame, limit: int, seed: int = 42) -> DataFrame:
+def walk_seeds(labels: DataFrame, edges: DataFrame, limit: int | None = None,
+               seed: int = 42) -> DataFrame:
     """(component, item) to start walks from, for components of more than two nodes.
 
-    All nodes when they fit the limit; otherwise a draw without replacement weighted by degree,
+    All nodes without a limit or when they fit it; otherwise a draw without replacement weighted by degree,
     by the exponential-key method with a hash as the random number.
     """
     degree = (edges.select(F.col("a").alias("item")).unionAll(edges.select(F.col("b").alias("item")))
@@ -193,7 +197,8 @@ def walk_seeds(labels: DataFrame, edges: DataFrame, limit: int, seed: int = 42)
     place = F.row_number().over(W.partitionBy("component").orderBy(
         -F.log(u) / F.col("degree"), "item"))
     return (labels.join(degree, "item").withColumns({"_size": size, "_place": place})
-            .where((F.col("_size") > 2) & (F.col("_place") <= limit)).select("component", "item"))
+            .where((F.col("_size") > 2) & (F.lit(limit is None) | (F.col("_place") <= (limit or 0))))
+            .select("component", "item"))
 
 
 def small_component_sets(labels: DataFrame, nodes: DataFrame, edges: DataFrame) -> DataFrame:
@@ -272,33 +277,34 @@ def checkpoint_filter(sets: DataFrame, cps: str = "checkpoints",
 class Combination:
     mode: str
     sets: dict[Itemset, float]
-    was_cut: bool = False
 
 
-def choose_mode(edge_count: int, tree_count: int, params: SearchParams) -> str:
-    return "walk" if edge_count > params.max_combination or tree_count < 2 else "itemsets"
+def choose_mode(params: SearchParams) -> str:
+    """The search that was asked for; no size decides it."""
+    return params.mode
 
 
-def combine(lists: DataFrame, checkpoints: list[str], tree_count: int, sup_n: float,
+def combine(lists: DataFrame, checkpoints: list[str], sup_n: float,
             params: SearchParams) -> Combination:
-    """Pick the search the size of the graph calls for and return the candidate sets."""
-    n = len(checkpoints)
-    by_key = key_sets(lists).persist()
-    pairs = pair_support(by_key, n).persist()
-    edge_rows = pairs.where((F.col("a") < F.col("b")) & (F.col("support") >= sup_n)).collect()
-    mode = choose_mode(len(edge_rows), tree_count, params)
+    """The candidate sets of the search that ``params.mode`` names."""
+    n, mode = len(checkpoints), choose_mode(params)
     if mode == "itemsets":
-        order = frequency_order(item_frequency(lists, checkpoints), n)
-        short = weighted_sets(lists.withColumn("items", shorten(
-            F.col("items"), checkpoints, order, params.long_list, params.per_checkpoint))).persist()
-        sets = frequent_sets(short, checkpoints, sup_n, params.lvl_limit)
-        short.unpersist()
+        if params.long_list is not None:
+            order = frequency_order(item_frequency(lists, checkpoints), n)
+            lists = lists.withColumn("items", shorten(
+                F.col("items"), checkpoints, order, params.long_list, params.per_checkpoint))
+        whole = weighted_sets(lists).persist()
+        sets = frequent_sets(whole, checkpoints, sup_n, params.lvl_limit)
+        whole.unpersist()
     else:
+        by_key = key_sets(lists).persist()
+        pairs = pair_support(by_key, n).persist()
+        edge_rows = pairs.where((F.col("a") < F.col("b")) & (F.col("support") >= sup_n)).collect()
         nodes, edges = cooccurrence(pairs, sup_n)
         labels = components(nodes, edges)
         sets = {tuple(r["items"]): r.support
                 for r in small_component_sets(labels, nodes, edges).collect()}
-        seeds = [r["item"] for r in walk_seeds(labels, edges, params.max_combination)
+        seeds = [r["item"] for r in walk_seeds(labels, edges, params.walk_seeds)
                  .orderBy("item").collect()]
         if params.include_nodes_edges:
             sets.update({tuple(r["items"]): r.support
@@ -306,7 +312,6 @@ def combine(lists: DataFrame, checkpoints: list[str], tree_count: int, sup_n: fl
         sizes = {r["item"]: r["size"] for r in nodes.collect()}
         sets.update(greedy_walks(by_key, seeds, sizes, {(r.a, r.b) for r in edge_rows},
                                  checkpoints, sup_n, params.lvl_limit))
-    pairs.unpersist()
-    by_key.unpersist()
-    sets, was_cut = cap_sets(distinct_checkpoint_sets(sets, checkpoints), params.itemset_cap)
-    return Combination(mode, sets, was_cut)
+        pairs.unpersist()
+        by_key.unpersist()
+    return Combination(mode, distinct_checkpoint_sets(sets, checkpoints))

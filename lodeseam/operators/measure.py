@@ -7,6 +7,9 @@ small aggregation gives the numbers. A busy key therefore shrinks on the map sid
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -77,7 +80,8 @@ def measure_pattern(population: DataFrame, activity: DataFrame, pattern: list[Co
     registry = (registry or Registry.default()).for_roles(population.columns)
     met = [F.max(F.when(c.column(), 1).otherwise(0)).alias(f"_c{i}")
            for i, c in enumerate(pattern)]
-    keys = (activity.groupBy("key").agg(*met)
+    some = reduce(or_, [c.column() for c in pattern])  # reaches the scan: other rows decide nothing
+    keys = (activity.where(some).groupBy("key").agg(*met)
             .where(" AND ".join(f"_c{i} = 1" for i in range(len(pattern))))
             .select("key", F.lit(1).alias("_hit")))
     sums = (population.groupBy("key").agg(*registry.sum_columns()).join(keys, "key", "left")
@@ -150,7 +154,3 @@ def measure_patterns(population: DataFrame, words: DataFrame, patterns: list[tup
                       "pattern_id int")
     measured = out.withColumn("pattr_fscore", fscore(F.col(f"{metric}_rate"), share))
     return ids.join(measured.drop("_total"), "pattern_id", "left").fillna(0.0)
-
-
-def catch_column(metric: str) -> str:
-    return "target_amt" if metric == AMOUNT else "target_cnt"

@@ -108,16 +108,24 @@ def concentration(sizes: DataFrame, metric: str) -> DataFrame:
             .where("concentration is not null"))
 
 
-def top_values(sizes: DataFrame, rules: VariableRules, k: int = 10) -> DataFrame:
-    """The k largest string values per pair, ignored values left out, value text as tiebreak."""
+def top_values(sizes: DataFrame, rules: VariableRules, k: int | None = 10,
+               over: float | None = None) -> DataFrame:
+    """The k largest string values per pair, or all of a size over ``over``, by rank.
+
+    Ignored values are left out; value text is the tiebreak. The sizes of a variable add up to no more than its
+    rows, so a bound that is a share of the outcome bounds the number of values as well.
+    """
+    kept = sizes.where(keep_value(F.col("value"), rules.ignore_values))
+    if over is not None:
+        kept = kept.where(F.col("size") > over)
     rank = F.row_number().over(W.partitionBy(*PAIR).orderBy(F.col("size").desc(), "value"))
-    return (sizes.where(keep_value(F.col("value"), rules.ignore_values))
-            .withColumn("rank", rank).where(F.col("rank") <= k))
+    ranked = kept.withColumn("rank", rank)
+    return ranked if k is None else ranked.where(F.col("rank") <= k)
 
 
 def account_counts(top: DataFrame, outcome: DataFrame, features: list[Feature]) -> DataFrame:
-    """Add the exact number of accounts behind each top value (k rows per pair: broadcast)."""
-    wanted = F.broadcast(top.select(*PAIR, "value"))
+    """Add the exact number of accounts behind each of these values."""
+    wanted = top.select(*PAIR, "value")
     strings = [f for f in features if f.type == "string"]
     counts = (long_values(outcome, strings).join(wanted, [*PAIR, "value"])
               .select(*PAIR, "value", "acct").distinct()

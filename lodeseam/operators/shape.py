@@ -8,8 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from ..config import (KEY_TYPE_SUFFIX, KEY_VALUE_SUFFIX, ROLE_COPY_CHECKPOINTS, Feature,
-                      SearchParams)
+from ..config import KEY_TYPE_SUFFIX, KEY_VALUE_SUFFIX, ROLE_COPY_CHECKPOINTS, Feature
 
 SPARK_TYPE = {"string": "string", "numeric": "double", "bool": "boolean"}
 
@@ -31,15 +30,10 @@ def recent_rows(activity: DataFrame, k: int, tiebreak: tuple[str, ...] = ()) ->
     return activity.withColumn("_rank", rank).where(F.col("_rank") <= k).drop("_rank")
 
 
-def limited_outcome(activity: DataFrame, size: int, params: SearchParams,
-                    tiebreak: tuple[str, ...] = ()) -> DataFrame:
-    """Outcome activity for profiling, shortened only when it is over the size limit."""
+def profiled_outcome(activity: DataFrame, k: int | None, tiebreak: tuple[str, ...] = ()) -> DataFrame:
+    """Outcome activity for profiling: all of it, or the latest ``k`` rows of each (key, checkpoint)."""
     outcome = outcome_activity(activity)
-    if size <= params.trunc_cutoff:
-        return outcome
-    return (recent_rows(outcome, params.trunc_cp_size, tiebreak)
-            .orderBy("key", "checkpoint", F.col("timestamp").desc(), *tiebreak)
-            .limit(params.trunc_cutoff))
+    return outcome if k is None else recent_rows(outcome, k, tiebreak)
 
 
 def null_columns(df: DataFrame) -> list[str]:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
@@ -30,12 +31,17 @@ class Job:
     exclusion_table: str | None = None
     exclusion_segments: str | None = None  # JSON list of {"name": .., "value": ..}
     deprecated: tuple[str, ...] = ()
-    tag_table: str = "pattern_tags"
+    tiebreak: tuple[str, ...] = ()         # orders rows of equal time, for params.recent_rows
+    tag_table: str = "pattern_tags"        # the run's ids are appended: each run has its own
     pattern_table: str = "pattern_results"
     condition_table: str = "condition_results"
     log_table: str = "pattern_jobs"
     retention_days: int = 14
 
+    def tags(self) -> str:
+        """The name of this run's table of tags."""
+        return "_".join([self.tag_table, *(re.sub(r"\W", lambda m: f"_{ord(m[0]):x}_", i) for i in self.ids.values())])
+
     def kinds(self) -> tuple[str, str, str]:
         if "job_id" in self.ids:
             return "service_result", "service_act_res", "service_log"
@@ -49,24 +55,30 @@ def run(spark: SparkSession, job: Job) -> MiningResult:
                (job.log_table, log_kind))
     for table, kind in outputs:
         results.ensure_table(spark, table, kind)
-        results.clear_run(spark, table, kind, job.ids)
+    results.drop_if_expired(spark, job.tags())
     population = tables.read_population(spark, job.population, job.roles, job.row_filter,
                                         job.input_format)
     activity = tables.read_activity(spark, job.activity, job.roles, job.row_filter,
                                     job.input_format)
-    config = shape.expand_config(tables.read_feature_config(spark, job.feature_config),
-                                 job.params.search_scope, list(job.deprecated))
+    listed = tables.read_feature_config(spark, job.feature_config)
+    names = {r[0] for r in listed.select("variable name").distinct().collect()}  # rule-sized
+    held = [f"`{c}`" for c in activity.columns if c in names]
+    missing = shape.null_columns(shape.outcome_activity(activity).select(*held)) if held else []
+    config = shape.expand_config(listed, job.params.search_scope, list(job.deprecated), missing)
     rules = tables.read_variable_rules(spark, job.rules_path) if job.rules_path else VariableRules()
     registry = Registry.load(spark, job.metrics_path) if job.metrics_path else None
     found = mine(population, activity, shape.collect_features(config), job.params, rules,
-                 _exclusions(spark, job), registry)
-    if found.found:
-        results.write_tagged(found.tagged, job.tag_table, job.retention_days)
+                 _exclusions(spark, job), registry, job.tiebreak)
+    if not found.found:  # what an earlier run wrote goes only after a search that found nothing
+        for table, kind in outputs:
+            results.clear_run(spark, table, kind, job.ids)
+    else:
+        results.write_tagged(found.tagged, job.tags(), job.retention_days)
         results.write_run(results.pattern_rows(spark, found.patterns), job.pattern_table,
                           pattern_kind, job.ids)
         results.write_run(results.condition_rows(found.condition_catalog), job.condition_table,
                           condition_kind, job.ids)
-        results.write_run(results.job_row(spark, job.tag_table, job.retention_days),
+        results.write_run(results.job_row(spark, job.tags(), job.retention_days),
                           job.log_table, log_kind, job.ids)
     found.release()
     return found

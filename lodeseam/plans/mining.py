@@ -20,7 +20,11 @@ from ..operators.binning import CellTable, Gate, make_plans, run_searches
 from ..operators.combine import combine, item_lists
 from ..operators.measure import kpi_by_test, measure_patterns, roles_of, thresholds
 from ..operators.trees import MaskTable, Node, Scored, grow_trees, leaf_nodes, to_condition
-from ..session import local_table, tune
+from ..session import local_table, tuned
+
+
+#: Columns of the activity that the search reads besides the configured features.
+ACTIVITY_ROLES = ("key", "acct", "tag", "amt", "gloss", "nloss", "checkpoint", "timestamp")
 
 
 @dataclass
@@ -65,13 +69,16 @@ def eligible_features(sizes: DataFrame, features: list[Feature],
 
 
 def profile_strings(strings: DataFrame, outcome: DataFrame, features: list[Feature],
-                    rules: VariableRules, exclusions: DataFrame | None
-                    ) -> dict[tuple[str, str], list]:
-    """Top values of each string feature as (value, used by several accounts)."""
+                    rules: VariableRules, exclusions: DataFrame | None, k: int | None,
+                    over: float) -> dict[tuple[str, str], list]:
+    """Values of each string feature as (value, used by several accounts), the largest first.
+
+    A value that does not catch more than ``over`` by itself cannot enter a bin.
+    """
     wanted = [f for f in features if f.type == "string"]
     if not wanted:
         return {}
-    best = shape.not_excluded(profile.top_values(strings, rules), exclusions)
+    best = shape.not_excluded(profile.top_values(strings, rules, k, over), exclusions)
     top: dict[tuple[str, str], list] = {}
     for r in profile.account_counts(best, outcome, wanted).orderBy(
             "checkpoint", "variable", "rank").collect():
@@ -111,7 +118,8 @@ def qualified_conditions(activity: DataFrame, outcome: DataFrame, features: list
     numbers = profile.number_values(outcome, features, metric).persist()
     sizes = [df.select("checkpoint", "variable", "size") for df in (strings, numbers)]
     features = eligible_features(sizes[0].unionByName(sizes[1]), features, params)
-    top = profile_strings(strings, outcome, features, rules, exclusions)
+    top = profile_strings(strings, outcome, features, rules, exclusions, params.top_values,
+                          gate.min_block)
     cuts, discrete = profile_numbers(numbers, features, params, rules)
     strings.unpersist()
     numbers.unpersist()
@@ -162,8 +170,17 @@ def mine(population: DataFrame, activity: DataFrame, features: list[Feature],
     metric = params.eval_metric
     if metric != COUNT and "amt" not in population.columns:
         raise ValueError("an amount role is needed to search by amount")
-    tune(population.sparkSession)
+    with tuned(population.sparkSession):
+        return _search(population, activity, features, params, rules, exclusions, registry, tiebreak)
+
+
+def _search(population: DataFrame, activity: DataFrame, features: list[Feature], params: SearchParams,
+            rules: VariableRules, exclusions: DataFrame | None, registry: Registry | None,
+            tiebreak: tuple[str, ...]) -> MiningResult:
+    metric = params.eval_metric
     features = [f for f in features if f.variable in activity.columns]
+    used = {f.variable for f in features}
+    activity = activity.select(*[f"`{c}`" for c in activity.columns if c in ACTIVITY_ROLES or c in used or c in tiebreak])
     activity = shape.typed(activity, {f.variable: f.type for f in features}, params.strip_quotes)
     result = MiningResult(False)
     kpis = {r.checkpoint: r for r in checkpoint_kpis(activity, metric).collect()}
@@ -173,7 +190,7 @@ def mine(population: DataFrame, activity: DataFrame, features: list[Feature],
     limits = thresholds(population, params).first()
     gate = Gate.of(limits, params)
     supported = {cp for cp, r in kpis.items() if r.target_catch >= gate.sup_n}
-    outcome = shape.limited_outcome(activity, size, params, tiebreak).persist()
+    outcome = shape.profiled_outcome(activity, params.recent_rows, tiebreak).persist()
     result.cached.append(outcome)
     result.conditions = qualified_conditions(activity, outcome, features, supported, params,
                                              rules, gate, exclusions)
@@ -187,12 +204,12 @@ def mine(population: DataFrame, activity: DataFrame, features: list[Feature],
     if not leaves:
         return _done(result)
     tests = [(n.checkpoint, n.atoms) for n in leaves]
-    cut_short = size > params.trunc_cutoff
-    source = MaskTable(outcome, result.conditions, metric) if cut_short else masks
+    result.was_cut = params.recent_rows is not None
+    source = MaskTable(outcome, result.conditions, metric) if result.was_cut else masks
     lists = item_lists(source.hits(tests), metric, params.weight_floor).persist()
-    combined = combine(lists, [n.checkpoint for n in leaves], len(roots), gate.sup_n, params)
+    combined = combine(lists, [n.checkpoint for n in leaves], gate.sup_n, params)
     lists.unpersist()
-    result.mode, result.was_cut = combined.mode, combined.was_cut
+    result.mode = combined.mode
     sets = sorted(s for s in combined.sets if len(s) <= params.lvl_limit)
     if not sets:
         return _done(result)

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import tempfile
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -32,14 +34,25 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def tune(spark: SparkSession) -> None:
-    """Session settings the search relies on for speed; results do not depend on them.
+@contextmanager
+def tuned(spark: SparkSession) -> Iterator[None]:
+    """Session settings the search relies on for speed, put back afterwards; results do not depend on them.
 
     The JVM never compiles methods over 8000 bytes. The wide projections that turn rows into
     bits exceed that when fused into one method, so Spark is told to split them instead.
     """
-    spark.conf.set("spark.sql.codegen.hugeMethodLimit", "8000")
-    spark.conf.set("spark.sql.adaptive.enabled", "true")
+    wanted = {"spark.sql.codegen.hugeMethodLimit": "8000", "spark.sql.adaptive.enabled": "true"}
+    before = {name: spark.conf.get(name, None) for name in wanted}
+    try:
+        for name, value in wanted.items():
+            spark.conf.set(name, value)
+        yield
+    finally:
+        for name, value in before.items():
+            if value is None:
+                spark.conf.unset(name)
+            else:
+                spark.conf.set(name, value)
 
 
 def local_table(spark: SparkSession, rows: list[tuple], schema: str) -> DataFrame:

@@ -70,7 +70,11 @@ def read_activity(spark, source, roles: Roles, row_filter=None, fmt=None) -> Dat
 
 def read_feature_config(spark: SparkSession, path: str) -> DataFrame:
     """The CSV by column name; a missing ``key_value`` column is read as null."""
-    raw = spark.read.option("header", True).csv(path)
+    return feature_columns(spark.read.option("header", True).csv(path))
+
+
+def feature_columns(raw: DataFrame) -> DataFrame:
+    """The configuration's columns by name and type, absent ones as null."""
     return raw.select(*[
         (F.col(f"`{f.name}`").cast(f.dataType) if f.name in raw.columns
          else F.lit(None).cast(f.dataType)).alias(f.name)

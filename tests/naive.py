@@ -49,7 +49,9 @@ class Naive:
                 accts.add(r["acct"])
         size = {v: sum(a or 0 for a in k.values()) if self.amount else len(k)
                 for v, (k, _) in sizes.items()}
-        top = sorted(size, key=lambda v: (-size[v], v))[:10]
+        top = sorted(size, key=lambda v: (-size[v], v))[:self.p.top_values]
+        if self.p.top_values is None:
+            top = [v for v in top if size[v] > self.block]
         bins = []
         for v in top:
             if v in ("NULL", "UNKNOWN", "None") or len(sizes[v][1]) < 2:

@@ -95,9 +95,8 @@ def test_null_columns_and_modes(spark):
     df = local_table(spark, [("a", None, 1), ("b", None, None)], "x string, y string, z int")
     assert shape.null_columns(df) == ["y"] and shape.drop_null_columns(df).columns == ["x", "z"]
     params = SearchParams()
-    assert combine.choose_mode(301, 3, params) == "walk"
-    assert combine.choose_mode(300, 3, params) == "itemsets"
-    assert combine.choose_mode(10, 1, params) == "walk"
+    assert combine.choose_mode(params) == "itemsets"
+    assert combine.choose_mode(SearchParams(mode="walk")) == "walk"
     sets = {(0,): 5.0, (1,): 7.0, (0, 1): 5.0}
     assert combine.cap_sets(sets, 2) == ({(1,): 7.0, (0,): 5.0}, True)
     assert combine.cap_sets(sets, None) == (sets, False)
@@ -114,6 +113,7 @@ def test_weighted_seeds(spark):
     again = [r["item"] for r in combine.walk_seeds(labels.repartition(5), edges, 10).collect()]
     assert len(set(first)) == 10 and sorted(first) == sorted(again)
     assert 0 in first
+    assert combine.walk_seeds(labels, edges).count() == 40
 
 
 def test_components_need_several_rounds(spark):
@@ -199,7 +199,7 @@ def test_whole_job(spark, sf, tmp_path, config_path):
     assert spark.table("conditions_out").count() == len(
         {c.text for p in found.patterns for c in p.conditions})
     assert spark.table("log_out").count() == 1
-    tags = spark.table("tags_out")
+    tags = spark.table("tags_out_n1")
     assert tags.count() == population.count() and "expires_at" in tags.columns
     best = found.patterns[0]
     assert tags.where(f"{best.name} = 1 and tag = 1").count() == best.target_catch

@@ -172,8 +172,8 @@ def test_walks(spark):
 
 
 def test_walk_mode_runs_whole(inputs):
-    """With a low switch the job walks; the wider search only adds sets."""
-    params = replace(fx.F1, max_combination=12)
+    """The job walks when asked to; the wider search only adds sets."""
+    params = replace(fx.F1, mode="walk")
     found = mine(*inputs[:2], fx.features(), params, RULES)
     wider = mine(*inputs[:2], fx.features(), replace(params, include_nodes_edges=True), RULES)
     assert found.mode == wider.mode == "walk" and wider.found
@@ -186,13 +186,16 @@ def test_walk_mode_runs_whole(inputs):
 
 
 def test_recency_cut(inputs):
-    """Over the size limit only the latest rows feed the profiles; measures stay whole."""
-    params = replace(fx.F1, trunc_cutoff=1500, trunc_cp_size=1)
+    """When asked for, only the latest rows feed the profiles; measures stay whole."""
+    params = replace(fx.F1, recent_rows=1)
     population, activity = inputs[:2]
-    outcome = shape.limited_outcome(activity, 10_000, params, fx.TIEBREAK)
+    outcome = shape.profiled_outcome(activity, params.recent_rows, fx.TIEBREAK)
     rows = outcome.collect()
-    assert len(rows) == len({(r.key, r.checkpoint) for r in rows}) <= 1500
+    every = {(r.key, r.checkpoint) for r in shape.outcome_activity(activity).collect()}
+    assert len(rows) == len(every) and {(r.key, r.checkpoint) for r in rows} == every
+    assert shape.profiled_outcome(activity, None).count() == shape.outcome_activity(activity).count()
     found = mine(population, activity, fx.features(), params, RULES, tiebreak=fx.TIEBREAK)
+    assert found.was_cut
     for cp, listed in found.conditions.items():
         for s in listed[:2]:
             r = measure.measure_condition(activity, type(found.candidates[0])(cp, (s.atom,)),

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from lodeseam.config import Feature, SearchParams
 from lodeseam.conditions import Condition, Flag, InSet, Range
 
-F1 = SearchParams(min_support=0.03, eval_cutoff=0.6, dedup_cutoff=0.01, concentration_cutoff=0.0,
+F1 = SearchParams(top_values=10, min_support=0.03, eval_cutoff=0.6, dedup_cutoff=0.01, concentration_cutoff=0.0,
                   lvl_limit=3, min_block_size=0.01)
 TIEBREAK = ("line_no", "part_no")
 

@@ -69,7 +69,7 @@ def _named(config):
 
 @query("feature_config", CONFIG_SQL + "select * from config")
 def feature_config(spark, sf):
-    return _named(fx.feature_config(spark, sf))
+    return _named(tables.feature_columns(fx.feature_config(spark, sf)))
 
 
 @query("feature_config_roles", CONFIG_SQL + "select * from roles")
@@ -159,10 +159,10 @@ COLUMNS = ("acct", "amt", "checkpoint", "days_to_ship", "disc_score", "empty_var
     f"select * from (select '{c}' as column_name, count(\"{c}\") as n from o) where n > 0"
     for c in COLUMNS)))
 def non_null_columns(spark, sf):
-    """Kept columns with their non-null counts, unpivoted from one aggregate row."""
-    outcome = shape.outcome_activity(fx.activity(spark, sf))
-    counts = outcome.agg(*[F.count(F.col(f"`{c}`")).alias(c) for c in COLUMNS])
-    return counts.unpivot([], list(COLUMNS), "column_name", "n").where("n > 0")
+    """The columns that are left, with their non-null counts."""
+    left = shape.drop_null_columns(shape.outcome_activity(fx.activity(spark, sf)).select(*COLUMNS))
+    counts = left.agg(*[F.count(F.col(f"`{c}`")).alias(c) for c in left.columns])
+    return counts.unpivot([], list(left.columns), "column_name", "n")
 
 
 @query("typed_activity", f1("""
