@@ -314,7 +314,7 @@ class Encoder:
                     self._keep(part, [special[part]])
                 else:
                     new.update(part)
-        self.learn(new - self.ids.keys())
+        self.learn({w for w in new if w not in self.ids})
         rows = []
         for parts in split:
             words = parts[0] if len(parts) == 1 and not isinstance(parts[0], str) else \

@@ -51,7 +51,7 @@ class Pieces:
         """Ids and end id of each text, as little-endian 32-bit integers."""
         split = [None if not t or "  " in t else t.replace(" ", "\0 ").split("\0") if "\0" not in t else [t]
                  for t in texts]
-        new = list({p for pieces in split if pieces for p in pieces} - self.known.keys())
+        new = list({p for pieces in split if pieces for p in pieces if p not in self.known})
         for piece, found in zip(new, self.tokenizer.encode_batch_fast(new, add_special_tokens=False)):
             self.known[piece] = np.array(found.ids, "<u4").tobytes()
         end = np.array([END], "<u4").tobytes()

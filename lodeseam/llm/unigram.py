@@ -83,7 +83,7 @@ class Counter:
         if len(self.counts) > KEPT:
             self.counts.clear()
             self.scores.clear()
-        for word in set(words) - self.counts.keys():
+        for word in {w for w in words if w not in self.counts}:
             self.counts[word], self.scores[word] = self.viterbi(word)
         return sum(map(self.counts.__getitem__, words)), sum(map(self.scores.__getitem__, words))
 
