@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import xxhash
@@ -19,20 +21,27 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def stored(df: DataFrame) -> DataFrame:
-    """``df`` written as Parquet in the shared folder and read back: a cut that survives executors."""
-    spark = df.sparkSession
-    path = f"{shared_dir(spark)}/table-{uuid.uuid4().hex}"
-    option = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"  # once written, its shuffles can go
+@contextmanager
+def dropping_shuffles(spark: SparkSession) -> Iterator[None]:
+    """Let the shuffles of a query go once it is done: for writes whose query is not used again."""
+    option = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
     before = spark.conf.get(option, None)
     spark.conf.set(option, "true")
     try:
-        df.write.parquet(path)
+        yield
     finally:
         if before is None:
             spark.conf.unset(option)
         else:
             spark.conf.set(option, before)
+
+
+def stored(df: DataFrame) -> DataFrame:
+    """``df`` written as Parquet in the shared folder and read back: a cut that survives executors."""
+    spark = df.sparkSession
+    path = f"{shared_dir(spark)}/table-{uuid.uuid4().hex}"
+    with dropping_shuffles(spark):
+        df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

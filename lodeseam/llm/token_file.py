@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from lodeseam.llm.common import stored
+from lodeseam.llm.common import dropping_shuffles, stored
 from lodeseam.session import shared_dir
 
 MAX_BITS, BLOCK, SHARD = 18, 1024, 1 << 19
@@ -211,10 +211,11 @@ def write(documents: DataFrame, path: str, folder: str) -> None:
         if held:
             yield shard()
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    (ids.repartitionByRange(parts, "doc_id", "ids").sortWithinPartitions("doc_id", "ids")
-     .mapInPandas(shards, "part int, start long, n long, payload binary, offsets array<long>, "
-                          f"doc_ids array<{id_type}>, lengths array<long>")
-     .write.option("compression", "none").parquet(f"{folder}/shards"))
+    dealt = ids.repartitionByRange(parts, "doc_id", "ids").sortWithinPartitions("doc_id", "ids")
+    with dropping_shuffles(spark):
+        (dealt.mapInPandas(shards, "part int, start long, n long, payload binary, offsets array<long>, "
+                                   f"doc_ids array<{id_type}>, lengths array<long>")
+         .write.option("compression", "none").parquet(f"{folder}/shards"))
 
 
 def read(spark: SparkSession, folder: str) -> DataFrame:
