@@ -85,6 +85,7 @@ def doc_labels(labels: DataFrame, target: str) -> DataFrame:
 def components(edges: DataFrame) -> DataFrame:
     """(node, component) of an undirected graph given as (a, b); component is the smallest node.
 
+    The smallest nodes themselves have no row, like nodes without edges.
     Each round every node takes the smallest node among itself and its neighbours, and edges are
     moved to those (large and small stars), so that paths shorten by more than half. Work per
     round follows the number of edges; a hub's edges are grouped by partial minimum only.
