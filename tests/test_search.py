@@ -1,6 +1,7 @@
 """Spark searches against plain loops over the same rows."""
 
 import itertools
+import random
 from dataclasses import replace
 
 import pytest
@@ -21,6 +22,7 @@ CASES = {
     "count": fx.F1,
     "amount": replace(fx.F1, eval_metric="target_amt"),
     "tight": replace(fx.F1, min_support=0.05, eval_cutoff=0.35, concentration_cutoff=0.15),
+    "every value": replace(fx.F1, top_values=None),
 }
 
 
@@ -65,7 +67,7 @@ def test_univariate_and_trees(inputs, case):
     assert got == want
 
 
-@pytest.mark.parametrize("case", ["count", "amount"])
+@pytest.mark.parametrize("case", ["count", "amount", "every value"])
 def test_whole_job(inputs, case):
     """Patterns, their measures, pruning and increments, rebuilt by loops from the candidates."""
     params = CASES[case]
@@ -185,6 +187,23 @@ def test_walk_mode_runs_whole(inputs):
     wider.release()
 
 
+def test_nothing_is_left_out_when_there_is_much(spark):
+    """Over 300 edges and keys that hold over ten candidates: all sets, and walks from all nodes."""
+    n, rnd = 30, random.Random(1)
+    lists = [tuple(sorted(rnd.sample(range(n), rnd.randint(11, 16)))) for _ in range(60)]
+    rows = [(f"k{i}", f"a{i}", list(items), 1.0) for i, items in enumerate(lists)]
+    df = spark.createDataFrame(rows, "key string, acct string, items array<int>, weight double")
+    cps, params = [f"c{i}" for i in range(n)], replace(fx.F1, lvl_limit=3)
+    weight = {s: sum(set(s) <= set(items) for items in lists)
+              for k in (1, 2, 3) for s in itertools.combinations(range(n), k)}
+    assert sum(len(s) == 2 and w >= 6 for s, w in weight.items()) > 300
+    found = combine.combine(df, cps, 6.0, params)
+    assert found.sets == {s: w for s, w in weight.items() if w >= 6}
+    walked = combine.combine(df, cps, 6.0, replace(params, mode="walk"))
+    assert walked.mode == "walk" and set().union(*walked.sets) == set(range(n))
+    assert all(weight[s] == w for s, w in walked.sets.items())
+
+
 def test_recency_cut(inputs):
     """When asked for, only the latest rows feed the profiles; measures stay whole."""
     params = replace(fx.F1, recent_rows=1)
