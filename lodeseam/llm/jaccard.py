@@ -8,10 +8,10 @@ parts, so many that some part has at most ``spare`` differences; each part is de
 ``pieces``, and every choice of pieces - spare of them is a signature. Similar sets share one.
 
 Two unlike sets can agree on a signature that is empty or holds only shingles of some widespread
-passage. Parts with such a signature are weak. A set with fewer weak parts than it must share with a similar set
-leaves weak signatures out, since a part that is not weak is then shared as well; any other set
-leaves out no more than half of what it must share. So no pair is lost, whatever shingles are held
-to be common.
+passage. Such signatures are weak and left out, as are parts that have one. A set with fewer weak parts
+than it must share with a similar set still shares one that is not weak. Every other set also
+emits single shingles: the first quarter of its shingles and one more, rare ones first, of which two
+similar sets must share one. So no pair is lost, whatever shingles are held to be common.
 
 A signature shared by more than MANY sets is not followed up. Instead all sets that have such a
 one get signatures of a stricter scheme (half the pieces of larger parts); two similar sets that
@@ -153,16 +153,23 @@ def _instance(sets, owner, size, instance, largest, own_largest, pieces, spare,
         """How many flags are set among a set's parts up to each part."""
         return np.cumsum(flags) - np.repeat(np.concatenate(([0], np.cumsum(flags)))[base], parts)
     all_weak = n_weak >= shared
-    kept = all_weak[part_of] & (nth(weak) > ((shared - 1) // 2)[part_of])
-    emit = (held > 0) | kept[:, None]
+    emit = held > 0
     if up:  # the larger set emits all that are not weak, so this one may leave out more of them
-        needed = np.where(all_weak, parts, parts - shared + 1)
-        emit &= (weak | (nth(~weak) <= needed[part_of]))[:, None]
-        emit &= (~weak | kept)[:, None]
+        enough = ~weak & (nth(~weak) <= (parts - shared + 1)[part_of])
+        emit &= (enough | all_weak[part_of])[:, None]
     row, choice = np.nonzero(emit)
     salt = _mix((instance[part_of[row]].astype(np.uint64) << np.uint64(40)) + (number[row].astype(np.uint64) << np.uint64(8))
                 + choice.astype(np.uint64) + np.uint64(5))
-    return _mix(sums[row, choice] ^ salt), owner[part_of[row]]
+    singles = [(_prefix(sets[i], common), owner[i]) for i in np.flatnonzero(all_weak)]
+    return (np.concatenate([_mix(sums[row, choice] ^ salt), *(x for x, _ in singles)]),
+            np.concatenate([owner[part_of[row]], *(np.full(len(x), i) for x, i in singles)]))
+
+
+def _prefix(shingles: np.ndarray, common: np.ndarray) -> np.ndarray:
+    """Signatures of the single shingles that come first; a similar set holds at least 3/4 of them all."""
+    n = len(shingles) - -(-3 * len(shingles) // 4) + 1
+    order = np.lexsort((shingles, np.isin(shingles, common)))
+    return _mix(shingles[order[:n]] ^ np.uint64(0xA5A5A5A5))
 
 
 def _map(df: DataFrame, per_task, schema: str, columns: list[str]) -> DataFrame:
