@@ -233,9 +233,9 @@ def common_shingles(rows: DataFrame) -> np.ndarray:
 
 
 def members(documents: DataFrame, common: np.ndarray, words: int = WORDS, strict: bool = False) -> DataFrame:
-    """(signature, set_id, first, many): the sets of each signature that different sets share.
+    """(signature, first, set_ids, many): the different sets of each signature that several share.
 
-    ``first`` is the smallest set_id of the signature, ``many`` whether over MANY sets have it. The
+    Up to MANY sets come in one row; those of a signature with more (``many``) in several. ``first`` is the smallest. The
     sorted partitions stream by; no more than MANY rows of a signature are held back.
     """
     shared_common = documents.sparkSession.sparkContext.broadcast(common)
@@ -261,9 +261,10 @@ def members(documents: DataFrame, common: np.ndarray, words: int = WORDS, strict
         held = (none, none)  # rows of the last signature so far, while they may be few
         last, first, previous = None, None, None  # its value, its first set if it has many, its last set
 
-        def rows(sig, ids, low, many):
-            return pa.RecordBatch.from_arrays([pa.array(c) for c in (sig, ids, low, many)],
-                                              ["signature", "set_id", "first", "many"])
+        def rows(ids, size, sig, low, many):
+            ends = pa.array(np.concatenate(([0], np.cumsum(size))), pa.int32())
+            return pa.RecordBatch.from_arrays([pa.array(sig), pa.array(low), pa.ListArray.from_arrays(ends, pa.array(ids)),
+                                               pa.array(many)], ["signature", "first", "set_ids", "many"])
         for batch in batches:
             if not batch.num_rows:
                 continue
@@ -274,7 +275,8 @@ def members(documents: DataFrame, common: np.ndarray, words: int = WORDS, strict
             sig, ids = sig[new], ids[new]
             if first is not None:  # the signature with many sets goes on
                 more = int(np.searchsorted(sig != before, True))
-                yield rows(sig[:more], ids[:more], np.full(more, first), np.ones(more, bool))
+                if more:
+                    yield rows(ids[:more], [more], sig[:1], [first], [True])
                 sig, ids = sig[more:], ids[more:]
                 if not len(sig):
                     continue
@@ -290,12 +292,12 @@ def members(documents: DataFrame, common: np.ndarray, words: int = WORDS, strict
             else:
                 held, emit[-1] = (sig[start[-1]:], ids[start[-1]:]), False
             out = np.repeat(emit, count)
-            yield rows(sig[out], ids[out], np.repeat(ids[start], count)[out], np.repeat(count > MANY, count)[out])
+            yield rows(ids[out], count[emit], sig[start[emit]], ids[start[emit]], count[emit] > MANY)
         if len(held[0]) > 1:
-            yield rows(*held, np.full(len(held[0]), held[1][0]), np.zeros(len(held[0]), bool))
+            yield rows(held[1], [len(held[1])], held[0][:1], held[1][:1], [False])
     found = _map(documents, per_task, "signature long, set_id long", ["text"])
     return (found.repartition("signature").sortWithinPartitions("signature", "set_id")
-            .mapInArrow(shared, "signature long, set_id long, first long, many boolean"))
+            .mapInArrow(shared, "signature long, first long, set_ids array<long>, many boolean"))
 
 
 class Sets:
@@ -368,19 +370,24 @@ def groups(documents: DataFrame, words: int = WORDS) -> DataFrame:
     sets = Sets(documents, base, words)
     common = common_shingles(rows)
     found = stored(members(documents, common, words))
-    shared = found.where("not many").drop("many")
-    crowded = stored(found.where("many").select("set_id").distinct())
+    crowded = stored(found.where("many").select(F.explode("set_ids").alias("set_id")).distinct())
+    few, crowds = found.where("not many").select("set_ids"), None
     if not crowded.isEmpty():
-        shared = shared.union(stored(members(sets.texts(crowded), common, words, strict=True)).drop("many"))
-    close = shared.where("set_id <> first").select(F.col("set_id").alias("a"), F.col("first").alias("b")).distinct()
+        found = stored(members(sets.texts(crowded), common, words, strict=True))
+        few = few.union(found.where("not many").select("set_ids"))
+        crowds = found.where("many").select("signature", "first", F.explode("set_ids").alias("set_id"))
+    few = stored(few.distinct())  # near copies share many signatures, with the same sets each
+    close = few.select(F.explode(F.slice("set_ids", 2, MANY)).alias("a"), F.col("set_ids")[0].alias("b"))
+    if crowds is not None:
+        close = close.union(crowds.where("set_id <> first").select("set_id", "first"))
     sizes = sets.classes.select("set_id", "n")
-    close = stored(_close(close, sizes))
+    close = stored(_close(close.distinct(), sizes))
 
     done = stored(close.groupBy("a").agg(F.min("b").alias("b")))
     links = stored(sets.linked(done))
     for late in (False, True):
         names = components(links)
-        pairs = _close(_other_pairs(shared, names), sizes) if late else _apart(close, names)
+        pairs = _close(_other_pairs(few, crowds, names), sizes) if late else _apart(close, names)
         pairs = stored(pairs.join(done, ["a", "b"], "left_anti"))
         links = stored(links.union(sets.linked(pairs)))
         done = done.union(pairs)
@@ -414,10 +421,22 @@ def _close(pairs: DataFrame, sizes: DataFrame) -> DataFrame:
             .where("3 * n <= 4 * m and 3 * m <= 4 * n").select("a", "b"))
 
 
-def _other_pairs(shared: DataFrame, names: DataFrame) -> DataFrame:
+def _other_pairs(few: DataFrame, crowds: DataFrame | None, names: DataFrame) -> DataFrame:
     """Sets of one signature that are in different groups; signatures within a group drop out."""
-    rows = _named(shared.select("signature", "set_id"), names, "set_id", "name")
-    mixed = rows.groupBy("signature").agg(F.min("name").alias("low"), F.max("name").alias("high")).where("low <> high")
-    rows = rows.join(mixed.select("signature"), "signature", "left_semi")
-    left, right = (rows.select("signature", F.col("set_id").alias(c), F.col("name").alias(n)) for c, n in (("a", "x"), ("b", "y")))
-    return left.join(right, "signature").where("a > b and x <> y").select("a", "b").distinct()
+    numbered = few.withColumn("bucket", F.xxhash64("set_ids")).select("bucket", F.explode("set_ids").alias("set_id"))
+    member = F.struct("set_id", "name")
+    buckets = (_named(numbered, names, "set_id", "name").groupBy("bucket")  # at most MANY rows each
+               .agg(F.sort_array(F.collect_set(member)).alias("m"), F.min("name").alias("low"), F.max("name").alias("high"))
+               .where("low <> high"))
+    pairs = F.flatten(F.transform("m", lambda x: F.transform(
+        F.filter("m", lambda y: (y["set_id"] < x["set_id"]) & (y["name"] != x["name"])),
+        lambda y: F.struct(x["set_id"].alias("a"), y["set_id"].alias("b")))))
+    found = buckets.select(F.explode(pairs).alias("p")).select("p.a", "p.b")
+    if crowds is not None:
+        rows = _named(crowds.select("signature", "set_id"), names, "set_id", "name")
+        mixed = rows.groupBy("signature").agg(F.min("name").alias("low"), F.max("name").alias("high")).where("low <> high")
+        rows = rows.join(mixed.select("signature"), "signature", "left_semi")
+        left, right = (rows.select("signature", F.col("set_id").alias(c), F.col("name").alias(n))
+                       for c, n in (("a", "x"), ("b", "y")))
+        found = found.union(left.join(right, "signature").where("a > b and x <> y").select("a", "b"))
+    return found.distinct()
