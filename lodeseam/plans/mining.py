@@ -69,8 +69,8 @@ def eligible_features(sizes: DataFrame, features: list[Feature],
 
 
 def profile_strings(strings: DataFrame, outcome: DataFrame, features: list[Feature],
-                    rules: VariableRules, exclusions: DataFrame | None, k: int | None,
-                    over: float) -> dict[tuple[str, str], list]:
+                    rules: VariableRules, exclusions: DataFrame | None,
+                    k: int | None = None, over: float | None = None) -> dict[tuple[str, str], list]:
     """Values of each string feature as (value, used by several accounts), the largest first.
 
     A value that does not catch more than ``over`` by itself cannot enter a bin.
