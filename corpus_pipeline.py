@@ -35,13 +35,21 @@ def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 
 def keep_one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of documents linked by word shingles, directly or not, the one of smallest id.
+    """Of rows linked by word shingles, directly or not, the one of smallest id, null ids last.
 
-    Rows that share their id are judged together: all go if their id is not the component's.
+    Each row is judged by its own text, whatever its id. Of rows of one group and id the one of smallest text hash stays, and
+    of rows equal in both one, the first by all columns. Texts without words are linked with nothing and all stay.
     """
-    found = jaccard.groups(docs)
-    others = stored(found.where("doc_id <> component_id").select(F.col("doc_id").alias("__id")).distinct())
-    return docs.join(sized(others), docs["doc_id"] == F.col("__id"), "left_anti")
+    spare = stored(jaccard.spare_rows(docs).withColumnsRenamed({"doc_id": "__id", "text_hash": "__h"}))
+    same = docs["doc_id"].eqNullSafe(F.col("__id")) & (F.xxhash64(docs["text"]) == F.col("__h"))
+    kept = docs.join(sized(spare), same, "left_anti")
+    repeated = spare.where("first")
+    if repeated.isEmpty():
+        return kept
+    row = F.struct(*docs.columns)
+    one = (docs.join(sized(repeated), same, "left_semi").groupBy("doc_id", F.xxhash64("text").alias("__h"))
+           .agg(F.min_by(row, F.to_json(row)).alias("__row")))
+    return kept.union(one.select("__row.*"))
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -185,7 +185,7 @@ def _map(df: DataFrame, per_task, schema: str, columns: list[str]) -> DataFrame:
 
 
 def fingerprints(documents: DataFrame, words: int = WORDS) -> DataFrame:
-    """(doc_id, n_shingles, set_id, shingle, held): a row per document, then rows of common shingles.
+    """(doc_id, text_hash, n_shingles, set_id, shingle, held): a row per document, then rows of common shingles.
 
     set_id is null for empty sets and equal for equal ones. The rows with a shingle say in how many
     sets of one run it occurs, if in several.
@@ -203,22 +203,23 @@ def fingerprints(documents: DataFrame, words: int = WORDS) -> DataFrame:
             return [pa.nulls(n, pa.int64()), pa.nulls(n, pa.int64()), pa.array(shingle[often].view(np.int64)),
                     pa.array(held[often])]
 
-        def work(ids, texts):
-            names = ["doc_id", "n_shingles", "set_id", "shingle", "held"]
+        def work(ids, texts, hashes):
+            names = ["doc_id", "text_hash", "n_shingles", "set_id", "shingle", "held"]
             if ids is not None:
                 sets = shingle_sets(texts.to_pylist(), codes, words)
                 set_ids = [fingerprint(s) if len(s) else None for s in sets]
                 run.update((i, s) for i, s in zip(set_ids, sets) if i is not None)
                 none = pa.nulls(len(sets), pa.int64())
-                yield pa.RecordBatch.from_arrays([ids, pa.array([len(s) for s in sets], pa.int64()),
+                yield pa.RecordBatch.from_arrays([ids, hashes, pa.array([len(s) for s in sets], pa.int64()),
                                                   pa.array(set_ids, pa.int64()), none, none], names)
             if run and (ids is None or sum(map(len, run.values())) >= COUNTED):
                 columns = counted()
-                yield pa.RecordBatch.from_arrays([pa.nulls(len(columns[0]), id_arrow), *columns], names)
+                yield pa.RecordBatch.from_arrays([pa.nulls(len(columns[0]), id_arrow), columns[0], *columns], names)
         return work
     id_arrow = to_arrow_type(documents.schema["doc_id"].dataType)
-    return _map(documents, per_task, f"doc_id {id_type}, n_shingles long, set_id long, shingle long, held long",
-                ["doc_id", "text"])
+    return _map(documents.withColumn("text_hash", F.xxhash64("text")), per_task,
+                f"doc_id {id_type}, text_hash long, n_shingles long, set_id long, shingle long, held long",
+                ["doc_id", "text", "text_hash"])
 
 
 def common_shingles(rows: DataFrame) -> np.ndarray:
@@ -362,11 +363,14 @@ class Sets:
         return _map(both, per_task, "a long, b long", ["a", "b", "left", "right"])
 
 
-def groups(documents: DataFrame, words: int = WORDS) -> DataFrame:
-    """(doc_id, n_shingles, component_id) of every row; component_id is the smallest linked doc_id."""
+def _grouped(documents: DataFrame, words: int) -> tuple[DataFrame, DataFrame]:
+    """(doc_id, text_hash, n_shingles, set_id) of every row; (set_id, component, component_id) of the groups of several rows.
+
+    ``component`` names one group only; component_id, the smallest doc_id, may be null or name several.
+    """
     documents = documents.select("doc_id", "text")
     rows = stored(fingerprints(documents, words))
-    base = rows.where("shingle is null").select("doc_id", "n_shingles", "set_id")
+    base = rows.where("shingle is null").select("doc_id", "text_hash", "n_shingles", "set_id")
     sets = Sets(documents, base, words)
     common = common_shingles(rows)
     found = stored(members(documents, common, words))
@@ -398,11 +402,33 @@ def groups(documents: DataFrame, words: int = WORDS) -> DataFrame:
         "set_id", "doc_id", "copies", F.coalesce("component", "set_id").alias("component"))
     lowest = named.groupBy("component").agg(F.min("doc_id").alias("component_id"), F.sum("copies").alias("size"))
     # only groups of several rows differ from the row's own id
-    several = named.join(lowest.where("size > 1"), "component").select("set_id", "component_id")
-    return (base.join(sized(stored(several)), "set_id", "left")
+    several = named.join(lowest.where("size > 1"), "component").select("set_id", "component", "component_id")
+    return base, stored(several)
+
+
+def groups(documents: DataFrame, words: int = WORDS) -> DataFrame:
+    """(doc_id, n_shingles, component_id) of every row; component_id is the smallest linked doc_id."""
+    base, several = _grouped(documents, words)
+    return (base.join(sized(several.select("set_id", "component_id")), "set_id", "left")
             .select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id")))
 
 
+def spare_rows(documents: DataFrame, words: int = WORDS) -> DataFrame:
+    """(doc_id, text_hash, first) of rows, told by both, that are not all to be kept if each group keeps one row.
+
+    A group's ``first`` has its smallest doc_id, null ids last, and of those the smallest xxhash64 of its text.
+    It is listed only if several rows are equal in both; all of the group's other rows are listed.
+    """
+    base, several = _grouped(documents, words)
+    rows = stored(base.join(sized(several), "set_id").groupBy("component", "doc_id", "text_hash")
+                  .agg(F.count("*").alias("n")))
+    order = F.struct(F.col("doc_id").isNull().alias("nameless"), "doc_id", "text_hash")
+    lowest = sized(stored(rows.groupBy("component").agg(F.min(order).alias("low"))))
+    first = F.col("doc_id").eqNullSafe(F.col("low.doc_id")) & (F.col("text_hash") == F.col("low.text_hash"))
+    return (rows.join(lowest, "component").withColumn("first", first).where("not first or n > 1")
+            .select("doc_id", "text_hash", "first"))
+
+
 def _named(rows: DataFrame, names: DataFrame, column: str, name: str) -> DataFrame:
     names = names.select(F.col("node").alias(column), F.col("component").alias(name))
     return rows.join(names, column, "left").withColumn(name, F.coalesce(name, column))

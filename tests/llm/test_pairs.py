@@ -150,6 +150,25 @@ def test_pipeline_stages(spark, sf):
     assert 150 < len(left) < 206
 
 
+def test_pipeline_keeps_one_row_of_each_group(spark, sf):
+    """Null, repeated and shared ids: a row per group stays, and every group keeps one."""
+    a, b, c, d, e = (" ".join(f"{x}{i}" for i in range(40)) for x in "abcde")
+    rows = [(1, a, "p"), (None, a, "q"), (None, a + " more", "q"),      # copies without id of a document with one
+            (None, b, "q"), (None, b, "p"), (None, b + " more", "q"),   # only rows without id
+            (2, c, "q"), (2, c, "p"), (2, c, "p"), (3, c, "p"),         # repeated rows under the smallest id
+            (4, d, "p"), (5, d, "p"), (5, e, "p"), (5, "alone here", "p"), (1, e + " more", "p"),  # ids with several texts
+            (None, "x y z", "p"), (None, None, "p"), (6, "", "p"), (6, "", "p")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    got = [tuple(r) for r in corpus_pipeline.keep_one_of_each_group(spark, docs, sf).collect()]
+    low_b = min((r for r in rows[3:6]), key=lambda r: (hashes(spark, r[1]), r[2]))
+    assert sorted(map(str, got)) == sorted(map(str, [
+        rows[0], low_b, (2, c, "p"), rows[10], (1, e + " more", "p"), rows[13], *rows[15:]]))
+
+
+def hashes(spark, text):
+    return spark.range(1).select(F.xxhash64(F.lit(text))).first()[0]
+
+
 def test_queries_have_their_columns(spark, sf):
     expected = {"op1_quality": "doc_id held_out score predicted", "op3_token_file": "doc_id start n_tokens ids_crc32",
                 "op4_jaccard": "doc_id n_shingles component_id", "op6_permutation": "query_id rank vec_id score",
