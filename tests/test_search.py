@@ -12,10 +12,12 @@ from lodeseam.config import VariableRules
 from lodeseam.operators import combine, measure, shape
 from lodeseam.operators.binning import Gate
 from lodeseam.operators.trees import MaskTable, grow_trees, leaf_nodes, to_condition
+from lodeseam.plans import mining
 from lodeseam.plans.mining import checkpoint_kpis, qualified_conditions
 from lodeseam.session import local_table
 from tests.naive import Naive, supports
 from workloads import fixtures as fx
+from workloads import searching
 
 RULES = VariableRules()
 CASES = {
@@ -135,6 +137,22 @@ def test_whole_job(inputs, case):
     found.release()
 
 
+@pytest.mark.parametrize("name", ["mine_patterns", "pattern_result_rows", "mine_user_days"])
+def test_whole_job_queries_look_at_every_value(spark, sf, monkeypatch, name):
+    """All values that catch more than the gate are profiled, also those beyond the ten largest."""
+    limits, profiled, profile_strings = [], [], mining.profile_strings
+
+    def profile_and_note(*args):
+        limits.append(args[5])
+        profiled.append(profile_strings(*args))
+        return profiled[-1]
+    monkeypatch.setattr(mining, "profile_strings", profile_and_note)
+    assert getattr(searching, name)(spark, sf).count() > 0
+    assert limits == [None]
+    if name != "mine_user_days":  # its variables are numbers
+        assert max(map(len, profiled[0].values())) > 10
+
+
 def test_worked_example(spark):
     rows = [([1, 2, 5], 100.0), ([2, 4], 49.57), ([2, 3], 134.38), ([1, 2, 4], 38.22),
             ([1, 3], 78.0), ([2, 3], 56.0), ([1, 3], 25.0), ([1, 2, 3, 5], 50.0),

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -10,6 +12,8 @@ from lodeseam.conditions import Condition, Flag, InSet, Range
 
 F1 = SearchParams(top_values=10, min_support=0.03, eval_cutoff=0.6, dedup_cutoff=0.01, concentration_cutoff=0.0,
                   lvl_limit=3, min_block_size=0.01)
+#: For the whole jobs, which no twin with ten values a variable binds: every value that the gate admits.
+EVERY_VALUE = replace(F1, top_values=None)
 TIEBREAK = ("line_no", "part_no")
 
 VARIABLES = (                      # variable, type, priority

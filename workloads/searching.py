@@ -684,7 +684,7 @@ def condition_result_rows(spark, sf):
 @query("pattern_result_rows")
 def pattern_result_rows(spark, sf):
     population, activity = fx.cached(spark, sf)
-    found = mine(population, activity, fx.features(), fx.F1, tiebreak=fx.TIEBREAK)
+    found = mine(population, activity, fx.features(), fx.EVERY_VALUE, tiebreak=fx.TIEBREAK)
     rows = results.pattern_rows(spark, found.patterns).drop("pattr_id", "update_dt", "update_ts")
     found.release()
     return rows
@@ -693,7 +693,7 @@ def pattern_result_rows(spark, sf):
 @query("mine_patterns")
 def mine_patterns(spark, sf):
     population, activity = fx.cached(spark, sf)
-    found = mine(population, activity, fx.features(), fx.F1, tiebreak=fx.TIEBREAK)
+    found = mine(population, activity, fx.features(), fx.EVERY_VALUE, tiebreak=fx.TIEBREAK)
     rows = [(i + 1, p.name, p.content.replace(chr(6), " & ").replace(chr(7), " | "), p.cp_str,
              p.target_catch, p.target_rate, p.pattr_fscore, p.pattr_score, p.inc_catch,
              p.inc_catch_share) for i, p in enumerate(found.ranked)]
@@ -704,7 +704,7 @@ def mine_patterns(spark, sf):
         "inc_catch double, inc_catch_share double")
 
 
-EVENTS = replace(fx.F1, min_support=0.05, eval_cutoff=0.4, lvl_limit=2)
+EVENTS = replace(fx.EVERY_VALUE, min_support=0.05, eval_cutoff=0.4, lvl_limit=2)
 
 
 @query("mine_user_days")
