@@ -8,7 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lodeseam.llm import decontaminate, jaccard, lexicon, line_dedup, permutation, preference, quality, token_file, toxicity, unigram
+from lodeseam.llm import (decontaminate, jaccard, lexicon, line_dedup, merkle, permutation, preference, quality, token_file,
+                          toxicity, unigram)
 from lodeseam.llm.common import held_out, stored, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -86,3 +87,11 @@ def op9_preference(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 ORACLES["op9_preference"] = preference.SQL
+
+
+@query
+def op12_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.verified(table(spark, sf_dir, "documents"))
+
+
+ORACLES["op12_merkle"] = merkle.SQL
