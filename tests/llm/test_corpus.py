@@ -1,13 +1,17 @@
-"""Merkle manifest against plain loops."""
+"""Merkle manifest and language-model scores against plain loops."""
 
 import hashlib
+import math
 import zlib
+from collections import Counter
 
 import duckdb
+import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from lodeseam.llm import merkle
+from lodeseam.llm import bloom_lm, merkle
 
 CLASHING = ("tree", "place", "one", "leaf", "no", "n", "proof", "root", "lang_", "term", "count", "state", "code")
 
@@ -93,3 +97,87 @@ def test_merkle_climb_is_recursive_and_stays_narrow(spark):
     assert len(climbed) == 3 * 13 and sum(len(r.climbers) for r in climbed) == 600  # a row per parent, a digest per leaf
     assert manifest.nodes.count() == 3 * (13 + 1) + 1  # parents of 200 leaves: 13, then 1; and one over the sources
     assert manifest.root == merkle.build(documents(spark, rows)).root
+
+
+def crc(doc_id):
+    return zlib.crc32(("" if doc_id is None else str(doc_id)).encode())
+
+
+def language_model(rows):
+    """doc_id, held_out, n_tokens, n_known, train_tokens, base and score with exact bigram counts, by plain loops."""
+    tokens = [(text or "").encode().lower().split() + [b""] for _, text in rows]
+    learned = [t for (d, _), t in zip(rows, tokens) if crc(d) % 5 != 1]
+    c = Counter(w for t in learned for w in t)
+    pairs = Counter(p for t in learned for p in zip([b""] + t, t))
+    n, v = sum(c.values()), len(c)
+    for (d, _), t in zip(rows, tokens):
+        base = [(c[w] + 0.5) / (n + 0.5 * (v + 1)) for w in t]
+        both = [(pairs[h, w] + bloom_lm.MU * p) / (c[h] + bloom_lm.MU) for h, w, p in zip([b""] + t, t, base)]
+        yield d, crc(d) % 5 == 1, len(t), sum(c[w] > 0 for w in t), n, sum(map(math.log10, base)), sum(map(math.log10, both))
+
+
+def texts_table(spark, rows):
+    return spark.createDataFrame(rows, "doc_id long, text string").withColumns({c: F.lit(7) for c in CLASHING})
+
+
+def by_text(rows):
+    return sorted(rows, key=lambda r: (str(r[0]), r[2], r[5]))
+
+
+@pytest.fixture(scope="module")
+def lm_rows(spark, sf):
+    rows = [(r.doc_id, r.text) for r in spark.read.parquet(f"{sf}/documents.parquet").collect()]
+    return rows + [(None, None), (None, "the A"), (2**60 + 1, ""), (2**60 + 1, ""), (900, "\x0b\x1c é É\x85x \t\r\n the The"),
+                   (901, "unseen-word " * 30_000), (902, "y" * 300_000)]
+
+
+def test_language_model_scores(spark, lm_rows):
+    got = by_text(bloom_lm.learned_and_scored(texts_table(spark, lm_rows)).collect())
+    expected = by_text(language_model(lm_rows))
+    assert [tuple(g)[:5] for g in got] == [e[:5] for e in expected]
+    assert np.allclose([g.base_score for g in got], [e[5] for e in expected], rtol=1e-11, atol=0)
+    # the filter gives mean counts of levels, off by a factor of 1.5 at most: single scores differ a little, all together hardly
+    assert all(abs(g.score - e[6]) < 0.18 * e[2] + 0.3 for g, e in zip(got, expected))
+    held = [i for i, e in enumerate(expected) if e[1]]
+    size = sum(expected[i][2] for i in held)
+    bloom, exact, base = (sum(x) / size for x in ((got[i].score for i in held), (expected[i][6] for i in held), (expected[i][5] for i in held)))
+    assert abs(bloom - exact) < 0.01 and bloom > base + 0.1
+
+
+def test_language_model_in_rounds(spark, lm_rows, monkeypatch):
+    for name, value in (("PIECE_TOKENS", 20_000), ("PIECE_WORDS", 3_000), ("BLOCK", 5_000), ("CUT", 3_000), ("HELD", 20_000), ("KEPT", 1 << 18)):
+        monkeypatch.setattr(bloom_lm, name, value)
+    df = texts_table(spark, lm_rows)
+    model = bloom_lm.fit(df.select("text"))
+    assert len(bloom_lm.rounds(model)) == 1
+    one = by_text(map(lambda r: (r[0], None, r[1], r[2], r[4], r[3]), bloom_lm.scores(df, model).collect()))
+    monkeypatch.setattr(bloom_lm, "ROUND_BYTES", 200_000)
+    assert len(bloom_lm.rounds(model)) > 3
+    many = by_text(map(lambda r: (r[0], None, r[1], r[2], r[4], r[3]), bloom_lm.scores(df, model).collect()))
+    assert [r[:4] for r in one] == [r[:4] for r in many]
+    assert np.allclose([r[4:] for r in one], [r[4:] for r in many], rtol=1e-12, atol=0)
+
+
+def test_filter_never_underrates_and_seldom_overrates(spark):
+    rng = np.random.default_rng(3)
+    keys = np.unique(rng.integers(0, 2**64, 200_000, np.uint64))
+    n = np.minimum(rng.zipf(1.6, len(keys)), 10**7)
+    parts = spark.createDataFrame(pa.table({"piece": np.zeros(1, np.int64), "once": [keys[n == 1].tobytes()],
+                                            "keys": [keys[n > 1].tobytes()], "counts": [n[n > 1].tobytes()]}))
+    row = bloom_lm.bloom(parts).first()
+    bits = np.frombuffer(row.bits, np.uint64)
+    held = bloom_lm.Round(np.zeros(0, np.uint64), np.zeros(0, np.int64), 0, np.array([0, len(bits)]), bits)
+    level = np.array([sum(least <= x for least in bloom_lm.SCALE[:60].tolist()) for x in n.tolist()])
+    found = held.level(keys, 64)
+    assert (found >= level).all() and (found > level).mean() < 0.01
+    absent = np.setdiff1d(rng.integers(0, 2**64, 200_000, np.uint64), keys)
+    assert (held.level(absent, 64) > 0).mean() < 0.01
+    assert sum(row.seen) == len(keys) and sum(row.total) == n.sum()
+
+
+def test_language_model_without_rows(spark):
+    empty = texts_table(spark, [(1, "a b")]).limit(0)
+    assert bloom_lm.learned_and_scored(empty).count() == 0
+    only_held_out = next(i for i in range(100) if crc(i) % 5 == 1)
+    got = bloom_lm.learned_and_scored(texts_table(spark, [(only_held_out, "a b")])).collect()
+    assert [tuple(r) for r in got] == [(only_held_out, True, 3, 0, 0, 0.0, 0.0)]
