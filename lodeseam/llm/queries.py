@@ -8,8 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lodeseam.llm import (bloom_lm, decontaminate, jaccard, lexicon, line_dedup, merkle, permutation, preference, quality,
-                          token_file, toxicity, unigram)
+from lodeseam.llm import (bloom_lm, decontaminate, divergence, jaccard, lexicon, line_dedup, merkle, permutation, preference,
+                          quality, token_file, toxicity, unigram)
 from lodeseam.llm.common import held_out, stored, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -100,3 +100,11 @@ ORACLES["op12_merkle"] = merkle.SQL
 @query
 def op13_bloom_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bloom_lm.learned_and_scored(table(spark, sf_dir, "documents"))
+
+
+@query
+def op11_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(table(spark, sf_dir, "documents"))
+
+
+ORACLES["op11_divergence"] = divergence.SQL

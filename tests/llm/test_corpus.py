@@ -1,9 +1,10 @@
-"""Merkle manifest and language-model scores against plain loops."""
+"""Source audit, Merkle manifest and language-model scores against plain loops and DuckDB."""
 
 import hashlib
 import math
+import re
 import zlib
-from collections import Counter
+from collections import Counter, defaultdict
 
 import duckdb
 import numpy as np
@@ -11,7 +12,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from lodeseam.llm import bloom_lm, merkle
+from lodeseam.llm import bloom_lm, divergence, merkle
 
 CLASHING = ("tree", "place", "one", "leaf", "no", "n", "proof", "root", "lang_", "term", "count", "state", "code")
 
@@ -181,3 +182,70 @@ def test_language_model_without_rows(spark):
     only_held_out = next(i for i in range(100) if crc(i) % 5 == 1)
     got = bloom_lm.learned_and_scored(texts_table(spark, [(only_held_out, "a b")])).collect()
     assert [tuple(r) for r in got] == [(only_held_out, True, 3, 0, 0, 0.0, 0.0)]
+
+
+def audit_of(rows):
+    """The audit of (text, lang, source) by plain loops over whole numbers."""
+    count, docs = defaultdict(Counter), defaultdict(Counter)
+    for row in rows:
+        text, lang, source = (v or "" for v in row)
+        lower = re.sub("[A-Z]", lambda m: m[0].lower(), text)
+        found = re.findall(r"[^\x00-\x40\x5B-\x60\x7B-\x7F]+", lower)
+        count[lang, source].update(found)
+        docs[lang].update(set(found))
+    out = []
+    for lang in docs:
+        kept = [t for t, n in docs[lang].items() if n >= 3]
+        sources = [s for la, s in count if la == lang]
+        both = sum((count[lang, s] for s in sources), Counter())
+
+        def prices(c):
+            n = sum(c[t] for t in kept)
+            return {t: 1 + 10**9 * (c[t] + 1) // (n + len(kept)) for t in kept}
+        whole, own = prices(both), {s: prices(count[lang, s]) for s in sources}
+        for s in sources:
+            pair = [(sum((own[s][t] - own[o][t]) ** 2 // own[o][t] for t in kept), o) for o in sources if o != s]
+            term = [((own[s][t] - whole[t]) ** 2 // whole[t], t) for t in kept if count[lang, s][t] and own[s][t] > whole[t]]
+            for part, found, top in (("pair", pair, None), ("term", term, 200)):
+                found.sort(key=lambda x: (-x[0], x[1].encode()))
+                out += [(lang, s, part, item, value, i) for i, (value, item) in enumerate(found[:top], 1)]
+    return sorted(out)
+
+
+AUDITED = [("The the the end", "en", "a"), ("the É é end zebra", "en", "b"), ("THE end, the-end", "en", "b"), ("zebra zebra", "en", "c"),
+           ("zebra end", "en", None), (None, "en", "d"), ("", None, None), ("x x x", None, "a"), ("x", None, "a"), ("x", None, "a"),
+           ("one", "xx", "only"), ("ÀB[c]`d{e}~f", "en", "a"), ("ÀB", "en", "b"), ("àB", "en", "b"), ("Àb", "en", "c"), (" word" * 5_000, "en", "e")]
+
+
+def audited(spark, rows):
+    df = spark.createDataFrame(rows, "text string, lang string, source string")
+    return df.withColumns({c: F.lit(7) for c in (*CLASHING, "doc_id", "block", "held", "value", "a", "b", "of", "in", "size", "terms", "p", "q")})
+
+
+@pytest.mark.parametrize("small", [False, True])
+def test_divergence_audit(spark, sf, monkeypatch, small):
+    if small:
+        for name, value in (("BLOCK", 50), ("HELD", 1_000), ("CUT", 200)):
+            monkeypatch.setattr(divergence, name, value)
+    rows = [(r.text, r.lang, r.source) for r in spark.read.parquet(f"{sf}/documents.parquet").collect()] if small else []
+    got = sorted(tuple(r) for r in divergence.audit(audited(spark, rows + AUDITED)).collect())
+    assert got == audit_of(rows + AUDITED)
+
+
+def test_divergence_sql(spark, sf):
+    duck = duckdb.connect()
+    duck.sql(f"CREATE VIEW documents AS SELECT * FROM '{sf}/documents.parquet'")
+    got = divergence.audit(spark.read.parquet(f"{sf}/documents.parquet"))
+    assert sorted(tuple(r) for r in got.collect()) == sorted(duck.sql(divergence.SQL).fetchall())
+    assert divergence.audit(audited(spark, AUDITED).limit(0)).count() == 0
+
+
+def test_galloping_and_long_division():
+    rng = np.random.default_rng(0)
+    for _ in range(200):
+        needles = np.unique(rng.integers(0, rng.integers(1, 3_000), rng.integers(0, 900)))
+        hay = np.unique(rng.integers(0, 3_000, rng.integers(0, 2_000)))
+        assert (divergence.gallop(needles, hay) == np.searchsorted(hay, needles)).all()
+    total = 9 * 10**15
+    counts = [0, 1, 10**15 - 1, total - 1]
+    assert divergence.per_billion(np.array(counts), total).tolist() == [1 + 10**9 * (c + 1) // total for c in counts]
