@@ -324,35 +324,39 @@ class Round:
         return found
 
 
-def rounds(model: Model) -> list[list[tuple[str, int]]]:
-    """The pieces (table, number) of each round, ``ROUND_BYTES`` at most; a larger piece is a round by itself."""
-    sizes = [("words", r.piece, r.n) for r in model.words.select("piece", (2 * F.octet_length("hashes")).alias("n")).collect()]
-    sizes += [("filter", r.piece, r.n) for r in model.filter.select("piece", F.octet_length("bits").alias("n")).collect()]
-    groups, room = [[]], ROUND_BYTES
+def rounds(model: Model) -> list[dict[str, dict[int, int]]]:
+    """The pieces of each round, ``ROUND_BYTES`` at most: their 64-bit values by table and number. A larger piece is a round by itself."""
+    sizes = [("filter", r.piece, r.n) for r in model.filter.select("piece", F.octet_length("bits").alias("n")).collect()]
+    sizes += [("words", r.piece, r.n) for r in model.words.select("piece", F.octet_length("hashes").alias("n")).collect()]
+    groups, room = [{"filter": {}, "words": {}}], ROUND_BYTES
     for kind, piece, n in sorted(sizes):
-        if n > room and groups[-1]:
-            groups.append([])
+        taken = n if kind == "filter" else 2 * n  # words come with their counts
+        if taken > room and any(groups[-1].values()):
+            groups.append({"filter": {}, "words": {}})
             room = ROUND_BYTES
-        groups[-1].append((kind, piece))
-        room -= n
+        groups[-1][kind][piece] = n // 8
+        room -= taken
     return groups
 
 
-def gathered(model: Model, group: list[tuple[str, int]]) -> Round:
-    """The pieces of a round, read to the driver to be broadcast."""
-    mine = {kind: [p for k, p in group if k == kind] for kind in ("words", "filter")}
-    words = model.words.where(F.col("piece").between(*_ends(mine["words"]))).orderBy("piece").collect()
-    bits = model.filter.where(F.col("piece").between(*_ends(mine["filter"]))).orderBy("piece").collect()
-    here = {r.piece: len(r.bits) // 8 for r in bits}
-    first = min(here, default=0)
-    width = [here.get(p, 0) for p in range(first, max(here, default=-1) + 1)]
-    return Round(np.frombuffer(b"".join(r.hashes for r in words), np.uint64),
-                 np.frombuffer(b"".join(r.counts for r in words), np.int64), first,
-                 np.cumsum([0, *width], dtype=np.int64), np.frombuffer(b"".join(r.bits for r in bits), np.uint64))
-
-
-def _ends(numbers: list[int]) -> tuple[int, int]:
-    return (numbers[0], numbers[-1]) if numbers else (1, 0)
+def gathered(model: Model, group: dict[str, dict[int, int]]) -> Round:
+    """The pieces of a round, on the driver to be broadcast; they come one partition at a time into their places."""
+    def start(widths: dict[int, int]) -> np.ndarray:
+        """Where the pieces from the first to the last start, and the end."""
+        first, last = (min(widths), max(widths)) if widths else (0, -1)
+        return np.cumsum([0, *(widths.get(p, 0) for p in range(first, last + 1))], dtype=np.int64)
+
+    def read(table: DataFrame, widths: dict[int, int], columns: tuple[str, ...]) -> list[np.ndarray]:
+        at, first = start(widths), min(widths, default=0)
+        out = [np.zeros(int(at[-1]), np.uint64) for _ in columns]
+        mine = table.where(F.col("piece").between(first, max(widths, default=-1))).select("piece", *columns)
+        for row in mine.toLocalIterator() if widths else ():
+            for values, column in zip(out, row[1:]):
+                values[at[row.piece - first]:at[row.piece - first + 1]] = np.frombuffer(column, np.uint64)
+        return out
+    hashes, counts = read(model.words, group["words"], ("hashes", "counts"))
+    (bits,) = read(model.filter, group["filter"], ("bits",))
+    return Round(hashes, counts.view(np.int64), min(group["filter"], default=0), start(group["filter"]), bits)
 
 
 def scores(documents: DataFrame, model: Model) -> DataFrame:
