@@ -1,28 +1,30 @@
 """Univariate search: turn every eligible feature into conditions worth refining.
 
 The cells of a feature (top string values, numeric intervals, a boolean) become bits. One pass
-folds the activity into ``cells``: a row per (checkpoint, key, tag, amt) whose words say which
-cells of each feature the key reaches. Any union of cells of one feature is exact on that table.
+folds the activity into a row per (checkpoint, key, tag, amt) whose words say which cells of each
+feature the key reaches; a second one counts keys of equal cells, per feature (:mod:`.signatures`). Any
+union of cells of one feature is exact on those counts, and nothing after them reads keys.
 
 A search is a generator: it yields the cell sets it wants measured and is sent their
-(catch, rate). All searches advance in lock-step, one Spark job per round, so the number of jobs
-does not depend on the number of features; the driver holds only conditions.
+(catch, rate). A task runs the whole search of a feature over the feature's counts, so all searches are one
+Spark job. A feature with too many distinct cell sets for a task is searched in rounds over the table of counts.
 """
 
 from __future__ import annotations
 
 from collections.abc import Generator
 from dataclasses import dataclass
+from functools import cached_property
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..conditions import INF, Atom, Equals, Flag, InSet, Range
 from ..config import MISSING_WORDS, Feature, SearchParams, VariableRules
-from ..functions.bits import WORD, word_count
-from ..functions.metrics import kpi_columns
-from ..session import local_table, small_table
-from .measure import kpi_by_test, roles_of
+from ..functions.bits import WORD, literal, word_count
+from ..session import local_table
+from . import signatures as sig
+from .measure import roles_of
 from .profile import direction, is_special
 
 Cells = frozenset[int]
@@ -132,7 +134,6 @@ class CellTable:
 
     def __init__(self, activity: DataFrame, plans: list[Plan], metric: str):
         self.plans, self.metric = plans, metric
-        self._one_row: bool | None = None
         slots: list[list[Plan]] = []
         seen: dict[str, int] = {}
         placed = []
@@ -153,7 +154,8 @@ class CellTable:
             cells.append(cell.alias(f"c{s}"))
             for w in range(max(word_count(p.size) for p in members)):
                 bits.append(_bit(F.col(f"c{s}") - w * WORD).alias(f"w{len(bits)}"))
-        self.first_word = [first[s] for s in placed]
+        self.slot = placed
+        self.spans = [(a, b - a) for a, b in zip(first, [*first[1:], len(bits)])]
         words = [f"w{i}" for i in range(len(bits))]
         roles = roles_of(activity, metric)
         folded = (activity.where(F.col("checkpoint").isin(*seen))
@@ -161,44 +163,43 @@ class CellTable:
                   .select("checkpoint", "key", *roles, *bits)
                   .groupBy("checkpoint", "key", *roles)
                   .agg(*[F.bit_or(w).alias(w) for w in words]))
-        # by key from here on: every later per-key step stays inside its partition
-        self.table = (folded.repartition("key")
-                      .select("checkpoint", "key", *roles, F.array(*words).alias("words")))
+        self.table = folded.select("checkpoint", "key", *roles, F.array(*words).alias("words"))
+
+    @cached_property
+    def counts(self) -> DataFrame:
+        """The signatures of the keys, a group per plan number; kept until :meth:`release`."""
+        keys = self.table.persist()
+        # as a rule the roles are the key's, and then a (checkpoint, key) has a single row
+        alone = keys.groupBy("checkpoint", "key").agg(F.count(F.lit(1)).alias("n")).where("n > 1").isEmpty()
+        slots = []
+        for s, (start, n) in enumerate(self.spans):
+            plan = None
+            for p, plan_of in enumerate(self.plans):
+                if self.slot[p] == s:
+                    here = F.col("checkpoint") == F.lit(plan_of.feature.checkpoint)
+                    plan = F.when(here, F.lit(p)) if plan is None else plan.when(here, F.lit(p))
+            slots.append(F.struct(plan.alias("group"), F.slice("words", start + 1, n).alias("mask")))
+        rows = (keys.select("key", *roles_of(keys), F.explode(F.array(*slots)).alias("s"))
+                .select("s.group", "key", *roles_of(keys), "s.mask")
+                .where(F.col("group").isNotNull() & F.exists("mask", lambda w: w != 0)))
+        counted = sig.signatures(rows, self.metric, alone).persist()
+        self.sizes = sig.group_sizes(counted)
+        keys.unpersist()
+        return counted
+
+    def release(self) -> None:
+        if "counts" in self.__dict__:
+            self.counts.unpersist()
+
+    def bits(self, plan: int, cells: Cells) -> list[int]:
+        return literal(sorted(cells), self.spans[self.slot[plan]][1])
 
-    def hits(self, tests: list[tuple[int, Cells]]) -> DataFrame:
-        """(test_id, key, tag[, amt]) of the keys that reach any cell of a test.
+    def kpis(self, tests: list[tuple[int, Cells]]) -> DataFrame:
+        """(test_id, target_catch, target_rate) of the tests that meet any key.
 
         Tests are (plan number, cells); the test id is the position in the list.
         """
-        rows = []
-        for test_id, (p, cells) in enumerate(tests):
-            bits: dict[int, int] = {}
-            for c in cells:
-                word = self.first_word[p] + c // WORD
-                bits[word] = bits.get(word, 0) | 1 << (c % WORD)
-            rows += [(test_id, self.plans[p].feature.checkpoint, w, b) for w, b in bits.items()]
-        wanted = small_table(self.table.sparkSession, rows,
-                             "test_id int, checkpoint string, word int, bits bigint")
-        reached = F.get(F.col("words"), F.col("word")).bitwiseAND(F.col("bits")) != 0
-        return (self.table.join(wanted, "checkpoint").where(reached)
-                .select("test_id", "key", *roles_of(self.table)))
-
-    def one_row_per_key(self) -> bool:
-        """Whether every (checkpoint, key) has a single row, as it has when the roles are the key's.
-
-        Then a test meets a key at most once and needs no step per key.
-        """
-        if self._one_row is None:
-            many = self.table.groupBy("checkpoint", "key").agg(F.count(F.lit(1)).alias("n"))
-            self._one_row = many.where("n > 1").isEmpty()
-        return self._one_row
-
-    def kpis(self, tests: list[tuple[int, Cells]]) -> DataFrame:
-        """(test_id, catch, rate) of the tests that meet any key."""
-        one_word = all(len({c // WORD for c in cells}) == 1 for _, cells in tests)
-        if one_word and self.one_row_per_key():
-            return self.hits(tests).groupBy("test_id").agg(*kpi_columns(self.metric))
-        return kpi_by_test(self.hits(tests), self.metric)
+        return sig.measured(self.counts, [(p, self.bits(p, c)) for p, c in tests], sig.picked_by_any, "int")
 
     def measure(self, tests: list[tuple[int, Cells]]) -> list[tuple[float, float]]:
         got = {r.test_id: (r.target_catch, r.target_rate) for r in self.kpis(tests).collect()}
@@ -221,11 +222,50 @@ def value_candidates(cells: CellTable, gate: Gate) -> DataFrame:
 
 
 def run_searches(cells: CellTable, gate: Gate) -> list[Found]:
-    """Advance every search together until all are done; results in plan order."""
+    """The results of every search, in plan order."""
+    counts = cells.counts
+    small = [p for p in range(len(cells.plans)) if 0 < cells.sizes.get(p, 0) <= sig.MAX_ROWS]
+    plans, spans, slot = cells.plans, cells.spans, cells.slot
+
+    def whole_search(p: int, held: sig.Held):
+        for atom, catch, rate in _alone(plans[p].search(gate), lambda c: held.any_of(literal(sorted(c), spans[slot[p]][1]))):
+            low, high = (atom.lo, atom.hi) if isinstance(atom, Range) else (getattr(atom, "value", None), None)
+            yield (list(atom.values) if isinstance(atom, InSet) else None, None if low is None else float(low), high, catch, rate)
     found: list[Found] = [[] for _ in cells.plans]
+    fields = "values array<string>, low double, high double, catch double, rate double"
+    for r in sig.search_each(counts, small, whole_search, "int", fields):
+        found[r["group"]].append((_atom(plans[r["group"]], r), r.catch, r.rate))
+    rest = [p for p in range(len(cells.plans)) if p not in set(small)]
+    for p, atoms in zip(rest, _in_rounds(cells, rest, gate)):
+        found[p] = atoms
+    return found
+
+
+def _atom(plan: Plan, r) -> Atom:
+    name = plan.feature.variable
+    if plan.kind == "string":
+        return InSet(name, tuple(r["values"]))
+    if plan.kind == "bool":
+        return Flag(name, bool(r.low))
+    return Equals(name, r.low) if plan.kind == "discrete" else Range(name, r.low, r.high)
+
+
+def _alone(search: Search, figures) -> Found:
+    """A search that is answered at once."""
+    try:
+        asked = next(search)
+        while True:
+            asked = search.send({c: figures(c) for c in asked})
+    except StopIteration as done:
+        return done.value
+
+
+def _in_rounds(cells: CellTable, numbers: list[int], gate: Gate) -> list[Found]:
+    """Advance the searches of some plans together, one Spark job a round, until all are done."""
+    found: dict[int, Found] = {}
     live: dict[int, tuple[Search, list[Cells]]] = {}
-    for i, plan in enumerate(cells.plans):
-        search = plan.search(gate)
+    for i in numbers:
+        search = cells.plans[i].search(gate)
         live[i] = (search, next(search))
     while live:
         tests = [(i, c) for i, (_, asked) in live.items() for c in asked]
@@ -239,7 +279,7 @@ def run_searches(cells: CellTable, gate: Gate) -> list[Found]:
             except StopIteration as done:
                 found[i] = done.value
                 del live[i]
-    return found
+    return [found[i] for i in numbers]
 
 
 def is_close(rate: float, bin_rate: float, gate: Gate) -> bool:

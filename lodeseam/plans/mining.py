@@ -129,9 +129,8 @@ def qualified_conditions(activity: DataFrame, outcome: DataFrame, features: list
     if not plans:
         return {}
     cells = CellTable(activity, plans, params.eval_metric)
-    cells.table.persist()
     found = run_searches(cells, gate)
-    cells.table.unpersist()
+    cells.release()
     out: dict[str, list[Scored]] = {}
     for plan, atoms in zip(plans, found):
         for atom, catch, rate in atoms:
@@ -200,6 +199,7 @@ def _search(population: DataFrame, activity: DataFrame, features: list[Feature],
     result.cached.append(masks.table.persist())
     roots = {cp: (kpis[cp].target_catch, kpis[cp].target_rate) for cp in result.conditions}
     leaves = leaf_nodes(grow_trees(masks, roots, gate.sup_n, limits.total_catch))
+    masks.release()
     result.candidates = [to_condition(masks, n) for n in leaves]
     if not leaves:
         return _done(result)

@@ -4,8 +4,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from lodeseam.config import VariableRules
-from lodeseam.operators import combine, measure, profile, select, shape
-from lodeseam.operators.trees import MaskTable, Scored
+from lodeseam.operators import combine, measure, profile, select, shape, signatures
+from lodeseam.operators.binning import run_searches
+from lodeseam.operators.trees import MaskTable, Scored, grow_trees
 from lodeseam.session import local_table
 from workloads import fixtures as fx
 from workloads import measuring, searching
@@ -54,18 +55,45 @@ def test_top_values_rank_before_the_shuffle(spark, sf):
     assert "WindowGroupLimit" in plan and "SortAggregate" not in plan
 
 
-def test_rounds_do_not_shuffle_keys(spark, sf):
-    """After the fold by key, measuring a round moves one row per test and partition."""
-    cells, _ = measuring.setup(spark, sf, ("both",))
-    cells.table.persist().count()
+def test_searches_read_signatures_and_not_keys(spark, sf):
+    """After the fold, figures come from the counted signatures: no key, no shuffle but the one of the figures."""
+    cells, gate = measuring.setup(spark, sf, ("both",))
     masks = searching.listed_masks(fx.cached(spark, sf)[1])
-    masks.table.persist().count()
-    for hits in (cells.hits([(0, frozenset({0, 1}))]), masks.hits([("R", (0, 1))])):
-        plan = plan_of(measure.kpi_by_test(hits, "target_cnt"))
-        live = plan.split("InMemoryTableScan")[0]
+    for table, figures in ((cells, cells.kpis([(0, frozenset({0, 1}))])), (masks, masks.kpis([("R", (0, 1))]))):
+        live = plan_of(figures).split("InMemoryTableScan")[0]
         assert live.count("Exchange hashpartitioning") == 1 and "hashpartitioning(test_id" in live
-    cells.table.unpersist()
-    masks.table.unpersist()
+        assert "key" not in table.counts.columns
+        table.release()
+
+
+def test_searches_are_one_job_whatever_their_number(spark, sf):
+    """No job per round: a task runs the search of a feature, or grows the tree of a checkpoint, to the end."""
+    tracker = spark.sparkContext.statusTracker()
+    cells, gate = measuring.setup(spark, sf)
+    masks = searching.listed_masks(fx.cached(spark, sf)[1])
+    roots = {cp: (1.0, 0.1) for cp in masks.conditions}
+    for name, table, run in (("cells", cells, lambda: run_searches(cells, gate)),
+                             ("masks", masks, lambda: grow_trees(masks, roots, 1.0, 100.0))):
+        assert table.counts.count()
+        spark.sparkContext.setJobGroup(name, name)
+        assert any(run())
+        assert len(tracker.getJobIdsForGroup(name)) <= 2
+        spark.sparkContext.setJobGroup("", "")
+        table.release()
+
+
+def test_rounds_find_what_tasks_find(spark, sf, monkeypatch):
+    """Groups over the bound of a task are searched in rounds, with the same results."""
+    def found():
+        cells, gate = measuring.setup(spark, sf)
+        masks = searching.listed_masks(fx.cached(spark, sf)[1])
+        out = run_searches(cells, gate), grow_trees(masks, {cp: (900.0, 0.2) for cp in masks.conditions}, 20.0, 2000.0)
+        cells.release()
+        masks.release()
+        return out[0], [vars(n) for n in out[1]]
+    whole = found()
+    monkeypatch.setattr(signatures, "MAX_ROWS", 0)
+    assert found() == whole and any(whole[0]) and len(whole[1]) > 3
 
 
 def test_running_count_in_splits(spark):

@@ -327,9 +327,8 @@ def _may_be(feature, kinds):
 def search(spark, sf, kinds, params=fx.F1):
     """Conditions found by the searches of the wanted kinds."""
     cells, gate = setup(spark, sf, kinds, params)
-    cells.table.persist()
     found = run_searches(cells, gate)
-    cells.table.unpersist()
+    cells.release()
     rows = [(p.feature.checkpoint, atom.text, catch, rate)
             for p, atoms in zip(cells.plans, found) for atom, catch, rate in atoms]
     return spark.createDataFrame(rows, "checkpoint string, content string, target_catch double, "
@@ -522,23 +521,20 @@ def numeric_intervals(spark, sf):
 
 
 @query("numeric_interval_rates", f1(", " + CUTS_SQL + f"""
-, c as (select checkpoint, variable, unnest(range(0, len(cuts)+1)) as cell, cuts from cuts
-  where variable in ('qty','tax_pct'))
-, v as ({long_sql(("qty", "tax_pct"), where="true", cast="double")})
+, c as (select checkpoint, variable, unnest(range(0, len(cuts)+1)) as cell, cuts from cuts)
+, v as ({long_sql(NUMERIC, where="true", cast="double")})
 , hit as (select c.checkpoint, c.variable, c.cell, key, max(tag) as tag from v join c
   on v.checkpoint=c.checkpoint and v.variable=c.variable
   and (c.cell=0 or value > cuts[c.cell]) and (c.cell=len(cuts) or value <= cuts[c.cell+1]) group by all)
 select checkpoint, variable, cast(cell as integer) as cell, {kpi()} from hit group by all"""))
 def numeric_interval_rates(spark, sf):
-    cells, _ = setup(spark, sf, ("both",),
-                     features=[f for f in fx.features() if f.variable in ("qty", "tax_pct")])
+    cells, _ = setup(spark, sf, ("both", "up", "down"))
     tests = [(p, frozenset({c})) for p, plan in enumerate(cells.plans) for c in range(plan.size)]
     names = spark.createDataFrame(
         [(i, cells.plans[p].feature.checkpoint, cells.plans[p].feature.variable, min(c))
          for i, (p, c) in enumerate(tests)],
         "test_id int, checkpoint string, variable string, cell int")
-    return (names.join(measure.kpi_by_test(cells.hits(tests), CNT), "test_id")
-            .select("checkpoint", "variable", "cell", *kpis()))
+    return names.join(cells.kpis(tests), "test_id").select("checkpoint", "variable", "cell", *kpis())
 
 
 @query("numeric_discrete", f1(", " + BASE_SQL + f"""

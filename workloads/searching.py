@@ -89,13 +89,12 @@ def grown(spark, sf):
     population, activity = fx.cached(spark, sf)
     limits = measure.thresholds(population, fx.F1).first()
     masks = listed_masks(activity)
-    masks.table.persist()
     cps = list(LISTED)
     got = {r.test_id: r for r in measure.measure_conditions(
         activity, [Condition(cp) for cp in cps], CNT).collect()}
     roots = {cp: (got[i].target_catch, got[i].target_rate) for i, cp in enumerate(cps)}
     nodes = grow_trees(masks, roots, limits.sup_n, limits.total_catch)
-    masks.table.unpersist()
+    masks.release()
     return masks, nodes
 
 
