@@ -113,7 +113,7 @@ def score_of(conditions: list[Condition], features: list[Feature]) -> float:
     for c in conditions:
         atoms = [by_pair[(c.checkpoint, a.variable)] for a in c.atoms]
         total += PRIORITY_SCORE[by_cp[c.checkpoint]] + (sum(atoms) / len(atoms) if atoms else 0.0)
-    return total
+    return round(total, 9)  # equal scores stay equal, in whatever order they were added up
 
 
 # ---- tagging and ranking -------------------------------------------------------------------------

@@ -16,8 +16,9 @@ from lodeseam.plans.mining import mine
 from lodeseam.sources import results
 
 from . import fixtures as fx
+from . import whole
 from .catalog import BASE_SQL, f1, fscore_sql, measure_sql, query, r4, r6
-from .measuring import CNT, PEOPLE, WHOLE, kpis, metrics_sql
+from .measuring import CNT, PEOPLE, RATES, SUMS, WHOLE, kpis, metrics_sql
 
 # ---- refinement ---------------------------------------------------------------------------------
 
@@ -680,42 +681,59 @@ def condition_result_rows(spark, sf):
         "act_content", "target_catch", "target_rate")
 
 
-@query("pattern_result_rows")
+ORDERS = whole.Domain(whole.ORDERS_TABLES, tuple(fx.features()))
+METRICS = (*SUMS, *(r for r in RATES if r != "pattr_fscore"))
+
+
+@query("pattern_result_rows", whole.whole_sql(ORDERS, fx.EVERY_VALUE, f"""
+, whole as (select rnk, {metrics_sql(WHOLE)} from done join met using (sid) join people using (key) group by rnk)
+select name as pattr_name, replace(array_to_string(texts, ' | '), chr(6), ' & ') as pattr_content, cp_str,
+  round(rate, 4) as target_rate, round(cast(hit as double), 4) as target_catch, round(inc, 4) as inc_catch,
+  round(share, 4) as inc_catch_share, round(f, 4) as pattr_fscore, round(score, 4) as pattr_score, lives as after_dedup,
+  {", ".join(f"round(w.{m}, 4) as {m}" for m in METRICS)} from done join whole w using (rnk)"""))
 def pattern_result_rows(spark, sf):
     population, activity = fx.cached(spark, sf)
     found = mine(population, activity, fx.features(), fx.EVERY_VALUE, tiebreak=fx.TIEBREAK)
     rows = results.pattern_rows(spark, found.patterns).drop("pattr_id", "update_dt", "update_ts")
     found.release()
-    return rows
+    metrics = [F.get_json_object("other_metrics", f"$.{m}").cast("double").alias(m) for m in METRICS]
+    return rows.withColumn("pattr_content", shown("pattr_content")).select("*", *metrics).drop("other_metrics")
 
 
-@query("mine_patterns")
-def mine_patterns(spark, sf):
-    population, activity = fx.cached(spark, sf)
-    found = mine(population, activity, fx.features(), fx.EVERY_VALUE, tiebreak=fx.TIEBREAK)
-    rows = [(i + 1, p.name, p.content.replace(chr(6), " & ").replace(chr(7), " | "), p.cp_str,
-             p.target_catch, p.target_rate, p.pattr_fscore, p.pattr_score, p.inc_catch,
-             p.inc_catch_share) for i, p in enumerate(found.ranked)]
+def shown(content: str):
+    """Pattern text with printable separators."""
+    return F.replace(F.replace(content, F.lit(chr(6)), F.lit(" & ")), F.lit(chr(7)), F.lit(" | "))
+
+
+def ranked_rows(spark, found):
+    """The ranked patterns of a finished search, one row each."""
+    rows = [(i + 1, p.name, p.content, p.cp_str, p.target_catch, p.target_rate, p.pattr_fscore, p.pattr_score,
+             p.inc_catch, p.inc_catch_share) for i, p in enumerate(found.ranked)]
     found.release()
-    return spark.createDataFrame(
+    table = spark.createDataFrame(
         rows, "place int, pattr_name string, pattr_content string, cp_str string, "
         "target_catch double, target_rate double, pattr_fscore double, pattr_score double, "
         "inc_catch double, inc_catch_share double")
+    return table.select("place", "pattr_name", shown("pattr_content").alias("pattr_content"), "cp_str", *kpis(),
+                        r6("pattr_fscore"), r6("pattr_score"), r4("inc_catch"), r6("inc_catch_share"))
+
+
+@query("mine_patterns", whole.whole_sql(ORDERS, fx.EVERY_VALUE, whole.RANKED))
+def mine_patterns(spark, sf):
+    population, activity = fx.cached(spark, sf)
+    return ranked_rows(spark, mine(population, activity, fx.features(), fx.EVERY_VALUE, tiebreak=fx.TIEBREAK))
 
 
 EVENTS = replace(fx.EVERY_VALUE, min_support=0.05, eval_cutoff=0.4, lvl_limit=2)
+USER_DAYS = whole.Domain(whole.USER_DAYS_TABLES, tuple(fx.event_features()))
 
 
-@query("mine_user_days")
+@query("mine_user_days", whole.whole_sql(USER_DAYS, EVENTS, whole.RANKED))
 def mine_user_days(spark, sf):
     """The same job on the event stream's user days."""
     population, activity = fx.user_days(spark, sf)
     population, activity = population.persist(), activity.persist()
-    found = mine(population, activity, fx.event_features(), EVENTS, tiebreak=("event_id",))
-    rows = [(p.name, p.content.replace(chr(6), " & ").replace(chr(7), " | "), p.target_catch,
-             p.target_rate, p.inc_catch) for p in found.ranked]
-    found.release()
+    rows = ranked_rows(spark, mine(population, activity, fx.event_features(), EVENTS, tiebreak=("event_id",)))
     population.unpersist()
     activity.unpersist()
-    return spark.createDataFrame(rows, "pattr_name string, pattr_content string, "
-                                 "target_catch double, target_rate double, inc_catch double")
+    return rows
