@@ -29,6 +29,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -45,7 +46,7 @@ MU = 60.0
 ROUND_BYTES = 128 << 20
 #: Bigram occurrences that share a piece of the filter, at most as many keys as a task holds; words of a piece of the vocabulary.
 PIECE_TOKENS, PIECE_WORDS = 4_000_000, 1_000_000
-#: Tokens handled at once; bytes of text cut off a longer one; bytes of words, and number of bigrams, a task keeps at hand.
+#: Tokens handled at once; bytes of text handled at once or cut off a longer one; bytes of words, and number of bigrams, a task keeps at hand.
 BLOCK, CUT, KEPT, HELD = 500_000, 4_000_000, 48 << 20, 2_000_000
 _SPACE = re.compile(rb"[ \t-\r]")
 _MIX = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB))
@@ -113,6 +114,16 @@ def token_blocks(texts: list[bytes | None]) -> Iterator[tuple[np.ndarray, list[b
         yield block()
 
 
+def slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The same rows in batches of about ``CUT`` bytes of text, so that what is held per token stays small."""
+    for batch in batches:
+        size = pc.fill_null(pc.binary_length(batch.column("text")), 0).to_numpy().astype(np.int64)
+        part = (np.cumsum(size) - size) // CUT
+        edge = np.flatnonzero(np.concatenate([[True], part[1:] != part[:-1], [True]])) if len(part) else []
+        for a, b in zip(edge, edge[1:]):
+            yield batch.slice(a, b - a)
+
+
 def texts_of(batch: pa.RecordBatch) -> list[bytes | None]:
     return batch.column("text").cast(pa.binary()).to_pylist()
 
@@ -154,7 +165,7 @@ def word_counts(texts: DataFrame) -> DataFrame:
 
         def rows() -> pa.RecordBatch:
             return pa.record_batch({"word": pa.array(words.names, pa.binary()), "n": pa.array(total)})
-        for batch in batches:
+        for batch in slices(batches):
             for _, block in token_blocks(texts_of(batch)):
                 part = np.bincount(words.of(block), minlength=len(words.names))
                 part[:len(total)] += total
@@ -217,7 +228,7 @@ def bigram_counts(texts: DataFrame, shift: int, seed: int) -> DataFrame:
                 out.append((int(piece[a]), keys[a:b][one].tobytes(), keys[a:b][~one].tobytes(), n[a:b][~one].tobytes()))
             return pa.record_batch([pa.array([r[i] for r in out], pa.binary() if i else pa.int64()) for i in range(4)],
                                    names=["piece", "once", "keys", "counts"])
-        for batch in batches:
+        for batch in slices(batches):
             last = end
             for _, block in token_blocks(texts_of(batch)):
                 numbers = words.of(block)
@@ -399,7 +410,7 @@ def _filling(shared, model: Model) -> Callable:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words, counts = Words(seed), {"n": np.zeros(0, np.int64)}
-        for batch in batches:
+        for batch in slices(batches):
             found = list(_known(batch, shared.value, words, counts, shift))
             yield pa.record_batch([batch.column("doc_id"), batch.column("text"),
                                    pa.array(_packed(found, batch.num_rows), pa.binary())], names=["doc_id", "text", "state"])
@@ -413,7 +424,7 @@ def _scoring(shared, model: Model) -> Callable:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words, counts = Words(seed), {"n": np.zeros(0, np.int64)}
-        for batch in batches:
+        for batch in slices(batches):
             sums, before = np.zeros((4, batch.num_rows)), [texts]
             for owner, n, level in _known(batch, shared.value, words, counts, shift):
                 history = np.concatenate([before, n[:-1]])
