@@ -25,13 +25,14 @@ from __future__ import annotations
 
 import re
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lodeseam.llm.common import stored
@@ -43,15 +44,27 @@ SCALE = np.unique([x << e for e in range(61) for x in (1, 2, 3)])
 LEVELS = len(SCALE)
 MU = 60.0
 #: Bytes of model that are broadcast at once.
-ROUND_BYTES = 128 << 20
+ROUND_BYTES = 96 << 20
 #: Bigram occurrences that share a piece of the filter, at most as many keys as a task holds; words of a piece of the vocabulary.
 PIECE_TOKENS, PIECE_WORDS = 4_000_000, 1_000_000
 #: Tokens handled at once; bytes of text handled at once or cut off a longer one; bytes of words, and number of bigrams, a task keeps at hand.
-BLOCK, CUT, KEPT, HELD = 500_000, 4_000_000, 48 << 20, 2_000_000
+BLOCK, CUT, KEPT, HELD = 200_000, 1_000_000, 24 << 20, 2_000_000
 _SPACE = re.compile(rb"[ \t-\r]")
 _MIX = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB))
 
 
+@contextmanager
+def short_batches(spark: SparkSession, rows: int = 500) -> Iterator[None]:
+    """Fewer rows than usual go to a worker at once: with what earlier rounds found a row is twice its text."""
+    option = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(option)
+    spark.conf.set(option, str(rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(option, before)
+
+
 class Words(dict):
     """Numbers of the words a task has met, and their hashes. :meth:`forget` them once they are :meth:`full`."""
 
@@ -284,6 +297,11 @@ class Model:
 
 def fit(texts: DataFrame) -> Model:
     """Learn from the column ``text``."""
+    with short_batches(texts.sparkSession):
+        return _fit(texts)
+
+
+def _fit(texts: DataFrame) -> Model:
     counts = stored(word_counts(texts))
     size = counts.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.count(F.lit(1)).alias("v"),
                       F.coalesce(F.max(F.when(F.col("word") == F.lit(END), F.col("n"))), F.lit(0)).alias("texts")).first()
@@ -371,7 +389,12 @@ def gathered(model: Model, group: dict[str, dict[int, int]]) -> Round:
 
 
 def scores(documents: DataFrame, model: Model) -> DataFrame:
-    """(doc_id, n_tokens, n_known, base_score, score) of every row."""
+    """(doc_id, n_tokens, n_known, base_score, score) of every row, as a written table."""
+    with short_batches(documents.sparkSession):
+        return _scores(documents, model)
+
+
+def _scores(documents: DataFrame, model: Model) -> DataFrame:
     spark = documents.sparkSession
     rows = documents.select("doc_id", "text").withColumn("state", F.lit(b""))
     id_type = documents.schema["doc_id"].dataType.simpleString()
@@ -381,8 +404,10 @@ def scores(documents: DataFrame, model: Model) -> DataFrame:
         rows = stored(rows.mapInArrow(_filling(shared, model), f"doc_id {id_type}, text string, state binary"))
         shared.destroy()
     shared = spark.sparkContext.broadcast(gathered(model, last))
-    return rows.mapInArrow(_scoring(shared, model),
-                           f"doc_id {id_type}, n_tokens long, n_known long, base_score double, score double")
+    scored = stored(rows.mapInArrow(_scoring(shared, model),
+                                    f"doc_id {id_type}, n_tokens long, n_known long, base_score double, score double"))
+    shared.destroy()
+    return scored
 
 
 def _known(batch: pa.RecordBatch, part: Round, words: Words, counts: dict, shift: int) -> Iterator[tuple]:
