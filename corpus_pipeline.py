@@ -17,8 +17,7 @@ from lodeseam.llm.common import sized, stored, table
 def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents that the quality classifier scores 0.3 or more."""
     model = quality.fit(docs, table(spark, sf_dir, "labels"))
-    scored = docs.withColumn("__score", quality.score(model, F.col("text")))
-    return scored.where(F.col("__score") >= 0.3).drop("__score")
+    return docs.where(quality.score(model, F.col("text")) >= 0.3)
 
 
 def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -26,12 +25,12 @@ def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
     ``n_chars`` follows the text where it changes.
     """
-    cleaned = line_dedup.without_later_copies(docs).where("__n_deleted = 0 or __n_deleted < __n_lines")
+    cleaned = line_dedup.without_later_copies(docs).where("n_deleted = 0 or n_deleted < n_lines")
+    row = F.col("row")
     if "n_chars" in docs.columns:
         kept = docs.schema["n_chars"].dataType
-        cleaned = cleaned.withColumn("n_chars", F.when(F.col("__n_deleted") > 0, F.length("text").cast(kept))
-                                     .otherwise(F.col("n_chars")))
-    return cleaned.select(*docs.columns)
+        row = F.when(F.col("n_deleted") > 0, row.withField("n_chars", F.length("row.text").cast(kept))).otherwise(row)
+    return cleaned.select(row.alias("row")).select("row.*")
 
 
 def keep_one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -40,22 +39,22 @@ def keep_one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
     Each row is judged by its own text, whatever its id. Of rows of one group and id the one of smallest text hash stays, and
     of rows equal in both one, the first by all columns. Texts without words are linked with nothing and all stay.
     """
-    spare = stored(jaccard.spare_rows(docs).withColumnsRenamed({"doc_id": "__id", "text_hash": "__h"}))
-    same = docs["doc_id"].eqNullSafe(F.col("__id")) & (F.xxhash64(docs["text"]) == F.col("__h"))
-    kept = docs.join(sized(spare), same, "left_anti")
+    spare = stored(jaccard.spare_rows(docs).withColumnsRenamed({"doc_id": "id", "text_hash": "hash"}))
+    rows = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("row"))  # no column of theirs meets one of these
+    same = F.col("row.doc_id").eqNullSafe(F.col("id")) & (F.xxhash64("row.text") == F.col("hash"))
+    kept = rows.join(sized(spare), same, "left_anti").select("row.*")
     repeated = spare.where("first")
     if repeated.isEmpty():
         return kept
-    row = F.struct(*docs.columns)
-    one = (docs.join(sized(repeated), same, "left_semi").groupBy("doc_id", F.xxhash64("text").alias("__h"))
-           .agg(F.min_by(row, F.to_json(row)).alias("__row")))
-    return kept.union(one.select("__row.*"))
+    one = (rows.join(sized(repeated), same, "left_semi").groupBy("row.doc_id", F.xxhash64("row.text").alias("hash"))
+           .agg(F.min_by("row", F.to_json("row")).alias("row")))
+    return kept.union(one.select("row.*"))
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents that hold no benchmark item."""
     found = decontaminate.contaminated(table(spark, sf_dir, "benchmark"), F.col("text"))
-    return docs.withColumn("__found", found).where(~F.col("__found")).drop("__found")
+    return docs.where(~found)
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -27,9 +27,12 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.pandas.functions import pandas_udf
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from lodeseam.llm.common import WordCodes
 
@@ -226,20 +229,19 @@ def matches(documents: DataFrame, benchmark: DataFrame, share: float = SHARE) ->
     documents = documents.select("doc_id", "text")
     id_type, item_type = (t.schema[c].dataType.simpleString() for t, c in ((documents, "doc_id"), (benchmark, "item_id")))
     schema = f"doc_id {id_type}, item_id {item_type}, edit_distance int, first_word int, n_words int"
+    arrow = to_arrow_schema(T.StructType.fromDDL(schema))
     out = None
     for ids, finder in finders(benchmark, share):
         shared = documents.sparkSession.sparkContext.broadcast((ids, finder))
 
-        def run(batches: Iterator[pd.DataFrame], shared=shared) -> Iterator[pd.DataFrame]:
+        def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
             ids, finder = shared.value
             for batch in batches:
-                rows = [(at, ids[item], d, a, b - a) for at, found in enumerate(finder.find(list(batch["text"])))
+                rows = [(at, ids[item], d, a, b - a) for at, found in enumerate(finder.find(batch.column("text").to_pylist()))
                         for item, (d, a, b) in found.items()]
-                at = [r[0] for r in rows]
-                out = pd.DataFrame([r[1:] for r in rows], columns=["item_id", "edit_distance", "first_word", "n_words"])
-                out.insert(0, "doc_id", batch["doc_id"].iloc[at].to_numpy())
-                yield out
-        part = documents.mapInPandas(run, schema)
+                held = batch.column("doc_id").take(pa.array([r[0] for r in rows], pa.int64()))
+                yield pa.record_batch([held, *(pa.array([r[i] for r in rows], arrow.field(i).type) for i in range(1, 5))], schema=arrow)
+        part = documents.mapInArrow(run, schema)
         out = part if out is None else out.union(part)
     return out
 

@@ -13,7 +13,6 @@ processed whole, in blocks of words; repeated rows give equal results; extra col
 
 from __future__ import annotations
 
-import gc
 import hashlib
 import heapq
 import json
@@ -26,10 +25,13 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import regex
 from pyspark import SparkFiles
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from lodeseam.session import shared_dir
 
@@ -398,17 +400,16 @@ def _encoded(documents: DataFrame, path: str, lexicon_words: int, schema: str, s
                     frequent_words(documents, merges.special, lexicon_words)})
     name = publish(spark, build_automaton(zip(words, merges.merge(words))))
     tables = spark.sparkContext.broadcast(merges)
-    columns = [c.split()[0] for c in schema.split(", ")]
+    id_type = documents.schema["doc_id"].dataType.simpleString()
+    arrow = to_arrow_schema(T.StructType.fromDDL(schema))
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        gc.disable()  # many long-lived strings and no cycles
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = Encoder(tables.value, Automaton(np.memmap(SparkFiles.get(name), np.int64, "r")))
         for batch in batches:
             start = 0
-            for block in blocks(batch["text"]):
-                out = pd.DataFrame([shape(r) for r in encoder.encode(block)], columns=columns, dtype=object)
-                out.insert(0, "doc_id", batch["doc_id"].iloc[start:start + len(block)].to_numpy())
+            for block in blocks(batch.column("text").to_pylist()):
+                rows = [shape(r) for r in encoder.encode(block)]
+                found = {f.name: pa.array([r[i] for r in rows], f.type) for i, f in enumerate(arrow)}
+                yield pa.record_batch({"doc_id": batch.column("doc_id").slice(start, len(block)), **found})
                 start += len(block)
-                yield out
-    id_type = documents.schema["doc_id"].dataType.simpleString()
-    return documents.mapInPandas(run, f"doc_id {id_type}, {schema}")
+    return documents.mapInArrow(run, f"doc_id {id_type}, {schema}")

@@ -145,18 +145,17 @@ def deleted_runs(documents: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
 
 
 def without_later_copies(documents: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
-    """The documents, with later copies of repeated runs deleted from ``text``.
+    """(n_lines, n_deleted, row): the documents, with later copies of repeated runs deleted from the text of ``row``.
 
-    Two columns are added in front: ``__n_lines`` and ``__n_deleted``.
+    The documents travel as a struct, so that no column of theirs meets one of this module's.
     """
     runs = stored(deleted_runs(documents.select("doc_id", "text"), min_words))
-    runs = sized(runs.withColumnsRenamed({"doc_id": "__id", "__hash": "__h", "runs": "__runs"}), SMALL_CHANGES)
-    lines = F.split("text", "\n")
-    kept = F.filter(lines, lambda _, i: ~F.exists("__runs", lambda r: i.between(r["first"], r["last"])))
-    n_deleted = F.aggregate("__runs", F.lit(0), lambda n, r: n + r["last"] - r["first"] + 1)
-    same = documents["doc_id"].eqNullSafe(F.col("__id")) & (F.xxhash64(documents["text"]) == F.col("__h"))
-    joined = documents.join(runs, same, "left")
-    text = F.when(F.col("__runs").isNull(), F.col("text")).otherwise(F.array_join(kept, "\n"))
-    return joined.select(F.coalesce(F.size(lines), F.lit(0)).alias("__n_lines"),
-                         F.coalesce(n_deleted, F.lit(0)).alias("__n_deleted"),
-                         *(text.alias("text") if c == "text" else documents[c] for c in documents.columns))
+    runs = sized(runs.withColumnsRenamed({"doc_id": "id", "__hash": "hash"}), SMALL_CHANGES)
+    doc_id, text, row = F.col("row.doc_id"), F.col("row.text"), F.col("row")
+    lines = F.split(text, "\n")
+    kept = F.filter(lines, lambda _, i: ~F.exists("runs", lambda r: i.between(r["first"], r["last"])))
+    n_deleted = F.aggregate("runs", F.lit(0), lambda n, r: n + r["last"] - r["first"] + 1)
+    rows = documents.select(F.struct(*[documents[c] for c in documents.columns]).alias("row"))
+    joined = rows.join(runs, doc_id.eqNullSafe(F.col("id")) & (F.xxhash64(text) == F.col("hash")), "left")
+    return joined.select(F.coalesce(F.size(lines), F.lit(0)).alias("n_lines"), F.coalesce(n_deleted, F.lit(0)).alias("n_deleted"),
+                         F.when(F.col("runs").isNull(), row).otherwise(row.withField("text", F.array_join(kept, "\n"))).alias("row"))

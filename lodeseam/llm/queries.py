@@ -70,7 +70,7 @@ def op4_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.without_later_copies(table(spark, sf_dir, "documents").select("doc_id", "text")).select(
-        "doc_id", F.col("__n_lines").alias("n_lines"), F.col("__n_deleted").alias("n_deleted"), "text")
+        "row.doc_id", "n_lines", "n_deleted", "row.text")
 
 
 @query

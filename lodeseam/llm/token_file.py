@@ -15,16 +15,20 @@ whole; extra columns play no part; an empty table makes an empty file.
 
 from __future__ import annotations
 
-import gc
+import re
 import uuid
 import zlib
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_type
 from tokenizers import Tokenizer
 
 from lodeseam.llm.common import dropping_shuffles, stored
@@ -32,38 +36,45 @@ from lodeseam.session import shared_dir
 
 MAX_BITS, BLOCK, SHARD = 18, 1024, 1 << 19
 END = 0
-#: Space-separated pieces of text whose ids a task keeps at hand; texts it encodes at once.
-KEPT, BATCH = 400_000, 500
+#: Bytes of pieces and ids that a task keeps at hand; texts it encodes at once.
+KEPT, BATCH = 32 << 20, 500
+#: A space between two characters that are no white space; one at a time, so that a piece is a word with its space.
+_CUT = re.compile(r"(?<=\S) (?=\S)")
+
+
+@lru_cache(1)
+def _tokenizer(file: str) -> Tokenizer:
+    """Read once per worker, not once per task."""
+    return Tokenizer.from_str(file)
 
 
 class Pieces:
     """The tokenizer's ids of whole texts, put together from those of space-separated pieces.
 
-    The tokenizer cuts before a space that neither follows nor precedes another one, so a text without
-    two spaces in a row has the ids of its pieces, each with its space. Other texts are encoded whole.
+    The tokenizer always cuts before a space that has white space on neither side, as such a space begins the next word. So a text
+    has the ids of the pieces between these cuts, each with the space before it. The ids of pieces are kept, up to ``KEPT``
+    bytes; results do not depend on what is kept.
     """
 
     def __init__(self, file: str):
-        self.tokenizer = Tokenizer.from_str(file)
+        self.tokenizer = _tokenizer(file)
         self.known: dict[str, bytes] = {}
+        self.size = 0
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """Ids and end id of each text, as little-endian 32-bit integers."""
-        split = [None if not t or "  " in t else t.replace(" ", "\0 ").split("\0") if "\0" not in t else [t]
-                 for t in texts]
-        new = list({p for pieces in split if pieces for p in pieces if p not in self.known})
+        split = [_CUT.split(t) if t else [] for t in texts]
+        for pieces in split:
+            pieces[1:] = [" " + p for p in pieces[1:]]
+        new = list({p for pieces in split for p in pieces if p not in self.known})
         for piece, found in zip(new, self.tokenizer.encode_batch_fast(new, add_special_tokens=False)):
-            self.known[piece] = np.array(found.ids, "<u4").tobytes()
+            ids = self.known[piece] = np.array(found.ids, "<u4").tobytes()
+            self.size += len(piece) + len(ids) + 200
         end = np.array([END], "<u4").tobytes()
-        rows = []
-        for text, pieces in zip(texts, split):
-            if pieces:
-                rows.append(b"".join(map(self.known.__getitem__, pieces)) + end)
-            else:
-                ids = self.tokenizer.encode(text or "", add_special_tokens=False).ids
-                rows.append(np.array(ids, "<u4").tobytes() + end)
-        if len(self.known) > KEPT:
+        rows = [b"".join(map(self.known.__getitem__, pieces)) + end for pieces in split]
+        if self.size > KEPT:
             self.known.clear()
+            self.size = 0
         return rows
 
 
@@ -75,16 +86,15 @@ def tokens(documents: DataFrame, path: str) -> DataFrame:
     width = _width(file)
     shared = documents.sparkSession.sparkContext.broadcast(file)
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        gc.disable()  # many long-lived byte strings and no cycles
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pieces = Pieces(shared.value)
         for batch in batches:
-            for at in range(0, len(batch), BATCH):
-                part = batch.iloc[at:at + BATCH]
-                ids = [np.frombuffer(b, "<u4").astype(width).tobytes() for b in pieces.encode(list(part["text"]))]
-                yield pd.DataFrame({"doc_id": part["doc_id"], "ids": ids})
+            for at in range(0, batch.num_rows, BATCH):
+                part = batch.slice(at, BATCH)
+                ids = [np.frombuffer(b, "<u4").astype(width).tobytes() for b in pieces.encode(part.column("text").to_pylist())]
+                yield pa.record_batch({"doc_id": part.column("doc_id"), "ids": pa.array(ids, pa.binary())})
     id_type = documents.schema["doc_id"].dataType.simpleString()
-    return documents.mapInPandas(run, f"doc_id {id_type}, ids binary")
+    return documents.mapInArrow(run, f"doc_id {id_type}, ids binary")
 
 
 def _width(file: str) -> str:
@@ -191,17 +201,21 @@ def write(documents: DataFrame, path: str, folder: str) -> None:
     id_type = ids.schema["doc_id"].dataType.simpleString()
     spark.createDataFrame([(END, bytes(bits))], "end_id int, bits binary").coalesce(1).write.parquet(f"{folder}/code")
 
-    def shards(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    id_list = to_arrow_type(T.ArrayType(ids.schema["doc_id"].dataType))
+
+    def shards(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, start, doc_ids, blobs, held = TaskContext.get().partitionId(), 0, [], [], 0
 
-        def shard() -> pd.DataFrame:
+        def shard() -> pa.RecordBatch:
             all_ids = np.frombuffer(b"".join(blobs), width).astype(np.int64)
             payload, offsets = pack(all_ids, bits, words)
             lengths = [len(b) // np.dtype(width).itemsize for b in blobs]
-            return pd.DataFrame({"part": [part], "start": [start], "n": [len(all_ids)], "payload": [payload],
-                                 "offsets": [offsets], "doc_ids": [doc_ids], "lengths": [lengths]})
+            return pa.record_batch({
+                "part": pa.array([part], pa.int32()), "start": pa.array([start], pa.int64()), "n": pa.array([len(all_ids)], pa.int64()),
+                "payload": pa.array([payload], pa.binary()), "offsets": pa.array([offsets], pa.list_(pa.int64())),
+                "doc_ids": pa.array([doc_ids], id_list), "lengths": pa.array([lengths], pa.list_(pa.int64()))})
         for batch in batches:
-            for doc_id, blob in zip(batch["doc_id"].astype(object).where(batch["doc_id"].notna(), None), batch["ids"]):
+            for doc_id, blob in zip(batch.column("doc_id").to_pylist(), batch.column("ids").to_pylist()):
                 doc_ids.append(doc_id)
                 blobs.append(blob)
                 held += len(blob) // np.dtype(width).itemsize
@@ -213,42 +227,43 @@ def write(documents: DataFrame, path: str, folder: str) -> None:
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     dealt = ids.repartitionByRange(parts, "doc_id", "ids").sortWithinPartitions("doc_id", "ids")
     with dropping_shuffles(spark):
-        (dealt.mapInPandas(shards, "part int, start long, n long, payload binary, offsets array<long>, "
+        (dealt.mapInArrow(shards, "part int, start long, n long, payload binary, offsets array<long>, "
                                    f"doc_ids array<{id_type}>, lengths array<long>")
          .write.option("compression", "none").parquet(f"{folder}/shards"))
 
 
 def read(spark: SparkSession, folder: str) -> DataFrame:
     """(doc_id, start, ids) of the files; ``start`` counts the ids of all documents before."""
-    return _decoded(spark, folder, "ids array<long>", lambda ids: ids.astype(np.int64))
+    return _decoded(spark, folder, "ids array<long>", pa.list_(pa.int64()), lambda ids: ids.astype(np.int64))
 
 
 def digests(spark: SparkSession, folder: str) -> DataFrame:
     """(doc_id, start, n_tokens, ids_crc32) of the files."""
-    return _decoded(spark, folder, "ids_crc32 long", lambda ids: zlib.crc32(ids.astype("<u4").tobytes()))
+    return _decoded(spark, folder, "ids_crc32 long", pa.int64(), lambda ids: zlib.crc32(ids.astype("<u4").tobytes()))
 
 
-def _decoded(spark: SparkSession, folder: str, column: str, shape) -> DataFrame:
+def _decoded(spark: SparkSession, folder: str, column: str, kind: pa.DataType, shape) -> DataFrame:
     bits = np.frombuffer(spark.read.parquet(f"{folder}/code").first().bits, np.uint8)
     _, table = code_words(bits)
     shards = spark.read.parquet(f"{folder}/shards")
-    id_type = shards.schema["doc_ids"].dataType.elementType.simpleString()
+    id_type = shards.schema["doc_ids"].dataType.elementType
     totals = {r.part: r.n for r in shards.groupBy("part").agg(F.sum("n").alias("n")).collect()}  # one per task
     before, base = 0, {}
     for part in sorted(totals):
         base[part] = before
         before += totals[part]
+    arrow_id = to_arrow_type(id_type)
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for s in batch.itertuples():
-                ids = unpack(s.payload, s.offsets, s.n, table)
-                ends = np.cumsum(s.lengths)
-                yield pd.DataFrame({
-                    "doc_id": list(s.doc_ids), "start": base[s.part] + s.start + ends - s.lengths,
-                    "n_tokens": s.lengths,
-                    column.split()[0]: [shape(ids[e - k:e]) for e, k in zip(ends, s.lengths)]})
-    return shards.mapInPandas(run, f"doc_id {id_type}, start long, n_tokens long, {column}")
+            for s in batch.to_pylist():
+                ids, lengths = unpack(s["payload"], np.array(s["offsets"]), s["n"], table), np.array(s["lengths"])
+                ends = np.cumsum(lengths)
+                yield pa.record_batch({
+                    "doc_id": pa.array(s["doc_ids"], arrow_id), "start": base[s["part"]] + s["start"] + ends - lengths,
+                    "n_tokens": lengths,
+                    column.split()[0]: pa.array([shape(ids[e - k:e]) for e, k in zip(ends, lengths)], kind)})
+    return shards.mapInArrow(run, f"doc_id {id_type.simpleString()}, start long, n_tokens long, {column}")
 
 
 def new_folder(spark: SparkSession) -> str:

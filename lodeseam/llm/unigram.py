@@ -21,7 +21,7 @@ import re
 from collections.abc import Iterator
 
 import ahocorasick
-import pandas as pd
+import pyarrow as pa
 import sentencepiece
 from pyspark.sql import DataFrame
 
@@ -93,11 +93,11 @@ def token_counts(documents: DataFrame, path: str) -> DataFrame:
     documents = documents.select("doc_id", "text")
     pieces = documents.sparkSession.sparkContext.broadcast(vocabulary(path))
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counter = Counter(pieces.value)
         for batch in batches:
-            found = [counter.count(t) for t in batch["text"]]
-            yield pd.DataFrame({"doc_id": batch["doc_id"], "n_tokens": [n for n, _ in found],
-                                "score": [s for _, s in found]})
+            found = [counter.count(t) for t in batch.column("text").to_pylist()]
+            yield pa.record_batch({"doc_id": batch.column("doc_id"), "n_tokens": pa.array([n for n, _ in found], pa.int64()),
+                                   "score": pa.array([s for _, s in found], pa.float64())})
     id_type = documents.schema["doc_id"].dataType.simpleString()
-    return documents.mapInPandas(run, f"doc_id {id_type}, n_tokens long, score double")
+    return documents.mapInArrow(run, f"doc_id {id_type}, n_tokens long, score double")

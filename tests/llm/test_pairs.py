@@ -132,9 +132,10 @@ def test_preference_pairs(spark):
 
 def test_pipeline_stages(spark, sf):
     docs = spark.read.parquet(f"{sf}/documents.parquet").withColumn("component_id", F.lit("kept"))
+    clashing = ("__id", "__h", "__runs", "__n_lines", "__score", "__found", "__row", "id", "hash", "row", "first")
     odd = [(90_001, None, None, None, None, "a"), (90_002, "", "en", "s", 0, "b"), (90_003, "x", None, None, 1, "c"),
            (90_003, "x", None, None, 1, "c"), (None, "y z", None, None, 3, "d")]
-    docs = docs.union(spark.createDataFrame(odd, docs.schema))
+    docs = docs.union(spark.createDataFrame(odd, docs.schema)).withColumns({c: F.lit("own") for c in clashing})
     columns, last = docs.columns, docs
     for name, stage in corpus_pipeline.STAGES[:-1]:
         after = corpus_pipeline.stored(stage(spark, last, sf))

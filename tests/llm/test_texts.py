@@ -18,6 +18,10 @@ ODD_TEXTS = ["", "Σίσυφος ΟΔΟΣ'S don't I'LL x1234½²", "a<|endoftext
              "<|", "ﬁ ﬀ \u0085q", "Ὀδυσσεύς ΣΣ Σ", "\x00\x01\x7f", "a  b   c \n d\n\n e ", " lead\ttab \n\n  x", "nul\0 here"]
 
 
+#: Names that operators use for columns of their own.
+CLASHING = ("__id", "__h", "__runs", "__n_lines", "__n_deleted", "__score", "__found", "__row", "id", "hash", "runs", "row", "n_lines", "first")
+
+
 def docs_of(spark, rows, extra=True):
     df = spark.createDataFrame(rows, "doc_id long, text string")
     # columns whose names operators use themselves
@@ -72,6 +76,40 @@ def test_token_file_round_trip(spark, texts):
     assert token_file.read(spark, folder).count() == 0
 
 
+WIDE_SPACES = ["\u00a0", "\u3000", "\t", "\n", "\r", "\x0b", "\x1c", "\u0085", "\u2009", "  "]
+
+
+def test_pieces_have_the_ids_of_whole_texts():
+    """Single spaces next to, between and apart from other white space."""
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    with open(path, encoding="utf-8") as f:
+        pieces = token_file.Pieces(f.read())
+    rnd = random.Random(5)
+    parts = [" "] * 6 + WIDE_SPACES + ["the", "The", ".", "a", "é", "12", "'s", "日本", "\0", "?!"]
+    texts = [" \xa0 \xa0", ". \xa0 \xa0", "the \xa0 \xa0", "a \n b", *ODD_TEXTS]
+    texts += ["".join(rnd.choices(parts, k=rnd.randint(1, 9))) for _ in range(100_000)]
+    got = pieces.encode(texts)
+    expected = pieces.tokenizer.encode_batch(texts, add_special_tokens=False)
+    wrong = [t for t, g, e in zip(texts, got, expected) if np.frombuffer(g, "<u4").tolist() != e.ids + [token_file.END]]
+    assert wrong == []
+
+
+def test_ids_stay_whole_beside_nulls(spark, sf):
+    """A long id that no double holds, in one batch with a null."""
+    big = 2**60 + 1
+    df = docs_of(spark, [(big, "first text here to find"), (None, "other text"), (None, None), (big + 2, "")]).coalesce(1)
+    benchmark = spark.createDataFrame([(big, "first text here to find")], "item_id long, text string")
+    folder = token_file.new_folder(spark)
+    token_file.write(df, public_tokenizers.path("byte_bpe_50k.json"), folder)
+    found = {"op3": token_file.read(spark, folder), "op3 digests": token_file.digests(spark, folder),
+             "op5": unigram.token_counts(df, public_tokenizers.path("piece_bpe_32k.model")),
+             "op7": lexicon.digests(df, public_tokenizers.path("word_bpe_49k.json"))}
+    for name, out in found.items():
+        assert sorted((r.doc_id for r in out.collect()), key=str) == sorted([big, None, None, big + 2], key=str), name
+    (hit,) = decontaminate.matches(df, benchmark).collect()
+    assert (hit.doc_id, hit.item_id, hit.edit_distance) == (big, big, 0)
+
+
 def test_huffman_code():
     rng = np.random.default_rng(0)
     count = rng.zipf(1.2, 30_000) % 10**9
@@ -195,8 +233,9 @@ def test_line_dedup(spark, min_words):
     docs += [(60, "\n".join(["c"] * 40)), (61, docs[3][1] + "\n" + docs[4][1]), (62, "")]
     rows = docs + [(70, None), docs[5], docs[5], (None, docs[6][1])]
     df = docs_of(spark, rows)
-    out = line_dedup.without_later_copies(df, min_words)
-    assert out.columns == ["__n_lines", "__n_deleted", *df.columns]
+    df = df.withColumns({c: F.lit("own") for c in CLASHING})
+    out = line_dedup.without_later_copies(df, min_words).select("row.*")
+    assert out.columns == df.columns and out.where(" and ".join(f"{c} = 'own'" for c in CLASHING)).count() == len(rows)
     got = defaultdict(set)
     for r in out.collect():
         got[r.doc_id].add(r.text)
