@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from ..conditions import ATOM_SEP, CONDITION_SEP, Condition
 from ..config import AMOUNT, PRIORITY_SCORE, RANKINGS, Feature
 from ..functions.bits import holds_all, literal
-from ..session import local_table
+from ..session import cut, local_table
 
 
 @dataclass
@@ -46,20 +46,18 @@ class Pattern:
 # ---- sets ------------------------------------------------------------------------------------
 
 def minimal_sets(sets: DataFrame) -> DataFrame:
-    """Drop sets that contain another qualified set of two or more items.
+    """The qualified sets that contain no other qualified set of two or more items.
 
-    ``sets`` has set_id, items (sorted array) and qualified. Containment is tested only between
-    sets that share the smaller one's first item.
+    ``sets`` has set_id, items (sorted array) and qualified. Each qualified set looks for its own proper subsets, whose number the
+    length limit of the search bounds, so nothing is compared that does not match.
     """
-    small = (sets.where(F.col("qualified") & (F.size("items") >= 2))
-             .select(F.col("set_id").alias("small_id"), F.col("items").alias("small"),
-                     F.get("items", F.lit(0)).alias("item")))
-    wide = sets.select("set_id", "items", F.explode("items").alias("item"))
-    covered = (wide.join(small, "item")
-               .where((F.col("set_id") != F.col("small_id"))
-                      & (F.size(F.array_except("small", "items")) == 0))
-               .select("set_id").distinct())
-    return sets.where("qualified").join(covered, "set_id", "left_anti")
+    good = sets.where("qualified")
+    within = F.filter(F.transform(F.sequence(F.lit(1).cast("bigint"), F.call_function("shiftleft", F.lit(1).cast("bigint"), F.size("items")) - 2), lambda mask: F.filter(
+        "items", lambda _, i: F.getbit(mask, i) == 1)), lambda part: F.size(part) >= 2)
+    parts = (good.where(F.size("items") >= 3)
+             .select(F.col("set_id").alias("covered"), F.explode(within).alias("items")))
+    covered = parts.join(good.select("items"), "items", "left_semi").select(F.col("covered").alias("set_id")).distinct()
+    return good.join(covered, "set_id", "left_anti")
 
 
 def similarity(a: Column, b: Column) -> Column:
@@ -67,14 +65,52 @@ def similarity(a: Column, b: Column) -> Column:
     return F.size(F.array_intersect(a, b)) / F.size(F.array_union(a, b))
 
 
-def drop_similar(patterns: list[Pattern], overlap: float) -> list[Pattern]:
-    """Within one checkpoint string, keep a pattern unless a better kept one is too similar."""
-    kept: dict[str, list[Pattern]] = {}
-    for p in sorted(patterns, key=lambda p: (-p.target_rate, -p.pattr_score, p.content)):
-        mine = kept.setdefault(p.cp_str, [])
-        if all(len(p.parts & k.parts) / len(p.parts | k.parts) <= overlap for k in mine):
-            mine.append(p)
-    return [p for group in kept.values() for p in group]
+def similar_pairs(sets: DataFrame, group: str, parts: str, over: float) -> DataFrame:
+    """(a, b, similarity) of the sets of a group whose similarity is more than ``over`` and not 0; ``a`` sorts first.
+
+    Sets are distinct arrays. Each is looked up by its rarest parts only: two sets of a similarity over ``over`` share one of
+    the first size - ceil(over * size) + 1 parts of either, in the same order of all parts.
+    """
+    held = sets.select(F.col(group).alias("of"), F.col(parts).alias("s"))
+    each = held.select("of", "s", F.explode("s").alias("part"))
+    ordered = (each.join(each.groupBy("of", "part").agg(F.count(F.lit(1)).alias("n")), ["of", "part"])
+               .groupBy("of", "s").agg(F.array_sort(F.collect_list(F.struct("n", "part"))).alias("by")))
+    enough = F.least(F.size("s"), F.size("s") - F.ceil(F.lit(float(over)) * F.size("s")).cast("int") + 1)
+    keys = ordered.select("of", "s", F.explode(F.slice("by", F.lit(1), enough)).alias("k")).select("of", F.col("k.part").alias("part"), "s")
+    pairs = (keys.withColumnRenamed("s", "a").join(keys.withColumnRenamed("s", "b"), ["of", "part"])
+             .where("a < b").select("a", "b").distinct())
+    return (pairs.withColumn("similarity", similarity(F.col("a"), F.col("b")))
+            .where((F.col("similarity") > over) & (F.col("similarity") > 0)))
+
+
+def drop_similar(patterns: DataFrame, overlap: float) -> DataFrame:
+    """Within one checkpoint string, keep a pattern unless a better kept one is too similar.
+
+    ``patterns`` has cp_str, parts (distinct arrays within a checkpoint string), target_rate, pattr_score and content, which order them.
+    In every round the patterns without an undecided better neighbour stay, and their neighbours go; what a walk through the
+    patterns from the best to the worst would keep.
+    """
+    if patterns.isEmpty():
+        return patterns
+    merit = F.struct((-F.col("target_rate")).alias("r"), (-F.col("pattr_score")).alias("s"), F.col("content").alias("c"))
+    known = patterns.select("cp_str", F.array_sort("parts").alias("s"), merit.alias("merit"))
+    pairs = (similar_pairs(known, "cp_str", "s", overlap)
+             .join(known.select(F.col("s").alias("a"), F.col("merit").alias("am")), "a")
+             .join(known.select(F.col("s").alias("b"), F.col("merit").alias("bm")), "b"))
+    ahead = F.col("am") < F.col("bm")
+    edges = cut(pairs.select(F.when(ahead, F.col("a")).otherwise(F.col("b")).alias("better"),
+                             F.when(ahead, F.col("b")).otherwise(F.col("a")).alias("worse")))
+    gone = None
+    while not edges.isEmpty():
+        free = edges.select("better").distinct().join(edges.select(F.col("worse").alias("better")), "better", "left_anti")
+        now = cut(edges.join(free, "better", "left_semi").select("worse").distinct())
+        gone = now if gone is None else gone.union(now)
+        edges = cut(edges.join(now, "worse", "left_anti")
+                    .join(now.select(F.col("worse").alias("better")), "better", "left_anti"))
+    if gone is None:
+        return patterns
+    worse = gone.select(F.col("worse").alias("gone"))
+    return patterns.join(worse, F.array_sort("parts") == F.col("gone"), "left_anti")
 
 
 # ---- score -------------------------------------------------------------------------------------

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-import re
+import hashlib
+import json
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
@@ -32,34 +33,42 @@ class Job:
     exclusion_segments: str | None = None  # JSON list of {"name": .., "value": ..}
     deprecated: tuple[str, ...] = ()
     tiebreak: tuple[str, ...] = ()         # orders rows of equal time, for params.recent_rows
-    tag_table: str = "pattern_tags"        # the run's ids are appended: each run has its own
+    tag_table: str = "pattern_tags"        # a digest of the run's ids is appended: each run has its own
     pattern_table: str = "pattern_results"
     condition_table: str = "condition_results"
     log_table: str = "pattern_jobs"
+    stage_table: str = "pattern_stages"
     retention_days: int = 14
 
+    def digest(self) -> str:
+        """Different for different ids, whatever characters they hold, also where names ignore case."""
+        return hashlib.sha256(json.dumps(self.ids, sort_keys=True).encode()).hexdigest()
+
     def tags(self) -> str:
         """The name of this run's table of tags."""
-        return "_".join([self.tag_table, *(re.sub(r"\W", lambda m: f"_{ord(m[0]):x}_", i) for i in self.ids.values())])
+        return f"{self.tag_table}_{self.digest()}"
 
-    def kinds(self) -> tuple[str, str, str]:
-        if "job_id" in self.ids:
-            return "service_result", "service_act_res", "service_log"
-        return "fp_result", "fp_act_res", "fp_log"
+    def kinds(self) -> tuple[str, str, str, str]:
+        prefix = "service" if "job_id" in self.ids else "fp"
+        return f"{prefix}_result", f"{prefix}_act_res", f"{prefix}_log", f"{prefix}_stage"
 
 
 def run(spark: SparkSession, job: Job) -> MiningResult:
-    """Run once; running again with the same ids replaces what the first run wrote."""
-    pattern_kind, condition_kind, log_kind = job.kinds()
+    """Run once; running again with the same ids replaces what the first run wrote.
+
+    Tags of any run that the log says has retired are dropped first.
+    """
+    pattern_kind, condition_kind, log_kind, stage_kind = job.kinds()
     outputs = ((job.pattern_table, pattern_kind), (job.condition_table, condition_kind),
-               (job.log_table, log_kind))
+               (job.log_table, log_kind), (job.stage_table, stage_kind))
     for table, kind in outputs:
         results.ensure_table(spark, table, kind)
+    results.sweep(spark, job.log_table, job.tag_table)
     results.drop_if_expired(spark, job.tags())
     population = tables.read_population(spark, job.population, job.roles, job.row_filter,
-                                        job.input_format)
+                                        job.input_format, f"population_{job.digest()}")
     activity = tables.read_activity(spark, job.activity, job.roles, job.row_filter,
-                                    job.input_format)
+                                    job.input_format, f"activity_{job.digest()}")
     listed = tables.read_feature_config(spark, job.feature_config)
     names = {r[0] for r in listed.select("variable name").distinct().collect()}  # rule-sized
     held = [f"`{c}`" for c in activity.columns if c in names]
@@ -80,6 +89,7 @@ def run(spark: SparkSession, job: Job) -> MiningResult:
                           condition_kind, job.ids)
         results.write_run(results.job_row(spark, job.tags(), job.retention_days),
                           job.log_table, log_kind, job.ids)
+        results.write_run(results.stage_rows(spark, found.stages), job.stage_table, stage_kind, job.ids)
     found.release()
     return found
 

@@ -7,12 +7,13 @@ on folded tables that are partitioned by key.
 
 from __future__ import annotations
 
+from collections.abc import Iterable
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..conditions import Condition
+from ..conditions import Condition, pattern_text
 from ..config import COUNT, Feature, SearchParams, VariableRules
 from ..functions.metrics import Registry, kpi_columns
 from ..operators import profile, select, shape
@@ -35,6 +36,7 @@ class MiningResult:
     patterns: list[select.Pattern] = field(default_factory=list)
     conditions: dict[str, list[Scored]] = field(default_factory=dict)
     candidates: list[Condition] = field(default_factory=list)
+    stages: list[tuple[str, str, float, float | None]] = field(default_factory=list)
     mode: str = ""
     was_cut: bool = False
     tagged: DataFrame | None = None
@@ -45,6 +47,10 @@ class MiningResult:
     def ranked(self) -> list[select.Pattern]:
         return [p for p in self.patterns if p.after_dedup]
 
+    def note(self, stage: str, rows: Iterable[tuple[list[Condition], float, float | None]]) -> None:
+        """Keep what a stage came to: the text of each set of conditions, catch (or support) and rate."""
+        self.stages += [(stage, pattern_text(conditions), catch, rate) for conditions, catch, rate in rows]
+
     def release(self) -> None:
         for df in self.cached:
             df.unpersist()
@@ -139,26 +145,32 @@ def qualified_conditions(activity: DataFrame, outcome: DataFrame, features: list
     return out
 
 
-def qualify(sets: list[tuple[int, ...]], measured: list, candidates: list[Condition],
+def qualify(spark: SparkSession, sets: list[tuple[int, ...]], measured: list, candidates: list[Condition],
             features: list[Feature], params: SearchParams) -> list[select.Pattern]:
     """Patterns with enough rate, without supersets of smaller ones and without look-alikes."""
     metric = params.eval_metric
-    good = {s: m.asDict() for s, m in zip(sets, measured)
-            if m[f"{metric}_rate"] >= params.eval_cutoff}
-    small = [frozenset(s) for s in good if len(s) >= 2]
-    minimal = [s for s in good if not any(b < frozenset(s) for b in small)]
+    good = [(i, list(s)) for i, (s, m) in enumerate(zip(sets, measured)) if m[f"{metric}_rate"] >= params.eval_cutoff]
+    if not good:
+        return []
+    listed = local_table(spark, good, "set_id int, items array<int>").withColumn("qualified", F.lit(True))
+    minimal = [sets[r.set_id] for r in select.minimal_sets(listed).select("set_id").collect()]
     named = sorted(((sorted((candidates[i] for i in s), key=lambda c: c.text), s) for s in minimal),
                    key=lambda pair: (len(pair[1]), [c.text for c in pair[0]]))
+    figures = dict(zip(sets, measured))
     patterns, seen = [], {}
     for conditions, s in named:
         number = seen.get(len(s), 0)
         seen[len(s)] = number + 1
-        m = good[s]
+        m = figures[s].asDict()
         patterns.append(select.Pattern(
             f"pattr_lvl{len(s)}_{number}", conditions, s, m[metric], m[f"{metric}_rate"],
             m["pattr_fscore"], select.score_of(conditions, features),
             {k: v for k, v in m.items() if k not in ("pattern_id", "pattr_fscore")}))
-    return select.drop_similar(patterns, params.overlap)
+    rows = [(p.name, p.cp_str, sorted(p.parts), p.target_rate, p.pattr_score, p.content) for p in patterns]
+    kept = {r.name for r in select.drop_similar(local_table(
+        spark, rows, "name string, cp_str string, parts array<string>, target_rate double, pattr_score double, content string"),
+        params.overlap).select("name").collect()}
+    return [p for p in patterns if p.name in kept]
 
 
 def mine(population: DataFrame, activity: DataFrame, features: list[Feature],
@@ -193,6 +205,8 @@ def _search(population: DataFrame, activity: DataFrame, features: list[Feature],
     result.cached.append(outcome)
     result.conditions = qualified_conditions(activity, outcome, features, supported, params,
                                              rules, gate, exclusions)
+    result.note("condition", (([Condition(cp, (c.atom,))], c.catch, c.rate)
+                              for cp, listed in result.conditions.items() for c in listed))
     if not result.conditions:
         return _done(result)
     masks = MaskTable(activity, result.conditions, metric)
@@ -201,6 +215,7 @@ def _search(population: DataFrame, activity: DataFrame, features: list[Feature],
     leaves = leaf_nodes(grow_trees(masks, roots, gate.sup_n, limits.total_catch))
     masks.release()
     result.candidates = [to_condition(masks, n) for n in leaves]
+    result.note("leaf", (([c], n.catch, n.rate) for c, n in zip(result.candidates, leaves)))
     if not leaves:
         return _done(result)
     tests = [(n.checkpoint, n.atoms) for n in leaves]
@@ -211,13 +226,15 @@ def _search(population: DataFrame, activity: DataFrame, features: list[Feature],
     lists.unpersist()
     result.mode = combined.mode
     sets = sorted(s for s in combined.sets if len(s) <= params.lvl_limit)
+    result.note("set", (([result.candidates[i] for i in s], combined.sets[s], None) for s in sets))
     if not sets:
         return _done(result)
     words = masks.key_words(tests).persist()
     result.cached.append(words)
-    measured = measure_patterns(population, words, sets, metric, registry)
-    result.patterns = qualify(sets, measured.orderBy("pattern_id").collect(), result.candidates,
-                              features, params)
+    measured = measure_patterns(population, words, sets, metric, registry).orderBy("pattern_id").collect()
+    result.note("measured", (([result.candidates[i] for i in s], m[metric], m[f"{metric}_rate"]) for s, m in zip(sets, measured)))
+    result.patterns = qualify(population.sparkSession, sets, measured, result.candidates, features, params)
+    result.note("kept", ((p.conditions, p.target_catch, p.target_rate) for p in result.patterns))
     if not result.patterns:
         return _done(result)
     return _rank_and_tag(result, population, masks, words, leaves, limits.total_catch, params)
@@ -237,6 +254,7 @@ def _rank_and_tag(result: MiningResult, population: DataFrame, masks: MaskTable,
         p.inc_catch, p.inc_catch_share = gains[p.name]
         p.after_dedup = p.name in survivors
     patterns.sort(key=lambda p: order.index(p.name))
+    result.note("ranked", ((p.conditions, p.inc_catch, p.inc_catch_share) for p in result.ranked))
     used = sorted({i for p in patterns for i in p.items}, key=lambda i: result.candidates[i].text)
     names = local_table(masks.table.sparkSession,
                         [(n, result.candidates[i].text) for n, i in enumerate(used)],

@@ -5,7 +5,7 @@ from __future__ import annotations
 import json
 from datetime import date, datetime, timedelta
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.select import Pattern
@@ -18,6 +18,7 @@ _PATTERN = ("pattr_name string, pattr_id string, pattr_content string, cp_str st
 _CONDITION = ("act_id string, act_content string, target_rate double, target_catch double, "
               "update_dt date, update_ts timestamp")
 _LOG = "content string, update_dt date, update_ts timestamp"
+_STAGE = "stage string, content string, catch double, rate double, update_dt date, update_ts timestamp"
 KINDS: dict[str, tuple[tuple[str, ...], str]] = {
     "fp_result": (("batch_id", "alert_id"), _PATTERN),
     "service_result": (("job_id",), _PATTERN),
@@ -25,6 +26,8 @@ KINDS: dict[str, tuple[tuple[str, ...], str]] = {
     "service_act_res": (("job_id",), _CONDITION),
     "fp_log": (("batch_id", "alert_id"), _LOG),
     "service_log": (("job_id",), _LOG),
+    "fp_stage": (("batch_id", "alert_id"), _STAGE),
+    "service_stage": (("job_id",), _STAGE),
 }
 
 
@@ -84,6 +87,15 @@ def condition_rows(measured: DataFrame) -> DataFrame:
     return _stamped(raw, "act_id", "act_")
 
 
+def stage_rows(spark: SparkSession, stages: list[tuple[str, str, float, float | None]]) -> DataFrame:
+    """What each stage of a search came to (condition, leaf, set, measured, kept, ranked): content, catch, rate.
+
+    The catch of a set is its support; catch and rate of a ranked pattern are its increment and share.
+    """
+    return spark.createDataFrame(stages, "stage string, content string, catch double, rate double").withColumns(
+        {"update_dt": F.current_date(), "update_ts": F.current_timestamp()})
+
+
 def _stamped(rows: DataFrame, id_column: str, prefix: str) -> DataFrame:
     name = F.concat(F.lit(prefix), F.replace(F.uuid(), F.lit("-"), F.lit("")))
     return rows.withColumns({id_column: name, "update_dt": F.current_date(),
@@ -115,3 +127,19 @@ def drop_if_expired(spark: SparkSession, table: str, now: datetime | None = None
         return False
     spark.sql(f"DROP TABLE {table}")
     return True
+
+
+def sweep(spark: SparkSession, log_table: str, tag_table: str, today: date | None = None) -> list[str]:
+    """Drop the tag tables, of whatever run, whose job rows say that they have retired; their names.
+
+    Only names that begin with ``tag_table`` are taken from the log. A run that was repeated has one row, with its last dates.
+    """
+    def entry(name: str) -> Column:
+        return F.get_json_object("content", f"$.{name}")
+    named = spark.table(log_table).groupBy(entry("pattr_table_name").alias("name")).agg(F.max(entry("retire_dt")).alias("last"))
+    retired = named.where((F.col("last") <= F.lit((today or datetime.now().date()).isoformat()))
+                          & F.col("name").startswith(f"{tag_table}_"))
+    dropped = [r.name for r in retired.orderBy("name").collect() if spark.catalog.tableExists(r.name)]  # a row per run
+    for name in dropped:
+        spark.sql(f"DROP TABLE {name}")
+    return dropped

@@ -56,15 +56,17 @@ def ingest(df: DataFrame, roles: Roles, row_filter: str | None = None) -> DataFr
     return df.select(*out)
 
 
-def read_population(spark, source, roles: Roles, row_filter=None, fmt=None) -> DataFrame:
+def read_population(spark, source, roles: Roles, row_filter=None, fmt=None, view: str = "population_view") -> DataFrame:
+    """The population under canonical names, also as a view; runs that share a session name their own views."""
     df = ingest(read_table(spark, source, fmt), roles, row_filter)
-    df.createOrReplaceTempView("population_view")
+    df.createOrReplaceTempView(view)
     return df
 
 
-def read_activity(spark, source, roles: Roles, row_filter=None, fmt=None) -> DataFrame:
+def read_activity(spark, source, roles: Roles, row_filter=None, fmt=None, view: str = "activity_view") -> DataFrame:
+    """The activity under canonical names, also as a view; runs that share a session name their own views."""
     df = ingest(read_table(spark, source, fmt), roles, row_filter)
-    df.createOrReplaceTempView("activity_view")
+    df.createOrReplaceTempView(view)
     return df
 
 

@@ -170,6 +170,23 @@ def test_retention(spark):
     assert not results.drop_if_expired(spark, "tags_r")
 
 
+def test_runs_never_share_tags():
+    ids = [{"batch_id": "a_b", "alert_id": "c"}, {"batch_id": "a", "alert_id": "b_c"}, {"job_id": "x-y"},
+           {"job_id": "x_2d_y"}, {"job_id": "A"}, {"job_id": "a"}]
+    assert len({Job("p", "a", "c", i).tags().lower() for i in ids}) == len(ids)
+
+
+def test_sweep_drops_retired_tags_of_other_runs(spark):
+    for run_id, day in (("old", date(2024, 1, 1)), ("new", date(2024, 1, 20)), ("again", date(2024, 1, 1)), ("again", date(2024, 1, 20))):
+        results.write_tagged(local_table(spark, [("k", 1)], "key string, p int"), f"swept_{run_id}")
+        results.write_run(results.job_row(spark, f"swept_{run_id}", 14, day), "swept_log", "service_log", {"job_id": run_id})
+    results.write_run(results.job_row(spark, "elsewhere", 14, date(2024, 1, 1)), "swept_log", "service_log", {"job_id": "x"})
+    assert results.sweep(spark, "swept_log", "swept", date(2024, 1, 14)) == []
+    assert results.sweep(spark, "swept_log", "swept", date(2024, 1, 15)) == ["swept_old"]
+    assert results.sweep(spark, "swept_log", "swept", date(2024, 1, 15)) == []
+    assert spark.catalog.tableExists("swept_new") and spark.catalog.tableExists("swept_again")
+
+
 def test_assets(spark):
     df = local_table(spark, [("10.20.30.40", 0, 86_400_000 * 3 - 1), ("x", 86_400_000, 0)],
                      "ipAddress string, creationTime bigint, pit bigint")
@@ -191,7 +208,7 @@ def test_whole_job(spark, sf, tmp_path, config_path):
     job = Job("people_in", "acts_in", str(tmp_path / "all.csv"), {"job_id": "n1"},
               Roles(amt="amt", gloss="gloss", nloss="nloss", ts="ts"), fx.F1,
               deprecated=("lot",), tag_table="tags_out", pattern_table="patterns_out",
-              condition_table="conditions_out", log_table="log_out")
+              condition_table="conditions_out", log_table="log_out", stage_table="stages_out")
     for _ in range(2):
         found = run(spark, job)
     assert found.found and not found.cached
@@ -199,7 +216,8 @@ def test_whole_job(spark, sf, tmp_path, config_path):
     assert spark.table("conditions_out").count() == len(
         {c.text for p in found.patterns for c in p.conditions})
     assert spark.table("log_out").count() == 1
-    tags = spark.table("tags_out_n1")
+    assert spark.table("stages_out").where("stage = 'kept'").count() == len(found.patterns)
+    tags = spark.table(job.tags())
     assert tags.count() == population.count() and "expires_at" in tags.columns
     best = found.patterns[0]
     assert tags.where(f"{best.name} = 1 and tag = 1").count() == best.target_catch

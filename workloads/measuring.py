@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import json
+import uuid
 from dataclasses import replace
 
 from pyspark.sql import functions as F
@@ -12,6 +14,8 @@ from lodeseam.operators import measure, profile, shape
 from lodeseam.operators.binning import (CellTable, Gate, make_plans, run_searches,
                                         value_candidates)
 from lodeseam.plans import mining
+from lodeseam.session import shared_dir
+from lodeseam.sources import tables
 
 from . import fixtures as fx
 from .catalog import (BASE_SQL, NUMERIC, ORACLES, STRINGS, f1, fscore_sql, kpi, long_sql,
@@ -67,6 +71,16 @@ def metrics_by_flag(spark, sf):
     return measure.metrics_by_group(flagged, "flag", CNT).select("flag", *metric_columns())
 
 
+@query("metrics_by_roles", f1(PEOPLE + """ select tag, round(cast(count(*) as double),4) as firing_cnt, round(cast(sum(t) as double),4) as target_cnt,
+  round(sum(t)/(sum(lab)+0.0001),6) as target_cnt_rate, round(sum(t)/(sum(sum(t)) over ()+0.0001),6) as target_cnt_catch_rate
+from people group by tag"""))
+def metrics_by_roles(spark, sf):
+    """Without amounts and losses only the metrics that count are left."""
+    people = fx.population(spark, sf).select("key", "acct", "ts", "tag")
+    return measure.metrics_by_group(people, "tag", CNT).drop("pattr_fscore").select(
+        "tag", r4("firing_cnt"), r4("target_cnt"), r6("target_cnt_rate"), r6("target_cnt_catch_rate"))
+
+
 def _baseline_sql(metric):
     return f1(f" select {kpi(metric)} from population").replace(
         "target_catch", "total_catch").replace("target_rate", "base_rate")
@@ -264,6 +278,21 @@ def top_values_amt(spark, sf):
     return _top(spark, sf, AMT)
 
 
+RULE_FILE = {"string": {"ignore_values": ["PROMO", "Brand#7", "Brand#21"]}}
+
+
+@query("ignored_values", f1(", " + sizes_sql(CNT, STRINGS) + """
+select checkpoint, variable, value, size from sizes where value not in ('PROMO', 'Brand#7', 'Brand#21')
+qualify row_number() over (partition by checkpoint, variable order by size desc, value) <= 10"""))
+def ignored_values(spark, sf):
+    """Rules read from a file on shared storage; values on their ignore list never rank."""
+    path = f"{shared_dir(spark)}/rules-{uuid.uuid4().hex}"
+    spark.createDataFrame([(json.dumps(RULE_FILE),)], "value string").coalesce(1).write.text(path)
+    outcome = shape.outcome_activity(fx.cached(spark, sf)[1])
+    top = profile.top_values(profile.string_values(outcome, fx.features(), CNT), tables.read_variable_rules(spark, path))
+    return top.select("checkpoint", "variable", "value", "size")
+
+
 CUTS_SQL = quantile_sql() + """
 , rounded as (select checkpoint, variable, max_value, list_sort(list_distinct([
     case when x<10 then round_even(x,1) when x<100 then floor(x/10)*10
@@ -299,7 +328,7 @@ def fixed_cuts(spark, sf):
 
 # ---- univariate search ---------------------------------------------------------------------------
 
-def setup(spark, sf, kinds=None, params=fx.F1, features=None):
+def setup(spark, sf, kinds=None, params=fx.F1, features=None, rules=RULES):
     """(cells, gate) with the plans of the wanted kinds, as the mining job builds them."""
     population, activity = fx.cached(spark, sf)
     features = [f for f in features or fx.features() if kinds is None or _may_be(f, kinds)]
@@ -308,12 +337,12 @@ def setup(spark, sf, kinds=None, params=fx.F1, features=None):
     top, cuts, discrete = {}, {}, {}
     if any(f.type == "string" for f in features):
         strings = profile.string_values(outcome, features, params.eval_metric)
-        top = mining.profile_strings(strings, outcome, features, RULES, None, fx.F1.top_values)
+        top = mining.profile_strings(strings, outcome, features, rules, None, fx.F1.top_values)
     if any(f.type == "numeric" for f in features):
         numbers = profile.number_values(outcome, features, params.eval_metric).persist()
-        cuts, discrete = mining.profile_numbers(numbers, features, params, RULES)
+        cuts, discrete = mining.profile_numbers(numbers, features, params, rules)
         numbers.unpersist()
-    plans = make_plans(features, top, cuts, discrete, set(), RULES)
+    plans = make_plans(features, top, cuts, discrete, set(), rules)
     plans = [p for p in plans if kinds is None or p.kind in kinds]
     return CellTable(activity, plans, params.eval_metric), gate
 
@@ -326,7 +355,10 @@ def _may_be(feature, kinds):
 
 def search(spark, sf, kinds, params=fx.F1):
     """Conditions found by the searches of the wanted kinds."""
-    cells, gate = setup(spark, sf, kinds, params)
+    return found_rows(spark, *setup(spark, sf, kinds, params))
+
+
+def found_rows(spark, cells, gate):
     found = run_searches(cells, gate)
     cells.release()
     rows = [(p.feature.checkpoint, atom.text, catch, rate)
@@ -544,19 +576,29 @@ select checkpoint, 'lot=' || cast(cast(lot as bigint) as varchar) as content, ta
 from m, base where target_catch > 0.03*n and (target_rate > base_rate*1.0 or target_rate > 0.6)
 and target_rate >= base_rate"""))
 def numeric_discrete(spark, sf):
-    return search(spark, sf, ("discrete",), replace(fx.F1, discrete_max=5)).where(
-        F.col("content").startswith("lot="))
+    return search(spark, sf, ("discrete",), replace(fx.F1, discrete_max=5))
 
 
-@query("boolean_conditions", f1(", " + BASE_SQL + f"""
+def boolean_sql(met: bool, rate: str) -> str:
+    return f1(", " + BASE_SQL + f"""
 , m as (select checkpoint, {kpi()} from (select checkpoint, key, max(tag) as tag from activity
-  where line_open group by all) group by all)
-select checkpoint, 'line_open=True' as content, target_catch, target_rate from m, base
-where target_catch >= 0.03*n and target_rate >= base_rate"""))
+  where line_open = {met} group by all) group by all)
+select checkpoint, 'line_open={met}' as content, target_catch, target_rate from m, base
+where target_catch >= 0.03*n and target_rate >= {rate}""")
+
+
+@query("boolean_conditions", boolean_sql(True, "base_rate"))
 def boolean_conditions(spark, sf):
     return search(spark, sf, ("bool",))
 
 
+@query("boolean_conditions_false", boolean_sql(False, "0"))
+def boolean_conditions_false(spark, sf):
+    """The variable is on the list of those whose condition is "is false"; every rate passes, as the true side is the better one."""
+    cells, gate = setup(spark, sf, ("bool",), rules=replace(RULES, false_vars=("line_open",)))
+    return found_rows(spark, cells, replace(gate, base_rate=0.0))
+
+
 SEARCHES = ("string_bins", "numeric_up", "numeric_down", "numeric_intervals", "boolean_conditions")
 
 

@@ -4,10 +4,9 @@ from __future__ import annotations
 
 from dataclasses import replace
 
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from lodeseam.conditions import Condition, Flag, InSet, Range
+from lodeseam.conditions import Condition, Flag, InSet, Range, pattern_text
 from lodeseam.config import RANKINGS
 from lodeseam.operators import combine, measure, select
 from lodeseam.operators.trees import (MaskTable, Node, Scored, best_parent, grow_trees, leaf_table,
@@ -255,16 +254,20 @@ def capped_itemlists(spark, sf):
 SUP = ", sup as (select 0.03*n as sup_n from base)"
 
 
-def level_sql(k: int) -> str:
+def level_select(k: int) -> str:
     names = [f"l{i}" for i in range(k)]
     joins = " ".join(f"join lists {x} on {x}.key=l0.key and {x}.acct=l0.acct and {x}.item>{p}.item"
                      for p, x in zip(names, names[1:]))
     cps = " ".join(f"join cps c{i} on c{i}.item=l{i}.item" for i in range(k))
     apart = " and ".join(f"c{i}.checkpoint<>c{j}.checkpoint" for i in range(k) for j in range(i)) or "true"
     shown = " || ',' || ".join(f"l{i}.item" for i in range(k))
-    return f1(", " + BASE_SQL + SUP + hits_sql() + f"""
+    return f"""
 select cast({shown} as varchar) as items, round(cast(sum(l0.weight) as double),4) as support
-from lists l0 {joins} {cps}, sup where {apart} group by 1, sup_n having sum(l0.weight) >= sup_n""")
+from lists l0 {joins} {cps}, sup where {apart} group by 1, sup_n having sum(l0.weight) >= sup_n"""
+
+
+def level_sql(k: int) -> str:
+    return f1(", " + BASE_SQL + SUP + hits_sql() + level_select(k))
 
 
 def level(spark, sf, k):
@@ -291,6 +294,27 @@ def itemsets_l3(spark, sf):
     return level(spark, sf, 3)
 
 
+def all_levels_sql(limit: int) -> str:
+    """The sets of all levels; the best supported ones stay."""
+    levels = " union all ".join(f"select {k} as size, * from ({level_select(k)})" for k in (1, 2, 3))
+    return f1(", " + BASE_SQL + SUP + hits_sql() + f""", found as ({levels})
+select items, support from (select *, [cast(i as integer) for i in string_split(items, ',')] as s from found)
+qualify row_number() over (order by support desc, size, s) <= {limit}""")
+
+
+@query("capped_sets", all_levels_sql(12))
+def capped_sets(spark, sf):
+    """The search that the parameters name, and its best supported sets."""
+    lists = lists_of(spark, sf).persist()
+    sup_n = measure.thresholds(fx.population(spark, sf), fx.F1).first().sup_n
+    found = combine.combine(lists, CPS, sup_n, fx.F1)
+    lists.unpersist()
+    kept, was_cut = combine.cap_sets(found.sets, 12)
+    assert found.mode == "itemsets" and was_cut == (len(found.sets) > 12)
+    return spark.createDataFrame([(",".join(map(str, s)), w) for s, w in kept.items()],
+                                 "items string, support double").select("items", r4("support"))
+
+
 # the graph is drawn at a higher support, so that it falls into several components
 EDGE_SHARE = 0.135
 GRAPH_SQL = """, esup as (select {share}*n as sup_n from base)
@@ -467,22 +491,20 @@ def minimal_sets(spark, sf):
     return select.minimal_sets(sets).select(F.array_join("items", ",").alias("items"), "set_id")
 
 
-# candidate lists per key as the sets to compare: the most common ones against each other
+# the distinct candidate sets that keys hold, each against every other that names the same checkpoints
 @query("pattern_similarity", f1(hits_sql() + """
-, held as (select list(item order by item) as s, sum(weight) as w from (
-    select key, acct, item, any_value(weight) as weight from lists group by all) group by key, acct)
-, sets as (select s, count(*) as n from held group by s)
-, numbered as (select s, n, row_number() over (order by n desc, array_to_string(s, ',')) as place from sets)
+, held as (select list_sort(list(distinct item)) as s from lists group by key, acct)
+, sets as (select s, array_to_string(list_sort(list_distinct(flatten([[c.checkpoint for c in cs if c.item = i] for i in s]))), '-') as cp_str
+  from (select distinct s from held), (select list(cps) as cs from cps))
 select array_to_string(a.s, ',') as a, array_to_string(b.s, ',') as b,
   round(len(list_intersect(a.s, b.s)) / len(list_distinct(list_concat(a.s, b.s))), 6) as similarity
-from numbered a join numbered b on b.place = a.place + 1"""))
+from sets a join sets b on a.cp_str = b.cp_str and a.s < b.s and list_has_any(a.s, b.s)"""))
 def pattern_similarity(spark, sf):
-    sets = lists_of(spark, sf).groupBy("items").agg(F.count(F.lit(1)).alias("n"))
-    # one row per distinct candidate set: rule-sized
-    order = W.orderBy(F.col("n").desc(), F.array_join("items", ","))
-    pairs = sets.withColumn("b", F.lead("items").over(order)).where("b is not null")
-    return pairs.select(F.array_join("items", ",").alias("a"), F.array_join("b", ",").alias("b"),
-                        F.round(select.similarity(F.col("items"), F.col("b")), 6).alias("similarity"))
+    cps = F.array(*[F.lit(c) for c in CPS])
+    sets = lists_of(spark, sf).select("items").distinct().withColumn("cp_str", F.array_join(F.array_sort(
+        F.array_distinct(F.transform("items", lambda i: F.get(cps, i)))), "-"))
+    return select.similar_pairs(sets, "cp_str", "items", 0.0).select(
+        F.array_join("a", ",").alias("a"), F.array_join("b", ",").alias("b"), F.round("similarity", 6).alias("similarity"))
 
 
 def measured_patterns(spark, sf):
@@ -523,10 +545,22 @@ from walk w join rates using (pattern_id) where taken""", recursive=True)
 
 @query("dissimilar_patterns", dissimilar_sql())
 def dissimilar_patterns(spark, sf):
-    kept = select.drop_similar(measured_patterns(spark, sf), 0.25)
-    return spark.createDataFrame([(p.name, p.cp_str, p.target_rate) for p in kept],
-                                 "pattr_name string, cp_str string, target_rate double").select(
-        "pattr_name", "cp_str", r6("target_rate"))
+    return select.drop_similar(scored_sets(spark, sf), 0.25).select("pattr_name", "cp_str", r6("target_rate"))
+
+
+def scored_sets(spark, sf):
+    """The measured fixed sets with their scores, and the parts of their text."""
+    listed, texts = [], []
+    for i, s in enumerate(SETS):
+        conditions = sorted((ITEMS[j][0] for j in s), key=lambda c: c.text)
+        listed += [(i, place, c.checkpoint, [a.variable for a in c.atoms]) for place, c in enumerate(conditions)]
+        texts.append((i, f"p{i}", pattern_text(conditions), sorted({x for c in conditions for x in c.text.split(chr(6))})))
+    features = spark.createDataFrame([(f.checkpoint, f.variable, f.priority, f.cp_priority) for f in fx.features()],
+                                     "checkpoint string, variable string, priority int, cp_priority int")
+    parts = spark.createDataFrame(listed, "pattern_id int, place int, checkpoint string, variables array<string>")
+    named = spark.createDataFrame(texts, "pattern_id int, pattr_name string, content string, parts array<string>")
+    return (measured_sets(spark, sf).join(select.pattern_scores(parts, features), "pattern_id").join(named, "pattern_id")
+            .withColumns({"target_catch": F.col("target_cnt"), "target_rate": F.col("target_cnt_rate")}))
 
 
 SCORE_SQL = """, parts(pattern_id, place, checkpoint, variable) as (values {rows})
@@ -551,17 +585,7 @@ def _score_sql():
 select s.pattern_id, cp_str, round(cast(pattr_score as double),6) as pattr_score, target_cnt
 from scores s join measured m on m.pattern_id=s.pattern_id"""))
 def pattern_score(spark, sf):
-    rows = []
-    for i, s in enumerate(SETS):
-        for place, c in enumerate(sorted((ITEMS[j][0] for j in s), key=lambda c: c.text)):
-            rows.append((i, place, c.checkpoint, [a.variable for a in c.atoms]))
-    parts = spark.createDataFrame(
-        rows, "pattern_id int, place int, checkpoint string, variables array<string>")
-    features = spark.createDataFrame(
-        [(f.checkpoint, f.variable, f.priority, f.cp_priority) for f in fx.features()],
-        "checkpoint string, variable string, priority int, cp_priority int")
-    return (select.pattern_scores(parts, features).join(measured_sets(spark, sf), "pattern_id")
-            .select("pattern_id", "cp_str", r6("pattr_score"), r4("target_cnt")))
+    return scored_sets(spark, sf).select("pattern_id", "cp_str", r6("pattr_score"), r4("target_cnt"))
 
 
 NAMED = {"r1": (0, 2), "r2": (2,), "r3": (1, 3), "r4": (4, 5), "r5": (0,)}
@@ -617,13 +641,7 @@ select pattr_name, cast(row_number() over (order by {order}, pattr_name) as inte
 
     @query(name, sql)
     def run(spark, sf):
-        rows = [(p.name, p.target_catch, p.target_rate, p.pattr_fscore, p.pattr_score)
-                for p in measured_patterns(spark, sf)]
-        table = spark.createDataFrame(
-            rows, "pattr_name string, target_catch double, target_rate double, "
-            "pattr_fscore double, pattr_score double").select(
-            "pattr_name", r4("target_catch"), r6("target_rate"), r6("pattr_fscore"),
-            r6("pattr_score"))
+        table = scored_sets(spark, sf).select("pattr_name", r4("target_catch"), r6("target_rate"), r6("pattr_fscore"), r6("pattr_score"))
         return select.ranked(table, priority).select("pattr_name", "place")
     return run
 
@@ -724,6 +742,15 @@ def mine_patterns(spark, sf):
     return ranked_rows(spark, mine(population, activity, fx.features(), fx.EVERY_VALUE, tiebreak=fx.TIEBREAK))
 
 
+@query("mining_stages", whole.whole_sql(ORDERS, fx.EVERY_VALUE, whole.STAGES))
+def mining_stages(spark, sf):
+    """What every stage of the whole job came to."""
+    population, activity = fx.cached(spark, sf)
+    found = mine(population, activity, fx.features(), fx.EVERY_VALUE, tiebreak=fx.TIEBREAK)
+    found.release()
+    return results.stage_rows(spark, found.stages).select("stage", shown("content").alias("content"), r4("catch"), r6("rate"))
+
+
 EVENTS = replace(fx.EVERY_VALUE, min_support=0.05, eval_cutoff=0.4, lvl_limit=2)
 USER_DAYS = whole.Domain(whole.USER_DAYS_TABLES, tuple(fx.event_features()))
 

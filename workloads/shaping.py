@@ -29,12 +29,12 @@ def src_population(spark, sf):
 
 
 @query("src_activity", f1("""
-select key, acct, tag, round(amt,4) as amt, checkpoint, line_no, part_no, qty, disc_score, tax_pct,
-  days_to_ship, lot, line_open, p_type, p_brand from activity"""))
+select key, acct, tag, round(amt,4) as amt, checkpoint, strftime("timestamp", '%Y-%m-%d %H:%M:%S') as "timestamp", line_no, part_no,
+  qty, disc_score, tax_pct, days_to_ship, lot, line_open, p_type, p_brand, empty_var from activity"""))
 def src_activity(spark, sf):
     return tables.ingest(fx.activity(spark, sf), ACT_ROLES).select(
-        "key", "acct", "tag", r4("amt"), "checkpoint", "line_no", "part_no", "qty", "disc_score",
-        "tax_pct", "days_to_ship", "lot", "line_open", "p_type", "p_brand")
+        "key", "acct", "tag", r4("amt"), "checkpoint", F.date_format("timestamp", "yyyy-MM-dd HH:mm:ss").alias("timestamp"),
+        "line_no", "part_no", "qty", "disc_score", "tax_pct", "days_to_ship", "lot", "line_open", "p_type", "p_brand", "empty_var")
 
 
 @query("src_filtered", f1("""

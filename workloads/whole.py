@@ -188,8 +188,8 @@ def _trees() -> str:
           from growing w join placed p on p.checkpoint=w.checkpoint and p.place=w.place join sigs g on g.checkpoint=w.checkpoint, lim))))))
 , nodes as (select checkpoint, unnest(nodes) as nd from growing qualify rank() over (partition by checkpoint order by place desc) = 1)
 , cands as materialized (select row_number() over (order by checkpoint, m) as cand, checkpoint, m, 'checkpoint="' || checkpoint || '"' || atoms as text,
-    score, ['checkpoint="' || checkpoint || '"'] || listed as parts
-  from (select checkpoint, nd.m as m from nodes a where nd.p >= 0
+    c, r, score, ['checkpoint="' || checkpoint || '"'] || listed as parts
+  from (select checkpoint, nd.m as m, nd.c as c, nd.r as r from nodes a where nd.p >= 0
       and not exists (select 1 from nodes b where b.checkpoint=a.checkpoint and b.nd.p=a.nd.m)) l
   join (select l.checkpoint, l.nd.m as m, string_agg(chr(6) || text, '' order by place) as atoms, list(text order by place) as listed,
       any_value(cp_score) + avg(score) as score
@@ -203,13 +203,13 @@ def _patterns(p: SearchParams) -> str:
         joins = " ".join(f"join lists {x} on {x}.key=l0.key and {x}.acct=l0.acct and {x}.cand>{y}.cand" for y, x in zip(names, names[1:]))
         apart = " and ".join(f"{x}.checkpoint<>{y}.checkpoint" for i, x in enumerate(names) for y in names[:i]) or "true"
         listed = "[" + ", ".join(f"{x}.cand" for x in names) + "]"
-        levels.append(f"select {listed} as items from lists l0 {joins}, lim where {apart} group by {listed}, sup having count(*) >= sup")
+        levels.append(f"select {listed} as items, count(*) as support from lists l0 {joins}, lim where {apart} group by {listed}, sup having count(*) >= sup")
     rate = "sum(t)/(sum(lab)+0.0001)"
     overlap = "len(list_intersect(k, o.parts)) / len(list_distinct(list_concat(k, o.parts)))"
     return f"""
 , chits as materialized (select distinct key, acct, tag, cand, c.checkpoint from rowmask r join cands c on c.checkpoint=r.checkpoint and (r.mask & c.m) = c.m)
 , lists as materialized (select distinct key, acct, cand, checkpoint from chits where tag=1)
-, sets as materialized (select row_number() over () as sid, items from ({" union all ".join(levels)}))
+, sets as materialized (select row_number() over () as sid, items, support from ({" union all ".join(levels)}))
 , met as materialized (select sid, key from (select sid, len(items) as size, unnest(items) as cand from sets)
   join (select distinct key, cand from chits) using (cand) group by sid, key, size having count(*) = size)
 , people as (select *, case when tag=1 then 1 else 0 end as t, case when tag in (0,1) then 1 else 0 end as lab from population)
@@ -250,6 +250,18 @@ population as (select key, cast(min(user_id) as varchar) as acct, min(ts) as ts,
 activity as (select s.key, p.acct, p.tag, p.amt, event_type as checkpoint, s.ts as "timestamp", event_id, value as value_amount, k,
     cast(hour(s.ts) as double) as hour from stream s join population p using (key))"""
 
+STAGES = """
+, texts as (select sid, string_agg(text, chr(7) order by text) as content from (select sid, unnest(items) as cand from sets) join cands using (cand) group by sid)
+, measured as (select sid, sum(t) as hit, sum(t)/(sum(lab)+0.0001) as rate from met join people using (key) group by sid)
+, noted as (
+  select 'condition' as stage, 'checkpoint="' || checkpoint || '"' || chr(6) || text as content, c as catch, r as rate from conds
+  union all select 'leaf', text, c, r from cands
+  union all select 'set', content, support, null from sets join texts using (sid)
+  union all select 'measured', content, coalesce(hit, 0), coalesce(rate, 0) from texts left join measured using (sid)
+  union all select 'kept', array_to_string(texts, chr(7)), hit, rate from done
+  union all select 'ranked', array_to_string(texts, chr(7)), inc, share from done where lives)
+select stage, replace(replace(content, chr(6), ' & '), chr(7), ' | ') as content, round(cast(catch as double), 4) as catch, round(rate, 6) as rate from noted"""
+
 RANKED = """
 select cast(row_number() over (order by rnk) as integer) as place, name as pattr_name,
   replace(array_to_string(texts, ' | '), chr(6), ' & ') as pattr_content, cp_str, round(cast(hit as double), 4) as target_catch,
