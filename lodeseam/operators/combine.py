@@ -2,8 +2,10 @@
 
 Candidates are numbered 0..n-1. Keys holding the same candidates fall into one weighted row of
 ``sets``, and every support question is asked of that table: what do the rows containing this
-prefix weigh, split by each further candidate? Each task adds up one small matrix (prefixes x
-candidates), so no pair is ever emitted per key and the shuffle carries matrices only.
+prefix weigh, split by each further candidate? A task takes its rows a block at a time and stands them on end: a
+bitmap of rows per candidate. The rows of a prefix are the intersection of its bitmaps, and only candidates that occur
+in those rows are added up, as a sparse product. So a task holds one block and one table of sums, both bounded, however many
+candidates there are, and nothing is emitted per key.
 """
 
 from __future__ import annotations
@@ -13,15 +15,17 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..config import ALIAS_CHECKPOINTS, AMOUNT, SearchParams
-from ..session import cut
+from ..session import small_table
 
 Itemset = tuple[int, ...]
-MAX_SUMS = 8_000_000     # entries of the matrix one task adds up; more prefixes take another job
+MAX_SUMS = 2_000_000     # sums a task holds before it hands them on
+BLOCK_ROWS, BLOCK_PREFIXES = 4096, 512
 
 
 def item_lists(hits: DataFrame, metric: str, floor: float) -> DataFrame:
@@ -85,52 +89,81 @@ def key_sets(lists: DataFrame) -> DataFrame:
 
 
 def extension_support(sets: DataFrame, prefixes: list[Itemset], n: int,
-                      block: int = 512) -> DataFrame:
-    """(prefix_id, item, support): weight of the rows that hold prefix and item."""
-    prefixes = [tuple(p) for p in prefixes]
+                      checkpoints: list[str] | None = None, ahead: bool = False) -> DataFrame:
+    """(prefix_id, item, support): weight of the rows that hold prefix and item.
+
+    With ``checkpoints`` only items of a checkpoint that the prefix does not name are added up, with ``ahead`` only
+    those with a number above the prefix's last. Prefixes are of one length.
+    """
+    wanted = np.array([tuple(p) for p in prefixes], np.int64).reshape(len(prefixes), -1)
+    code = None if checkpoints is None else np.unique(checkpoints, return_inverse=True)[1]
 
     def add_up(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        sums = np.zeros((len(prefixes), n))
+        held, sums = np.zeros(0, np.int64), np.zeros(0)
         for batch in batches:
-            lengths = batch["items"].map(len).to_numpy()
-            has = np.zeros((len(batch), n))
-            if lengths.sum():
-                has[np.repeat(np.arange(len(batch)), lengths),
-                    np.concatenate(batch["items"].to_numpy()).astype(int)] = 1.0
-            weight = batch["weight"].to_numpy()
-            for start in range(0, len(prefixes), block):
-                part = prefixes[start:start + block]
-                inside = np.column_stack([has[:, list(p)].all(axis=1) for p in part])
-                sums[start:start + block] += (inside * weight[:, None]).T @ has
-        p, i = np.nonzero(sums)
-        yield pd.DataFrame({"prefix_id": p.astype("int32"), "item": i.astype("int32"),
-                            "support": sums[p, i]})
+            for start in range(0, len(batch), BLOCK_ROWS):
+                keys, values = _products(batch.iloc[start:start + BLOCK_ROWS], wanted, n, code, ahead)
+                held, sums = _added(np.concatenate([held, *keys]), np.concatenate([sums, *values]))
+                if len(held) > MAX_SUMS:
+                    yield table(held, sums)
+                    held, sums = held[:0], sums[:0]
+        yield table(held, sums)
+
+    def table(held: np.ndarray, sums: np.ndarray) -> pd.DataFrame:
+        return pd.DataFrame({"prefix_id": (held // n).astype("int32"), "item": (held % n).astype("int32"), "support": sums})
 
     return (sets.select("items", "weight")
             .mapInPandas(add_up, "prefix_id int, item int, support double")
             .groupBy("prefix_id", "item").agg(F.sum("support").alias("support")))
 
 
+def _added(keys: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct keys and the sums of their values."""
+    distinct, place = np.unique(keys, return_inverse=True)
+    return distinct, np.bincount(place, values, len(distinct))
+
+
+def _products(block: pd.DataFrame, prefixes: np.ndarray, n: int, code: np.ndarray | None,
+              ahead: bool) -> tuple[list[np.ndarray], list[np.ndarray]]:
+    """Sums of a block of rows: keys prefix * n + item, and their weights."""
+    size = block["items"].map(len).to_numpy()
+    item = np.concatenate([*block["items"], np.zeros(0)]).astype(np.int64)
+    row, first, weight = np.repeat(np.arange(len(block)), size), np.cumsum(size) - size, block["weight"].to_numpy()
+    bitmaps = np.zeros((n, -(-len(block) // 8)), np.uint8)
+    np.bitwise_or.at(bitmaps, (item, row >> 3), (128 >> (row & 7)).astype(np.uint8))
+    keys, values = [], []
+    for start in range(0, len(prefixes), BLOCK_PREFIXES):
+        part = prefixes[start:start + BLOCK_PREFIXES]
+        inside = np.full((len(part), bitmaps.shape[1]), 255, np.uint8)
+        for column in part.T:
+            inside &= bitmaps[column]
+        prefix, at = np.nonzero(np.unpackbits(inside, axis=1, count=len(block)))
+        width = size[at]
+        pair = np.repeat(np.arange(len(at)), width)
+        other = item[np.repeat(first[at], width) + np.arange(len(pair)) - np.repeat(np.cumsum(width) - width, width)]
+        mine = prefix[pair]
+        keep = np.ones(len(pair), bool)
+        if ahead and part.shape[1]:
+            keep &= other > part[mine, -1]
+        if code is not None:
+            for column in part.T:
+                keep &= code[other] != code[column[mine]]
+        k, v = _added((start + mine[keep]) * n + other[keep], weight[at[pair[keep]]])
+        keys.append(k)
+        values.append(v)
+    return keys, values
+
+
 def frequent_sets(sets: DataFrame, checkpoints: list[str], sup_n: float,
                   max_size: int) -> dict[Itemset, float]:
-    """All candidate sets of distinct checkpoints with enough weight, level by level."""
+    """All candidate sets of distinct checkpoints with enough weight, one job a level; only those reach the driver."""
     n = len(checkpoints)
     found: dict[Itemset, float] = {}
     level: list[Itemset] = [()]
     for _ in range(max_size):
-        grown: dict[Itemset, float] = {}
-        at_once = max(1, MAX_SUMS // n)
-        for start in range(0, len(level), at_once):
-            block = level[start:start + at_once]
-            rows = (extension_support(sets, block, n).where(F.col("support") >= sup_n)
-                    .orderBy("prefix_id", "item").collect())
-            for r in rows:
-                prefix = block[r.prefix_id]
-                if prefix and r["item"] <= prefix[-1]:
-                    continue
-                if checkpoints[r["item"]] in {checkpoints[i] for i in prefix}:
-                    continue
-                grown[(*prefix, r["item"])] = r.support
+        rows = (extension_support(sets, level, n, checkpoints, ahead=True).where(F.col("support") >= sup_n)
+                .orderBy("prefix_id", "item").collect())
+        grown = {(*level[r.prefix_id], r["item"]): r.support for r in rows}
         found.update(grown)
         level = list(grown)
         if not level:
@@ -149,7 +182,7 @@ def cap_sets(sets: dict[Itemset, float], limit: int | None) -> tuple[dict[Itemse
 # ---- co-occurrence graph -----------------------------------------------------------------------
 
 def pair_support(sets: DataFrame, n: int) -> DataFrame:
-    """(a, b, support) of every two candidates, (a, a) being a's own weight."""
+    """(a, b, support) of every two candidates that occur together, (a, a) being a's own weight."""
     return extension_support(sets, [(i,) for i in range(n)], n).select(
         F.col("prefix_id").alias("a"), F.col("item").alias("b"), "support")
 
@@ -167,20 +200,38 @@ def cooccurrence(pairs: DataFrame, sup_n: float) -> tuple[DataFrame, DataFrame]:
     return nodes, edges
 
 
-def components(nodes: DataFrame, edges: DataFrame) -> DataFrame:
-    """(item, component): the smallest item reachable from each node."""
-    links = cut(edges.select("a", "b").unionByName(
-        edges.select(F.col("b").alias("a"), F.col("a").alias("b"))))
-    labels = cut(nodes.select("item", F.col("item").alias("component")))
-    while True:
-        offered = (links.join(labels.withColumnRenamed("item", "b"), "b")
-                   .groupBy(F.col("a").alias("item")).agg(F.min("component").alias("offered")))
-        step = cut(labels.join(offered, "item", "left").select(
-            "item", F.least("component", F.coalesce("offered", "component")).alias("component"),
-            (F.col("offered") < F.col("component")).alias("changed")))
-        labels = step.drop("changed")
-        if step.where("changed").isEmpty():
-            return labels
+def spanning_forest(edges: DataFrame) -> DataFrame:
+    """(a, b) edges that connect what the edges of each partition connect, at most one per node and partition."""
+    def contract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        parent: dict[int, int] = {}
+
+        def root(x: int) -> int:
+            while parent.setdefault(x, x) != x:
+                parent[x] = x = parent[parent[x]]
+            return x
+        for batch in batches:
+            for a, b in zip(batch.column("a").to_pylist(), batch.column("b").to_pylist()):
+                low, high = sorted((root(a), root(b)))
+                parent[high] = low
+        ends = [(x, root(x)) for x in parent]
+        yield pa.record_batch({"a": pa.array([x for x, y in ends if x != y], pa.int32()),
+                               "b": pa.array([y for x, y in ends if x != y], pa.int32())})
+    return edges.select(F.col("a").cast("int"), F.col("b").cast("int")).mapInArrow(contract, "a int, b int")
+
+
+def components(nodes: DataFrame, edges: DataFrame, parts: int = 64) -> DataFrame:
+    """(item, component): the smallest item reachable from each node.
+
+    Each partition of the edges puts out a spanning forest, and eight forests at a time are contracted to one, until a single one
+    is left. A forest has fewer edges than there are nodes, whose number is that of the search's candidates; every edge of the last
+    one leads to the smallest node of its component. One job, without rounds.
+    """
+    forest = spanning_forest(edges)
+    while parts > 1:
+        parts = -(-parts // 8)
+        forest = spanning_forest(forest.repartition(parts))
+    named = forest.select(F.col("a").alias("item"), F.col("b").alias("component"))
+    return nodes.join(named, "item", "left").select("item", F.coalesce("component", "item").alias("component"))
 
 
 def walk_seeds(labels: DataFrame, edges: DataFrame, limit: int | None = None,
@@ -218,35 +269,31 @@ def node_edge_sets(nodes: DataFrame, edges: DataFrame) -> DataFrame:
                                       F.col("shared").alias("support"))))
 
 
-def walk_step(sets: DataFrame, walks: list[Itemset], at: list[int], edges: set[tuple[int, int]],
+def walk_step(sets: DataFrame, walks: list[Itemset], at: list[int], edges: DataFrame,
               checkpoints: list[str], sup_n: float) -> dict[int, tuple[int, float]]:
-    """Best next candidate per walk: a neighbour of its end, a new checkpoint, most weight left."""
-    best: dict[int, tuple[int, float]] = {}
-    rows = (extension_support(sets, walks, len(checkpoints)).where(F.col("support") > sup_n)
-            .orderBy("prefix_id", F.col("support").desc(), "item").collect())
-    for r in rows:
-        walk, item = walks[r.prefix_id], r["item"]
-        pair = (min(at[r.prefix_id], item), max(at[r.prefix_id], item))
-        if (r.prefix_id in best or pair not in edges
-                or checkpoints[item] in {checkpoints[i] for i in walk}):
-            continue
-        best[r.prefix_id] = (item, r.support)
-    return best
+    """Best next candidate per walk: a neighbour of its end, a new checkpoint, most weight left. One row per walk is collected."""
+    links = edges.select(F.col("a").alias("end"), F.col("b").alias("item")).unionAll(
+        edges.select(F.col("b").alias("end"), F.col("a").alias("item")))
+    ends = small_table(sets.sparkSession, list(enumerate(at)), "prefix_id int, end int")
+    moves = (extension_support(sets, walks, len(checkpoints), checkpoints).where(F.col("support") > sup_n)
+             .join(ends, "prefix_id").join(links, ["end", "item"]))
+    best = moves.groupBy("prefix_id").agg(F.max_by(F.struct("item", "support"), F.struct("support", -F.col("item"))).alias("m"))
+    return {r.prefix_id: (r.m["item"], r.m["support"]) for r in best.collect()}
 
 
 def greedy_walks(sets: DataFrame, seeds: list[int], sizes: dict[int, float],
-                 edges: set[tuple[int, int]], checkpoints: list[str], sup_n: float,
+                 edges: DataFrame, checkpoints: list[str], sup_n: float,
                  max_size: int) -> dict[Itemset, float]:
     """All walks advance together, one job per step; equal walks merge at the end."""
     walks = [(s,) for s in seeds]
     support = [sizes[s] for s in seeds]
-    at = list(seeds)
+    live = list(range(len(walks)))
     for _ in range(max_size - 1):
-        moves = walk_step(sets, walks, at, edges, checkpoints, sup_n) if walks else {}
-        if not moves:
-            break
-        for i, (item, left) in moves.items():
-            walks[i], at[i], support[i] = (*walks[i], item), item, left
+        moves = walk_step(sets, [walks[i] for i in live], [walks[i][-1] for i in live], edges, checkpoints, sup_n) if live else {}
+        for place, (item, left) in moves.items():
+            i = live[place]
+            walks[i], support[i] = (*walks[i], item), left
+        live = [live[place] for place in sorted(moves)]  # a walk that found no next candidate is over
     return {tuple(sorted(w)): s for w, s in zip(walks, support)}
 
 
@@ -299,7 +346,6 @@ def combine(lists: DataFrame, checkpoints: list[str], sup_n: float,
     else:
         by_key = key_sets(lists).persist()
         pairs = pair_support(by_key, n).persist()
-        edge_rows = pairs.where((F.col("a") < F.col("b")) & (F.col("support") >= sup_n)).collect()
         nodes, edges = cooccurrence(pairs, sup_n)
         labels = components(nodes, edges)
         sets = {tuple(r["items"]): r.support
@@ -310,8 +356,7 @@ def combine(lists: DataFrame, checkpoints: list[str], sup_n: float,
             sets.update({tuple(r["items"]): r.support
                          for r in node_edge_sets(nodes, edges).collect()})
         sizes = {r["item"]: r["size"] for r in nodes.collect()}
-        sets.update(greedy_walks(by_key, seeds, sizes, {(r.a, r.b) for r in edge_rows},
-                                 checkpoints, sup_n, params.lvl_limit))
+        sets.update(greedy_walks(by_key, seeds, sizes, edges, checkpoints, sup_n, params.lvl_limit))
         pairs.unpersist()
         by_key.unpersist()
     return Combination(mode, distinct_checkpoint_sets(sets, checkpoints))

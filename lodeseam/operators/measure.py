@@ -1,8 +1,9 @@
 """Catch and rate of conditions, metrics of patterns.
 
-Conditions are measured together in one pass over the activity: every row names the conditions
-it meets, rows collapse to one per (condition, key) before and after the shuffle, and a second
-small aggregation gives the numbers. A busy key therefore shrinks on the map side.
+Conditions are measured together in one pass over the activity. An index turns a row into the words of
+the conditions it meets: per variable a search through sorted cuts or values finds the row's cell, and a table has
+the conditions that each cell leaves possible. Rows collapse to the words a key meets, keys of equal words are
+counted, and only those counts are asked for single conditions. A busy key shrinks on the map side.
 """
 
 from __future__ import annotations
@@ -14,11 +15,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from ..conditions import Condition
+from ..conditions import INF, Atom, Condition, Equals, Flag, InSet, Range
 from ..config import AMOUNT, SearchParams
 from ..functions.bits import holds_all, literal, pack, positions, word_count
 from ..functions.metrics import Registry, fscore, kpi_columns
 from ..session import local_table, small_table
+from . import signatures as sig
 
 
 def roles_of(df: DataFrame, metric: str = AMOUNT) -> list[str]:
@@ -62,13 +64,101 @@ def kpi_by_test(hits: DataFrame, metric: str) -> DataFrame:
             .groupBy("test_id").agg(*kpi_columns(metric)))
 
 
+def _cells(variable: str, atoms: list[Atom]) -> tuple[Column, list[list[bool]]]:
+    """The number of the cell of a row's value, and which atoms hold in each cell. Cell 0 is a missing value."""
+    name = f"`{variable}`"
+    if all(isinstance(a, Flag) for a in atoms):
+        cell = f"CASE WHEN {name} THEN 1 WHEN NOT {name} THEN 2 ELSE 0 END"
+        return F.expr(cell), [[v is not None and v == a.value for a in atoms] for v in (None, True, False)]
+    if any(isinstance(a, Range) for a in atoms) or any(not isinstance(v, str) for a in atoms for v in _values(a)):
+        edges = {float(e) for a in atoms if isinstance(a, Range) for e in (a.lo, a.hi) if abs(e) != INF}
+        points = {float(v) for a in atoms for v in _values(a) if not isinstance(v, str)}
+        cuts = sorted(edges | points)
+        # between two cuts, and each cut by itself: 2 * cuts + 1 cells
+        found = [[_holds(a, None) for a in atoms], *([_holds(a, x) for a in atoms] for x in _between(cuts))]
+        return F.expr(f"CASE WHEN {name} IS NULL THEN 0 ELSE {_search(name, [f'{c!r}D' for c in cuts])} END"), found
+    values = sorted({v for a in atoms for v in _values(a) if v != "None"}, key=lambda v: v.encode())
+    found = [[_holds(a, None) for a in atoms], *([_holds(a, x) for a in atoms] for v in values for x in (_OTHER, v)),
+             [_holds(a, _OTHER) for a in atoms]]
+    return F.expr(f"CASE WHEN {name} IS NULL THEN 0 ELSE {_search(name, [sql_text(v) for v in values])} END"), found
+
+
+_OTHER = object()
+
+
+def _values(atom: Atom) -> tuple:
+    return atom.values if isinstance(atom, InSet) else (atom.value,) if isinstance(atom, Equals) else ()
+
+
+def _between(cuts: list[float]) -> list[float]:
+    """A value of every cell: below the first cut, the cut, between it and the next, ..."""
+    if not cuts:
+        return [0.0]
+    out = [cuts[0] - 1.0 - abs(cuts[0])]
+    for c, after in zip(cuts, [*cuts[1:], None]):
+        out += [c, c + 1.0 + abs(c) if after is None else c + (after - c) / 2]
+    return out
+
+
+def _holds(atom: Atom, value) -> bool:
+    """Whether an atom holds for a value; null fails all but the comparison with the missing value."""
+    if isinstance(atom, Equals) and atom.value == "None":
+        return value is None
+    if value is None or value is _OTHER:
+        return False
+    return atom.lo < value <= atom.hi if isinstance(atom, Range) else value in _values(atom)
+
+
+def _search(x: str, cuts: list[str], cell: int = 1) -> str:
+    """SQL text: the number of x's cell among sorted cuts, by halving; a cut is a cell by itself."""
+    if not cuts:
+        return str(cell)
+    half = len(cuts) // 2
+    return (f"CASE WHEN {x} < {cuts[half]} THEN {_search(x, cuts[:half], cell)} WHEN {x} = {cuts[half]} THEN {cell + 2 * half + 1} "
+            f"ELSE {_search(x, cuts[half + 1:], cell + 2 * half + 2)} END")
+
+
+def sql_text(value: str) -> str:
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def condition_words(activity: DataFrame, conditions: list[Condition], keep: list[str]) -> DataFrame:
+    """``keep`` columns and ``mask``, the words of the conditions met, of rows that meet any.
+
+    Per variable a row is looked up once, whatever the number of conditions on it. Rows of other checkpoints are filtered at the scan.
+    """
+    n = word_count(len(conditions))
+
+    def words(flags: list[bool]) -> Column:
+        return F.array(*[F.lit(w) for w in literal([i for i, f in enumerate(flags) if f], n)]).cast("array<bigint>")
+    seen = sorted({c.checkpoint for c in conditions})
+    rows = activity.where(F.col("checkpoint").isin(seen))
+    cell = F.array_position(F.array(*[F.lit(c) for c in seen]), F.col("checkpoint")).cast("int") - 1
+    tables = [(cell, [words([c.checkpoint == cp for c in conditions]) for cp in seen])]
+    for variable in sorted({a.variable for c in conditions for a in c.atoms}):
+        mine = [(i, a) for i, c in enumerate(conditions) for a in c.atoms if a.variable == variable]
+        cell, holds = _cells(variable, [a for _, a in mine])
+        possible = []
+        for held in holds:
+            failed = {i for (i, _), h in zip(mine, held) if not h}
+            possible.append(words([i not in failed for i in range(len(conditions))]))
+        tables.append((cell, possible))
+    looked_up = [F.get(F.array(*entries), cell) for cell, entries in tables]
+    both = reduce(lambda x, y: F.zip_with(x, y, lambda a, b: a.bitwiseAND(b)), looked_up)
+    return rows.select(*keep, both.alias("mask")).where(F.exists("mask", lambda w: w != 0))
+
+
 def measure_conditions(activity: DataFrame, conditions: list[Condition], metric: str) -> DataFrame:
     """(test_id, content, catch, rate) of every condition; one without rows gets zeros."""
-    hits = activity.select("key", *roles_of(activity, metric),
-                           F.explode(matching_ids(conditions)).alias("test_id"))
     names = local_table(activity.sparkSession, [(i, c.text) for i, c in enumerate(conditions)],
                         "test_id int, content string")
-    measured = kpi_by_test(hits, metric)
+    roles, n = roles_of(activity, metric), word_count(len(conditions))
+    rows = condition_words(activity, conditions, ["checkpoint", "key", *roles])
+    keys = (rows.groupBy("checkpoint", "key", *roles).agg(*[F.bit_or(F.get("mask", F.lit(w))).alias(f"w{w}") for w in range(n)])
+            .select(F.col("checkpoint").alias("group"), "key", *roles, F.array(*[f"w{w}" for w in range(n)]).alias("mask")))
+    counts = sig.signatures(keys, metric)
+    tests = [(c.checkpoint, literal([i], n)) for i, c in enumerate(conditions)]
+    measured = sig.measured(counts, tests, sig.picked_by_any, "string")
     return names.join(measured, "test_id", "left").fillna(0.0, ["target_catch", "target_rate"])
 
 

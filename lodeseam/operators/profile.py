@@ -11,11 +11,11 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..config import AMOUNT, COUNT, Feature, VariableRules
-from ..session import small_table
+from ..session import MAX_BROADCAST_ROWS, small_table
 from .shape import keep_value, name_matches
 
 PAIR = ["checkpoint", "variable"]
-SPLITS = 64          # ranges a group is divided into when rows are counted in order
+PER_SPLIT = 250_000   # rows of a range that a group is divided into when rows are counted in order
 ONE_TASK = 1_000_000  # distinct values of a pair that one task may sort
 
 
@@ -62,23 +62,30 @@ def number_values(outcome: DataFrame, features: list[Feature], metric: str) -> D
 def running_count(rows: DataFrame, groups: list[str], order: str, n: str) -> DataFrame:
     """Add ``before``: the sum of ``n`` over the group's rows that sort earlier.
 
-    ``order`` must be unique within a group. A group is divided at approximate quantiles, so no
-    task sorts a whole group; the split points (SPLITS per group) and the per-split totals are
-    bounded by the configuration and therefore safe to broadcast.
+    ``order`` must be unique within a group. A group is divided at approximate quantiles into ranges of about PER_SPLIT
+    rows, so no task sorts a whole group and the number of ranges follows the largest group. Split points and sums
+    per range are one row per group and per range.
     """
-    at = F.array(*[F.lit(i / SPLITS) for i in range(1, SPLITS)])
-    bounds = rows.groupBy(*groups).agg(F.percentile_approx(order, at, F.lit(1000)).alias("_bounds"))
-    parts = (rows.join(F.broadcast(bounds), groups)
+    largest = rows.groupBy(*groups).count().agg(F.max("count")).first()[0] or 0
+    splits = max(2, -(-largest // PER_SPLIT))
+    at = F.array(*[F.lit(i / splits) for i in range(1, splits)])
+    bounds = rows.groupBy(*groups).agg(F.percentile_approx(order, at, F.lit(max(1000, 20 * splits))).alias("_bounds"))
+    parts = (rows.join(_small(bounds, splits), groups)
              .withColumn("_split", F.size(F.filter("_bounds", lambda b: b < F.col(order))))
              .drop("_bounds"))
     offsets = earlier(parts.groupBy(*groups, "_split").agg(F.sum(n).alias("_n")),
                       groups, "_split", "_n", "_offset").drop("_n")
     return (earlier(parts, [*groups, "_split"], order, n, "_within")
-            .join(F.broadcast(offsets), [*groups, "_split"])
+            .join(_small(offsets), [*groups, "_split"])
             .withColumn("before", F.col("_offset") + F.col("_within"))
             .drop("_split", "_offset", "_within"))
 
 
+def _small(df: DataFrame, values: int = 1) -> DataFrame:
+    """Broadcast behind a count: rows of so many values each, up to the bound for small tables."""
+    return F.broadcast(df) if df.count() * values <= MAX_BROADCAST_ROWS else df
+
+
 def earlier(rows: DataFrame, groups: list[str], order: str, n: str, name: str) -> DataFrame:
     """Plain running sum, for groups that one task can sort."""
     window = W.partitionBy(*groups).orderBy(order).rowsBetween(W.unboundedPreceding, -1)

@@ -1,9 +1,15 @@
 """Plan shapes and skew: what must hold for the jobs to survive large inputs."""
 
+import itertools
+from collections import Counter
+
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from lodeseam.conditions import Condition, Equals, Flag, InSet, Range
 from lodeseam.config import VariableRules
+from lodeseam.functions.bits import WORD
 from lodeseam.operators import combine, measure, profile, select, shape, signatures
 from lodeseam.operators.binning import run_searches
 from lodeseam.operators.trees import MaskTable, Scored, grow_trees
@@ -121,7 +127,6 @@ def test_busy_key(spark):
         F.when(F.col("id") % 3 == 0, "hot").otherwise(F.col("id").cast("string")).alias("key"),
         F.lit("a").alias("acct"), (F.col("id") % 3 == 0).cast("int").alias("tag"),
         F.lit("X").alias("checkpoint"), (F.col("id") % 50).cast("double").alias("v"))
-    from lodeseam.conditions import Condition, Range
     low, high = Range("v", hi=10), Range("v", lo=40)
     listed = {"X": [Scored(low, 0.0, 0.0, 1), Scored(high, 0.0, 0.0, 1)]}
     masks = MaskTable(activity, listed, "target_cnt")
@@ -142,3 +147,62 @@ def test_supports_do_not_depend_on_partitions(spark):
     sets = local_table(spark, rows, "items array<int>, weight double")
     one = combine.frequent_sets(sets.coalesce(1), [str(i) for i in range(8)], 1.0, 2)
     assert one == combine.frequent_sets(sets.repartition(16), [str(i) for i in range(8)], 1.0, 2)
+
+
+def test_ten_thousand_candidates(spark):
+    """Supports of many candidates: bitmaps per block of rows, a bounded table of sums, no array of all pairs."""
+    n, rng = 10_000, np.random.default_rng(4)
+    rows = [(sorted(set(rng.integers(0, n, 6).tolist()) | {int(rng.integers(0, 40))}), float(rng.integers(1, 5))) for _ in range(6_000)]
+    sets = local_table(spark, rows, "items array<int>, weight double").repartition(4)
+    checkpoints = [f"c{i % 7}" for i in range(n)]
+    expected = Counter()
+    for items, weight in rows:
+        for k in (1, 2):
+            for s in itertools.combinations(items, k):
+                if len({checkpoints[i] for i in s}) == k:
+                    expected[s] += weight
+    assert combine.frequent_sets(sets, checkpoints, 9.0, 2) == {s: w for s, w in expected.items() if w >= 9.0}
+
+
+def test_sums_are_handed_on_in_parts(spark, monkeypatch):
+    rows = [([i % 5, 5 + i % 3, 9], float(i)) for i in range(500)]
+    sets = local_table(spark, rows, "items array<int>, weight double")
+    whole = combine.pair_support(sets, 10).orderBy("a", "b").collect()
+    for name in ("MAX_SUMS", "BLOCK_ROWS", "BLOCK_PREFIXES"):
+        monkeypatch.setattr(combine, name, 3)
+    assert combine.pair_support(sets, 10).orderBy("a", "b").collect() == whole
+
+
+def test_components_are_one_job_without_checkpoints(spark):
+    rng = np.random.default_rng(2)
+    edges = [(int(a), int(b)) for a, b in rng.integers(0, 3_000, (2_400, 2)) if a != b]
+    nodes = local_table(spark, [(i, 1.0) for i in range(3_000)], "item int, size double")
+    got = combine.components(nodes, local_table(spark, edges, "a int, b int").repartition(16))
+    assert "Scan ExistingRDD" not in plan_of(got)  # what a checkpoint would leave
+    parent = list(range(3_000))
+
+    def root(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+    for a, b in edges:
+        low, high = sorted((root(a), root(b)))
+        parent[high] = low
+    assert {r["item"]: r.component for r in got.collect()} == {i: root(i) for i in range(3_000)}
+
+
+def test_conditions_are_looked_up_per_variable(spark):
+    """The index meets exactly the conditions that their columns meet, nulls and borders included."""
+    rows = [(f"k{i}", cp, i % 3, x, t, f) for i, (cp, x, t, f) in enumerate(itertools.product(
+        ("X", "Y", "Z", None), (None, -1.0, 0.0, 1.0, 1.5, 2.0, 9.0, float("inf")), (None, "", "a", "a'b\\", "zz", "é"), (None, True, False)))]
+    df = local_table(spark, rows, "key string, checkpoint string, tag int, x double, t string, f boolean")
+    atoms = [Range("x", 0.0, 2.0), Range("x", lo=1.0), Range("x", hi=1.5), Equals("x", 1.0), Equals("x", "None"), InSet("t", ("a", "é")),
+             InSet("t", ("a'b\\",)), Equals("t", "None"), Equals("t", ""), Flag("f"), Flag("f", False)]
+    conditions = [Condition(cp, c) for cp in ("X", "Y") for k in (0, 1, 2) for c in itertools.combinations(atoms, k)]
+    met = measure.condition_words(df, conditions, ["key"]).collect()
+    words = {r.key: r["mask"] for r in met}
+    got = {(k, w * WORD + b) for k, mask in words.items() for w, word in enumerate(mask) for b in range(WORD) if word >> b & 1}
+    ids = df.select("key", F.explode(measure.matching_ids(conditions)).alias("i")).collect()
+    assert got == {(r.key, r.i) for r in ids} and len(got) > 2_000
+    plan = plan_of(measure.condition_words(spark.range(1).selectExpr("'k' as key", "'X' as checkpoint", "1D as x"), [Condition("X", (atoms[0],))], ["key"]))
+    assert "Generate" not in plan

@@ -402,9 +402,8 @@ select cast(seed as integer) as seed, cast(next as integer) as next,
 qualify row_number() over (partition by seed order by support desc, next) = 1"""))
 def greedy_step(spark, sf):
     sets, nodes, edges, sup_n = graph(spark, sf)
-    pairs = {(r.a, r.b) for r in edges.collect()}
     walks = [(i,) for i in range(N_ITEMS)]
-    moves = combine.walk_step(sets, walks, list(range(N_ITEMS)), pairs, CPS, sup_n)
+    moves = combine.walk_step(sets, walks, list(range(N_ITEMS)), edges, CPS, sup_n)
     return spark.createDataFrame([(walks[w][0], item, s) for w, (item, s) in moves.items()],
                                  "seed int, next int, support double").select(
         "seed", "next", r4("support"))
@@ -430,9 +429,8 @@ def greedy_walks(spark, sf):
     sets, nodes, edges, _ = graph(spark, sf)
     sup_n = measure.thresholds(fx.population(spark, sf), fx.F1).first().sup_n
     nodes, edges = combine.cooccurrence(combine.pair_support(sets, N_ITEMS), sup_n)
-    pairs = {(r.a, r.b) for r in edges.collect()}
     sizes = {r["item"]: r["size"] for r in nodes.collect()}
-    found = combine.greedy_walks(sets, sorted(sizes), sizes, pairs, CPS, sup_n, 3)
+    found = combine.greedy_walks(sets, sorted(sizes), sizes, edges, CPS, sup_n, 3)
     return spark.createDataFrame([(",".join(map(str, s)), w) for s, w in found.items()],
                                  "items string, support double").select("items", r4("support"))
 
