@@ -48,7 +48,7 @@ def stored(df: DataFrame) -> DataFrame:
 class WordCodes(dict):
     """64-bit hashes of words, the same in every process; at most ``KEPT`` words are kept at hand."""
 
-    KEPT = 1_000_000
+    KEPT = 200_000
 
     def __missing__(self, word: str | bytes) -> int:
         if len(self) > self.KEPT:
