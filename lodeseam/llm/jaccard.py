@@ -13,9 +13,9 @@ than it must share with a similar set still shares one that is not weak. Every o
 emits single shingles: the first quarter of its shingles and one more, rare ones first, of which two
 similar sets must share one. So no pair is lost, whatever shingles are held to be common.
 
-A signature shared by more than MANY sets is not followed up. Instead all sets that have such a
-one get signatures of a stricter scheme (half the pieces of larger parts); two similar sets that
-share no rarer signature are both among them.
+A signature shared by more than MANY sets is not followed up. Two similar sets that share no rarer signature both
+have such a one, so among all those sets the shingles are counted, and each set emits the rarest of its shingles
+by that count, again the first quarter and one more. A passage that many sets hold is then the last that any of them emits.
 
 Equal sets are one class from the start. Classes that share a signature are compared exactly, first
 each with the smallest class that it shares one with, then with the smallest of each signature, then those of
@@ -36,7 +36,7 @@ from itertools import combinations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
@@ -47,8 +47,8 @@ BLOCK = 400
 #: Up to this set size parts are cut in three pieces with one difference to spare; beyond it they
 #: are whole, which makes fewer signatures.
 FINE_SIZE = 250
-#: (pieces, differences to spare) of the stricter scheme, and sets of a signature that call for it.
-STRICT, MANY = (6, 3), 16
+#: A signature of more sets is not followed up.
+MANY = 16
 #: Shingles are counted in runs of about so many.
 COUNTED = 4_000_000
 #: Shingles of more than one in so many documents are common; so many of them are kept at most.
@@ -100,8 +100,8 @@ def bands(largest: int) -> np.ndarray:
     return np.array(upper, np.int64)
 
 
-def signatures(sets: list[np.ndarray], common: np.ndarray = np.zeros(0, np.uint64),
-               strict: bool = False) -> tuple[np.ndarray, np.ndarray]:
+def signatures(sets: list[np.ndarray],
+               common: np.ndarray = np.zeros(0, np.uint64)) -> tuple[np.ndarray, np.ndarray]:
     """(signature, set) of non-empty sets; the second is the set's place in the list."""
     size = np.array([len(s) for s in sets], np.int64)
     used = np.flatnonzero(size)
@@ -113,8 +113,7 @@ def signatures(sets: list[np.ndarray], common: np.ndarray = np.zeros(0, np.uint6
     for up in (0, 1):
         instance = band + up
         fine = upper[np.minimum(instance, len(upper) - 1)] <= FINE_SIZE
-        for pieces, spare, part in (((*STRICT, used),) if strict else
-                                    ((3, 1, used[fine[used]]), (1, 0, used[~fine[used]]))):
+        for pieces, spare, part in ((3, 1, used[fine[used]]), (1, 0, used[~fine[used]])):
             if len(part):
                 out.append(_instance([sets[i] for i in part], part, size[part], instance[part],
                                      upper[instance[part]], upper[band[part]], pieces, spare, bool(up), common))
@@ -233,7 +232,7 @@ def common_shingles(rows: DataFrame) -> np.ndarray:
     return np.sort(top.select("shingle").toPandas()["shingle"].to_numpy(np.int64).view(np.uint64))
 
 
-def members(documents: DataFrame, common: np.ndarray, words: int = WORDS, strict: bool = False) -> DataFrame:
+def members(documents: DataFrame, common: np.ndarray, words: int = WORDS) -> DataFrame:
     """(signature, first, set_ids, many): the different sets of each signature that several share.
 
     Up to MANY sets come in one row; those of a signature with more (``many``) in several. ``first`` is the smallest. The
@@ -251,7 +250,7 @@ def members(documents: DataFrame, common: np.ndarray, words: int = WORDS, strict
                     seen.add(i)
                     sets[i] = s
             if sets:
-                signature, of = signatures(list(sets.values()), shared_common.value, strict)
+                signature, of = signatures(list(sets.values()), shared_common.value)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(signature.view(np.int64)), pa.array(np.fromiter(sets, np.int64, len(sets))[of])],
                     ["signature", "set_id"])
@@ -321,6 +320,43 @@ class Sets:
             texts = texts.union(self.documents.where("doc_id is null").select(F.lit(None).cast("long"), "text"))
         return texts
 
+    def rarest(self, set_ids: DataFrame) -> DataFrame:
+        """(signature, first, set_id): of each set the shingles of which a similar one among these sets shares one.
+
+        Of n shingles, ordered by the number of these sets that have them, that is the first n - ceil(3 n / 4) + 1. Shingles that a
+        single set has come first and need no row. ``first`` is the smallest set of a signature that several share.
+        """
+        words, set_ids = self.words, stored(set_ids)
+
+        def per_task():
+            codes = WordCodes()
+
+            def work(ids, texts):
+                if ids is not None:
+                    sets = shingle_sets(texts.to_pylist(), codes, words)
+                    own = [fingerprint(s) if len(s) else None for s in sets]
+                    right = [k for k, (o, i) in enumerate(zip(own, ids.to_pylist())) if o is not None and i in (None, o)]
+                    size = [len(sets[k]) for k in right]
+                    if right:
+                        yield pa.RecordBatch.from_arrays(
+                            [pa.array(np.repeat(np.array([own[k] for k in right], np.int64), size)),
+                             pa.array(np.concatenate([sets[k] for k in right]).view(np.int64))], ["set_id", "shingle"])
+            return work
+        rows = _map(self.texts(set_ids), per_task, "set_id long, shingle long", ["set_id", "text"])
+        if self.nameless:
+            rows = rows.join(set_ids, "set_id", "left_semi")
+        if self.repeated or self.nameless:
+            rows = rows.distinct()
+        often = rows.withColumn("held", F.count(F.lit(1)).over(Window.partitionBy("shingle"))).where("held > 1")
+        by_count = often.groupBy("set_id").agg(F.array_sort(F.collect_list(F.struct("held", "shingle"))).alias("s"))
+        n = F.col("n")
+        room = n - F.ceil(3 * n / 4) + 1 - (n - F.size("s"))  # less the shingles that only this set has
+        kept = (by_count.join(self.classes.select("set_id", "n"), "set_id").where(room > 0)
+                .select("set_id", F.explode(F.slice("s", F.lit(1), room.cast("int"))).alias("x")))
+        kept = stored(kept.select("set_id", F.col("x.shingle").alias("signature")))
+        lowest = kept.groupBy("signature").agg(F.min("set_id").alias("first"), F.max("set_id").alias("last"))
+        return kept.join(lowest.where("first <> last").select("signature", "first"), "signature")
+
     def of(self, set_ids: DataFrame) -> DataFrame:
         """(set_id, shingles), one row per set."""
         words, set_ids = self.words, stored(set_ids.distinct())
@@ -377,9 +413,7 @@ def _grouped(documents: DataFrame, words: int) -> tuple[DataFrame, DataFrame]:
     crowded = stored(found.where("many").select(F.explode("set_ids").alias("set_id")).distinct())
     few, crowds = found.where("not many").select("set_ids"), None
     if not crowded.isEmpty():
-        found = stored(members(sets.texts(crowded), common, words, strict=True))
-        few = few.union(found.where("not many").select("set_ids"))
-        crowds = found.where("many").select("signature", "first", F.explode("set_ids").alias("set_id"))
+        crowds = stored(sets.rarest(crowded))
     few = stored(few.distinct())  # near copies share many signatures, with the same sets each
     close = few.select(F.explode(F.slice("set_ids", 2, MANY)).alias("a"), F.col("set_ids")[0].alias("b"))
     if crowds is not None:
