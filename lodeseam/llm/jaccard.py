@@ -49,8 +49,8 @@ BLOCK = 400
 FINE_SIZE = 250
 #: A signature of more sets is not followed up.
 MANY = 16
-#: Shingles are counted in runs of about so many.
-COUNTED = 4_000_000
+#: Shingles are counted in runs of about so many; signatures move in runs of so many, to ranges of so many shingles' signatures.
+COUNTED, RUN, RANGE = 4_000_000, 1_500_000, 3_000_000
 #: Shingles of more than one in so many documents are common; so many of them are kept at most.
 COMMON, MAX_COMMON = 1000, 500_000
 _ODD = np.uint64(0x9E3779B97F4A7C15)
@@ -232,16 +232,34 @@ def common_shingles(rows: DataFrame) -> np.ndarray:
     return np.sort(top.select("shingle").toPandas()["shingle"].to_numpy(np.int64).view(np.uint64))
 
 
-def members(documents: DataFrame, common: np.ndarray, words: int = WORDS) -> DataFrame:
-    """(signature, first, set_ids, many): the different sets of each signature that several share.
+def members(documents: DataFrame, common: np.ndarray, shingles: int, words: int = WORDS) -> DataFrame:
+    """(set_ids, many): the different sets of each signature that 2 to MANY sets share; in ``many`` rows the sets of all other signatures.
 
-    Up to MANY sets come in one row; those of a signature with more (``many``) in several. ``first`` is the smallest. The
-    sorted partitions stream by; no more than MANY rows of a signature are held back.
+    Signatures move as sorted arrays, one per hash range and run, with the sets of the range by number: a range keeps 32 bits of
+    each signature, which now and then brings unlike sets together, to be told apart by the exact check. ``shingles``, the
+    number in all documents, decides how many ranges there are, so a range stays of one size.
     """
     shared_common = documents.sparkSession.sparkContext.broadcast(common)
+    top = max(0, (max(shingles, 1) - 1) // RANGE).bit_length()
 
     def per_task():
-        codes, seen = WordCodes(), set()
+        codes, seen, runs = WordCodes(), set(), []
+
+        def blobs():
+            signature, of, ids = (np.concatenate(x) for x in zip(*runs))
+            runs.clear()
+            order = np.argsort(signature)
+            signature, owner = signature[order], of[order]
+            part = (signature >> np.uint64(64 - top)).astype(np.int64) if top else np.zeros(len(signature), np.int64)
+            key = (signature << np.uint64(top)) >> np.uint64(32)
+            edge = np.flatnonzero(np.concatenate([[True], part[1:] != part[:-1], [True]]))
+            rows = []
+            for x, y in zip(edge, edge[1:]):
+                held, number = np.unique(owner[x:y], return_inverse=True)
+                rows.append((int(part[x]), key[x:y].astype(np.uint32).tobytes(), number.astype(np.uint32 if len(held) >> 16 else np.uint16).tobytes(),
+                             ids[held].tobytes()))
+            return pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], pa.binary() if i else pa.int64()) for i in range(4)],
+                                              ["part", "keys", "numbers", "sets"])
 
         def work(texts):
             sets = {}
@@ -251,53 +269,31 @@ def members(documents: DataFrame, common: np.ndarray, words: int = WORDS) -> Dat
                     sets[i] = s
             if sets:
                 signature, of = signatures(list(sets.values()), shared_common.value)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(signature.view(np.int64)), pa.array(np.fromiter(sets, np.int64, len(sets))[of])],
-                    ["signature", "set_id"])
+                runs.append((signature, of + sum(len(r[2]) for r in runs), np.fromiter(sets, np.int64, len(sets))))
+            if runs and (texts is None or sum(len(r[0]) for r in runs) >= RUN):
+                yield blobs()
         return work
 
-    def shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        none = np.zeros(0, np.int64)
-        held = (none, none)  # rows of the last signature so far, while they may be few
-        last, first, previous = None, None, None  # its value, its first set if it has many, its last set
-
-        def rows(ids, size, sig, low, many):
-            ends = pa.array(np.concatenate(([0], np.cumsum(size))), pa.int32())
-            return pa.RecordBatch.from_arrays([pa.array(sig), pa.array(low), pa.ListArray.from_arrays(ends, pa.array(ids)),
-                                               pa.array(many)], ["signature", "first", "set_ids", "many"])
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            sig, ids = (batch.column(c).to_numpy() for c in (0, 1))
-            new = np.concatenate(([sig[0] != last or ids[0] != previous],
-                                  (sig[1:] != sig[:-1]) | (ids[1:] != ids[:-1])))
-            last, previous, before = sig[-1], ids[-1], last
-            sig, ids = sig[new], ids[new]
-            if first is not None:  # the signature with many sets goes on
-                more = int(np.searchsorted(sig != before, True))
-                if more:
-                    yield rows(ids[:more], [more], sig[:1], [first], [True])
-                sig, ids = sig[more:], ids[more:]
-                if not len(sig):
-                    continue
-            sig, ids, first = np.concatenate((held[0], sig)), np.concatenate((held[1], ids)), None
-            if not len(sig):
-                continue
-            start = np.flatnonzero(np.concatenate(([True], sig[1:] != sig[:-1])))
-            count = np.diff(np.append(start, len(sig)))
-            emit = count > 1
-            held = (none, none)
-            if count[-1] > MANY:
-                first = ids[start[-1]]
-            else:
-                held, emit[-1] = (sig[start[-1]:], ids[start[-1]:]), False
-            out = np.repeat(emit, count)
-            yield rows(ids[out], count[emit], sig[start[emit]], ids[start[emit]], count[emit] > MANY)
-        if len(held[0]) > 1:
-            yield rows(held[1], [len(held[1])], held[0][:1], held[1][:1], [False])
-    found = _map(documents, per_task, "signature long, set_id long", ["text"])
-    return (found.repartition("signature").sortWithinPartitions("signature", "set_id")
-            .mapInArrow(shared, "signature long, first long, set_ids array<long>, many boolean"))
+    def shared(rows: pa.Table) -> pa.Table:
+        """The sets of each signature of a range."""
+        keys, ids = [], []
+        for key, number, held in zip(*(rows.column(c).to_pylist() for c in ("keys", "numbers", "sets"))):
+            key, held = np.frombuffer(key, np.uint32), np.frombuffer(held, np.int64)
+            keys.append(key)
+            ids.append(held[np.frombuffer(number, np.uint16 if len(number) == 2 * len(key) else np.uint32)])
+        key, ids = np.concatenate(keys), np.concatenate(ids)
+        order = np.lexsort((ids, key))
+        key, ids = key[order], ids[order]
+        new = np.concatenate(([True], (key[1:] != key[:-1]) | (ids[1:] != ids[:-1])))  # equal sets of several tasks count once
+        key, ids = key[new], ids[new]
+        start = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1])))
+        count = np.diff(np.append(start, len(key)))
+        few, crowd = np.repeat((count > 1) & (count <= MANY), count), np.unique(ids[np.repeat(count > MANY, count)])
+        size = np.append(count[(count > 1) & (count <= MANY)], len(crowd))
+        lists = pa.ListArray.from_arrays(pa.array(np.concatenate(([0], np.cumsum(size))), pa.int32()), pa.array(np.concatenate([ids[few], crowd])))
+        return pa.table([lists, pa.array(np.arange(len(size)) == len(size) - 1)], ["set_ids", "many"])
+    found = _map(documents, per_task, "part long, keys binary, numbers binary, sets binary", ["text"])
+    return found.groupBy("part").applyInArrow(shared, "set_ids array<long>, many boolean")
 
 
 class Sets:
@@ -409,9 +405,10 @@ def _grouped(documents: DataFrame, words: int) -> tuple[DataFrame, DataFrame]:
     base = rows.where("shingle is null").select("doc_id", "text_hash", "n_shingles", "set_id")
     sets = Sets(documents, base, words)
     common = common_shingles(rows)
-    found = stored(members(documents, common, words))
+    n_shingles = rows.agg(F.sum("n_shingles").alias("n")).first().n or 0
+    found = stored(members(documents, common, n_shingles, words))
     crowded = stored(found.where("many").select(F.explode("set_ids").alias("set_id")).distinct())
-    few, crowds = found.where("not many").select("set_ids"), None
+    few, crowds = found.where("not many and size(set_ids) > 0").select("set_ids"), None
     if not crowded.isEmpty():
         crowds = stored(sets.rarest(crowded))
     few = stored(few.distinct())  # near copies share many signatures, with the same sets each

@@ -43,6 +43,9 @@ def grouped(rows):
 @pytest.mark.parametrize("many", [16, 1])
 def test_jaccard_groups(spark, sf, monkeypatch, many):
     monkeypatch.setattr(jaccard, "MANY", many)
+    if many == 1:  # and several ranges and runs
+        monkeypatch.setattr(jaccard, "RANGE", 2_000)
+        monkeypatch.setattr(jaccard, "RUN", 3_000)
     rows = [(r.doc_id, r.text) for r in spark.read.parquet(f"{sf}/documents.parquet").collect()]
     base = rows[7][1].split()
     rows += [(1000 + i, " ".join(base[:i] + [f"w{i}"] + base[i:])) for i in range(30)]  # a chain of near copies
