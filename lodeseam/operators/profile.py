@@ -41,16 +41,30 @@ def _per_value(rows: DataFrame, metric: str) -> DataFrame:
 
     Both steps hash-aggregate: the first leaves one row per (pair, value, key).
     """
-    amount = [F.max("amt").alias("amt")] if metric == AMOUNT else []
-    per_key = rows.groupBy(*PAIR, "value", "key").agg(F.count(F.lit(1)).alias("n"), *amount)
+    per_key = rows.groupBy(*PAIR, "value", "key").agg(F.count(F.lit(1)).alias("n"), *_amount(metric))
+    return per_key.groupBy(*PAIR, "value").agg(_size(metric), F.sum("n").alias("n"))
+
+
+def _amount(metric: str) -> list[Column]:
+    return [F.max("amt").alias("amt")] if metric == AMOUNT else []
+
+
+def _size(metric: str) -> Column:
     size = F.sum("amt") if metric == AMOUNT else F.count(F.lit(1)).cast("double")
-    return per_key.groupBy(*PAIR, "value").agg(
-        F.coalesce(size, F.lit(0.0)).alias("size"), F.sum("n").alias("n"))
+    return F.coalesce(size, F.lit(0.0)).alias("size")
 
 
 def string_values(outcome: DataFrame, features: list[Feature], metric: str) -> DataFrame:
-    """(checkpoint, variable, value string, size, n) of the string features."""
-    return _per_value(long_values(outcome, [f for f in features if f.type == "string"]), metric)
+    """(checkpoint, variable, value string, size, n, several) of the string features.
+
+    ``several`` says whether more than one account stands behind a value: its smallest and its largest differ. They
+    are carried through the same two aggregations; no account is counted.
+    """
+    rows = long_values(outcome, [f for f in features if f.type == "string"])
+    per_key = rows.groupBy(*PAIR, "value", "key").agg(
+        F.count(F.lit(1)).alias("n"), F.min("acct").alias("low"), F.max("acct").alias("high"), *_amount(metric))
+    return per_key.groupBy(*PAIR, "value").agg(
+        _size(metric), F.sum("n").alias("n"), F.coalesce(F.min("low") < F.max("high"), F.lit(False)).alias("several"))
 
 
 def number_values(outcome: DataFrame, features: list[Feature], metric: str) -> DataFrame:

@@ -74,7 +74,7 @@ def eligible_features(sizes: DataFrame, features: list[Feature],
             if index.get((f.checkpoint, f.variable), -1.0) >= params.concentration_cutoff]
 
 
-def profile_strings(strings: DataFrame, outcome: DataFrame, features: list[Feature],
+def profile_strings(strings: DataFrame, features: list[Feature],
                     rules: VariableRules, exclusions: DataFrame | None,
                     k: int | None = None, over: float | None = None) -> dict[tuple[str, str], list]:
     """Values of each string feature as (value, used by several accounts), the largest first.
@@ -86,9 +86,10 @@ def profile_strings(strings: DataFrame, outcome: DataFrame, features: list[Featu
         return {}
     best = shape.not_excluded(profile.top_values(strings, rules, k, over), exclusions)
     top: dict[tuple[str, str], list] = {}
-    for r in profile.account_counts(best, outcome, wanted).orderBy(
-            "checkpoint", "variable", "rank").collect():
-        top.setdefault((r.checkpoint, r.variable), []).append((r.value, r.n_acct > 1))
+    pairs = {(f.checkpoint, f.variable) for f in wanted}
+    for r in best.orderBy("checkpoint", "variable", "rank").collect():
+        if (r.checkpoint, r.variable) in pairs:
+            top.setdefault((r.checkpoint, r.variable), []).append((r.value, r.several))
     return top
 
 
@@ -124,7 +125,7 @@ def qualified_conditions(activity: DataFrame, outcome: DataFrame, features: list
     numbers = profile.number_values(outcome, features, metric).persist()
     sizes = [df.select("checkpoint", "variable", "size") for df in (strings, numbers)]
     features = eligible_features(sizes[0].unionByName(sizes[1]), features, params)
-    top = profile_strings(strings, outcome, features, rules, exclusions, params.top_values,
+    top = profile_strings(strings, features, rules, exclusions, params.top_values,
                           gate.min_block)
     cuts, discrete = profile_numbers(numbers, features, params, rules)
     strings.unpersist()

@@ -337,7 +337,7 @@ def setup(spark, sf, kinds=None, params=fx.F1, features=None, rules=RULES):
     top, cuts, discrete = {}, {}, {}
     if any(f.type == "string" for f in features):
         strings = profile.string_values(outcome, features, params.eval_metric)
-        top = mining.profile_strings(strings, outcome, features, rules, None, fx.F1.top_values)
+        top = mining.profile_strings(strings, features, rules, None, fx.F1.top_values)
     if any(f.type == "numeric" for f in features):
         numbers = profile.number_values(outcome, features, params.eval_metric).persist()
         cuts, discrete = mining.profile_numbers(numbers, features, params, rules)
