@@ -1,16 +1,20 @@
 """Near duplicates, nearest neighbours, preference pairs and the pipeline against brute force."""
 
+import hashlib
 from collections import Counter
 
 import duckdb
 import numpy as np
+import public_tokenizers
 import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
+from tokenizers import Tokenizer
 
 import corpus_pipeline
-from lodeseam.llm import jaccard, permutation, preference, queries
-from lodeseam.llm.common import components
+from lodeseam.llm import decontaminate, jaccard, line_dedup, permutation, preference, quality, queries
+from lodeseam.llm.common import WordCodes, components
+from tests.llm.test_texts import without_copies
 
 
 def shingles(text):
@@ -181,3 +185,35 @@ def test_queries_have_their_columns(spark, sf):
         df = queries.QUERIES[name](spark, sf)
         assert df.columns == columns.split(), name
         assert df.count() > 0
+
+
+def test_pipeline_equals_plain_loops(spark, sf):
+    """The whole pipeline by loops over all rows, lines, pairs and items, and the tokenizers library."""
+    read = spark.read.parquet(f"{sf}/documents.parquet")
+    model = quality.fit(read, spark.read.parquet(f"{sf}/labels.parquet"))
+    docs = sorted((r.doc_id, r.text or "") for r in read.collect())
+    docs = [(d, t) for d, t in docs if model.score(np.array([quality.statistics(t)]))[0] >= 0.3]
+    texts = without_copies(docs, line_dedup.MIN_WORDS)
+    docs = [(d, t) for (d, before), t in zip(docs, texts) if t or not before]
+    docs = [(d, t) for (d, t), (_, _, c) in zip(docs, by_id(docs, grouped(docs))) if c == str(d)]
+    codes, items = WordCodes(), [decontaminate.words_of(r.text) for r in spark.read.parquet(f"{sf}/benchmark.parquet").collect()]
+    items = [codes.of(words) for words in items if words]
+
+    def leaked(text):
+        body = codes.of(decontaminate.words_of(text))
+        return len(body) and any(decontaminate.fitting(i, body)[0] <= int(0.2 * len(i) + 1e-9) for i in items)
+    docs = [(d, t) for d, t in docs if not leaked(t)]
+    tokenizer = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
+    expected = []
+    for d, t in docs:
+        ids = tokenizer.encode(t, add_special_tokens=False).ids
+        sha = (hashlib.sha256(x.encode()).hexdigest() for x in (" ".join(map(str, ids)), tokenizer.decode(ids, skip_special_tokens=False)))
+        expected.append((d, len(ids), *sha))
+    assert 100 < len(docs) < 190
+    assert sorted(tuple(r) for r in corpus_pipeline.run(spark, sf).collect()) == sorted(expected)
+
+
+def by_id(docs, found):
+    """The rows of ``grouped`` in the order of the documents."""
+    place = {str(d): i for i, (d, _) in enumerate(docs)}
+    return sorted(found, key=lambda r: place[r[0]])

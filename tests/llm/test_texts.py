@@ -277,3 +277,63 @@ def test_classifiers_without_both_classes(spark, module, target):
         score = module.score(module.fit(docs, labels), F.col("text"))
         assert {r.p for r in docs.select(score.alias("p")).collect()} == {value}
     assert module.fit(docs.limit(0), ones).share in (0.0, 0.5)
+
+
+def labelled_rows(spark, sf, target):
+    """(doc_id, text) of all documents, and the label of those that may be learned from."""
+    docs = [(r.doc_id, r.text or "") for r in spark.read.parquet(f"{sf}/documents.parquet").collect()]
+    label = {}
+    for r in spark.read.parquet(f"{sf}/labels.parquet").collect():
+        if r[target] in (0, 1) and zlib.crc32(str(r.doc_id).encode()) % 5 != 0:
+            label[r.doc_id] = max(r[target], label.get(r.doc_id, 0))
+    return docs, label
+
+
+def test_quality_equals_a_plain_discriminant(spark, sf):
+    """The scores of two shrunk Gaussians, with determinants and inverses in place of factors and sums of products."""
+    docs, label = labelled_rows(spark, sf, "quality")
+    groups = [np.array([quality.statistics(t) for d, t in docs if label.get(d) == k]) for k in (0, 1)]
+    n = [len(g) for g in groups]
+    spread = [np.cov(g.T, bias=True) for g in groups]
+    pooled = (n[0] * spread[0] + n[1] * spread[1]) / sum(n)
+
+    def density(x, k):
+        s = 0.95 * (0.7 * spread[k] + 0.3 * pooled) + 0.05 * np.diag(np.diag(pooled) + 1e-6)
+        away = x - groups[k].mean(axis=0)
+        return np.log(n[k]) - np.linalg.slogdet(s)[1] / 2 - away @ np.linalg.inv(s) @ away / 2
+    read = spark.read.parquet(f"{sf}/documents.parquet")
+    model = quality.fit(read, spark.read.parquet(f"{sf}/labels.parquet"))
+    got = {r.doc_id: r.s for r in read.select("doc_id", quality.score(model, F.col("text")).alias("s")).collect()}
+    for d, t in docs:
+        x = np.array(quality.statistics(t))
+        gap = np.clip(density(x, 0) - density(x, 1), -700, 700)
+        assert got[d] == pytest.approx(1 / (1 + np.exp(gap)), abs=1e-6)
+
+
+def test_toxicity_equals_a_plain_regression(spark, sf):
+    """N-grams counted by dictionaries, ratios one by one, and the regression over a dense table."""
+    docs, label = labelled_rows(spark, sf, "toxic")
+    held = [(set(toxicity.grams(t).tolist()), label[d]) for d, t in docs if d in label]
+    n = [sum(y == k for _, y in held) for k in (0, 1)]
+    count = defaultdict(lambda: [0, 0])
+    for grams, y in held:
+        for g in grams:
+            count[g][y] += 1
+    ratio = {g: np.log((c[1] + 1) / (n[1] + 2)) - np.log((c[0] + 1) / (n[0] + 2)) for g, c in count.items()}
+    best = sorted(ratio, key=lambda g: (-round(max(ratio[g] * count[g][1] / n[1], -ratio[g] * count[g][0] / n[0]), 12), g))[:toxicity.MAX_FEATURES]
+    x = np.array([[ratio[g] if g in grams else 0.0 for g in best] for grams, _ in held])
+    y = np.array([v for _, v in held], float)
+    cost = np.where(y == 1, 0.5 / n[1], 0.5 / n[0])
+    w, b, m, v = np.zeros(len(best)), 0.0, np.zeros(len(best) + 1), np.zeros(len(best) + 1)
+    for step in range(1, 301):
+        slope = cost * (1 / (1 + np.exp(-(x @ w + b))) - y)
+        g = np.append(x.T @ slope + 1e-3 * w, slope.sum())
+        m, v = 0.9 * m + 0.1 * g, 0.999 * v + 0.001 * g * g
+        move = 0.05 * (m / (1 - 0.9 ** step)) / (np.sqrt(v / (1 - 0.999 ** step)) + 1e-9)
+        w, b = w - move[:-1], b - move[-1]
+    weight = dict(zip(best, w * np.array([ratio[g] for g in best])))
+    read = spark.read.parquet(f"{sf}/documents.parquet")
+    model = toxicity.fit(read, spark.read.parquet(f"{sf}/labels.parquet"))
+    got = {r.doc_id: r.s for r in read.select("doc_id", toxicity.score(model, F.col("text")).alias("s")).collect()}
+    away = [abs(got[d] - 1 / (1 + np.exp(-(b + sum(weight.get(g, 0.0) for g in toxicity.grams(t).tolist()))))) for d, t in docs]
+    assert max(away) < 0.02 and sum(away) / len(away) < 2e-3  # n-grams that tie at the last place may differ
