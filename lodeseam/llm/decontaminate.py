@@ -23,7 +23,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 import numpy as np
 import pandas as pd
@@ -39,6 +39,8 @@ from lodeseam.llm.common import WordCodes
 SHARE = 0.2
 TARGET_RECALL = 0.998
 MAX_ITEMS = 100_000
+#: Lengths up to this factor apart are tuned together; more tables than this are not tried.
+BAND, MOST_TABLES = 1.25, 4096
 #: Embeddings, places sampled by a table, and texts whose words are looked through at once.
 EMBEDDINGS, SAMPLED, BLOCK = 8, 3, 500
 _ODD = np.int64(-7046029254386353131)
@@ -50,7 +52,7 @@ def words_of(text: str | None) -> list[str]:
 
 def _mixed(parts: list[np.ndarray]) -> np.ndarray:
     """One hash of several columns of hashes; order matters."""
-    total = np.zeros(len(parts[0]), np.int64)
+    total = np.zeros(parts[0].shape, np.int64)
     for part in parts:
         total = (total ^ part) * _ODD
         total ^= (total >> 29) & np.int64(0x7FFFFFFFF)
@@ -102,34 +104,45 @@ class Finder:
 
     items: list[list[str]]
     share: float = SHARE
-    tables: int = 0
+    #: Tables by number of words of an item; 0 where hashing does not meet the target and windows are compared exactly.
+    tables: dict[int, int] = field(default_factory=dict)
     words: WordCodes | None = None
 
     def allowed(self, n: int) -> int:
         return math.floor(self.share * n + 1e-9)
 
     def tuned(self, target: float = TARGET_RECALL, sample: int = 200) -> Finder:
-        """With as many tables as it takes to meet edited copies of the items."""
-        rng = np.random.default_rng(7)
-        chosen = [w for w in self.items if self.allowed(len(w))]
-        chosen = [chosen[i] for i in rng.permutation(len(chosen))[:sample]]
-        self.tables = 2 * EMBEDDINGS
-        while chosen and self.tables < 4096:
-            met = 0
-            for words in chosen:
-                codes, n = WordCodes().of(words), len(words)
-                copy = codes.tolist()
-                for _ in range(self.allowed(n)):
-                    at, kind = int(rng.integers(len(copy))), rng.integers(3)
-                    copy[at:at + (kind < 2)] = [] if kind == 0 else [int(rng.integers(2**62))]
-                copy = (copy + [0] * n)[:n]
-                both = keys(np.array([codes, copy], np.int64), self.tables, n)
-                met += bool((both[0] == both[1]).any())
-            if met >= target * len(chosen):
-                break
-            self.tables *= 2
+        """With as many tables as it takes to meet edited copies of the items, for each band of lengths by itself."""
+        bands: dict[int, list[list[str]]] = {}
+        for words in self.items:
+            if words:
+                bands.setdefault(round(math.log(len(words), BAND)) if self.allowed(len(words)) else -1, []).append(words)
+        for band, members in bands.items():
+            rng = np.random.default_rng(7)
+            chosen = [members[i] for i in rng.permutation(len(members))[:sample]]
+            tables = 2 * EMBEDDINGS
+            while band >= 0 and tables and self._met(chosen, tables, rng) < target * len(chosen):
+                tables = 2 * tables if 2 * tables <= MOST_TABLES else 0
+            tables *= 2 if band >= 0 else 1  # what was just enough for the sample may not be for others: squares the share that is missed
+            self.tables.update((len(words), tables) for words in members)
         return self
 
+    def _met(self, chosen: list[list[str]], tables: int, rng: np.random.Generator) -> int:
+        """How many items share a key with a copy of as many edits as are allowed."""
+        pairs: dict[int, list] = {}
+        for words in chosen:
+            codes, n = WordCodes().of(words), len(words)
+            copy = codes.tolist()
+            for _ in range(self.allowed(n)):
+                at, kind = int(rng.integers(len(copy))), rng.integers(3)
+                copy[at:at + (kind < 2)] = [] if kind == 0 else [int(rng.integers(2**62))]
+            pairs.setdefault(n, []).append((codes, (copy + [0] * n)[:n]))
+        met = 0
+        for n, both in pairs.items():
+            first, second = (keys(np.array(side, np.int64), tables, n) for side in zip(*both))
+            met += int((first == second).any(axis=1).sum())
+        return met
+
     def _prepare(self) -> None:
         self.codes = [WordCodes().of(w) for w in self.items]
         grams: dict[int, list] = {}
@@ -147,11 +160,18 @@ class Finder:
             self.grams[q] = found
         self.groups = {}
         for n, members in groups.items():
-            table = keys(np.stack([self.codes[i] for i in members]), self.tables, n)
+            symbols, tables = np.stack([self.codes[i] for i in members]), self.tables[n]
+            table = keys(symbols, tables, n) if tables else self._grams_of(symbols)
             order = np.argsort(table, axis=None, kind="stable")
-            self.groups[n] = (table.ravel()[order], np.repeat(members, self.tables)[order])
+            self.groups[n] = (table.ravel()[order], np.repeat(members, table.shape[1])[order])
         self.words = WordCodes()
 
+    def _grams_of(self, symbols: np.ndarray) -> np.ndarray:
+        """The runs of words, so short that an allowed copy of an item keeps one of its item's: the exact way."""
+        n = symbols.shape[1]
+        windows = np.lib.stride_tricks.sliding_window_view(symbols, n // (self.allowed(n) + 1), axis=1)
+        return _mixed([windows[:, :, j] for j in range(windows.shape[2])])
+
     def _windows(self, codes: np.ndarray, doc: np.ndarray) -> np.ndarray:
         """Distinct (first word, words, text) of the windows to look at."""
         out = []
@@ -197,7 +217,7 @@ class Finder:
             part = codes_of[text][low:first + n]
             row[low - first:low - first + len(part)] = part
         table, members = self.groups[n]
-        found = keys(symbols, self.tables, n)
+        found = keys(symbols, self.tables[n], n) if self.tables[n] else self._grams_of(symbols)
         low, high = np.searchsorted(table, found), np.searchsorted(table, found, "right")
         pairs = {(int(row), int(item)) for row, t in zip(*np.nonzero(high > low))
                  for item in members[low[row, t]:high[row, t]]}
