@@ -161,9 +161,8 @@ def frequent_sets(sets: DataFrame, checkpoints: list[str], sup_n: float,
     found: dict[Itemset, float] = {}
     level: list[Itemset] = [()]
     for _ in range(max_size):
-        rows = (extension_support(sets, level, n, checkpoints, ahead=True).where(F.col("support") >= sup_n)
-                .orderBy("prefix_id", "item").collect())
-        grown = {(*level[r.prefix_id], r["item"]): r.support for r in rows}
+        rows = extension_support(sets, level, n, checkpoints, ahead=True).where(F.col("support") >= sup_n).collect()
+        grown = {(*level[p], i): w for p, i, w in sorted(map(tuple, rows))}
         found.update(grown)
         level = list(grown)
         if not level:

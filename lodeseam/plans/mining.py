@@ -87,7 +87,7 @@ def profile_strings(strings: DataFrame, features: list[Feature],
     best = shape.not_excluded(profile.top_values(strings, rules, k, over), exclusions)
     top: dict[tuple[str, str], list] = {}
     pairs = {(f.checkpoint, f.variable) for f in wanted}
-    for r in best.orderBy("checkpoint", "variable", "rank").collect():
+    for r in sorted(best.collect(), key=lambda r: (r.checkpoint, r.variable, r.rank)):
         if (r.checkpoint, r.variable) in pairs:
             top.setdefault((r.checkpoint, r.variable), []).append((r.value, r.several))
     return top
@@ -106,7 +106,7 @@ def profile_numbers(numbers: DataFrame, features: list[Feature], params: SearchP
     if few:
         pair = F.struct("checkpoint", "variable")
         wanted = [F.struct(F.lit(c), F.lit(v)) for c, v in few]
-        for r in numbers.where(pair.isin(*wanted)).orderBy("value").collect():
+        for r in sorted(numbers.where(pair.isin(*wanted)).collect(), key=lambda r: r.value):
             at = (r.checkpoint, r.variable)
             discrete[at] = (*discrete.get(at, ()), r.value)
     return cuts, discrete
@@ -232,7 +232,7 @@ def _search(population: DataFrame, activity: DataFrame, features: list[Feature],
         return _done(result)
     words = masks.key_words(tests).persist()
     result.cached.append(words)
-    measured = measure_patterns(population, words, sets, metric, registry).orderBy("pattern_id").collect()
+    measured = sorted(measure_patterns(population, words, sets, metric, registry).collect(), key=lambda m: m.pattern_id)
     result.note("measured", (([result.candidates[i] for i in s], m[metric], m[f"{metric}_rate"]) for s, m in zip(sets, measured)))
     result.patterns = qualify(population.sparkSession, sets, measured, result.candidates, features, params)
     result.note("kept", ((p.conditions, p.target_catch, p.target_rate) for p in result.patterns))
