@@ -36,7 +36,7 @@ from itertools import combinations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
@@ -50,7 +50,7 @@ FINE_SIZE = 250
 #: A signature of more sets is not followed up.
 MANY = 16
 #: Shingles are counted in runs of about so many; signatures move in runs of so many, to ranges of so many shingles' signatures.
-COUNTED, RUN, RANGE = 4_000_000, 1_500_000, 3_000_000
+COUNTED, RUN, RANGE = 3_000_000, 750_000, 1_000_000
 #: Shingles of more than one in so many documents are common; so many of them are kept at most.
 COMMON, MAX_COMMON = 1000, 500_000
 _ODD = np.uint64(0x9E3779B97F4A7C15)
@@ -317,10 +317,11 @@ class Sets:
         return texts
 
     def rarest(self, set_ids: DataFrame) -> DataFrame:
-        """(signature, first, set_id): of each set the shingles of which a similar one among these sets shares one.
+        """(signature, set_id, n, at, before): of each set the shingles of which a similar one among these sets shares one.
 
         Of n shingles, ordered by the number of these sets that have them, that is the first n - ceil(3 n / 4) + 1. Shingles that a
-        single set has come first and need no row. ``first`` is the smallest set of a signature that several share.
+        single set has come first and need no row. ``at`` is the number of shingles before; ``before`` the next smaller set of the
+        signature, if its size and place allow a similarity of 3/4.
         """
         words, set_ids = self.words, stored(set_ids)
 
@@ -348,10 +349,12 @@ class Sets:
         n = F.col("n")
         room = n - F.ceil(3 * n / 4) + 1 - (n - F.size("s"))  # less the shingles that only this set has
         kept = (by_count.join(self.classes.select("set_id", "n"), "set_id").where(room > 0)
-                .select("set_id", F.explode(F.slice("s", F.lit(1), room.cast("int"))).alias("x")))
-        kept = stored(kept.select("set_id", F.col("x.shingle").alias("signature")))
-        lowest = kept.groupBy("signature").agg(F.min("set_id").alias("first"), F.max("set_id").alias("last"))
-        return kept.join(lowest.where("first <> last").select("signature", "first"), "signature")
+                .select("set_id", "n", (n - F.size("s")).alias("own"), F.posexplode(F.slice("s", F.lit(1), room.cast("int"))).alias("place", "x")))
+        kept = kept.select("set_id", F.col("x.shingle").alias("signature"), "n", (F.col("own") + F.col("place")).alias("at"))
+        by_size = Window.partitionBy("signature").orderBy("n", "set_id")
+        near = F.lag(F.struct("set_id", "n", "at")).over(by_size)
+        together = _reach(F.col("n"), F.col("at"), F.col("near.n"), F.col("near.at"))
+        return kept.withColumn("near", near).select("signature", "set_id", "n", "at", F.when(together, F.col("near.set_id")).alias("before"))
 
     def of(self, set_ids: DataFrame) -> DataFrame:
         """(set_id, shingles), one row per set."""
@@ -414,7 +417,7 @@ def _grouped(documents: DataFrame, words: int) -> tuple[DataFrame, DataFrame]:
     few = stored(few.distinct())  # near copies share many signatures, with the same sets each
     close = few.select(F.explode(F.slice("set_ids", 2, MANY)).alias("a"), F.col("set_ids")[0].alias("b"))
     if crowds is not None:
-        close = close.union(crowds.where("set_id <> first").select("set_id", "first"))
+        close = close.union(crowds.where("before is not null").select("set_id", "before"))
     sizes = sets.classes.select("set_id", "n")
     close = stored(_close(close.distinct(), sizes))
 
@@ -478,6 +481,14 @@ def _close(pairs: DataFrame, sizes: DataFrame) -> DataFrame:
             .where("3 * n <= 4 * m and 3 * m <= 4 * n").select("a", "b"))
 
 
+def _reach(n: Column, at: Column, m: Column, by: Column) -> Column:
+    """Whether sets of n and m shingles can have a similarity of 3/4 if none of the ``at`` and ``by`` before a shared one is shared.
+
+    Of similar sets that holds at the first shingle they share, in the order of the counts.
+    """
+    return 7 * F.least(n - at, m - by) >= 3 * (n + m)
+
+
 def _other_pairs(few: DataFrame, crowds: DataFrame | None, names: DataFrame) -> DataFrame:
     """Sets of one signature that are in different groups; signatures within a group drop out."""
     numbered = few.withColumn("bucket", F.xxhash64("set_ids")).select("bucket", F.explode("set_ids").alias("set_id"))
@@ -490,10 +501,13 @@ def _other_pairs(few: DataFrame, crowds: DataFrame | None, names: DataFrame) ->
         lambda y: F.struct(x["set_id"].alias("a"), y["set_id"].alias("b")))))
     found = buckets.select(F.explode(pairs).alias("p")).select("p.a", "p.b")
     if crowds is not None:
-        rows = _named(crowds.select("signature", "set_id"), names, "set_id", "name")
+        rows = _named(crowds.drop("before"), names, "set_id", "name")
         mixed = rows.groupBy("signature").agg(F.min("name").alias("low"), F.max("name").alias("high")).where("low <> high")
         rows = rows.join(mixed.select("signature"), "signature", "left_semi")
-        left, right = (rows.select("signature", F.col("set_id").alias(c), F.col("name").alias(n))
-                       for c, n in (("a", "x"), ("b", "y")))
-        found = found.union(left.join(right, "signature").where("a > b and x <> y").select("a", "b"))
+        left, right = (rows.select(*[F.col(old).alias(f"{side}_{old}") for old in ("signature", "set_id", "name", "n", "at")])
+                       for side in ("a", "b"))
+        apart = (F.col("a_set_id") > F.col("b_set_id")) & (F.col("a_name") != F.col("b_name"))
+        reach = _reach(*[F.col(c) for c in ("a_n", "a_at", "b_n", "b_at")])
+        found = found.union(left.join(right, (F.col("a_signature") == F.col("b_signature")) & apart & reach)
+                            .select(F.col("a_set_id").alias("a"), F.col("b_set_id").alias("b")))
     return found.distinct()
