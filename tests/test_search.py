@@ -143,7 +143,7 @@ def test_whole_job_queries_look_at_every_value(spark, sf, monkeypatch, name):
     limits, profiled, profile_strings = [], [], mining.profile_strings
 
     def profile_and_note(*args):
-        limits.append(args[5])
+        limits.append(args[4])
         profiled.append(profile_strings(*args))
         return profiled[-1]
     monkeypatch.setattr(mining, "profile_strings", profile_and_note)
@@ -154,6 +154,7 @@ def test_whole_job_queries_look_at_every_value(spark, sf, monkeypatch, name):
 
 
 def test_worked_example(spark):
+    # The transactions and supports of the worked example.
     rows = [([1, 2, 5], 100.0), ([2, 4], 49.57), ([2, 3], 134.38), ([1, 2, 4], 38.22),
             ([1, 3], 78.0), ([2, 3], 56.0), ([1, 3], 25.0), ([1, 2, 3, 5], 50.0),
             ([1, 2, 3], 35.0)]
@@ -188,7 +189,7 @@ def test_walks(spark):
                 at = min(options)[1]
                 walk.append(at)
         expected[tuple(sorted(walk))] = weight[tuple(sorted(walk))]
-    assert combine.greedy_walks(sets, list(range(n)), sizes, set(pair), cps, sup_n, 4) == expected
+    assert combine.greedy_walks(sets, list(range(n)), sizes, edges, cps, sup_n, 4) == expected
 
 
 def test_walk_mode_runs_whole(inputs):
