@@ -7,12 +7,15 @@ from collections.abc import Iterator
 from contextlib import contextmanager
 
 import numpy as np
+import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from lodeseam.session import cut, local_table, shared_dir
 
+#: Edges that one task joins to components (some 150 MB).
+ONE_TASK = 500_000
 #: A side of a join is broadcast up to this many (narrow) rows, and shuffled beyond it.
 SMALL_ROWS = 1_000_000
 
@@ -85,13 +88,16 @@ def doc_labels(labels: DataFrame, target: str) -> DataFrame:
 def components(edges: DataFrame) -> DataFrame:
     """(node, component) of an undirected graph given as (a, b); component is the smallest node.
 
-    The smallest nodes themselves have no row, like nodes without edges.
-    Each round every node takes the smallest node among itself and its neighbours, and edges are
+    The smallest nodes themselves have no row, like nodes without edges. Up to ONE_TASK edges are joined by one task. Beyond,
+    in rounds: each round every node takes the smallest node among itself and its neighbours, and edges are
     moved to those (large and small stars), so that paths shorten by more than half. Work per
     round follows the number of edges; a hub's edges are grouped by partial minimum only.
     """
     edges = cut(edges.where("a <> b").select(F.greatest("a", "b").alias("a"),
                                              F.least("a", "b").alias("b")).distinct())
+    if edges.count() <= ONE_TASK:
+        return cut(edges.select(F.col("a").cast("long"), F.col("b").cast("long")).coalesce(1)
+                   .mapInArrow(_joined, "node long, component long"))
     while True:
         # large star: neighbours above a node move to the smallest of its neighbourhood
         both = edges.select("a", "b").union(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
@@ -109,6 +115,23 @@ def components(edges: DataFrame) -> DataFrame:
         edges = after
 
 
+def _joined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(node, smallest node) of what the edges connect."""
+    parent: dict[int, int] = {}
+
+    def root(x: int) -> int:
+        while parent.setdefault(x, x) != x:
+            parent[x] = x = parent[parent[x]]
+        return x
+    for batch in batches:
+        for a, b in zip(batch.column("a").to_pylist(), batch.column("b").to_pylist()):
+            low, high = sorted((root(a), root(b)))
+            parent[high] = low
+    ends = [(x, root(x)) for x in parent]
+    yield pa.record_batch({"node": pa.array([x for x, y in ends if x != y], pa.int64()),
+                           "component": pa.array([y for x, y in ends if x != y], pa.int64())})
+
+
 def running_total(df: DataFrame, keys: list[str], value: str, name: str) -> DataFrame:
     """``df`` with ``name``: the sum of ``value`` over all rows before, in the order of distinct keys.
 

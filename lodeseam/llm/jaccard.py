@@ -18,8 +18,8 @@ have such a one, so among all those sets the shingles are counted, and each set
 by that count, again the first quarter and one more. A passage that many sets hold is then the last that any of them emits.
 
 Equal sets are one class from the start. Classes that share a signature are compared exactly, first
-each with the smallest class that it shares one with, then with the smallest of each signature, then those of
-different groups; so a group of near copies is joined by a star and not by all its pairs.
+each with the smallest class that it shares one with, then with the smallest of each signature, then with one class of another group
+per signature in some turns, then those of different groups; so a group of near copies is joined by a star and not by all its pairs.
 
 Classes and shingles are told apart by 64-bit hashes.
 
@@ -47,8 +47,8 @@ BLOCK = 400
 #: Up to this set size parts are cut in three pieces with one difference to spare; beyond it they
 #: are whole, which makes fewer signatures.
 FINE_SIZE = 250
-#: A signature of more sets is not followed up.
-MANY = 16
+#: A signature of more sets is not followed up; turns in which its sets are paired with one other each before all are.
+MANY, TURNS = 16, 4
 #: Shingles are counted in runs of about so many; signatures move in runs of so many, to ranges of so many shingles' signatures.
 COUNTED, RUN, RANGE = 3_000_000, 750_000, 1_000_000
 #: Shingles of more than one in so many documents are common; so many of them are kept at most.
@@ -417,18 +417,21 @@ def _grouped(documents: DataFrame, words: int) -> tuple[DataFrame, DataFrame]:
     few = stored(few.distinct())  # near copies share many signatures, with the same sets each
     close = few.select(F.explode(F.slice("set_ids", 2, MANY)).alias("a"), F.col("set_ids")[0].alias("b"))
     if crowds is not None:
-        close = close.union(crowds.where("before is not null").select("set_id", "before"))
+        close = close.union(crowds.where("before is not null").select(F.greatest("set_id", "before"), F.least("set_id", "before")))
     sizes = sets.classes.select("set_id", "n")
     close = stored(_close(close.distinct(), sizes))
 
+    together = (few.select(F.xxhash64("set_ids").alias("signature"), F.explode("set_ids").alias("set_id"))
+                .join(sizes, "set_id").select("signature", "set_id", "n", F.lit(0).alias("at")))
+    together = stored(together if crowds is None else together.union(crowds.select("signature", "set_id", "n", "at")))
     done = stored(close.groupBy("a").agg(F.min("b").alias("b")))
     links = stored(sets.linked(done))
-    for late in (False, True):
-        names = components(links)
-        pairs = _close(_other_pairs(few, crowds, names), sizes) if late else _apart(close, names)
-        pairs = stored(pairs.join(done, ["a", "b"], "left_anti"))
-        links = stored(links.union(sets.linked(pairs)))
-        done = done.union(pairs)
+    for pairs in (lambda names: _apart(close, names),
+                  *[(lambda names, turn=turn: _neighbours(together, names, turn)) for turn in range(TURNS)],
+                  lambda names: _close(_other_pairs(few, crowds, names), sizes)):
+        new = stored(pairs(components(links)).join(done, ["a", "b"], "left_anti"))
+        links = stored(links.union(sets.linked(new)))
+        done = done.union(new)
 
     names = components(links)
     classes = sets.classes
@@ -489,6 +492,18 @@ def _reach(n: Column, at: Column, m: Column, by: Column) -> Column:
     return 7 * F.least(n - at, m - by) >= 3 * (n + m)
 
 
+def _neighbours(together: DataFrame, names: DataFrame, turn: int) -> DataFrame:
+    """Of each signature the sets of different groups that are neighbours, in another order on every turn.
+
+    A pair per row, so that a large group which the links so far leave in parts grows together before all pairs of parts are looked at.
+    """
+    rows = _named(together, names, "set_id", "name")
+    order = Window.partitionBy("signature").orderBy(F.xxhash64("set_id", F.lit(turn)))
+    near = rows.withColumn("near", F.lag(F.struct("set_id", "name", "n", "at")).over(order))
+    return (near.where((F.col("name") != F.col("near.name")) & _reach(F.col("n"), F.col("at"), F.col("near.n"), F.col("near.at")))
+            .select(F.greatest("set_id", "near.set_id").alias("a"), F.least("set_id", "near.set_id").alias("b")).distinct())
+
+
 def _other_pairs(few: DataFrame, crowds: DataFrame | None, names: DataFrame) -> DataFrame:
     """Sets of one signature that are in different groups; signatures within a group drop out."""
     numbered = few.withColumn("bucket", F.xxhash64("set_ids")).select("bucket", F.explode("set_ids").alias("set_id"))

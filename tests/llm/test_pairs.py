@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import corpus_pipeline
-from lodeseam.llm import decontaminate, jaccard, line_dedup, permutation, preference, quality, queries
+from lodeseam.llm import common, decontaminate, jaccard, line_dedup, permutation, preference, quality, queries
 from lodeseam.llm.common import WordCodes, components
 from tests.llm.test_texts import without_copies
 
@@ -78,7 +78,9 @@ def test_similar_sets_share_a_signature():
     assert checked > 500
 
 
-def test_components(spark):
+@pytest.mark.parametrize("one_task", [500_000, 0])
+def test_components(spark, monkeypatch, one_task):
+    monkeypatch.setattr(common, "ONE_TASK", one_task)
     rng = np.random.default_rng(4)
     edges = [(i, i + 1) for i in range(100, 140)] + [(5, i) for i in range(50, 80)] + rng.integers(0, 60, (20, 2)).tolist()
     got = {r.node: r.component for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}
