@@ -45,7 +45,16 @@ def stored(df: DataFrame) -> DataFrame:
     path = f"{shared_dir(spark)}/table-{uuid.uuid4().hex}"
     with dropping_shuffles(spark):
         df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    table = spark.read.schema(df.schema).parquet(path)
+    table.stored_at = path
+    return table
+
+
+def discard(table: DataFrame) -> None:
+    """Delete a table that :func:`stored` wrote, once nothing reads it any more."""
+    jvm, conf = table.sparkSession.sparkContext._jvm, table.sparkSession.sparkContext._jsc.hadoopConfiguration()
+    path = jvm.org.apache.hadoop.fs.Path(table.stored_at)
+    path.getFileSystem(conf).delete(path, True)
 
 
 class WordCodes(dict):

@@ -40,7 +40,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
-from lodeseam.llm.common import WordCodes, components, sized, stored
+from lodeseam.llm.common import WordCodes, components, discard, sized, stored
 
 WORDS = 5
 BLOCK = 400
@@ -395,7 +395,9 @@ class Sets:
             return work
         both = (pairs.join(sets.withColumnsRenamed({"set_id": "a", "shingles": "left"}), "a")
                 .join(sets.withColumnsRenamed({"set_id": "b", "shingles": "right"}), "b"))
-        return _map(both, per_task, "a long, b long", ["a", "b", "left", "right"])
+        found = stored(_map(both, per_task, "a long, b long", ["a", "b", "left", "right"]))
+        discard(sets)
+        return found
 
 
 def _grouped(documents: DataFrame, words: int) -> tuple[DataFrame, DataFrame]:
@@ -415,6 +417,7 @@ def _grouped(documents: DataFrame, words: int) -> tuple[DataFrame, DataFrame]:
     if not crowded.isEmpty():
         crowds = stored(sets.rarest(crowded))
     few = stored(few.distinct())  # near copies share many signatures, with the same sets each
+    discard(found)
     close = few.select(F.explode(F.slice("set_ids", 2, MANY)).alias("a"), F.col("set_ids")[0].alias("b"))
     if crowds is not None:
         close = close.union(crowds.where("before is not null").select(F.greatest("set_id", "before"), F.least("set_id", "before")))
@@ -425,7 +428,7 @@ def _grouped(documents: DataFrame, words: int) -> tuple[DataFrame, DataFrame]:
                 .join(sizes, "set_id").select("signature", "set_id", "n", F.lit(0).alias("at")))
     together = stored(together if crowds is None else together.union(crowds.select("signature", "set_id", "n", "at")))
     done = stored(close.groupBy("a").agg(F.min("b").alias("b")))
-    links = stored(sets.linked(done))
+    links = sets.linked(done)
     for pairs in (lambda names: _apart(close, names),
                   *[(lambda names, turn=turn: _neighbours(together, names, turn)) for turn in range(TURNS)],
                   lambda names: _close(_other_pairs(few, crowds, names), sizes)):

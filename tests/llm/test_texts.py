@@ -128,10 +128,11 @@ def test_huffman_code():
 def test_unigram_counts_equal_the_library(spark, texts):
     path = public_tokenizers.path("piece_bpe_32k.model")
     tokenizer = Tokenizer(models.Unigram(unigram.vocabulary(path), 0, True))
-    rows = texts + [(10_000 + i, t) for i, t in enumerate([*ODD_TEXTS, "☃☃a", "<s> <0x41>", "▁▁ a▁b"])] + [(1, None)]
+    rows = texts + [(10_000 + i, t) for i, t in enumerate([*ODD_TEXTS, "☃☃a", "<s> <0x41>", "▁▁ a▁b"])] + [(1, None), (5, "a b"), (5, "a b"), (6, "long " * 60_000)]
     got = unigram.token_counts(docs_of(spark, rows), path).collect()
     expected = [(i, len(tokenizer.encode("▁" + t.replace(" ", "▁")).ids) if t else 0) for i, t in rows]
     assert sorted((r.doc_id, r.n_tokens) for r in got) == sorted(expected)
+    assert unigram.token_counts(docs_of(spark, rows).limit(0), path).count() == 0
 
 
 def test_unigram_ties_and_pieces_across_marks():
