@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lodeseam.llm import decontaminate, jaccard, lexicon, line_dedup, quality
-from lodeseam.llm.common import sized, stored, table
+from lodeseam.llm.common import discard, sized, stored, table
 
 
 def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -70,6 +70,10 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
+    before = None
     for _, stage in STAGES:
         docs = stored(stage(spark, docs, sf_dir))
+        if before is not None:
+            discard(before)
+        before = docs
     return docs
