@@ -37,9 +37,9 @@ from lodeseam.session import shared_dir
 MAX_BITS, BLOCK, SHARD = 18, 1024, 1 << 19
 END = 0
 #: Bytes of pieces and ids that a task keeps at hand; texts it encodes at once.
-KEPT, BATCH = 32 << 20, 500
-#: A space between two characters that are no white space; one at a time, so that a piece is a word with its space.
-_CUT = re.compile(r"(?<=\S) (?=\S)")
+KEPT, BATCH = 64 << 20, 500
+#: The place before a space between two characters that are no white space, so that a piece is a word with its space.
+_CUT = re.compile(r"(?<=\S)(?= \S)")
 
 
 @lru_cache(1)
@@ -64,8 +64,6 @@ class Pieces:
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """Ids and end id of each text, as little-endian 32-bit integers."""
         split = [_CUT.split(t) if t else [] for t in texts]
-        for pieces in split:
-            pieces[1:] = [" " + p for p in pieces[1:]]
         new = list({p for pieces in split for p in pieces if p not in self.known})
         for piece, found in zip(new, self.tokenizer.encode_batch_fast(new, add_special_tokens=False)):
             ids = self.known[piece] = np.array(found.ids, "<u4").tobytes()
