@@ -1,6 +1,7 @@
 """Plan shapes and skew: what must hold for the jobs to survive large inputs."""
 
 import itertools
+import random
 from collections import Counter
 
 import numpy as np
@@ -102,6 +103,17 @@ def test_rounds_find_what_tasks_find(spark, sf, monkeypatch):
     assert found() == whole and any(whole[0]) and len(whole[1]) > 3
 
 
+def test_amounts_summed_in_another_order_keep_their_concentration(spark, sf):
+    # a sum over rows that arrive in another order differs in the last digits
+    noisy = F.udf(lambda x: x * (1 + random.random() * 1e-13), "double").asNondeterministic()
+    outcome = shape.outcome_activity(fx.cached(spark, sf)[1])
+    sizes = measuring.sizes_of(outcome, "target_amt")
+    plain = {tuple(r[:2]): r[2] for r in profile.concentration(sizes, "target_amt").collect()}
+    other = {tuple(r[:2]): r[2] for r in profile.concentration(
+        sizes.withColumn("size", noisy("size")), "target_amt").collect()}
+    assert plain and other == pytest.approx(plain, abs=1e-9)
+
+
 def test_running_count_in_splits(spark):
     """The split path and the one-task path agree, ties and skew included."""
     rows = [("a", "v", float(i * i % 1013), 1 + i % 7) for i in range(3000)]
