@@ -9,11 +9,12 @@ import pytest
 from pyspark.sql import functions as F
 
 from lodeseam.conditions import Condition, Equals, Flag, InSet, Range
-from lodeseam.config import VariableRules
+from lodeseam.config import Feature, VariableRules
 from lodeseam.functions.bits import WORD
 from lodeseam.operators import combine, measure, profile, select, shape, signatures
 from lodeseam.operators.binning import run_searches
 from lodeseam.operators.trees import MaskTable, Scored, grow_trees
+from lodeseam.plans import mining
 from lodeseam.session import local_table
 from workloads import fixtures as fx
 from workloads import measuring, searching
@@ -114,6 +115,26 @@ def test_amounts_summed_in_another_order_keep_their_concentration(spark, sf):
     assert plain and other == pytest.approx(plain, abs=1e-9)
 
 
+@pytest.mark.parametrize("name", ["ignored_values", "top_values_cnt", "fixed_cuts"])
+def test_profiles_of_the_outcome_do_not_store_the_activity(spark, sf, monkeypatch, name):
+    def never(*args):
+        raise AssertionError("the whole activity is stored")
+    monkeypatch.setattr(fx, "cached", never)
+    assert getattr(measuring, name)(spark, sf).count() > 0
+
+
+def test_accounts_of_equal_hashes_are_told_apart(spark, monkeypatch):
+    rows = [("c", "k1", "a1", 1, "both"), ("c", "k2", "a2", 1, "both"), ("c", "k3", "a1", 1, "one"), ("c", "k4", "a1", 1, "one")]
+    outcome = local_table(spark, rows, "checkpoint string, key string, acct string, tag int, v string")
+    features = [Feature("c", "v", "string", 1, 1)]
+    for alike in (False, True):
+        if alike:
+            monkeypatch.setattr(profile, "account_hash", lambda acct: F.lit(7).cast("bigint"))
+        strings = profile.string_values(outcome, features, "target_cnt")
+        top = mining.profile_strings(strings, features, VariableRules(), None, None, 0.0, outcome)
+        assert top == {("c", "v"): [("both", True), ("one", False)]}
+
+
 def test_running_count_in_splits(spark):
     """The split path and the one-task path agree, ties and skew included."""
     rows = [("a", "v", float(i * i % 1013), 1 + i % 7) for i in range(3000)]
