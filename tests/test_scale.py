@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from lodeseam.conditions import Condition, Equals, Flag, InSet, Range
 from lodeseam.config import Feature, VariableRules
 from lodeseam.functions.bits import WORD
-from lodeseam.operators import combine, measure, profile, select, shape, signatures
+from lodeseam.operators import binning, combine, measure, profile, select, shape, signatures
 from lodeseam.operators.binning import run_searches
 from lodeseam.operators.trees import MaskTable, Scored, grow_trees
 from lodeseam.plans import mining
@@ -135,6 +135,28 @@ def test_accounts_of_equal_hashes_are_told_apart(spark, monkeypatch):
         assert top == {("c", "v"): [("both", True), ("one", False)]}
 
 
+def test_keys_of_one_row_are_counted_as_numbers(spark):
+    rows = [(g, f"k{i}", i % 3, [i % 4 + 1, 8][:g + 1]) for i in range(60) for g in (0, 1)]
+    table = local_table(spark, rows, "group int, key string, tag int, mask array<bigint>")
+    lone = signatures.signatures(table, "target_cnt", 2)
+    plain = signatures.signatures(table, "target_cnt")
+    assert sorted(map(tuple, lone.collect())) == sorted(map(tuple, plain.collect()))
+    assert all("mask" not in line.split("functions=")[0] and "rows" not in line.split("functions=")[0]
+               for line in plan_of(lone).splitlines() if "Aggregate" in line)
+
+
+def test_cells_are_folded_under_the_method_size_limit(spark, sf, monkeypatch):
+    limits, fold = [], binning.sig.signatures
+
+    def noted(rows, *args):
+        limits.append(spark.conf.get("spark.sql.codegen.hugeMethodLimit"))
+        return fold(rows, *args)
+    monkeypatch.setattr(binning.sig, "signatures", noted)
+    for name in ("qualified_conditions", "string_value_candidates"):
+        assert getattr(measuring, name)(spark, sf).count() > 0
+    assert limits == ["8000", "8000"]
+
+
 def test_running_count_in_splits(spark):
     """The split path and the one-task path agree, ties and skew included."""
     rows = [("a", "v", float(i * i % 1013), 1 + i % 7) for i in range(3000)]
