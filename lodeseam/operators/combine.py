@@ -21,6 +21,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..config import ALIAS_CHECKPOINTS, AMOUNT, SearchParams
+from ..functions.bits import WORD, positions, word_count
 from ..session import small_table
 
 Itemset = tuple[int, ...]
@@ -28,12 +29,21 @@ MAX_SUMS = 2_000_000     # sums a task holds before it hands them on
 BLOCK_ROWS, BLOCK_PREFIXES = 4096, 512
 
 
-def item_lists(hits: DataFrame, metric: str, floor: float) -> DataFrame:
-    """(key, acct, items, weight) from outcome rows of (test_id, key, acct[, amt])."""
+def item_lists(hits: DataFrame, metric: str, floor: float, n: int) -> DataFrame:
+    """(key, acct, items, weight) from outcome rows of (test_id, key, acct[, amt]), test ids being below ``n``.
+
+    Ids are gathered as bits of a few words, which hash-aggregates; a set per key would have every task sort its rows.
+    """
     weight = F.max("amt") if metric == AMOUNT else F.lit(1.0)
+    names = [f"_w{w}" for w in range(word_count(n))]
+    bits = []
+    for w, name in enumerate(names):
+        bit = F.call_function("shiftleft", F.lit(1).cast("bigint"), F.col("test_id") - w * WORD)
+        here = F.col("test_id").between(w * WORD, (w + 1) * WORD - 1)
+        bits.append(F.bit_or(F.when(here, bit).otherwise(F.lit(0).cast("bigint"))).alias(name))
     return (hits.where(F.col("tag") == 1).groupBy("key", "acct")
-            .agg(F.sort_array(F.collect_set("test_id")).alias("items"),
-                 F.greatest(F.coalesce(weight, F.lit(0.0)), F.lit(float(floor))).alias("weight")))
+            .agg(*bits, F.greatest(F.coalesce(weight, F.lit(0.0)), F.lit(float(floor))).alias("weight"))
+            .select("key", "acct", positions([F.col(name) for name in names], n).alias("items"), "weight"))
 
 
 def item_frequency(lists: DataFrame, checkpoints: list[str]) -> DataFrame:

@@ -157,6 +157,15 @@ def test_cells_are_folded_under_the_method_size_limit(spark, sf, monkeypatch):
     assert limits == ["8000", "8000"]
 
 
+def test_item_lists_are_gathered_as_bits(spark, sf):
+    plan = plan_of(searching.lists_of(spark, sf))
+    assert "SortAggregate" not in plan and "ObjectHashAggregate" not in plan
+    hits = local_table(spark, [(i, "k", "a", 1) for i in (70, 3, 61, 62, 3)] + [(5, "k", "b", 1), (6, "k", "b", 0)],
+                       "test_id int, key string, acct string, tag int")
+    lists = combine.item_lists(hits, "target_cnt", 0.01, 71).collect()
+    assert sorted((r.acct, r["items"], r.weight) for r in lists) == [("a", [3, 61, 62, 70], 1.0), ("b", [5], 1.0)]
+
+
 def test_running_count_in_splits(spark):
     """The split path and the one-task path agree, ties and skew included."""
     rows = [("a", "v", float(i * i % 1013), 1 + i % 7) for i in range(3000)]

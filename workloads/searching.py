@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from dataclasses import replace
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import functions as F
 
@@ -215,8 +217,9 @@ def lists_of(spark, sf, metric=CNT):
     """Item lists of the outcome keys over the fixed candidates."""
     activity = fx.activity(spark, sf)
     ids = measure.matching_ids([c for c, _ in ITEMS])
-    hits = activity.select("key", "acct", "tag", "amt", F.explode(ids).alias("test_id"))
-    return combine.item_lists(hits, metric, 0.01)
+    some = reduce(or_, [c.column() for c, _ in ITEMS])  # reaches the join: other rows decide nothing
+    hits = activity.where(some).select("key", "acct", "tag", "amt", F.explode(ids).alias("test_id"))
+    return combine.item_lists(hits, metric, 0.01, N_ITEMS)
 
 
 @query("key_pattern_weights", f1(hits_sql("target_amt") + """
