@@ -15,7 +15,7 @@ from lodeseam.operators import binning, combine, measure, profile, select, shape
 from lodeseam.operators.binning import run_searches
 from lodeseam.operators.trees import MaskTable, Scored, grow_trees
 from lodeseam.plans import mining
-from lodeseam.session import local_table
+from lodeseam.session import local_table, tuned
 from workloads import fixtures as fx
 from workloads import measuring, searching
 
@@ -157,6 +157,21 @@ def test_cells_are_folded_under_the_method_size_limit(spark, sf, monkeypatch):
     assert limits == ["8000", "8000"]
 
 
+def test_whole_jobs_hold_their_own_columns_in_key_order(spark, sf, monkeypatch):
+    def never(*args):
+        raise AssertionError("the whole activity is stored")
+    masks = searching.listed_masks(fx.activity(spark, sf))
+    masks.table.persist().count()
+    with tuned(spark):
+        counts = signatures.signatures(masks.table.withColumnRenamed("checkpoint", "group"), "target_cnt", 0, True, masks.names)
+        assert counts.count() == len(counts.collect()) > 0
+    masks.table.unpersist()
+    final = plan_of(counts).split("InMemoryTableScan")[0]
+    assert "SortAggregate" in final and "ObjectHashAggregate" not in final and "hashpartitioning(key" not in final
+    monkeypatch.setattr(fx, "cached", never)
+    assert searching.mine_patterns(spark, sf).count() > 0
+
+
 def test_item_lists_are_gathered_as_bits(spark, sf):
     plan = plan_of(searching.lists_of(spark, sf))
     assert "SortAggregate" not in plan and "ObjectHashAggregate" not in plan

@@ -711,7 +711,7 @@ select name as pattr_name, replace(array_to_string(texts, ' | '), chr(6), ' & ')
   round(share, 4) as inc_catch_share, round(f, 4) as pattr_fscore, round(score, 4) as pattr_score, lives as after_dedup,
   {", ".join(f"round(w.{m}, 4) as {m}" for m in METRICS)} from done join whole w using (rnk)"""))
 def pattern_result_rows(spark, sf):
-    population, activity = fx.cached(spark, sf)
+    population, activity = fx.held_people(spark, sf), fx.activity(spark, sf)
     found = mine(population, activity, fx.features(), fx.EVERY_VALUE, tiebreak=fx.TIEBREAK)
     rows = results.pattern_rows(spark, found.patterns).drop("pattr_id", "update_dt", "update_ts")
     found.release()
@@ -739,14 +739,14 @@ def ranked_rows(spark, found):
 
 @query("mine_patterns", whole.whole_sql(ORDERS, fx.EVERY_VALUE, whole.RANKED))
 def mine_patterns(spark, sf):
-    population, activity = fx.cached(spark, sf)
+    population, activity = fx.held_people(spark, sf), fx.activity(spark, sf)
     return ranked_rows(spark, mine(population, activity, fx.features(), fx.EVERY_VALUE, tiebreak=fx.TIEBREAK))
 
 
 @query("mining_stages", whole.whole_sql(ORDERS, fx.EVERY_VALUE, whole.STAGES))
 def mining_stages(spark, sf):
     """What every stage of the whole job came to."""
-    population, activity = fx.cached(spark, sf)
+    population, activity = fx.held_people(spark, sf), fx.activity(spark, sf)
     found = mine(population, activity, fx.features(), fx.EVERY_VALUE, tiebreak=fx.TIEBREAK)
     found.release()
     return results.stage_rows(spark, found.stages).select("stage", shown("content").alias("content"), r4("catch"), r6("rate"))
@@ -760,8 +760,7 @@ USER_DAYS = whole.Domain(whole.USER_DAYS_TABLES, tuple(fx.event_features()))
 def mine_user_days(spark, sf):
     """The same job on the event stream's user days."""
     population, activity = fx.user_days(spark, sf)
-    population, activity = population.persist(), activity.persist()
+    population = population.persist()
     rows = ranked_rows(spark, mine(population, activity, fx.event_features(), EVENTS, tiebreak=("event_id",)))
     population.unpersist()
-    activity.unpersist()
     return rows
