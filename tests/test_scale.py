@@ -171,6 +171,7 @@ def test_whole_jobs_hold_their_own_columns_in_key_order(spark, sf, monkeypatch):
     monkeypatch.setattr(fx, "cached", never)
     assert searching.mine_patterns(spark, sf).count() > 0
     assert searching.refine_round(spark, sf).count() > 0
+    assert searching.condition_catalog(spark, sf).count() > 0
 
 
 def test_item_lists_are_gathered_as_bits(spark, sf):

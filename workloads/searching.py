@@ -474,8 +474,9 @@ MEASURED_SQL = PEOPLE + ", " + HAS + ", measured as (" + " union all ".join(
     + " and ".join(f"c{j}=1" for j in p) for i, p in enumerate(SETS)) + ")"
 
 
-def measured_sets(spark, sf):
-    population, activity = fx.cached(spark, sf)
+def measured_sets(spark, sf, activity=None):
+    population = fx.held_people(spark, sf)
+    activity = fx.cached(spark, sf)[1] if activity is None else activity
     words = measure.key_words(activity, [c for c, _ in ITEMS])
     items = spark.createDataFrame([(i, list(s)) for i, s in enumerate(SETS)],
                                   "pattern_id int, items array<int>")
@@ -518,11 +519,11 @@ def pattern_similarity(spark, sf):
         F.array_join("a", ",").alias("a"), F.array_join("b", ",").alias("b"), F.round("similarity", 6).alias("similarity"))
 
 
-def measured_patterns(spark, sf):
+def measured_patterns(spark, sf, activity=None):
     """Pattern objects of the fixed sets, as the driver holds them."""
     features = fx.features()
     out = []
-    for r in measured_sets(spark, sf).orderBy("pattern_id").collect():
+    for r in measured_sets(spark, sf, activity).orderBy("pattern_id").collect():
         conditions = sorted((ITEMS[i][0] for i in r["items"]), key=lambda c: c.text)
         out.append(select.Pattern(f"p{r.pattern_id}", conditions, tuple(r["items"]), r.target_cnt,
                                   r.target_cnt_rate, r.pattr_fscore,
@@ -692,8 +693,8 @@ CATALOG_SQL = " union all ".join(
 
 
 def catalog_of(spark, sf):
-    population, activity = fx.cached(spark, sf)
-    conditions = select.condition_catalog(measured_patterns(spark, sf))
+    activity = fx.held_rows(spark, sf, sorted({a.variable for c, _ in ITEMS for a in c.atoms}))
+    conditions = select.condition_catalog(measured_patterns(spark, sf, activity))
     return measure.measure_conditions(activity, conditions, CNT).withColumn(
         "content", F.replace("content", F.lit(chr(6)), F.lit(" & ")))
 
