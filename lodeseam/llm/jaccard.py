@@ -17,7 +17,9 @@ A signature shared by more than MANY sets is not followed up. Two similar sets t
 have such a one, so among all those sets the shingles are counted, and each set emits the rarest of its shingles
 by that count, again the first quarter and one more. A passage that many sets hold is then the last that any of them emits.
 
-Equal sets are one class from the start. Classes that share a signature are compared exactly, first
+Equal sets are one class from the start. A class has a sketch: for each remainder of a hash, whether an odd number of its shingles
+has it. Where two sketches differ, a shingle is in one set only, so pairs whose sketches differ in more places than
+similar sets may are dropped before any shingles move. Classes that share a signature are compared exactly, first
 each with the smallest class that it shares one with, then with the smallest of each signature, then with one class of another group
 per signature in some turns, then those of different groups; so a group of near copies is joined by a star and not by all its pairs.
 
@@ -40,7 +42,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
-from lodeseam.llm.common import WordCodes, components, discard, sized, stored
+from lodeseam.llm.common import SMALL_ROWS, WordCodes, components, discard, sized, stored
 
 WORDS = 5
 BLOCK = 400
@@ -53,6 +55,8 @@ MANY, TURNS = 16, 4
 COUNTED, RUN, RANGE = 3_000_000, 750_000, 1_000_000
 #: Shingles of more than one in so many documents are common; so many of them are kept at most.
 COMMON, MAX_COMMON = 1000, 500_000
+#: Remainders of the smallest sketch, and of those by which the sets of a crowded signature are joined.
+FOLD = 512
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -92,6 +96,27 @@ def fingerprint(shingles: np.ndarray) -> int:
     return xxhash.xxh3_64_intdigest(shingles.tobytes()) - (1 << 63)
 
 
+def sketch(shingles: np.ndarray) -> bytes:
+    """For each of 2^k remainders, at least FOLD and two for a shingle, whether an odd number of shingles has it."""
+    buckets = max(FOLD, 1 << (2 * len(shingles) - 1).bit_length())
+    odd = np.bincount((shingles & np.uint64(buckets - 1)).astype(np.int64), minlength=buckets) & 1
+    return np.packbits(odd, bitorder="little").tobytes()
+
+
+def apart_at_least(x: bytes, y: bytes) -> int:
+    """By the sketches of two sets, a number of shingles that only one of them has; there may be more.
+
+    The larger sketch is folded to the size of the other: a remainder modulo 2^(k-1) joins two modulo 2^k.
+    """
+    x, y = sorted((x, y), key=len)
+    a, b = int.from_bytes(x, "little"), int.from_bytes(y, "little")
+    bits = 8 * len(y)
+    while bits > 8 * len(x):
+        bits //= 2
+        b = b >> bits ^ b & (1 << bits) - 1
+    return (a ^ b).bit_count()
+
+
 def bands(largest: int) -> np.ndarray:
     """The upper sizes of the bands, from 1, until one covers ``largest`` and one lies above."""
     upper = [1]
@@ -184,9 +209,9 @@ def _map(df: DataFrame, per_task, schema: str, columns: list[str]) -> DataFrame:
 
 
 def fingerprints(documents: DataFrame, words: int = WORDS) -> DataFrame:
-    """(doc_id, text_hash, n_shingles, set_id, shingle, held): a row per document, then rows of common shingles.
+    """(doc_id, text_hash, n_shingles, set_id, sketch, shingle, held): a row per document, then rows of common shingles.
 
-    set_id is null for empty sets and equal for equal ones. The rows with a shingle say in how many
+    set_id and sketch are null for empty sets and equal for equal ones. The rows with a shingle say in how many
     sets of one run it occurs, if in several.
     """
     id_type = documents.schema["doc_id"].dataType.simpleString()
@@ -199,25 +224,26 @@ def fingerprints(documents: DataFrame, words: int = WORDS) -> DataFrame:
             often = held >= max(3, len(run) // (2 * COMMON))
             n = int(often.sum())
             run.clear()
-            return [pa.nulls(n, pa.int64()), pa.nulls(n, pa.int64()), pa.array(shingle[often].view(np.int64)),
+            return [pa.nulls(n, pa.int64()), pa.nulls(n, pa.int64()), pa.nulls(n, pa.binary()), pa.array(shingle[often].view(np.int64)),
                     pa.array(held[often])]
 
         def work(ids, texts, hashes):
-            names = ["doc_id", "text_hash", "n_shingles", "set_id", "shingle", "held"]
+            names = ["doc_id", "text_hash", "n_shingles", "set_id", "sketch", "shingle", "held"]
             if ids is not None:
                 sets = shingle_sets(texts.to_pylist(), codes, words)
                 set_ids = [fingerprint(s) if len(s) else None for s in sets]
                 run.update((i, s) for i, s in zip(set_ids, sets) if i is not None)
                 none = pa.nulls(len(sets), pa.int64())
                 yield pa.RecordBatch.from_arrays([ids, hashes, pa.array([len(s) for s in sets], pa.int64()),
-                                                  pa.array(set_ids, pa.int64()), none, none], names)
+                                                  pa.array(set_ids, pa.int64()), pa.array([sketch(s) if len(s) else None for s in sets], pa.binary()),
+                                                  none, none], names)
             if run and (ids is None or sum(map(len, run.values())) >= COUNTED):
                 columns = counted()
                 yield pa.RecordBatch.from_arrays([pa.nulls(len(columns[0]), id_arrow), columns[0], *columns], names)
         return work
     id_arrow = to_arrow_type(documents.schema["doc_id"].dataType)
     return _map(documents.withColumn("text_hash", F.xxhash64("text")), per_task,
-                f"doc_id {id_type}, text_hash long, n_shingles long, set_id long, shingle long, held long",
+                f"doc_id {id_type}, text_hash long, n_shingles long, set_id long, sketch binary, shingle long, held long",
                 ["doc_id", "text", "text_hash"])
 
 
@@ -299,11 +325,10 @@ def members(documents: DataFrame, common: np.ndarray, shingles: int, words: int
 class Sets:
     """The shingle sets of set ids, made again from the text of the smallest doc_id that has the set."""
 
-    def __init__(self, documents: DataFrame, base: DataFrame, words: int):
+    def __init__(self, documents: DataFrame, filled: DataFrame, words: int):
         self.documents, self.words = documents, words
-        filled = base.where("set_id is not null")
         self.classes = stored(filled.groupBy("set_id").agg(
-            F.min("doc_id").alias("doc_id"), F.count("*").alias("copies"), F.first("n_shingles").alias("n")))
+            F.min("doc_id").alias("doc_id"), F.count("*").alias("copies"), F.first("n_shingles").alias("n"), F.first("sketch").alias("sketch")))
         # rows repeated with their id, and sets that only rows without id have, take a longer way
         self.repeated = not filled.groupBy("doc_id", "set_id").count().where("count > 1").isEmpty()
         self.nameless = not self.classes.where("doc_id is null").isEmpty()
@@ -377,6 +402,41 @@ class Sets:
             sets = sets.join(set_ids, "set_id", "left_semi")
         return stored(sets.dropDuplicates(["set_id"]) if self.repeated or self.nameless else sets)
 
+    def folded(self, set_ids: DataFrame) -> DataFrame:
+        """(set_id, odd): the sketch folded to FOLD remainders, in numbers of 64 bits."""
+        def per_task():
+            def work(ids, sketches):
+                if ids is not None:
+                    odd = [np.bitwise_xor.reduce(np.frombuffer(x, np.int64).reshape(-1, FOLD // 64), axis=0) for x in sketches.to_pylist()]
+                    yield pa.RecordBatch.from_arrays([ids, pa.array(odd, pa.list_(pa.int64()))], ["set_id", "odd"])
+            return work
+        return stored(_map(self.classes.join(sized(set_ids), "set_id"), per_task, "set_id long, odd array<long>", ["set_id", "sketch"]))
+
+    def near(self, pairs: DataFrame) -> DataFrame:
+        """The distinct (a, b) of pairs of set ids whose sizes and sketches allow a similarity of 3/4.
+
+        Sets of n and m shingles have it if no more than (n + m) / 7 shingles are in one of them only.
+        """
+        pairs = stored(pairs.distinct())
+        ids = pairs.select(F.explode(F.array("a", "b")).alias("set_id")).distinct()
+        known = stored(self.classes.join(sized(ids), "set_id").select("set_id", "n", "sketch"))
+
+        def per_task():
+            def work(a, b, n, m, left, right):
+                if a is None:
+                    return
+                keep = pa.array([7 * apart_at_least(x, y) <= i + j for x, y, i, j in zip(
+                    left.to_pylist(), right.to_pylist(), n.to_pylist(), m.to_pylist())], pa.bool_())
+                yield pa.RecordBatch.from_arrays([a.filter(keep), b.filter(keep)], ["a", "b"])
+            return work
+        both = (pairs.join(known.withColumnsRenamed({"set_id": "a", "sketch": "left"}), "a")
+                .join(known.withColumnsRenamed({"set_id": "b", "n": "m", "sketch": "right"}), "b")
+                .where("3 * n <= 4 * m and 3 * m <= 4 * n"))
+        found = stored(_map(both, per_task, "a long, b long", ["a", "b", "n", "m", "left", "right"]))
+        discard(known)
+        discard(pairs)
+        return found
+
     def linked(self, pairs: DataFrame) -> DataFrame:
         """The (a, b) of pairs of set ids whose sets have a Jaccard similarity of at least 3/4."""
         sets = self.of(pairs.select(F.explode(F.array("a", "b")).alias("set_id")))
@@ -408,7 +468,7 @@ def _grouped(documents: DataFrame, words: int) -> tuple[DataFrame, DataFrame]:
     documents = documents.select("doc_id", "text")
     rows = stored(fingerprints(documents, words))
     base = rows.where("shingle is null").select("doc_id", "text_hash", "n_shingles", "set_id")
-    sets = Sets(documents, base, words)
+    sets = Sets(documents, rows.where("set_id is not null"), words)
     common = common_shingles(rows)
     n_shingles = rows.agg(F.sum("n_shingles").alias("n")).first().n or 0
     found = stored(members(documents, common, n_shingles, words))
@@ -422,7 +482,7 @@ def _grouped(documents: DataFrame, words: int) -> tuple[DataFrame, DataFrame]:
     if crowds is not None:
         close = close.union(crowds.where("before is not null").select(F.greatest("set_id", "before"), F.least("set_id", "before")))
     sizes = sets.classes.select("set_id", "n")
-    close = stored(_close(close.distinct(), sizes))
+    close = sets.near(close)
 
     together = (few.select(F.xxhash64("set_ids").alias("signature"), F.explode("set_ids").alias("set_id"))
                 .join(sizes, "set_id").select("signature", "set_id", "n", F.lit(0).alias("at")))
@@ -431,8 +491,8 @@ def _grouped(documents: DataFrame, words: int) -> tuple[DataFrame, DataFrame]:
     links = sets.linked(done)
     for pairs in (lambda names: _apart(close, names),
                   *[(lambda names, turn=turn: _neighbours(together, names, turn)) for turn in range(TURNS)],
-                  lambda names: _close(_other_pairs(few, crowds, names), sizes)):
-        new = stored(pairs(components(links)).join(done, ["a", "b"], "left_anti"))
+                  lambda names: _other_pairs(few, crowds, names, sets)):
+        new = sets.near(pairs(components(links)).join(done, ["a", "b"], "left_anti"))
         links = stored(links.union(sets.linked(new)))
         done = done.union(new)
 
@@ -479,14 +539,6 @@ def _apart(pairs: DataFrame, names: DataFrame) -> DataFrame:
     return _named(_named(pairs, names, "a", "x"), names, "b", "y").where("x <> y").select("a", "b")
 
 
-def _close(pairs: DataFrame, sizes: DataFrame) -> DataFrame:
-    """The pairs of sets whose sizes allow a similarity of 3/4."""
-    def of(column, name):
-        return sizes.select(F.col("set_id").alias(column), F.col("n").alias(name))
-    return (pairs.join(of("a", "n"), "a").join(of("b", "m"), "b")
-            .where("3 * n <= 4 * m and 3 * m <= 4 * n").select("a", "b"))
-
-
 def _reach(n: Column, at: Column, m: Column, by: Column) -> Column:
     """Whether sets of n and m shingles can have a similarity of 3/4 if none of the ``at`` and ``by`` before a shared one is shared.
 
@@ -507,8 +559,11 @@ def _neighbours(together: DataFrame, names: DataFrame, turn: int) -> DataFrame:
             .select(F.greatest("set_id", "near.set_id").alias("a"), F.least("set_id", "near.set_id").alias("b")).distinct())
 
 
-def _other_pairs(few: DataFrame, crowds: DataFrame | None, names: DataFrame) -> DataFrame:
-    """Sets of one signature that are in different groups; signatures within a group drop out."""
+def _other_pairs(few: DataFrame, crowds: DataFrame | None, names: DataFrame, sets: Sets) -> DataFrame:
+    """Sets of one signature that are in different groups; signatures within a group drop out.
+
+    Of a crowded signature's sets only those pairs become rows whose places and folded sketches allow a similarity of 3/4.
+    """
     numbered = few.withColumn("bucket", F.xxhash64("set_ids")).select("bucket", F.explode("set_ids").alias("set_id"))
     member = F.struct("set_id", "name")
     buckets = (_named(numbered, names, "set_id", "name").groupBy("bucket")  # at most MANY rows each
@@ -521,11 +576,15 @@ def _other_pairs(few: DataFrame, crowds: DataFrame | None, names: DataFrame) ->
     if crowds is not None:
         rows = _named(crowds.drop("before"), names, "set_id", "name")
         mixed = rows.groupBy("signature").agg(F.min("name").alias("low"), F.max("name").alias("high")).where("low <> high")
-        rows = rows.join(mixed.select("signature"), "signature", "left_semi")
-        left, right = (rows.select(*[F.col(old).alias(f"{side}_{old}") for old in ("signature", "set_id", "name", "n", "at")])
+        rows = stored(rows.join(mixed.select("signature"), "signature", "left_semi"))
+        odd = sets.folded(rows.select("set_id").distinct())
+        rows = rows.join(sized(odd, SMALL_ROWS // 10), "set_id")
+        left, right = (rows.select(*[F.col(old).alias(f"{side}_{old}") for old in ("signature", "set_id", "name", "n", "at", "odd")])
                        for side in ("a", "b"))
         apart = (F.col("a_set_id") > F.col("b_set_id")) & (F.col("a_name") != F.col("b_name"))
         reach = _reach(*[F.col(c) for c in ("a_n", "a_at", "b_n", "b_at")])
-        found = found.union(left.join(right, (F.col("a_signature") == F.col("b_signature")) & apart & reach)
+        differ = sum(F.bit_count(F.col("a_odd")[i].bitwiseXOR(F.col("b_odd")[i])) for i in range(FOLD // 64))
+        alike = 7 * differ <= F.col("a_n") + F.col("b_n")
+        found = found.union(left.join(right, (F.col("a_signature") == F.col("b_signature")) & apart & reach & alike)
                             .select(F.col("a_set_id").alias("a"), F.col("b_set_id").alias("b")))
     return found.distinct()

@@ -78,6 +78,43 @@ def test_similar_sets_share_a_signature():
     assert checked > 500
 
 
+def test_sketches_never_hide_a_similar_set():
+    rng = np.random.default_rng(3)
+    dropped = 0
+    for trial in range(600):
+        a = np.unique(rng.integers(0, 2**63, int(rng.integers(1, 3000 if trial % 2 else 300))).astype(np.uint64))
+        b = np.unique(np.concatenate([a[int(rng.integers(0, len(a) + 1)) // (1 + trial % 5):],
+                                      rng.integers(0, 2**63, int(rng.integers(0, len(a) // 2 + 2))).astype(np.uint64)]))
+        if not len(b):
+            continue
+        differ, seen = len(np.setxor1d(a, b)), jaccard.apart_at_least(jaccard.sketch(a), jaccard.sketch(b))
+        assert seen <= differ and seen == jaccard.apart_at_least(jaccard.sketch(b), jaccard.sketch(a))
+        both = (len(a) + len(b) - differ) // 2
+        assert (100 * both >= 75 * (len(a) + len(b) - both)) == (7 * differ <= len(a) + len(b))
+        dropped += 7 * seen > len(a) + len(b)
+        if 3 * max(len(a), len(b)) <= 4 * min(len(a), len(b)) and len(a) > 50 and 2 * both < len(a) + len(b) - both:
+            assert 7 * seen > len(a) + len(b)
+    assert dropped > 100
+
+
+def test_unlike_copies_of_one_text_are_not_compared(spark, monkeypatch):
+    """Copies that differ from each other in too many places share most signatures, yet only a few pairs need their shingles."""
+    rng = np.random.default_rng(6)
+    rows = []
+    for i in range(60):
+        words = [f"w{k}" for k in range(150)]
+        for at in 5 * rng.choice(30, 5, replace=False):
+            words[at] = f"x{at}"
+        rows.append((i, " ".join(words)))
+    compared, joined, linked, other = [], [], jaccard.Sets.linked, jaccard._other_pairs
+    monkeypatch.setattr(jaccard, "MANY", 1)  # all signatures are crowded
+    monkeypatch.setattr(jaccard.Sets, "linked", lambda self, pairs: (compared.append(pairs.count()), linked(self, pairs))[1])
+    monkeypatch.setattr(jaccard, "_other_pairs", lambda *a: (joined.append(other(*a)), joined[-1])[1])
+    got = jaccard.groups(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted((str(r.doc_id), r.n_shingles, str(r.component_id)) for r in got) == grouped(rows)
+    assert sum(compared) < 300 and sum(p.count() for p in joined) < 300  # of 1,770 pairs
+
+
 @pytest.mark.parametrize("one_task", [500_000, 0])
 def test_components(spark, monkeypatch, one_task):
     monkeypatch.setattr(common, "ONE_TASK", one_task)
