@@ -413,11 +413,10 @@ class Sets:
         return stored(_map(self.classes.join(sized(set_ids), "set_id"), per_task, "set_id long, odd array<long>", ["set_id", "sketch"]))
 
     def near(self, pairs: DataFrame) -> DataFrame:
-        """The distinct (a, b) of pairs of set ids whose sizes and sketches allow a similarity of 3/4.
+        """The (a, b) of distinct, stored pairs of set ids whose sizes and sketches allow a similarity of 3/4.
 
         Sets of n and m shingles have it if no more than (n + m) / 7 shingles are in one of them only.
         """
-        pairs = stored(pairs.distinct())
         ids = pairs.select(F.explode(F.array("a", "b")).alias("set_id")).distinct()
         known = stored(self.classes.join(sized(ids), "set_id").select("set_id", "n", "sketch"))
 
@@ -434,7 +433,6 @@ class Sets:
                 .where("3 * n <= 4 * m and 3 * m <= 4 * n"))
         found = stored(_map(both, per_task, "a long, b long", ["a", "b", "n", "m", "left", "right"]))
         discard(known)
-        discard(pairs)
         return found
 
     def linked(self, pairs: DataFrame) -> DataFrame:
@@ -482,19 +480,21 @@ def _grouped(documents: DataFrame, words: int) -> tuple[DataFrame, DataFrame]:
     if crowds is not None:
         close = close.union(crowds.where("before is not null").select(F.greatest("set_id", "before"), F.least("set_id", "before")))
     sizes = sets.classes.select("set_id", "n")
-    close = sets.near(close)
+    tried = stored(close.distinct())
+    close = sets.near(tried)
 
     together = (few.select(F.xxhash64("set_ids").alias("signature"), F.explode("set_ids").alias("set_id"))
                 .join(sizes, "set_id").select("signature", "set_id", "n", F.lit(0).alias("at")))
     together = stored(together if crowds is None else together.union(crowds.select("signature", "set_id", "n", "at")))
-    done = stored(close.groupBy("a").agg(F.min("b").alias("b")))
-    links = sets.linked(done)
-    for pairs in (lambda names: _apart(close, names),
-                  *[(lambda names, turn=turn: _neighbours(together, names, turn)) for turn in range(TURNS)],
+    first = stored(close.groupBy("a").agg(F.min("b").alias("b")))
+    links = sets.linked(first)
+    close = stored(close.join(first, ["a", "b"], "left_anti"))
+    links = stored(links.union(sets.linked(stored(_apart(close, components(links))))))
+    for pairs in (*[(lambda names, turn=turn: _neighbours(together, names, turn)) for turn in range(TURNS)],
                   lambda names: _other_pairs(few, crowds, names, sets)):
-        new = sets.near(pairs(components(links)).join(done, ["a", "b"], "left_anti"))
-        links = stored(links.union(sets.linked(new)))
-        done = done.union(new)
+        new = stored(pairs(components(links)).join(tried, ["a", "b"], "left_anti"))
+        links = stored(links.union(sets.linked(sets.near(new))))
+        tried = tried.union(new)
 
     names = components(links)
     classes = sets.classes
