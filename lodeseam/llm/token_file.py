@@ -20,26 +20,35 @@ import uuid
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_type
-from tokenizers import Tokenizer
+from tokenizers import Tokenizer, pre_tokenizers
 
 from lodeseam.llm.common import dropping_shuffles, stored
+from lodeseam.llm.lexicon import byte_alphabet
 from lodeseam.session import shared_dir
 
 MAX_BITS, BLOCK, SHARD = 18, 1024, 1 << 19
 END = 0
-#: Bytes of pieces and ids that a task keeps at hand; texts it encodes at once.
-KEPT, BATCH = 64 << 20, 500
+#: Texts that are put together at once, bytes of text whose pieces are found at once, words that the library merges at once.
+BATCH, LONGEST, LINES = 500, 16 << 20, 50_000
 #: The place before a space between two characters that are no white space, so that a piece is a word with its space.
 _CUT = re.compile(r"(?<=\S)(?= \S)")
+#: A piece with white space at an end, apart from one space before it, where no cut may be.
+_ODD = re.compile(r"(?! ?\S(?:.*\S)?\Z)", re.S).match
+#: Letters that every version of Unicode has as such, and marks.
+_LETTERS, _MARKS = "A-Za-zÀ-ÖØ-öø-ɏ", r"!-/:-@\[-`{-~"
+#: The tokenizer always cuts behind such letters, before such marks, and a run of either is cut at apostrophes only.
+_WORD = rf"^(?P<word> ?[{_LETTERS}]+)(?P<marks>[{_MARKS}]*)$"
+_RUN = rf"^(?: ?[{_LETTERS}]+|[{_MARKS.replace('!-/', '!-&(-/')}]+)$"
 
 
 @lru_cache(1)
@@ -48,32 +57,134 @@ def _tokenizer(file: str) -> Tokenizer:
     return Tokenizer.from_str(file)
 
 
+@lru_cache(1)
+def _merger(file: str) -> tuple[Tokenizer, np.ndarray]:
+    """The library's merges alone, of lines in the byte alphabet, and the number of bytes of each id."""
+    tokenizer = _tokenizer(file)
+    merger = Tokenizer(tokenizer.model)
+    merger.pre_tokenizer = pre_tokenizers.CharDelimiterSplit("\n")
+    vocabulary = tokenizer.get_vocab(with_added_tokens=False)
+    size = np.zeros(max(vocabulary.values()) + 1, np.int64)
+    for token, i in vocabulary.items():
+        size[i] = len(token)
+    return merger, size
+
+
+#: The byte alphabet's code point of each byte; the newline between lines stays.
+_SHOWN = np.array([ord(c) if i != ord("\n") else i for i, c in enumerate(byte_alphabet())], "<u4")
+
+
+def _gather(pool: np.ndarray, start: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """The runs of ``pool`` that begin at ``start``, one behind the other."""
+    after = np.cumsum(size)
+    return pool[np.repeat(start - after + size, size) + np.arange(after[-1] if len(after) else 0)]
+
+
 class Pieces:
     """The tokenizer's ids of whole texts, put together from those of space-separated pieces.
 
-    The tokenizer always cuts before a space that has white space on neither side, as such a space begins the next word. So a text
-    has the ids of the pieces between these cuts, each with the space before it. The ids of pieces are kept, up to ``KEPT``
-    bytes; results do not depend on what is kept.
+    The tokenizer always cuts before a space that has white space on neither side, as such a space begins the next word, and on both sides of
+    a newline that is no part of longer white space. So a text has the ids of the pieces between these cuts, each with the space before it.
+    Distinct pieces of a block of texts are found by Arrow. Those that are letters and marks behind them are cut in between, and the
+    distinct runs go to the library's merges, many in one call; any other piece goes to the whole tokenizer.
     """
 
-    def __init__(self, file: str):
-        self.tokenizer = _tokenizer(file)
-        self.known: dict[str, bytes] = {}
-        self.size = 0
+    def __init__(self, file: str, width: str = "<u4"):
+        self.tokenizer, (self.merger, self.bytes_of) = _tokenizer(file), _merger(file)
+        self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.width = np.dtype(width)
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
-        """Ids and end id of each text, as little-endian 32-bit integers."""
-        split = [_CUT.split(t) if t else [] for t in texts]
-        new = list({p for pieces in split for p in pieces if p not in self.known})
-        for piece, found in zip(new, self.tokenizer.encode_batch_fast(new, add_special_tokens=False)):
-            ids = self.known[piece] = np.array(found.ids, "<u4").tobytes()
-            self.size += len(piece) + len(ids) + 200
-        end = np.array([END], "<u4").tobytes()
-        rows = [b"".join(map(self.known.__getitem__, pieces)) + end for pieces in split]
-        if self.size > KEPT:
-            self.known.clear()
-            self.size = 0
-        return rows
+        """Ids and end id of each text, as little-endian integers."""
+        return [ids for rows in self.encode_array(pa.array(texts, pa.string())) for ids in rows.to_pylist()]
+
+    def encode_array(self, texts: pa.Array) -> Iterator[pa.Array]:
+        """The same for an array, BATCH texts after the other."""
+        texts = texts.cast(pa.large_string()).fill_null("")
+        lists = pc.split_pattern(pc.replace_substring(pc.replace_substring(texts, "\n", "\0\n\0"), " ", "\0 "), "\0")
+        first = lists.offsets.to_numpy() - lists.offsets[0].as_py()
+        pieces = lists.flatten().dictionary_encode()
+        del lists
+        at, (pool, start, size, odd) = pieces.indices.to_numpy(), self._ids(pieces.dictionary, strict=True)
+        slow = pc.match_substring(texts, "\0").to_numpy(zero_copy_only=False)
+        if odd.any() and len(texts):
+            slow = slow | (np.add.reduceat(odd[at], first[:-1], dtype=np.int64) > 0)
+        for low in range(0, len(texts), BATCH):
+            high = min(low + BATCH, len(texts))
+            rows = self._joined(pool, start, size, at[first[low]:first[high]], first[low:high + 1] - first[low])
+            if slow[low:high].any():
+                rows = self._cut_where_alone(texts.slice(low, high - low), slow[low:high], rows)
+            yield rows
+
+    def _cut_where_alone(self, texts: pa.Array, slow: np.ndarray, rows: pa.Array) -> pa.Array:
+        """``rows`` with the ids of the ``slow`` texts, which have other white space, or nothing: cut only where a space is alone."""
+        split = [_CUT.split(t) if t else [] for t in texts.filter(pa.array(slow)).to_pylist()]
+        first = np.concatenate([[0], np.cumsum([len(pieces) for pieces in split])])
+        pieces = pa.array(chain.from_iterable(split), pa.large_string()).dictionary_encode()
+        pool, start, size, _ = self._ids(pieces.dictionary, strict=False)
+        cut = self._joined(pool, start, size, pieces.indices.to_numpy(), first)
+        place = np.arange(len(rows))
+        place[slow] = len(rows) + np.arange(len(cut))
+        return pa.concat_arrays([rows, cut]).take(pa.array(place))
+
+    def _joined(self, pool: np.ndarray, start: np.ndarray, size: np.ndarray, at: np.ndarray, first: np.ndarray) -> pa.Array:
+        """The ids of each text and the end id; ``at`` tells the pieces, ``first`` where those of a text begin."""
+        ends = np.concatenate([[0], np.cumsum(size[at])])[first]
+        ids = np.insert(_gather(pool, start[at], size[at]), ends[1:], END)
+        offsets = (ends + np.arange(len(ends))) * ids.itemsize
+        return pa.Array.from_buffers(pa.binary(), len(first) - 1, [None, pa.py_buffer(offsets.astype(np.int32)), pa.py_buffer(ids)])
+
+    def _ids(self, pieces: pa.Array, strict: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Ids of distinct pieces: all of them, where each piece's begin, and how many there are. If ``strict``, pieces that have white space
+        at an end, where no cut may be, have none and are told by the last array."""
+        cut = pc.extract_regex(pieces, _WORD)
+        plain = cut.is_valid().to_numpy(zero_copy_only=False)
+        for token in self.added:
+            plain = plain & ~pc.match_substring(pieces, token).to_numpy(zero_copy_only=False)
+        cut = cut.filter(pa.array(plain, pa.bool_()))
+        runs = pa.concat_arrays([cut.field("word"), cut.field("marks")]).dictionary_encode()
+        part = runs.indices.to_numpy().reshape(2, -1).T.ravel()  # a word, its marks, the next word
+        pool, start, size = self._run_ids(runs.dictionary)
+        pool = _gather(pool, start[part], size[part])
+        found = np.zeros(len(pieces), np.int64)
+        found[plain] = size[part].reshape(-1, 2).sum(1)
+        others = pieces.filter(pa.array(~plain, pa.bool_())).to_pylist()
+        odd = [strict and p != "\n" and bool(_ODD(p)) for p in others]
+        rest, found[~plain] = self._whole(["" if o else p for p, o in zip(others, odd)])
+        place = np.concatenate([np.flatnonzero(plain), np.flatnonzero(~plain)])  # the order of the pool
+        begin = np.zeros(len(pieces), np.int64)
+        begin[place] = np.cumsum(found[place]) - found[place]
+        is_odd = np.zeros(len(pieces), bool)
+        is_odd[~plain] = odd
+        return np.concatenate([pool, rest]), begin, found, is_odd
+
+    def _run_ids(self, runs: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Ids of words and of marks: all of them, where each begins, and how many there are."""
+        whole = ~pc.match_substring_regex(runs, _RUN).to_numpy(zero_copy_only=False)
+        lines = runs.filter(pa.array(~whole, pa.bool_()))
+        pool, count = [], []
+        for low in range(0, len(lines), LINES):
+            some = lines.slice(low, LINES).cast(pa.large_binary())
+            text = np.frombuffer(b"\n".join(some.to_numpy(zero_copy_only=False)), np.uint8)
+            found = self.merger.encode_batch_fast([_SHOWN[text].tobytes().decode("utf-32-le")], add_special_tokens=False)[0]
+            pool.append(np.array(found.ids, self.width))
+            ends = np.searchsorted(np.cumsum(self.bytes_of[pool[-1]]), np.cumsum(pc.binary_length(some).to_numpy())) + 1
+            count.append(np.diff(ends, prepend=0))
+        rest, rest_count = self._whole(runs.filter(pa.array(whole, pa.bool_())).to_pylist())
+        size = np.zeros(len(runs), np.int64)
+        size[~whole] = np.concatenate([*count, np.zeros(0, np.int64)])
+        size[whole] = rest_count
+        place = np.concatenate([np.flatnonzero(~whole), np.flatnonzero(whole)])
+        start = np.zeros(len(runs), np.int64)
+        start[place] = np.cumsum(size[place]) - size[place]
+        return np.concatenate([*pool, rest]), start, size
+
+    def _whole(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of pieces by the whole tokenizer, and how many each has."""
+        ids = [np.zeros(0, self.width)]
+        for low in range(0, len(pieces), BATCH):
+            ids += [np.array(x.ids, self.width) for x in self.tokenizer.encode_batch_fast(pieces[low:low + BATCH], add_special_tokens=False)]
+        return np.concatenate(ids), np.array([len(x) for x in ids[1:]], np.int64)
 
 
 def tokens(documents: DataFrame, path: str) -> DataFrame:
@@ -85,33 +196,44 @@ def tokens(documents: DataFrame, path: str) -> DataFrame:
     shared = documents.sparkSession.sparkContext.broadcast(file)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pieces = Pieces(shared.value)
+        pieces = Pieces(shared.value, width)
         for batch in batches:
-            for at in range(0, batch.num_rows, BATCH):
-                part = batch.slice(at, BATCH)
-                ids = [np.frombuffer(b, "<u4").astype(width).tobytes() for b in pieces.encode(part.column("text").to_pylist())]
-                yield pa.record_batch({"doc_id": part.column("doc_id"), "ids": pa.array(ids, pa.binary())})
+            for part in _slices(batch):
+                at = 0
+                for ids in pieces.encode_array(part.column("text")):
+                    yield pa.record_batch({"doc_id": part.column("doc_id").slice(at, len(ids)), "ids": ids})
+                    at += len(ids)
     id_type = documents.schema["doc_id"].dataType.simpleString()
     return documents.mapInArrow(run, f"doc_id {id_type}, ids binary")
 
 
+def _slices(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """The rows in runs of at most, but for a single longer one, LONGEST bytes of text."""
+    after = np.cumsum(pc.binary_length(batch.column("text")).fill_null(0).to_numpy().astype(np.int64))
+    at = 0
+    while at < len(after):
+        stop = max(at + 1, int(np.searchsorted(after, (after[at - 1] if at else 0) + LONGEST, "right")))
+        yield batch.slice(at, stop - at)
+        at = stop
+
+
 def _width(file: str) -> str:
     return "<u2" if Tokenizer.from_str(file).get_vocab_size() <= 1 << 16 else "<u4"
 
 
 def counts(ids: DataFrame, width: str) -> np.ndarray:
     """How often each id occurs in the corpus; the driver gets a row per id of the vocabulary."""
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(0, np.int64)
         for batch in batches:
-            for blob in batch["ids"]:
-                part = np.bincount(np.frombuffer(blob, width))
+            for start in range(0, batch.num_rows, BATCH):
+                part = np.bincount(np.frombuffer(b"".join(batch.column("ids").slice(start, BATCH).to_pylist()), width))
                 if len(part) > len(total):
                     total = np.pad(total, (0, len(part) - len(total)))
                 total[:len(part)] += part
         at = np.flatnonzero(total)
-        yield pd.DataFrame({"id": at, "n": total[at]})
-    rows = ids.select("ids").mapInPandas(run, "id long, n long").groupBy("id").agg(F.sum("n").alias("n")).collect()
+        yield pa.record_batch({"id": at, "n": total[at]})
+    rows = ids.select("ids").mapInArrow(run, "id long, n long").groupBy("id").agg(F.sum("n").alias("n")).collect()
     out = np.zeros(max((r.id for r in rows), default=-1) + 1, np.int64)
     for r in rows:
         out[r.id] = r.n
@@ -161,31 +283,42 @@ def code_words(bits: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 def pack(ids: np.ndarray, bits: np.ndarray, words: np.ndarray) -> tuple[bytes, np.ndarray]:
     """The ids' bits, and the bit offset of every BLOCK-th id."""
-    size = bits[ids].astype(np.int64)
+    value, size = words[ids], bits[ids].astype(np.int64)
+    if len(ids) % 2:
+        value, size = np.append(value, np.uint64(0)), np.append(size, 0)
+    value = value[::2] << size[1::2].astype(np.uint64) | value[1::2]  # two words are set in at once
+    size = size[::2] + size[1::2]
     after = np.cumsum(size)
     at = after - size
-    value = words[ids] << (64 - (at & 31) - size).astype(np.uint64)
-    word = at >> 5
+    word = at >> 6
+    free = 64 - (at & 63) - size
+    over = np.flatnonzero(free < 0)  # goes on in the next 64 bits
+    rest = value[over] << (64 + free[over]).astype(np.uint64)
+    value <<= np.maximum(free, 0).astype(np.uint64)
+    value[over] >>= (-free[over]).astype(np.uint64)
     first = np.flatnonzero(np.diff(word, prepend=-1))
-    out = np.zeros((int(after[-1]) >> 5) + 3, np.uint64)
-    out[word[first]] += np.add.reduceat(value >> np.uint64(32), first)
-    out[word[first] + 1] += np.add.reduceat(value & np.uint64(0xFFFFFFFF), first)
-    return out.astype(">u4").tobytes(), at[::BLOCK]
+    out = np.zeros((int(after[-1]) >> 6) + 3, np.uint64)
+    out[word[first]] = np.add.reduceat(value, first)
+    out[word[over] + 1] += rest
+    return out.astype(">u8").tobytes(), at[::BLOCK // 2]
 
 
 def unpack(payload: bytes, offsets: np.ndarray, n: int, table: np.ndarray) -> np.ndarray:
     """``n`` ids; each block runs from its own offset, all blocks in step."""
-    window = np.ndarray((len(payload) - 3,), ">u4", payload, strides=(1,))
+    window = np.ndarray((len(payload) - 7,), ">u8", payload, strides=(1,))
     at = offsets.astype(np.int64)
-    ids = np.zeros((len(at), BLOCK), np.uint32)
+    found = np.zeros((BLOCK, len(at)), np.uint32)
     for step in range(min(BLOCK, n)):
-        if step == n - (len(at) - 1) * BLOCK and len(at) > 1:
-            at = at[:-1]  # the last block is over
-        prefix = window[at >> 3].astype(np.int64) >> (32 - MAX_BITS - (at & 7)) & ((1 << MAX_BITS) - 1)
-        entry = table[prefix]
-        ids[:len(at), step] = entry >> 5
-        at = at + (entry & 31)
-    return ids.ravel()[:n]
+        if step == n - (len(found[0]) - 1) * BLOCK and len(at) > 1:
+            at, bits = at[:-1], bits[:-1]  # the last block is over
+        if step % 3 == 0:  # 64 bits hold three words from any bit of the first byte
+            bits = window[at >> 3].astype(np.uint64) << (at & 7).astype(np.uint64)
+        entry = table[bits >> np.uint64(64 - MAX_BITS)]
+        found[step, :len(at)] = entry
+        entry &= 31
+        at = at + entry
+        bits = bits << entry.astype(np.uint64)
+    return (found >> np.uint32(5)).T.ravel()[:n]
 
 
 def write(documents: DataFrame, path: str, folder: str) -> None:

@@ -94,6 +94,36 @@ def test_pieces_have_the_ids_of_whole_texts():
     assert wrong == []
 
 
+class Counted:
+    """A tokenizer that counts the characters it is given."""
+
+    def __init__(self, tokenizer):
+        self.tokenizer, self.sent = tokenizer, 0
+
+    def encode_batch_fast(self, texts, **options):
+        self.sent += sum(map(len, texts))
+        return self.tokenizer.encode_batch_fast(texts, **options)
+
+
+def test_the_library_gets_a_word_once(monkeypatch):
+    """Not once more for each mark behind it and each line break beside it."""
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    with open(path, encoding="utf-8") as f:
+        pieces = token_file.Pieces(f.read())
+    counted = {name: Counted(getattr(pieces, name)) for name in ("tokenizer", "merger") if hasattr(pieces, name)}
+    for name, tokenizer in counted.items():
+        monkeypatch.setattr(pieces, name, tokenizer)
+    rnd = random.Random(3)
+    words = ["".join(rnd.choices("abcdefghijklmnopqrstuvwxyzéàüß", k=8)) for _ in range(300)]
+    texts = ["start " + "".join(rnd.choice(words) + rnd.choice(["", ".", ",", "!?", ";"]) + rnd.choice([" ", " ", "\n"])
+                                for _ in range(150)) + "end" for _ in range(100)]
+    got = pieces.encode(texts)
+    expected = Tokenizer.from_file(path).encode_batch(texts, add_special_tokens=False)
+    assert [np.frombuffer(g, "<u4").tolist() for g in got] == [e.ids + [token_file.END] for e in expected]
+    # with a space before it, and at the beginning of a line
+    assert sum(c.sent for c in counted.values()) <= 2 * sum(len(w.encode()) + 2 for w in words) + 100
+
+
 def test_ids_stay_whole_beside_nulls(spark, sf):
     """A long id that no double holds, in one batch with a null."""
     big = 2**60 + 1
