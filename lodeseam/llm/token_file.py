@@ -107,32 +107,39 @@ class Pieces:
         del lists
         at, (pool, start, size, odd) = pieces.indices.to_numpy(), self._ids(pieces.dictionary, strict=True)
         slow = pc.match_substring(texts, "\0").to_numpy(zero_copy_only=False)
-        if odd.any() and len(texts):
+        if odd.any():
             slow = slow | (np.add.reduceat(odd[at], first[:-1], dtype=np.int64) > 0)
+        slow = np.flatnonzero(slow)
+        cut, cut_first = self._cut_where_alone(texts.take(pa.array(slow)))
+        cut_at, (cut_pool, cut_start, cut_size, _) = cut.indices.to_numpy(), self._ids(cut.dictionary, strict=False)
         for low in range(0, len(texts), BATCH):
             high = min(low + BATCH, len(texts))
-            rows = self._joined(pool, start, size, at[first[low]:first[high]], first[low:high + 1] - first[low])
-            if slow[low:high].any():
-                rows = self._cut_where_alone(texts.slice(low, high - low), slow[low:high], rows)
+            rows = self._joined(pool, start, size, at, first[low:high + 1])
+            a, b = np.searchsorted(slow, [low, high])
+            if a < b:
+                place = np.arange(len(rows))
+                place[slow[a:b] - low] = len(rows) + np.arange(b - a)
+                rows = pa.concat_arrays([rows, self._joined(cut_pool, cut_start, cut_size, cut_at, cut_first[a:b + 1])])
+                rows = rows.take(pa.array(place))
             yield rows
 
-    def _cut_where_alone(self, texts: pa.Array, slow: np.ndarray, rows: pa.Array) -> pa.Array:
-        """``rows`` with the ids of the ``slow`` texts, which have other white space, or nothing: cut only where a space is alone."""
-        split = [_CUT.split(t) if t else [] for t in texts.filter(pa.array(slow)).to_pylist()]
-        first = np.concatenate([[0], np.cumsum([len(pieces) for pieces in split])])
-        pieces = pa.array(chain.from_iterable(split), pa.large_string()).dictionary_encode()
-        pool, start, size, _ = self._ids(pieces.dictionary, strict=False)
-        cut = self._joined(pool, start, size, pieces.indices.to_numpy(), first)
-        place = np.arange(len(rows))
-        place[slow] = len(rows) + np.arange(len(cut))
-        return pa.concat_arrays([rows, cut]).take(pa.array(place))
+    @staticmethod
+    def _cut_where_alone(texts: pa.Array) -> tuple[pa.DictionaryArray, np.ndarray]:
+        """The pieces of texts that have other white space, or nothing, cut only where a space is alone, and where those of a text begin."""
+        pieces, count = [pa.array([], pa.large_string())], [0]
+        for low in range(0, len(texts), BATCH):
+            split = [_CUT.split(t) if t else [] for t in texts.slice(low, BATCH).to_pylist()]
+            pieces.append(pa.array(chain.from_iterable(split), pa.large_string()))
+            count += map(len, split)
+        return pa.concat_arrays(pieces).dictionary_encode(), np.cumsum(count)
 
     def _joined(self, pool: np.ndarray, start: np.ndarray, size: np.ndarray, at: np.ndarray, first: np.ndarray) -> pa.Array:
         """The ids of each text and the end id; ``at`` tells the pieces, ``first`` where those of a text begin."""
-        ends = np.concatenate([[0], np.cumsum(size[at])])[first]
+        at = at[first[0]:first[-1]]
+        ends = np.concatenate([[0], np.cumsum(size[at])])[first - first[0]]
         ids = np.insert(_gather(pool, start[at], size[at]), ends[1:], END)
-        offsets = (ends + np.arange(len(ends))) * ids.itemsize
-        return pa.Array.from_buffers(pa.binary(), len(first) - 1, [None, pa.py_buffer(offsets.astype(np.int32)), pa.py_buffer(ids)])
+        offsets = pa.array((ends + np.arange(len(ends))) * ids.itemsize, pa.int32())
+        return pa.Array.from_buffers(pa.binary(), len(first) - 1, [None, offsets.buffers()[1], pa.py_buffer(ids)])
 
     def _ids(self, pieces: pa.Array, strict: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """Ids of distinct pieces: all of them, where each piece's begin, and how many there are. If ``strict``, pieces that have white space
@@ -321,6 +328,11 @@ def unpack(payload: bytes, offsets: np.ndarray, n: int, table: np.ndarray) -> np
     return (found >> np.uint32(5)).T.ravel()[:n]
 
 
+def in_order(ids: DataFrame, parts: int) -> DataFrame:
+    """Ranges of (doc_id, ids). They are told by the first ids only, as the driver gets a sample of what tells them."""
+    return ids.repartitionByRange(parts, "doc_id", F.substring("ids", 1, 64)).sortWithinPartitions("doc_id", "ids")
+
+
 def write(documents: DataFrame, path: str, folder: str) -> None:
     """Encode all documents and write the two tables of the format into ``folder``."""
     spark = documents.sparkSession
@@ -356,9 +368,8 @@ def write(documents: DataFrame, path: str, folder: str) -> None:
         if held:
             yield shard()
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    dealt = ids.repartitionByRange(parts, "doc_id", "ids").sortWithinPartitions("doc_id", "ids")
     with dropping_shuffles(spark):
-        (dealt.mapInArrow(shards, "part int, start long, n long, payload binary, offsets array<long>, "
+        (in_order(ids, parts).mapInArrow(shards, "part int, start long, n long, payload binary, offsets array<long>, "
                                    f"doc_ids array<{id_type}>, lengths array<long>")
          .write.option("compression", "none").parquet(f"{folder}/shards"))
 

@@ -1,6 +1,7 @@
 """Classifiers, tokenizers, token counts, decontamination and line dedup against brute force."""
 
 import random
+import re
 import zlib
 from collections import defaultdict
 
@@ -124,6 +125,18 @@ def test_the_library_gets_a_word_once(monkeypatch):
     assert sum(c.sent for c in counted.values()) <= 2 * sum(len(w.encode()) + 2 for w in words) + 100
 
 
+def test_ranges_are_told_by_the_first_ids(spark):
+    """The driver samples what tells the ranges; the order goes by all ids."""
+    rnd = random.Random(2)
+    rows = [(rnd.choice([None, 1, 2]), bytes([rnd.randint(0, 1) * 255]) * 63 + bytes(rnd.choices([0, 127, 128], k=rnd.randint(0, 4))))
+            for _ in range(400)]
+    dealt = token_file.in_order(spark.createDataFrame(rows, "doc_id long, ids binary"), 4)
+    got = [(r.doc_id, bytes(r.ids)) for r in dealt.collect()]
+    assert got == sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0, r[1]))
+    ranges = re.findall(r"rangepartitioning\((.*)", dealt._jdf.queryExecution().executedPlan().toString())
+    assert ranges and not any("ids" in re.sub(r"substring\(ids[^)]*\)", "", x) for x in ranges), ranges
+
+
 def test_ids_stay_whole_beside_nulls(spark, sf):
     """A long id that no double holds, in one batch with a null."""
     big = 2**60 + 1
