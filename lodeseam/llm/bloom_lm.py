@@ -13,8 +13,8 @@ A token w after h has probability (k + MU * p(w)) / (c(h) + MU): k the looked-up
 p(w) = (c(w) + 0.5) / (N + 0.5 * (V + 1)), which alone makes the base score. Over all w that sums to 1 with exact counts.
 
 Bigram keys move once, as sorted arrays per hash range; each range is counted, quantised and turned into its own piece of the filter by one task.
-Workers get the model by broadcast, in rounds of at most ``ROUND_BYTES``: a round fills in what its pieces know of each token, and
-the last one adds up. A model that fits takes one round; the scores do not depend on the number of rounds.
+Workers get the model by broadcast, in rounds of at most ``ROUND_BYTES``. A task reads its texts once, takes the words and bigrams of up to
+``LOOKED_UP`` tokens through all rounds, one round in memory at a time, and adds up. The scores do not depend on the number of rounds.
 
 Defined cases: a null id trains (the crc32 of an empty text is 0); null and empty texts are the end token alone; texts of any length are read
 whole, in pieces cut at white space; repeated rows train and score each; extra columns play no part; with no training rows N, V
@@ -24,7 +24,7 @@ and all counts are 0 and every token has probability 1; an empty table gives no
 from __future__ import annotations
 
 import re
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from contextlib import contextmanager
 from dataclasses import dataclass
 
@@ -32,10 +32,11 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lodeseam.llm.common import stored
+from lodeseam.llm.common import discard, stored
 
 END = b""
 BITS, PROBES = 16, 5
@@ -43,8 +44,10 @@ BITS, PROBES = 16, 5
 SCALE = np.unique([x << e for e in range(61) for x in (1, 2, 3)])
 LEVELS = len(SCALE)
 MU = 60.0
-#: Bytes of model that are broadcast at once.
-ROUND_BYTES = 96 << 20
+#: Bytes of model in one broadcast: what a worker, and the driver, has in memory at once.
+ROUND_BYTES = 24 << 20
+#: Tokens that a task looks up in one pass through the rounds (some 50 bytes each).
+LOOKED_UP = 1_500_000
 #: Bigram occurrences that share a piece of the filter, at most as many keys as a task holds; words of a piece of the vocabulary.
 PIECE_TOKENS, PIECE_WORDS = 4_000_000, 1_000_000
 #: Tokens handled at once; bytes of text handled at once or cut off a longer one; bytes of words, and number of bigrams, a task keeps at hand.
@@ -55,7 +58,7 @@ _MIX = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9), np.uint64(
 
 @contextmanager
 def short_batches(spark: SparkSession, rows: int = 500) -> Iterator[None]:
-    """Fewer rows than usual go to a worker at once: with what earlier rounds found a row is twice its text."""
+    """Fewer rows than usual go to a worker at once, as texts can be long."""
     option = "spark.sql.execution.arrow.maxRecordsPerBatch"
     before = spark.conf.get(option)
     spark.conf.set(option, str(rows))
@@ -210,6 +213,7 @@ def vocabulary(counts: DataFrame, distinct: int) -> tuple[DataFrame, int]:
                       .applyInArrow(piece, "piece long, hashes binary, counts binary, clash boolean"))
         if made.where("clash").isEmpty():
             return made, seed
+        discard(made)
     raise RuntimeError("words of equal hash under every seed")
 
 
@@ -306,6 +310,7 @@ def _fit(texts: DataFrame) -> Model:
     size = counts.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.count(F.lit(1)).alias("v"),
                       F.coalesce(F.max(F.when(F.col("word") == F.lit(END), F.col("n"))), F.lit(0)).alias("texts")).first()
     words, seed = vocabulary(counts, size.v)
+    discard(counts)
     shift = _shift(size.n, PIECE_TOKENS)
     pieces = stored(bloom(bigram_counts(texts, shift, seed)))
     level = (pieces.select(F.posexplode(F.arrays_zip("seen", "total")).alias("q", "x")).groupBy("q")
@@ -353,38 +358,43 @@ class Round:
         return found
 
 
-def rounds(model: Model) -> list[dict[str, dict[int, int]]]:
-    """The pieces of each round, ``ROUND_BYTES`` at most: their 64-bit values by table and number. A larger piece is a round by itself."""
-    sizes = [("filter", r.piece, r.n) for r in model.filter.select("piece", F.octet_length("bits").alias("n")).collect()]
-    sizes += [("words", r.piece, r.n) for r in model.words.select("piece", F.octet_length("hashes").alias("n")).collect()]
-    groups, room = [{"filter": {}, "words": {}}], ROUND_BYTES
-    for kind, piece, n in sorted(sizes):
+def rounds(model: Model) -> list[dict[str, dict]]:
+    """The pieces of each round, ``ROUND_BYTES`` at most: their 64-bit values by table and number, and the names of the ``files`` they are in.
+    A larger piece is a round by itself."""
+    sizes = [(kind, r.piece, r.n, r.file.rpartition("/")[2]) for kind, table, column in
+             (("filter", model.filter, "bits"), ("words", model.words, "hashes"))
+             for r in table.select("piece", F.octet_length(column).alias("n"), F.input_file_name().alias("file")).collect()]
+    groups, room = [], 0
+    for kind, piece, n, file in sorted(sizes):
         taken = n if kind == "filter" else 2 * n  # words come with their counts
-        if taken > room and any(groups[-1].values()):
-            groups.append({"filter": {}, "words": {}})
+        if not groups or taken > room:
+            groups.append({"filter": {}, "words": {}, "files": {"filter": set(), "words": set()}})
             room = ROUND_BYTES
         groups[-1][kind][piece] = n // 8
+        groups[-1]["files"][kind].add(file)
         room -= taken
-    return groups
+    return groups or [{"filter": {}, "words": {}, "files": {"filter": set(), "words": set()}}]
 
 
-def gathered(model: Model, group: dict[str, dict[int, int]]) -> Round:
+def gathered(model: Model, group: dict[str, dict]) -> Round:
     """The pieces of a round, on the driver to be broadcast; they come one partition at a time into their places."""
     def start(widths: dict[int, int]) -> np.ndarray:
         """Where the pieces from the first to the last start, and the end."""
         first, last = (min(widths), max(widths)) if widths else (0, -1)
         return np.cumsum([0, *(widths.get(p, 0) for p in range(first, last + 1))], dtype=np.int64)
 
-    def read(table: DataFrame, widths: dict[int, int], columns: tuple[str, ...]) -> list[np.ndarray]:
+    def read(kind: str, table: DataFrame, *columns: str) -> list[np.ndarray]:
+        widths = group[kind]
         at, first = start(widths), min(widths, default=0)
         out = [np.zeros(int(at[-1]), np.uint64) for _ in columns]
-        mine = table.where(F.col("piece").between(first, max(widths, default=-1))).select("piece", *columns)
-        for row in mine.toLocalIterator() if widths else ():
-            for values, column in zip(out, row[1:]):
-                values[at[row.piece - first]:at[row.piece - first + 1]] = np.frombuffer(column, np.uint64)
+        if widths:
+            files = table.sparkSession.read.schema(table.schema).parquet(*(f"{table.stored_at}/{f}" for f in sorted(group["files"][kind])))
+            for row in files.where(F.col("piece").between(first, max(widths))).select("piece", *columns).toLocalIterator():
+                for values, column in zip(out, row[1:]):
+                    values[at[row.piece - first]:at[row.piece - first + 1]] = np.frombuffer(column, np.uint64)
         return out
-    hashes, counts = read(model.words, group["words"], ("hashes", "counts"))
-    (bits,) = read(model.filter, group["filter"], ("bits",))
+    hashes, counts = read("words", model.words, "hashes", "counts")
+    (bits,) = read("filter", model.filter, "bits")
     return Round(hashes, counts.view(np.int64), min(group["filter"], default=0), start(group["filter"]), bits)
 
 
@@ -396,91 +406,119 @@ def scores(documents: DataFrame, model: Model) -> DataFrame:
 
 def _scores(documents: DataFrame, model: Model) -> DataFrame:
     spark = documents.sparkSession
-    rows = documents.select("doc_id", "text").withColumn("state", F.lit(b""))
     id_type = documents.schema["doc_id"].dataType.simpleString()
-    *earlier, last = rounds(model)
-    for group in earlier:
-        shared = spark.sparkContext.broadcast(gathered(model, group))
-        rows = stored(rows.mapInArrow(_filling(shared, model), f"doc_id {id_type}, text string, state binary"))
-        shared.destroy()
-    shared = spark.sparkContext.broadcast(gathered(model, last))
-    scored = stored(rows.mapInArrow(_scoring(shared, model),
-                                    f"doc_id {id_type}, n_tokens long, n_known long, base_score double, score double"))
-    shared.destroy()
+    shared = [spark.sparkContext.broadcast(gathered(model, group)) for group in rounds(model)]
+    scored = stored(documents.select("doc_id", "text").mapInArrow(
+        _scoring(shared, model), f"doc_id {id_type}, n_tokens long, n_known long, base_score double, score double"))
+    for part in shared:
+        part.destroy()
     return scored
 
 
-def _known(batch: pa.RecordBatch, part: Round, words: Words, counts: dict, shift: int) -> Iterator[tuple]:
-    """(number of the text, count, level) of a block's tokens: what this part knows, added to what earlier rounds found."""
-    state, done = _unpacked(batch.column("state").to_pylist()), 0
-    last = np.array([xxhash.xxh3_64_intdigest(END, words.seed)], np.uint64)  # stands before every text
-    for owner, block in token_blocks(texts_of(batch)):
-        numbers = words.of(block)
-        held = counts["n"] = np.concatenate([counts["n"], part.count(words.hashes[len(counts["n"]):])])
-        now, n = words.hashes[numbers], held[numbers]
-        level = part.level(bigrams(np.concatenate([last, now[:-1]]), now), shift)
-        if len(state[0]):
-            here = slice(done, done + len(n))
-            n, level, done = n + state[0][here], np.maximum(level, state[1][here]), done + len(n)
-        yield owner, n, level
-        last = now[-1:]
-        if words.full():
-            words.forget()
-            counts["n"] = np.zeros(0, np.int64)
-
-
-def _filling(shared, model: Model) -> Callable:
-    """A round before the last: the counts and levels found so far travel with the text."""
-    seed, shift = model.seed, model.filter_shift
+def _parts(shared: list[Broadcast]) -> Iterator[Round]:
+    """The rounds one after the other. Of several a worker keeps none, as ``value`` would."""
+    for part in shared:
+        alone = len(shared) == 1 or not hasattr(part, "_path")  # an encrypted one is in memory already
+        yield part.value if alone else part.load_from_path(part._path)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words, counts = Words(seed), {"n": np.zeros(0, np.int64)}
-        for batch in slices(batches):
-            found = list(_known(batch, shared.value, words, counts, shift))
-            yield pa.record_batch([batch.column("doc_id"), batch.column("text"),
-                                   pa.array(_packed(found, batch.num_rows), pa.binary())], names=["doc_id", "text", "state"])
-    return run
 
+class Tokens:
+    """Tokens that are looked up together: the row of each and the place of its word among ``hashes``."""
 
-def _scoring(shared, model: Model) -> Callable:
-    """The last round."""
+    def __init__(self, seed: int):
+        self.words, self.last = Words(seed), np.array([xxhash.xxh3_64_intdigest(END, seed)], np.uint64)
+        self.clear()
+
+    def clear(self) -> None:
+        """Forget the tokens, but not the hash of the last one: the end token stands before every text."""
+        self.owner, self.place, self.keys, self.known, self.n = [], [], [], [], 0
+        self.words.forget()
+
+    def add(self, owner: np.ndarray, block: list[bytes]) -> None:
+        numbers = self.words.of(block)
+        now = self.words.hashes[numbers]
+        self.keys.append(bigrams(np.concatenate([self.last, now[:-1]]), now))
+        self.owner.append(owner.astype(np.int32))
+        self.place.append((numbers + sum(map(len, self.known))).astype(np.int32))
+        self.last, self.n = now[-1:], self.n + len(now)
+        if self.words.full():
+            self.known.append(self.words.hashes)
+            self.words.forget()
+
+    def look_up(self, parts: Iterable[Round], shift: int) -> tuple[np.ndarray, np.ndarray]:
+        """The count of each place, and the level of each token's bigram. Every bigram is probed once, in the order of the pieces."""
+        hashes = np.concatenate([*self.known, self.words.hashes])
+        keys, self.keys = np.concatenate(self.keys), []
+        order = np.argsort(keys)
+        keys = keys[order]
+        new = np.concatenate([[True], keys[1:] != keys[:-1]])
+        keys = keys[new]
+        counts, found = np.zeros(len(hashes), np.int64), np.zeros(len(keys), np.uint8)
+        for part in parts:
+            counts += part.count(hashes)
+            low, high = (min(x << shift, 1 << 64) for x in (part.first, part.first + len(part.start) - 1))
+            a, b = (int(np.searchsorted(keys, np.uint64(x))) if x < 1 << 64 else len(keys) for x in (low, high))
+            for at in range(a, b, BLOCK):
+                here = slice(at, min(at + BLOCK, b))
+                found[here] = part.level(keys[here], shift)
+            del part  # before the next one is read
+        level = np.empty(len(order), np.uint8)
+        level[order] = np.repeat(found, np.diff(np.flatnonzero(np.concatenate([new, [True]]))))
+        return counts, level
+
+
+def _scoring(shared: list[Broadcast], model: Model) -> Callable:
+    """Scores of batches of texts by the rounds of the model."""
     seed, shift, texts, value = model.seed, model.filter_shift, model.texts, model.value
     tokens, distinct = model.tokens, model.distinct
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words, counts = Words(seed), {"n": np.zeros(0, np.int64)}
-        for batch in slices(batches):
-            sums, before = np.zeros((4, batch.num_rows)), [texts]
-            for owner, n, level in _known(batch, shared.value, words, counts, shift):
+        held, ids, rows = Tokens(seed), [], 0
+        sums, before = np.zeros((4, 0)), np.array([texts])
+
+        def add_up() -> None:
+            """Add the tokens at hand to the sums of their rows."""
+            nonlocal sums, before
+            counts, levels = held.look_up(_parts(shared), shift)
+            sums = np.concatenate([sums, np.zeros((4, rows - sums.shape[1]))], axis=1)
+            owners, places = np.concatenate(held.owner), np.concatenate(held.place)
+            held.clear()
+            for at in range(0, len(owners), BLOCK):
+                n, level, owner = counts[places[at:at + BLOCK]], levels[at:at + BLOCK], owners[at:at + BLOCK]
                 history = np.concatenate([before, n[:-1]])
                 before = n[-1:]
                 base = (n + 0.5) / (tokens + 0.5 * (distinct + 1))
                 pair = np.minimum(value[level], np.minimum(n, history))
                 smooth = (pair + MU * base) / (history + MU)
+                low = int(owner[0])
                 for row, weights in enumerate((None, n > 0, np.log10(base), np.log10(smooth))):
-                    sums[row] += np.bincount(owner, weights, batch.num_rows)
-            yield pa.record_batch({"doc_id": batch.column("doc_id"), "n_tokens": sums[0].astype(np.int64),
-                                   "n_known": sums[1].astype(np.int64), "base_score": sums[2], "score": sums[3]})
+                    part = np.bincount(owner - low, weights)
+                    sums[row, low:low + len(part)] += part
+
+        def given_out(done: int) -> pa.RecordBatch:
+            """The first rows, which have no more tokens."""
+            nonlocal ids, rows, sums
+            known, left = sums[:, :done], pa.concat_arrays(ids)
+            ids, rows, sums = [left.slice(done)], rows - done, sums[:, done:]
+            return pa.record_batch({"doc_id": left.slice(0, done), "n_tokens": known[0].astype(np.int64),
+                                    "n_known": known[1].astype(np.int64), "base_score": known[2], "score": known[3]})
+        for batch in slices(batches):
+            first, rows = rows, rows + batch.num_rows
+            ids.append(batch.column("doc_id"))
+            for owner, block in token_blocks(texts_of(batch)):
+                held.add(owner + first, block)
+                if held.n >= LOOKED_UP:
+                    add_up()
+                    done = int(owner[-1]) + first  # the last one may go on
+                    yield given_out(done)
+                    first -= done
+        if held.n:
+            add_up()
+        if rows:
+            yield given_out(rows)
     return run
 
 
-def _packed(found: list[tuple[np.ndarray, np.ndarray, np.ndarray]], rows: int) -> list[bytes]:
-    """Per text the counts and levels of its tokens."""
-    if not rows:
-        return []
-    owner, n, level = (np.concatenate(x) for x in zip(*found))
-    edge = np.searchsorted(owner, np.arange(rows + 1))
-    return [n[a:b].astype("<i8").tobytes() + level[a:b].tobytes() for a, b in zip(edge, edge[1:])]
-
-
-def _unpacked(states: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    size = [len(s) // 9 for s in states]
-    if not any(size):
-        return np.zeros(0, np.int64), np.zeros(0, np.uint8)
-    return (np.concatenate([np.frombuffer(s, "<i8", k) for s, k in zip(states, size)]),
-            np.concatenate([np.frombuffer(s, np.uint8, k, 8 * k) for s, k in zip(states, size)]))
-
-
 def trains(doc_id: Column) -> Column:
     """The crc32 of the id as decimal text, modulo 5, is not 1."""
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % 5 != 1
@@ -489,6 +527,9 @@ def trains(doc_id: Column) -> Column:
 def learned_and_scored(documents: DataFrame) -> DataFrame:
     """Scores of all rows by a model of those that train."""
     model = fit(documents.where(trains(F.col("doc_id"))).select("text"))
-    return scores(documents, model).select(
+    scored = scores(documents, model)
+    discard(model.words)
+    discard(model.filter)
+    return scored.select(
         "doc_id", (~trains(F.col("doc_id"))).alias("held_out"), "n_tokens", "n_known",
         F.lit(model.tokens).cast("long").alias("train_tokens"), "base_score", "score")

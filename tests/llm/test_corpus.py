@@ -2,9 +2,11 @@
 
 import hashlib
 import math
+import os
 import re
 import zlib
 from collections import Counter, defaultdict
+from types import SimpleNamespace
 
 import duckdb
 import numpy as np
@@ -159,6 +161,46 @@ def test_language_model_in_rounds(spark, lm_rows, monkeypatch):
     assert np.allclose([r[4:] for r in one], [r[4:] for r in many], rtol=1e-12, atol=0)
 
 
+def test_language_model_rounds_leave_no_texts_behind(spark, lm_rows, monkeypatch):
+    for name, value in (("PIECE_TOKENS", 20_000), ("PIECE_WORDS", 3_000)):
+        monkeypatch.setattr(bloom_lm, name, value)
+    write, written, left = bloom_lm.stored, [], []
+    monkeypatch.setattr(bloom_lm, "stored", lambda df: written.append(df.columns) or left.append(write(df)) or left[-1])
+    found = []
+    for size in (96 << 20, 200_000):
+        written.clear(), left.clear()
+        monkeypatch.setattr(bloom_lm, "ROUND_BYTES", size)
+        found.append(by_text(bloom_lm.learned_and_scored(texts_table(spark, lm_rows)).collect()))
+        assert len(written) == 4 and not any("text" in columns for columns in written)
+        assert [os.path.exists(t.stored_at.removeprefix("file:")) for t in left] == [False, False, False, True]
+    assert [r[:5] for r in found[0]] == [r[:5] for r in found[1]] == [e[:5] for e in by_text(language_model(lm_rows))]
+    assert np.allclose([r[5:] for r in found[0]], [r[5:] for r in found[1]], rtol=1e-12, atol=0)
+
+
+def test_language_model_passes_do_not_change_scores(spark, lm_rows, monkeypatch):
+    texts = ["a b a", None, "", "b " * 50 + "c", "a", "c a b " * 20, "", "d"]
+    rows = [*enumerate(texts), (None, "a b"), (None, "a b"), *lm_rows[:5]]
+    monkeypatch.setattr(bloom_lm, "PIECE_TOKENS", 20)
+    monkeypatch.setattr(bloom_lm, "ROUND_BYTES", 64)
+    model = bloom_lm.fit(texts_table(spark, rows[:10]).select("text"))
+    shared = [SimpleNamespace(value=bloom_lm.gathered(model, group)) for group in bloom_lm.rounds(model)]
+    monkeypatch.setattr(bloom_lm, "ROUND_BYTES", 96 << 20)
+    whole = [SimpleNamespace(value=bloom_lm.gathered(model, group)) for group in bloom_lm.rounds(model)]
+    assert len(whole) == 1 < len(shared)
+    batch = pa.record_batch({"doc_id": pa.array([d for d, _ in rows], pa.int64()), "text": [t for _, t in rows]})
+    first = pa.Table.from_batches(bloom_lm._scoring(whole, model)(iter([batch]))).to_pylist()
+    for name, value in (("BLOCK", 10), ("CUT", 16), ("KEPT", 400)):  # blocks end inside of texts
+        monkeypatch.setattr(bloom_lm, name, value)
+    for n in (1, 7, 40, 1_000_000):
+        monkeypatch.setattr(bloom_lm, "LOOKED_UP", n)
+        got = list(bloom_lm._scoring(shared, model)(iter([batch.slice(0, 6), batch.slice(0, 0), batch.slice(6)])))
+        assert len(got) == 1 or n < 1_000_000
+        got = pa.Table.from_batches(got).to_pylist()
+        assert [list(r.values())[:3] for r in got] == [list(r.values())[:3] for r in first]
+        assert np.allclose([list(r.values())[3:] for r in got], [list(r.values())[3:] for r in first], rtol=1e-12, atol=0)
+    assert list(bloom_lm._scoring(shared, model)(iter([batch.slice(0, 0)]))) == []
+
+
 def test_filter_never_underrates_and_seldom_overrates(spark):
     rng = np.random.default_rng(3)
     keys = np.unique(rng.integers(0, 2**64, 200_000, np.uint64))
